@@ -305,8 +305,7 @@ def cost_discrepancy(spark, sf):
     factor = F.when(F.col("call_id") % 10 == 0, 1.02).otherwise(1.005)
     server = calls.select("call_id", (F.col("cost_usd") * factor).alias("server_cost_usd"))
     out = K.cost_discrepancies(calls, server)
-    return out.select("call_id", "model", "cost_usd", "server_cost_usd",
-                      F.round("difference_pct", 6).alias("difference_pct"))
+    return out.select("call_id", "model", "cost_usd", "server_cost_usd", "difference_pct")
 
 
 @query
@@ -335,8 +334,8 @@ def apply_spend(spark, sf):
         "org_id", F.when(F.col("org_id") == "org-2", "org-1").otherwise(F.col("org_id"))
     )
     updated = B.apply_spend(feed, calls)
-    return updated.select("id", "org_id", F.round("current_spend_usd", 9).alias("spend"),
-                          F.round("spend_percentage", 6).alias("percentage"))
+    return updated.select("id", "org_id", F.col("current_spend_usd").alias("spend"),
+                          F.col("spend_percentage").alias("percentage"))
 
 
 @query
@@ -346,8 +345,7 @@ def apply_spend_total(spark, sf):
         F.sum("budget_amount_usd").alias("total_budget_usd"),
         F.sum(K.money("current_spend_usd")).cast("double").alias("total_spend_usd"),
     )
-    updated = B.apply_spend_to_status(status, _costed(spark, sf))
-    return updated.withColumn("total_spend_usd", F.round("total_spend_usd", 6))
+    return B.apply_spend_to_status(status, _costed(spark, sf))
 
 
 @query
@@ -368,7 +366,7 @@ def _all_policies(spark, sf):
 def policy_spend(spark, sf):
     spent = B.policy_spend(_all_policies(spark, sf), _costed(spark, sf))
     return spent.select("id", F.col("current_spend_usd").cast("double").alias("spend_usd"),
-                        F.round("spend_percentage", 6).alias("percentage"))
+                        F.col("spend_percentage").alias("percentage"))
 
 
 @query
@@ -383,7 +381,7 @@ def first_crossing(spark, sf):
     return crossed.select(
         "policy_id", "threshold", "call_id",
         F.col("running_spend_usd").cast("double").alias("running_spend_usd"),
-        F.round("percentage", 6).alias("percentage"),
+        "percentage",
     )
 
 
@@ -455,9 +453,8 @@ def _replayed(spark, sf):
 @query
 def session_replay(spark, sf):
     return _replayed(spark, sf).select(
-        "session_id", "call_id", "allowed", "reason",
-        F.round("spend_before_usd", 9).alias("spend_before_usd"), "iterations_before",
-    )
+        "session_id", "call_id", "allowed", "reason", "spend_before_usd", "iterations_before"
+    )
 
 
 def _closes(spark, sf):
@@ -652,15 +649,14 @@ QUEUE_RATE, QUEUE_BURST = "0.0007", 3
 def rate_audit(spark, sf):
     calls = I.usage_calls(spark, sf).select("call_id", "timestamp", "feature")
     audit = R.rate_audit(calls, ["feature"], AUDIT_RATE, AUDIT_BURST)
-    return audit.select("call_id", "feature", F.round("tokens_before", 6).alias("tokens_before"),
-                        "allowed", "retry_after_s")
+    return audit.select("call_id", "feature", "tokens_before", "allowed", "retry_after_s")
 
 
 @query
 def queue_delay(spark, sf):
     calls = I.usage_calls(spark, sf).select("call_id", "timestamp", "feature")
     waits = R.queue_delay(calls, ["feature"], QUEUE_RATE, QUEUE_BURST)
-    return waits.select("call_id", "feature", F.round("wait_s", 6).alias("wait_s"))
+    return waits.select("call_id", "feature", "wait_s")
 
 
 # Streams -------------------------------------------------------------------------------------
@@ -723,10 +719,7 @@ def stream_session_ledger(spark, sf):
     ledger = J.stream_session_ledger(
         _call_stream(spark, sf), I.pricing(spark), I.SESSION_SPEND, I.SESSION_CALLS
     )
-    out = J.drain(ledger, "ledger").withColumn(
-        "cumulative_cost_usd", F.round("cumulative_cost_usd", 9)
-    )
-    return out.drop("timestamp")
+    return J.drain(ledger, "ledger").drop("timestamp")
 
 
 @query
@@ -743,9 +736,8 @@ def stream_scan(spark, sf):
 def stream_rate_audit(spark, sf):
     audit = J.stream_rate_audit(_call_stream(spark, sf), "feature", AUDIT_RATE, AUDIT_BURST)
     return J.drain(audit, "rate").select(
-        "call_id", F.col("key").alias("feature"),
-        F.round("tokens_before", 6).alias("tokens_before"), "allowed",
-    )
+        "call_id", F.col("key").alias("feature"), "tokens_before", "allowed"
+    )
 
 
 # The whole path ------------------------------------------------------------------------------
@@ -757,8 +749,7 @@ def admission_report(spark, sf) -> DataFrame:
     policies = I.policies(spark).withColumn(
         "budget_amount_usd", F.col("budget_amount_usd") / 2
     )
-    report = admission(
+    return admission(
         I.usage_calls(spark, sf), I.messages(spark, sf), policies,
         I.session_limits(spark, sf), I.pricing(spark), QUEUE_RATE, QUEUE_BURST,
-    )
-    return report.withColumn("wait_s", F.round("wait_s", 6))
+    )
\ No newline at end of file

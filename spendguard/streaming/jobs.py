@@ -93,16 +93,16 @@ def stream_session_ledger(
         for cost, estimate, count in zip(
             rows["cost"].tolist(), rows["estimate"].tolist(), rows["input_tokens"].tolist()
         ):
-            reason = None
+            reason = ""
             if limit != NO_LIMIT and spent + estimate > limit:
                 reason = BUDGET
             elif most != NO_LIMIT and calls_ + 1 > most:
                 reason = ITERATIONS
             else:
                 spent, calls_, tokens = spent + cost, calls_ + 1, tokens + int(count)
-            refused = refused or reason is not None
+            refused = refused or reason != ""
             status = "terminated" if refused else "active"
-            out.append((calls_, tokens, spent / 10**12, reason is None, reason, status))
+            out.append((calls_, tokens, spent / 10**12, reason == "", reason, status))
         state.update((spent, calls_, tokens, refused))
         last_ms = int(rows["us"].iloc[-1]) // 1000
         state.setTimeoutTimestamp(max(last_ms + idle_ms, state.getCurrentWatermarkMs() + 1))
@@ -114,9 +114,10 @@ def stream_session_ledger(
         head = rows[["session_id", "call_id", "timestamp"]].reset_index(drop=True)
         yield pd.concat([head, ledger], axis=1)
 
-    return narrow.groupBy("session_id").applyInPandasWithState(
+    ledger = narrow.groupBy("session_id").applyInPandasWithState(
         update, LEDGER_DDL, LEDGER_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+    return ledger.withColumn("reason", F.nullif("reason", F.lit("")))
 
 
 RATE_DDL = "key string, call_id long, timestamp timestamp, tokens_before double, allowed boolean"
@@ -171,7 +172,7 @@ def write_usage_stream(
     replayed micro-batch is skipped by the file sink's log. ``flush_interval=None`` drains what
     is there and stops.
     """
-    rows = usage_rows(calls.withWatermark("timestamp", "1 day"))
+    rows = usage_rows(calls).withWatermark("timestamp", "1 day")
     rows = rows.dropDuplicatesWithinWatermark(["call_id"])
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy("date")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)

@@ -12,6 +12,7 @@ The rules for scopes, windows, admission and risk are stated here, in one place:
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..schemas import TOTAL
 from .cost import money
 from .ordered import MAX_GROUP_ROWS, running
 
@@ -116,7 +117,7 @@ def policy_spend(policies: DataFrame, calls: DataFrame) -> DataFrame:
         .groupBy("policy_id")
         .agg(F.sum(money("cost_usd")).alias("_spent"))
     )
-    spend = F.coalesce("_spent", F.lit(0).cast("decimal(38,12)"))
+    spend = F.coalesce("_spent", F.lit(0).cast(TOTAL))
     return (
         policies.where("is_active")
         .join(spent.withColumnRenamed("policy_id", "id"), "id", "left")

@@ -91,13 +91,13 @@ def _shifted(blocked, keys, order, terms, total, join) -> DataFrame:
         match = match & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
     local = _frame([*keys, "_block"], order)
     out = blocked.withColumns({n: total(term).over(local) for n, term in terms.items()})
+    kinds = {n: out.schema[n].dataType for n in terms}
     out = out.join(F.broadcast(carried), match, "left")
-    shifted = {
-        n: F.when(F.col(f"_c_{n}").isNull(), F.col(n))
-        .when(F.col(n).isNull(), F.col(f"_c_{n}"))
-        .otherwise(join(F.col(f"_c_{n}"), F.col(n)))
-        for n in terms
-    }
+    shifted = {}
+    for name, kind in kinds.items():
+        before, inside = F.col(f"_c_{name}").cast(kind), F.col(name)
+        both = F.when(inside.isNull(), before).otherwise(join(before, inside).cast(kind))
+        shifted[name] = F.when(before.isNull(), inside).otherwise(both)
     return out.withColumns(shifted).drop(
         "_k_block", *[f"_k_{k}" for k in keys], *[f"_c_{n}" for n in terms]
     )
@@ -141,22 +141,23 @@ def fold(
     Rows stream through in Arrow batches; a task holds one batch and one state. ``counted`` is
     as in ``running``.
     """
+    columns = df.columns
     schema = T.StructType([*df.schema.fields, *output.fields])
-    width = len(df.columns)
     types = {f.name: ARROW_TYPES[f.dataType] for f in output.fields}
     if not has_large_group(df if counted is None else counted, keys, max_group_rows):
-        ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-        starts = {}
+        # The window asks for whole groups in order. An explicit repartition would not do: after
+        # a join on the same keys it is dropped, and run-time join changes then scatter groups.
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        ordered, starts = df.withColumn("_n", number), {}
     else:
         ordered = freeze(df, keys, order)
         starts = _block_starts(ordered, keys, rule)
 
     def walk(batches):
         for batch, added, _ in _replayed(batches, keys, rule, starts):
-            columns = batch.columns[:width] + [
-                pa.array(added[name], type=kind) for name, kind in types.items()
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+            arrays = [batch.column(c) for c in columns]
+            arrays += [pa.array(added[name], type=kind) for name, kind in types.items()]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
     return ordered.mapInArrow(walk, schema)
 

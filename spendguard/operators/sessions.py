@@ -8,6 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..schemas import TOTAL
 from .cost import money
 from .ordered import MAX_GROUP_ROWS, Fold, fold, running
 
@@ -41,7 +42,7 @@ def session_remaining(totals: DataFrame, limits: DataFrame) -> DataFrame:
     return both.withColumns(
         {
             "remaining_budget_usd": F.when(
-                F.col("max_spend_usd").isNotNull(), F.greatest(zero.cast("decimal(38,12)"), spend)
+                F.col("max_spend_usd").isNotNull(), F.greatest(zero.cast(TOTAL), spend)
             ),
             "remaining_iterations": F.when(
                 F.col("max_iterations").isNotNull(), F.greatest(zero.cast("long"), calls)
@@ -216,7 +217,7 @@ def session_summary(replayed: DataFrame, closes: DataFrame | None = None) -> Dat
     last = F.when(~passed, F.struct("timestamp", "call_id", "reason"))
     totals = replayed.groupBy("session_id").agg(
         F.coalesce(
-            F.sum(F.when(passed, money("cost_usd"))), F.lit(0).cast("decimal(38,12)")
+            F.sum(F.when(passed, money("cost_usd"))), F.lit(0).cast(TOTAL)
         ).alias("final_spend_usd"),
         F.count(F.when(passed, True)).alias("final_iteration_count"),
         F.max(last)["reason"].alias("_refusal"),

@@ -95,16 +95,19 @@ def usage_calls(spark, sf_dir) -> DataFrame:
     return usage_from_events(table(spark, sf_dir, "events"))
 
 
+def _stream(spark, sf_dir, name) -> DataFrame:
+    """A table as a stream. The pattern matches a single file as well as a folder of files."""
+    schema = table(spark, sf_dir, name).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def event_stream(spark, sf_dir) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
-    return reader.option("maxFilesPerTrigger", 100).parquet(sf_dir)
+    return _stream(spark, sf_dir, "events")
 
 
 def conversation_stream(spark, sf_dir) -> DataFrame:
-    schema = table(spark, sf_dir, "conversations").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "conversations*.parquet")
-    return reader.option("maxFilesPerTrigger", 100).parquet(sf_dir)
+    return _stream(spark, sf_dir, "conversations")
 
 
 def pricing(spark) -> DataFrame:

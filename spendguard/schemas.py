@@ -2,7 +2,10 @@
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(38, 12)
+# Dollars of one row, and sums of them. The widths leave Spark room to add and subtract without
+# giving up decimals: at the full 38 digits it would round the last one away.
+MONEY = T.DecimalType(26, 12)
+TOTAL = T.DecimalType(36, 12)
 
 # The allowed words of the enumerated columns.
 PROVIDERS = ["openai", "anthropic", "google", "aws_bedrock", "cohere", "mistral"]
@@ -104,7 +107,7 @@ SESSION_CALLS = T.StructType(
         T.StructField("output_tokens", T.LongType()),
         T.StructField("cumulative_input_tokens", T.LongType()),
         T.StructField("cost_usd", T.DoubleType()),
-        T.StructField("cumulative_cost_usd", MONEY),
+        T.StructField("cumulative_cost_usd", TOTAL),
         T.StructField("created_at", T.TimestampType()),
         T.StructField("pii_detected", T.BooleanType()),
     ]
@@ -115,7 +118,7 @@ SESSION_CLOSURES = T.StructType(
         T.StructField("session_id", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("termination_reason", T.StringType()),
-        T.StructField("final_spend_usd", MONEY),
+        T.StructField("final_spend_usd", TOTAL),
         T.StructField("final_iteration_count", T.LongType()),
     ]
 )

@@ -19,13 +19,14 @@ def stream_usage(
     return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    """The schema's columns in order, cast; absent optional ones as NULL."""
+def _typed(df: DataFrame, schema, *keep: str) -> DataFrame:
+    """The schema's columns in order, cast, absent ones as NULL; then the columns to ``keep``."""
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
-        ]
+        ],
+        *keep,
     )
 
 
@@ -36,11 +37,10 @@ def load_pricing(
     if current is not None and feed.isEmpty():
         return current
     # max_by combines before the shuffle, so repeated models do not pile up in one task.
-    last = feed.groupBy("model").agg(
-        F.max_by(F.struct(*[c for c in PRICING.fieldNames() if c != "model"]), F.col(position))
-        .alias("_last")
-    )
-    return _typed(last.select("model", "_last.*"), PRICING)
+    rates = F.struct(*[c for c in PRICING.fieldNames() if c != "model"])
+    rows = _typed(feed, PRICING, position)
+    last = rows.groupBy("model").agg(F.max_by(rates, position).alias("_last"))
+    return last.select("model", "_last.*").select(*PRICING.fieldNames())
 
 
 def load_policies(df: DataFrame) -> DataFrame:

@@ -1,47 +1,76 @@
-"""Sensitive-content scan and classification as columns over text."""
+"""Sensitive-content scan and classification as columns over text.
+
+Expressions are kept small by passing all patterns through one shared body, and values that are
+used more than once are bound to a variable so that they are computed once.
+"""
 
 from pyspark.sql import Column, functions as F
 
 from . import patterns as P
-from .spans import bind, luhn_valid, match_spans, redact_spans, remove_overlaps
+from .spans import Detector, bind, luhn_valid, redact_spans, remove_overlaps, spans_by_detector
 
 CATEGORIES = ("pii", "phi", "secrets", "financial")
 VIOLATIONS_DDL = "array<struct<category:string,type:string,severity:string,start:int,end:int>>"
 
-__all__ = ["detect", "scan", "redact", "full_scan", "luhn_valid", "pii_violations",
-           "phi_violations", "secret_violations", "financial_violations"]
-
+__all__ = ["detect", "detected", "scan", "redact", "gate", "full_scan", "luhn_valid",
+           "pii_violations", "phi_violations", "secret_violations", "financial_violations"]
 
-def _digits(text: Column) -> Column:
-    """All card, phone, social security and account patterns hold four digits in a row."""
-    return text.rlike("[0-9]{4}")
+# Literals without which a pattern cannot match. All card, phone, social security and account
+# patterns hold four digits in a row.
+LITERALS = {
+    "email": ["@"],
+    "api_key_openai": ["sk-"],
+    "api_key_aws": ["AKIA"],
+    "private_key": ["PRIVATE KEY-----"],
+    "jwt_token": [".eyJ"],
+    "generic_secret": [":", "="],
+}
+SCAN = [
+    Detector(name, pattern, name.startswith("credit_card_"),
+             name if name in LITERALS else "digits")
+    for name, pattern in P.PII
+]
+KINDS = {
+    "ssn": Detector("ssn", P.PATTERN["ssn"], gate="digits"),
+    "email": Detector("email", P.PATTERN["email"], gate="email"),
+    "credit_card": Detector("credit_card", P.CARD, luhn=True, gate="digits"),
+    "phone": Detector("phone", P.PATTERN["phone_us"], gate="digits"),
+    "iban": Detector("iban", P.IBAN, gate="digits"),
+}
+KINDS |= {name: Detector(name, pattern, gate=name) for name, pattern, _ in P.SECRETS}
+SEVERITY = P.PII_SEVERITY | {name: severity for name, _, severity in P.SECRETS}
+SEVERITY |= {"iban": "high"}
+
+# Kinds of each category, in reporting order.
+REPORT = {
+    "pii": ["ssn", "email", "credit_card", "phone"],
+    "phi": ["ssn", "email", "credit_card", "phone"],
+    "secrets": [name for name, _, _ in P.SECRETS],
+    "financial": ["credit_card", "iban"],
+}
 
 
-def _gate(text: Column, name: str) -> Column:
-    return F.contains(text, F.lit("@")) if name == "email" else _digits(text)
+def _spans(text: Column, detectors: list[Detector]) -> Column:
+    """Spans per detector, each cheap test made once per text."""
 
+    def found(digits):
+        gates = {"digits": digits}
+        for name, literals in LITERALS.items():
+            tests = [F.contains(text, F.lit(literal)) for literal in literals]
+            gates[name] = tests[0] if len(tests) == 1 else tests[0] | tests[1]
+        return spans_by_detector(text, detectors, gates)
 
-def _no_violations() -> Column:
-    return F.array().cast(VIOLATIONS_DDL)
+    return bind(text.rlike("[0-9]{4}"), found)
 
 
 def detect(text: Column, name: str) -> Column:
     """Spans of one kind of personal data, before overlaps are removed."""
-    return match_spans(
-        text, name, P.PATTERN[name], luhn=name.startswith("credit_card_"), gate=_gate(text, name)
-    )
+    return F.element_at(_spans(text, [d for d in SCAN if d.name == name]), 1)
 
 
-def _candidates(text: Column) -> Column:
-    numeric = [
-        match_spans(text, name, pattern, rank, luhn=name.startswith("credit_card_"))
-        for rank, (name, pattern) in enumerate(P.PII)
-        if name != "email"
-    ]
-    rank, (name, pattern) = next((i, p) for i, p in enumerate(P.PII) if p[0] == "email")
-    email = match_spans(text, name, pattern, rank, gate=_gate(text, name))
-    # Sorting by (start, rank) follows, so the order of the parts does not matter here.
-    return F.when(_digits(text), F.concat(email, *numeric)).otherwise(email)
+def detected(text: Column) -> Column:
+    """Would ``scan`` find anything? Skips overlaps and redaction, which cannot change that."""
+    return F.exists(_spans(text, SCAN), lambda spans: F.size(spans) > 0)
 
 
 def scan(text: Column) -> Column:
@@ -63,137 +92,109 @@ def scan(text: Column) -> Column:
             redact_spans(text, kept).alias("redacted_text"),
         )
 
-    return bind(bind(_candidates(text), remove_overlaps), result)
+    return bind(remove_overlaps(F.flatten(_spans(text, SCAN))), result)
 
 
 def redact(text: Column) -> Column:
     return scan(text)["redacted_text"]
 
 
-def _as_violations(spans: Column, category: str, name: str, severity: str) -> Column:
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            F.lit(category).alias("category"),
-            F.lit(name).alias("type"),
-            F.lit(severity).alias("severity"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-        ),
-    )
-
-
-def _cards(text: Column, digits: Column) -> Column:
-    return match_spans(text, "credit_card", P.CARD, luhn=True, gate=digits)
-
-
-def _pii(text: Column, digits: Column, cards: Column) -> Column:
-    def part(name, spans):
-        return _as_violations(spans, "pii", name, P.PII_SEVERITY[name])
-
-    email = part("email", match_spans(text, "email", P.PATTERN["email"], gate=_gate(text, "email")))
-    numeric = F.concat(
-        part("ssn", match_spans(text, "ssn", P.PATTERN["ssn"])),
-        email,
-        part("credit_card", cards),
-        part("phone", match_spans(text, "phone", P.PATTERN["phone_us"])),
-    )
-    return F.when(digits, numeric).otherwise(email).cast(VIOLATIONS_DDL)
+def _violations(text: Column, categories) -> Column:
+    """Violations of the categories, in the fixed category and kind order; overlaps are kept."""
+    reported = [(c, kind) for c in CATEGORIES if c in categories for kind in REPORT[c]]
+    if not reported:
+        return F.array().cast(VIOLATIONS_DDL)
+    kinds = list(dict.fromkeys(kind for _, kind in reported))
+    personal = [kinds.index(kind) for kind in REPORT["phi"] if kind in kinds]
+
+    def collect(spans, medical):
+        parts = []
+        for category, kind in reported:
+            found = F.get(spans, kinds.index(kind))
+            if category == "phi":
+                found = F.when(medical, found)
+            parts.append(
+                F.struct(
+                    F.lit(category).alias("category"),
+                    F.lit(f"phi_{kind}" if category == "phi" else kind).alias("type"),
+                    F.lit("critical" if category == "phi" else SEVERITY[kind]).alias("severity"),
+                    found.alias("spans"),
+                )
+            )
+
+        def violations(part):
+            return F.transform(
+                F.coalesce(part["spans"], F.array()),
+                lambda s: F.struct(
+                    part["category"].alias("category"),
+                    part["type"].alias("type"),
+                    part["severity"].alias("severity"),
+                    s["start"].alias("start"),
+                    s["end"].alias("end"),
+                ),
+            )
+
+        return F.flatten(F.transform(F.array(*parts), violations)).cast(VIOLATIONS_DDL)
+
+    def with_context(spans):
+        if "phi" not in categories:
+            return collect(spans, None)
+        # The word test runs only for texts that hold personal data at all.
+        private = F.lit(False)
+        for i in personal:
+            private = private | (F.size(F.get(spans, i)) > 0)
+        medical = F.when(private, F.lower(text).rlike(P.MEDICAL_RE)).otherwise(F.lit(False))
+        return bind(medical, lambda m: collect(spans, m))
+
+    return bind(_spans(text, [KINDS[kind] for kind in kinds]), with_context)
 
 
 def pii_violations(text: Column) -> Column:
     """Social security, e-mail, generic card and phone hits, in that order, overlaps kept."""
-    return bind(_digits(text), lambda digits: _pii(text, digits, _cards(text, digits)))
-
-
-def _phi(text: Column, pii: Column) -> Column:
-    health = F.transform(
-        pii,
-        lambda v: F.struct(
-            F.lit("phi").alias("category"),
-            F.concat(F.lit("phi_"), v["type"]).alias("type"),
-            F.lit("critical").alias("severity"),
-            v["start"].alias("start"),
-            v["end"].alias("end"),
-        ),
-    )
-    # The word test runs only for texts that hold personal data at all.
-    medical = F.when(F.size(pii) > 0, F.lower(text).rlike(P.MEDICAL_RE)).otherwise(F.lit(False))
-    return F.when(medical, health).otherwise(_no_violations()).cast(VIOLATIONS_DDL)
+    return _violations(text, ("pii",))
 
 
 def phi_violations(text: Column) -> Column:
     """Personal data in a text that also holds a medical term."""
-    return bind(pii_violations(text), lambda pii: _phi(text, pii))
-
-
-_SECRET_GATE = {
-    "api_key_openai": ["sk-"],
-    "api_key_aws": ["AKIA"],
-    "private_key": ["PRIVATE KEY-----"],
-    "jwt_token": [".eyJ"],
-    "generic_secret": [":", "="],
-}
+    return _violations(text, ("phi",))
 
 
 def secret_violations(text: Column) -> Column:
     """Keys, tokens and passwords."""
-    parts = []
-    for name, pattern, severity in P.SECRETS:
-        gate = F.lit(False)
-        for literal in _SECRET_GATE[name]:
-            gate = gate | F.contains(text, F.lit(literal))
-        spans = match_spans(text, name, pattern, gate=gate)
-        parts.append(_as_violations(spans, "secrets", name, severity))
-    return F.concat(*parts).cast(VIOLATIONS_DDL)
-
-
-def _financial(text: Column, digits: Column, cards: Column) -> Column:
-    iban = match_spans(text, "iban", P.IBAN, gate=digits)
-    return F.concat(
-        _as_violations(cards, "financial", "credit_card", "critical"),
-        _as_violations(iban, "financial", "iban", "high"),
-    ).cast(VIOLATIONS_DDL)
+    return _violations(text, ("secrets",))
 
 
 def financial_violations(text: Column) -> Column:
     """Generic cards and international account numbers."""
-    return bind(
-        _digits(text),
-        lambda digits: bind(
-            _cards(text, digits), lambda cards: _financial(text, digits, cards)
-        ),
-    )
+    return _violations(text, ("financial",))
 
 
 def full_scan(text: Column, categories=CATEGORIES) -> Column:
     """struct(detected, violations, categories), parts in the order pii, phi, secrets, financial."""
-
-    def parts(digits, cards, pii):
-        found = []
-        if "pii" in categories:
-            found.append(pii)
-        if "phi" in categories:
-            found.append(_phi(text, pii))
-        if "secrets" in categories:
-            found.append(secret_violations(text))
-        if "financial" in categories:
-            found.append(_financial(text, digits, cards))
-        return F.concat(*found) if found else _no_violations()
-
-    def with_cards(digits):
-        def with_pii(cards):
-            if "pii" in categories or "phi" in categories:
-                return bind(_pii(text, digits, cards), lambda pii: parts(digits, cards, pii))
-            return parts(digits, cards, _no_violations())
-
-        return bind(_cards(text, digits), with_pii)
-
     return bind(
-        bind(_digits(text), with_cards),
+        _violations(text, tuple(categories)),
         lambda v: F.struct(
             (F.size(v) > 0).alias("detected"),
             v.alias("violations"),
             F.array_distinct(F.transform(v, lambda x: x["category"])).alias("categories"),
         ),
     )
+
+
+def gate(text: Column) -> Column:
+    """struct(blocked, violations, redacted_text): blocked when scan and full scan both hit."""
+
+    def judged(scanned):
+        found = F.when(scanned["detected"], _violations(text, CATEGORIES)).otherwise(
+            F.array().cast(VIOLATIONS_DDL)
+        )
+        return bind(
+            found,
+            lambda v: F.struct(
+                (F.size(v) > 0).alias("blocked"),
+                v.alias("violations"),
+                F.when(F.size(v) > 0, scanned["redacted_text"]).alias("redacted_text"),
+            ),
+        )
+
+    return bind(scan(text), judged)

@@ -1,5 +1,7 @@
 """Text spans as columns: where a pattern matches, which matches survive, and redaction."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, functions as F
 
 from .patterns import SPACES
@@ -14,6 +16,15 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def kept_if(record: Column, test) -> Column:
+    """Generator of the record's fields for rows that pass ``test``; other rows go.
+
+    Unlike a filter on a computed column, which the optimiser pushes below the projection and so
+    computes twice, this evaluates the record once.
+    """
+    return F.inline(F.filter(F.array(record), test))
+
+
 def luhn_valid(text: Column) -> Column:
     """13 to 19 digits, blanks and dashes aside, that pass the checksum."""
     digits = F.regexp_replace(text, f"[{SPACES}-]", "")
@@ -25,51 +36,75 @@ def no_spans() -> Column:
     return F.array().cast(SPAN_DDL)
 
 
-def match_spans(text: Column, name: str, pattern: str, rank: int = 0, luhn: bool = False,
-                gate: Column | None = None) -> Column:
-    """Every match of ``pattern`` with code point and byte offsets, 0-based and half-open.
+@dataclass(frozen=True)
+class Detector:
+    """A named pattern; ``gate`` names a cheap test that holds whenever the pattern can match."""
+
+    name: str
+    pattern: str
+    luhn: bool = False
+    gate: str = ""
+
 
-    ``gate`` is a cheap test that holds whenever the pattern can match. Offsets come from the
-    lengths of the text pieces between matches, so each text is read twice at most.
+def spans_by_detector(text: Column, detectors: list[Detector], gates: dict[str, Column]) -> Column:
+    """One array of spans per detector: code point and byte offsets, 0-based and half-open.
+
+    Matches come from one pass per pattern. Only where there are any, the text is split as well
+    and the lengths of the pieces between matches give the offsets.
     """
 
-    def place(matches):
+    def entry(rank, detector):
+        hits = F.regexp_extract_all(text, F.lit(detector.pattern), F.lit(0))
+        if detector.gate:
+            hits = F.when(gates[detector.gate], hits)
+        return F.struct(
+            F.lit(rank).alias("rank"),
+            F.lit(detector.name).alias("type"),
+            F.lit(detector.pattern).alias("pattern"),
+            F.lit(detector.luhn).alias("luhn"),
+            hits.alias("hits"),
+        )
+
+    def place(found):
         def spans(gaps):
             def step(acc, i):
-                gap, hit = F.get(gaps, i), F.get(matches, i)
+                gap, hit = F.get(gaps, i), F.get(found["hits"], i)
                 start = acc["pos"] + F.length(gap)
                 byte_start = acc["byte"] + F.octet_length(gap)
                 end = start + F.length(hit)
                 byte_end = byte_start + F.octet_length(hit)
                 span = F.struct(
                     start.alias("start"),
-                    F.lit(rank).alias("rank"),
+                    found["rank"].alias("rank"),
                     end.alias("end"),
-                    F.lit(name).alias("type"),
+                    found["type"].alias("type"),
                     hit.alias("value"),
                     byte_start.alias("byte_start"),
                     byte_end.alias("byte_end"),
                 )
-                kept = F.concat(acc["out"], F.array(span))
-                if luhn:
-                    kept = F.when(luhn_valid(hit), kept).otherwise(acc["out"])
+                out = F.when(
+                    ~found["luhn"] | luhn_valid(hit), F.concat(acc["out"], F.array(span))
+                ).otherwise(acc["out"])
                 return F.struct(
-                    end.alias("pos"), byte_end.alias("byte"), kept.cast(SPAN_DDL).alias("out")
+                    end.alias("pos"), byte_end.alias("byte"), out.cast(SPAN_DDL).alias("out")
                 )
 
             return F.aggregate(
-                F.sequence(F.lit(0), F.size(matches) - 1),
+                F.sequence(F.lit(0), F.size(found["hits"]) - 1),
                 F.struct(F.lit(0).alias("pos"), F.lit(0).alias("byte"), no_spans().alias("out")),
                 step,
                 lambda acc: acc["out"],
             )
 
-        return F.when(F.size(matches) > 0, bind(F.split(text, pattern, -1), spans)).otherwise(
-            no_spans()
-        )
+        pieces = F.split(text, found["pattern"], -1)
+        return F.when(F.size(found["hits"]) > 0, bind(pieces, spans)).otherwise(no_spans())
+
+    return F.transform(F.array(*[entry(i, d) for i, d in enumerate(detectors)]), place)
+
 
-    found = bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)
-    return found if gate is None else F.when(gate, found).otherwise(no_spans())
+def match_spans(text: Column, name: str, pattern: str, luhn: bool = False) -> Column:
+    """Every match of one pattern."""
+    return F.element_at(spans_by_detector(text, [Detector(name, pattern, luhn)], {}), 1)
 
 
 def remove_overlaps(spans: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, functions as F
 
+from .spans import bind
+
 # One schema for the three response shapes, so each payload is parsed once.
 RESPONSE_DDL = """
 usage struct<
@@ -82,6 +84,23 @@ def extract_usage(provider: Column, parsed: Column) -> Column:
     )
 
 
+SUPPORTED = ("openai", "anthropic", "google")
+
+
+def usage_record(provider: Column, payload: Column) -> Column:
+    """struct(provider, usage): the named or else detected provider; the payload is parsed once."""
+
+    def named(parsed):
+        return bind(
+            F.coalesce(provider, detect_provider(parsed)),
+            lambda name: F.struct(
+                name.alias("provider"), extract_usage(name, parsed).alias("usage")
+            ),
+        )
+
+    return bind(parse_response(payload), named)
+
+
 def nullify_zero(count: Column) -> Column:
     """A zero cache counter is stored as missing."""
     return F.nullif(count, F.lit(0))

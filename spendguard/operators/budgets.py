@@ -217,18 +217,22 @@ def budget_blocked(checked: DataFrame) -> DataFrame:
     )
 
 
-def budget_status(policies: DataFrame, calls: DataFrame) -> DataFrame:
-    """Budget, spend, policies at risk and the policy list of each organisation."""
-    spent = policy_spend(policies, calls)
+def status_policies(spent: DataFrame) -> DataFrame:
+    """The policy list of a budget status: ``policy_spend`` rows with ``at_risk``.
+
+    Rows keyed by organisation rather than one list per organisation, which would have to be
+    gathered in a single task.
+    """
     limit = F.coalesce(F.array_min("alert_thresholds"), F.lit(100))
-    at_risk = F.col("spend_percentage") >= limit
-    listed = F.struct("id", "name", "scope", "budget_amount_usd", "current_spend_usd",
-                      "spend_percentage")
-    return spent.groupBy("org_id").agg(
+    return spent.withColumn("at_risk", F.col("spend_percentage") >= limit)
+
+
+def budget_status(spent: DataFrame) -> DataFrame:
+    """Total budget, total spend and number of policies at risk per organisation."""
+    return status_policies(spent).groupBy("org_id").agg(
         F.sum(money("budget_amount_usd")).alias("total_budget_usd"),
         F.sum("current_spend_usd").alias("total_spend_usd"),
-        F.count(F.when(at_risk, True)).alias("policies_at_risk"),
-        F.array_sort(F.collect_list(listed)).alias("policies"),
+        F.count(F.when(F.col("at_risk"), True)).alias("policies_at_risk"),
     )
 
 

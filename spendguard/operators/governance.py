@@ -5,8 +5,9 @@ Messages are rows (request_id, msg_index, text). All gates are narrow projection
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.content import CATEGORIES, VIOLATIONS_DDL, full_scan, scan
-from ..functions.spans import bind
+from ..functions import content as C
+from ..functions.content import CATEGORIES, full_scan, gate, scan
+from ..functions.spans import bind, kept_if
 from .budgets import fail_open_defaults
 
 
@@ -59,16 +60,24 @@ def privacy_gate(messages: DataFrame) -> DataFrame:
     Adds blocked, violations and, for blocked messages, redacted_text. A secret or account number
     alone passes, since only personal-data patterns trigger the classification.
     """
+    judged = messages.withColumn("_gate", gate(F.col("text")))
+    return judged.select(*messages.columns, "_gate.*")
+
+
+def blocked_messages(messages: DataFrame, keys=("request_id", "msg_index")) -> DataFrame:
+    """Only the messages the privacy gate blocks, with their violations and redacted text."""
+    passed = kept_if(gate(F.col("text")), lambda g: g["blocked"])
+    return messages.select(*keys, passed).drop("blocked")
+
+
+def blocked_requests(messages: DataFrame) -> DataFrame:
+    """The ids of requests with at least one blocked message."""
     text = F.col("text")
-    scanned = messages.withColumn("_scan", scan(text))
-    found = F.when(F.col("_scan.detected"), full_scan(text)["violations"]).otherwise(
-        F.array().cast(VIOLATIONS_DDL)
-    )
-    judged = scanned.withColumn("violations", found)
-    blocked = F.size("violations") > 0
-    return judged.withColumns(
-        {"blocked": blocked, "redacted_text": F.when(blocked, F.col("_scan.redacted_text"))}
-    ).drop("_scan")
+    hit = F.when(C.detected(text), F.size(full_scan(text)["violations"]) > 0).otherwise(F.lit(False))
+    flag = F.struct(hit.alias("hit"))
+    return messages.select("request_id", kept_if(flag, lambda f: f["hit"])).select(
+        "request_id"
+    ).distinct()
 
 
 def policy_gate(
@@ -95,18 +104,14 @@ def policy_gate(
     ).drop("_scan", "_verdict_text")
 
 
-def first_blocking_message(gated: DataFrame) -> DataFrame:
+def first_blocking_message(messages: DataFrame) -> DataFrame:
     """The first blocked message of each request; later ones are never looked at.
 
     The minimum combines before the shuffle, so a request of any length stays cheap.
     """
     row = F.struct("msg_index", "violations", "redacted_text")
-    return (
-        gated.where("blocked")
-        .groupBy("request_id")
-        .agg(F.min_by(row, F.col("msg_index")).alias("_row"))
-        .select("request_id", "_row.*")
-    )
+    first = blocked_messages(messages).groupBy("request_id").agg(F.min(row).alias("_row"))
+    return first.select("request_id", "_row.*")
 
 
 def governance_signals(

@@ -37,10 +37,18 @@ def bucket_fold(bucket: Bucket) -> Fold:
 
     def replay(rows, fresh, state):
         level, last = state or (full, 0)
-        before, allowed, retry = [], [], []
-        for now, new in zip(rows.column("_us").to_pylist(), fresh):
-            level = full if new else min(full, level + (now - last) * refill)
-            last = now
+        times = rows.column("_us").to_pylist()
+        # Level and time carried over from earlier rows of the key, where a caller has them.
+        carried = [None] * len(times)
+        if "_level" in rows.schema.names:
+            carried = zip(rows.column("_level").to_pylist(), rows.column("_last").to_pylist())
+        before, allowed, retry, after = [], [], [], []
+        for now, new, start in zip(times, fresh, carried):
+            if new:
+                level, last = start if start and start[0] is not None else (full, now)
+            # A row out of order earns no refill and does not move the clock back.
+            level = min(full, level + max(0, now - last) * refill)
+            last = max(last, now)
             before.append(level / token)
             if level >= token:
                 level -= token
@@ -49,7 +57,10 @@ def bucket_fold(bucket: Bucket) -> Fold:
             else:
                 allowed.append(False)
                 retry.append(-((level - token) // (refill * 10**6)))
-        out = {"tokens_before": before, "allowed": allowed, "retry_after_s": retry}
+            after.append(level)
+        out = {
+            "tokens_before": before, "allowed": allowed, "retry_after_s": retry, "_after": after
+        }
         return out, (level, last)
 
     def summarise(batches):
@@ -141,6 +152,7 @@ RATE_OUTPUT = T.StructType(
         T.StructField("tokens_before", T.DoubleType()),
         T.StructField("allowed", T.BooleanType()),
         T.StructField("retry_after_s", T.LongType()),
+        T.StructField("_after", T.LongType()),
     ]
 )
 
@@ -160,7 +172,7 @@ def rate_audit(
     timed = calls.withColumn("_us", F.unix_micros(order[0]))
     rule = bucket_fold(Bucket.of(rate, burst))
     order = ["_us", *order[1:]]
-    return fold(timed, keys, order, rule, RATE_OUTPUT, max_group_rows).drop("_us", "_block")
+    return fold(timed, keys, order, rule, RATE_OUTPUT, max_group_rows).drop("_us", "_after")
 
 
 def queue_delay(

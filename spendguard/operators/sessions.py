@@ -4,6 +4,7 @@
 compared exactly, in whole 1e-12 dollars.
 """
 
+import itertools
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -101,51 +102,53 @@ def _pico(amount) -> Column:
 
 
 def _limit_fold() -> Fold:
-    """State: (spend, calls). A refused call changes neither, so cheaper calls may pass later."""
+    """State: (spend, calls, input tokens, any refusal). A refused call adds nothing, so cheaper
+    calls may pass later."""
 
     def columns(rows):
-        names = ("_cost", "_estimate", "_max_spend", "_max_calls", "_eligible")
+        names = ("_cost", "_estimate", "_tokens", "_max_spend", "_max_calls", "_eligible")
+        return zip(*[rows.column(n).to_pylist() for n in names])
+
+    def carried(rows):
+        """State brought along from earlier rows of the session, where a caller has it."""
+        names = ("_spent0", "_calls0", "_tokens0", "_refused0")
+        if names[0] not in rows.schema.names:
+            return itertools.repeat((0, 0, 0, False))
         return zip(*[rows.column(n).to_pylist() for n in names])
 
     def replay(rows, fresh, state):
-        spent, calls = state or (0, 0)
-        allowed, reasons, spend_before, calls_before = [], [], [], []
-        for (cost, estimate, max_spend, max_calls, eligible), new in zip(columns(rows), fresh):
+        spent, calls, tokens, refused = state or (0, 0, 0, False)
+        out = {name: [] for name in REPLAY_OUTPUT.fieldNames()}
+        add = [out[name].append for name in REPLAY_OUTPUT.fieldNames()]
+        for row, new, start in zip(columns(rows), fresh, carried(rows)):
+            cost, estimate, size, max_spend, max_calls, eligible = row
             if new:
-                spent, calls = 0, 0
-            spend_before.append(spent / 10**12)
-            calls_before.append(calls)
-            reason = None
+                spent, calls, tokens, refused = start
+            spent_before, calls_before, allowed, reason = spent, calls, True, None
             if not eligible:
-                allowed.append(None)
+                allowed = None
             elif max_spend != NO_LIMIT and spent + estimate > max_spend:
-                reason = BUDGET
-                allowed.append(False)
+                allowed, reason, refused = False, BUDGET, True
             elif max_calls != NO_LIMIT and calls + 1 > max_calls:
-                reason = ITERATIONS
-                allowed.append(False)
+                allowed, reason, refused = False, ITERATIONS, True
             else:
-                allowed.append(True)
-                spent, calls = spent + cost, calls + 1
-            reasons.append(reason)
-        out = {
-            "allowed": allowed,
-            "reason": reasons,
-            "spend_before_usd": spend_before,
-            "iterations_before": calls_before,
-        }
-        return out, (spent, calls)
+                spent, calls, tokens = spent + cost, calls + 1, tokens + size
+            values = (allowed, reason, spent_before / 10**12, calls_before,
+                      spent, calls, tokens, refused)
+            for append, value in zip(add, values):
+                append(value)
+        return out, (spent, calls, tokens, refused)
 
     def summarise(batches):
-        """Cost and calls per distinct estimate; spend only grows, so an estimate that has once
-        become too dear stays refused, and a block is decided by which estimates still fit."""
+        """Totals per distinct estimate; spend only grows, so an estimate that has once become
+        too dear stays refused, and a block is decided by which estimates still fit."""
         levels, limits = {}, None
         for rows in batches:
-            for cost, estimate, max_spend, max_calls, eligible in columns(rows):
+            for cost, estimate, size, max_spend, max_calls, eligible in columns(rows):
                 limits = (max_spend, max_calls)
                 if eligible:
-                    total, count = levels.get(estimate, (0, 0))
-                    levels[estimate] = (total + cost, count + 1)
+                    a, b, c = levels.get(estimate, (0, 0, 0))
+                    levels[estimate] = (a + cost, b + 1, c + size)
             if len(levels) > MAX_LEVELS:
                 return None
         return limits, levels
@@ -153,19 +156,21 @@ def _limit_fold() -> Fold:
     def advance(state, summary):
         if summary is None:
             return None
-        (spent, calls), ((max_spend, max_calls), levels) = state, summary
+        (spent, calls, tokens, refused), ((max_spend, max_calls), levels) = state, summary
         fitting = {
             e: v for e, v in levels.items() if max_spend == NO_LIMIT or spent + e <= max_spend
         }
+        refused = refused or len(fitting) < len(levels)
+        if not fitting:
+            return spent, calls, tokens, refused
         if max_calls != NO_LIMIT and calls >= max_calls:
-            return state
-        cost = sum(total for total, _ in fitting.values())
-        count = sum(n for _, n in fitting.values())
-        if fitting and max_spend != NO_LIMIT and spent + cost + max(fitting) > max_spend:
+            return spent, calls, tokens, True
+        cost, count, size = (sum(v) for v in zip(*fitting.values()))
+        if max_spend != NO_LIMIT and spent + cost + max(fitting) > max_spend:
             return None
         if max_calls != NO_LIMIT and calls + count > max_calls:
             return None
-        return spent + cost, calls + count
+        return spent + cost, calls + count, tokens + size, refused
 
     return Fold(replay, summarise, advance)
 
@@ -176,8 +181,36 @@ REPLAY_OUTPUT = T.StructType(
         T.StructField("reason", T.StringType()),
         T.StructField("spend_before_usd", T.DoubleType()),
         T.StructField("iterations_before", T.LongType()),
+        T.StructField("_spent", T.LongType()),
+        T.StructField("_calls", T.LongType()),
+        T.StructField("_sum_tokens", T.LongType()),
+        T.StructField("_refused", T.BooleanType()),
     ]
 )
+STATE = ["_spent", "_calls", "_sum_tokens", "_refused"]
+
+
+def replay_limits(
+    calls: DataFrame,
+    max_spend: Column,
+    max_calls: Column,
+    eligible: Column | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """The replay with its end state per row; see ``session_replay``."""
+    inputs = {
+        "_cost": _pico("cost_usd"),
+        "_estimate": _pico("estimated_cost_usd"),
+        "_tokens": F.coalesce("input_tokens", F.lit(0)) if "input_tokens" in calls.columns
+        else F.lit(0),
+        "_max_spend": F.coalesce(_pico(max_spend), F.lit(NO_LIMIT)),
+        "_max_calls": F.coalesce(max_calls.cast("long"), F.lit(NO_LIMIT)),
+        "_eligible": F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False)),
+    }
+    work = calls.withColumns(inputs)
+    out = fold(work, ["session_id"], ORDER, _limit_fold(), REPLAY_OUTPUT, max_group_rows, counted)
+    return out.drop(*inputs)
 
 
 def session_replay(
@@ -193,18 +226,14 @@ def session_replay(
     that are not ``eligible`` stay in the output undecided and do not count. Needs costs of zero
     or more. ``counted`` may name a cheaper frame with the same sessions, to size them.
     """
-    work = _with_limits(calls, limits).withColumns(
-        {
-            "_cost": _pico("cost_usd"),
-            "_estimate": _pico("estimated_cost_usd"),
-            "_max_spend": F.coalesce(_pico("max_spend_usd"), F.lit(NO_LIMIT)),
-            "_max_calls": F.coalesce(F.col("max_iterations").cast("long"), F.lit(NO_LIMIT)),
-            "_eligible": F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False)),
-        }
-    )
-    out = fold(work, ["session_id"], ORDER, _limit_fold(), REPLAY_OUTPUT, max_group_rows,
-               calls if counted is None else counted)
-    return out.drop("_cost", "_estimate", "_max_spend", "_max_calls", "_eligible", "_block")
+    return replay_limits(
+        _with_limits(calls, limits),
+        F.col("max_spend_usd"),
+        F.col("max_iterations"),
+        eligible,
+        max_group_rows,
+        calls if counted is None else counted,
+    ).drop(*STATE)
 
 
 def session_summary(replayed: DataFrame, closes: DataFrame | None = None) -> DataFrame:

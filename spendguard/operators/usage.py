@@ -2,7 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.usage import detect_provider, extract_usage, nullify_zero, parse_response
+from ..functions.spans import kept_if
+from ..functions.usage import SUPPORTED, nullify_zero, usage_record
 from ..schemas import BUDGET_ACTIONS, BUDGET_PERIODS, BUDGET_SCOPES, PROVIDERS
 
 
@@ -12,25 +13,25 @@ def normalise_usage(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     A row without a provider gets the one its payload looks like. Rows whose provider has no
     extractor are kept in ``rejects``.
     """
-    parsed = raw.withColumn("_parsed", parse_response(F.col("payload")))
-    seen = detect_provider(F.col("_parsed"))
-    named = F.coalesce(F.col("provider"), seen) if "provider" in raw.columns else seen
-    usage = (
-        parsed.withColumn("provider", named)
-        .withColumn("_usage", extract_usage(F.col("provider"), F.col("_parsed")))
-    )
-    good = usage.where(F.col("provider").isin("openai", "anthropic", "google"))
-    good = good.select(
-        *[c for c in usage.columns if c not in ("payload", "_parsed", "_usage")],
-        F.col("_usage.input_tokens").alias("input_tokens"),
-        F.col("_usage.output_tokens").alias("output_tokens"),
-        nullify_zero(F.col("_usage.cache_creation_tokens")).alias("cache_creation_tokens"),
-        nullify_zero(F.col("_usage.cache_read_tokens")).alias("cache_read_tokens"),
+    others = [c for c in raw.columns if c not in ("payload", "provider")]
+    given = F.col("provider") if "provider" in raw.columns else F.lit(None).cast("string")
+    record = usage_record(given, F.col("payload"))
+
+    def supported(r):
+        return F.coalesce(r["provider"].isin(*SUPPORTED), F.lit(False))
+
+    good = raw.select(*others, kept_if(record, supported)).select(
+        *others,
+        "provider",
+        "usage.input_tokens",
+        "usage.output_tokens",
+        nullify_zero(F.col("usage.cache_creation_tokens")).alias("cache_creation_tokens"),
+        nullify_zero(F.col("usage.cache_read_tokens")).alias("cache_read_tokens"),
     )
-    bad = usage.where(
-        F.col("provider").isNull() | ~F.col("provider").isin("openai", "anthropic", "google")
-    ).select(*raw.columns if "provider" in raw.columns else [*raw.columns, "provider"])
-    return good, bad.withColumn("reason", F.lit("unsupported provider"))
+    bad = raw.select(*others, "payload", kept_if(record, lambda r: ~supported(r))).select(
+        *others, "payload", "provider", F.lit("unsupported provider").alias("reason")
+    )
+    return good, bad
 
 
 def nullify_zero_cache(df: DataFrame) -> DataFrame:
@@ -46,10 +47,10 @@ def check(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame
     failed = [
         F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
     ]
-    marked = df.withColumn("errors", F.array_compact(F.array(*failed)))
+    errors = F.struct(F.array_compact(F.array(*failed)).alias("errors"))
     return (
-        marked.where(F.size("errors") == 0).drop("errors"),
-        marked.where(F.size("errors") > 0),
+        df.select(*df.columns, kept_if(errors, lambda e: F.size(e["errors"]) == 0)).drop("errors"),
+        df.select(*df.columns, kept_if(errors, lambda e: F.size(e["errors"]) > 0)),
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.budgets import budget_check
 from ..operators.cost import with_cost_and_estimate
-from ..operators.governance import privacy_gate
+from ..operators.governance import blocked_requests
 from ..operators.ordered import MAX_GROUP_ROWS
 from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, queue_delay
 from ..operators.sessions import session_replay
@@ -34,8 +34,8 @@ def admission_report(
     priced = with_cost_and_estimate(calls, pricing).select(*columns)
     queued = queue_delay(priced, ["org_id"], rate, burst, max_group_rows=max_group_rows)
 
-    # One flag per blocked request; the text never leaves the gate's projection.
-    blocked = privacy_gate(messages).where("blocked").select("request_id").distinct()
+    # One id per blocked request; the text never leaves the gate's projection.
+    blocked = blocked_requests(messages)
     gated = queued.join(
         blocked.withColumn("content_blocked", F.lit(True)), "request_id", "left"
     ).withColumn("content_blocked", F.coalesce("content_blocked", F.lit(False)))

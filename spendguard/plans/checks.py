@@ -440,13 +440,19 @@ check(
     ["checked"],
     "SELECT call_id, reason FROM checked WHERE NOT allowed AND action = 'block'",
 )
+_AT_RISK = "percentage >= coalesce(list_min(alert_thresholds), 100)"
 check(
     "budget_status",
     ["spent"],
     f"""SELECT org_id, CAST(sum(CAST(budget_amount_usd AS {MONEY})) AS DOUBLE) AS total_budget_usd,
     CAST(sum(spend) AS DOUBLE) AS total_spend_usd,
-    count(*) FILTER (percentage >= coalesce(list_min(alert_thresholds), 100)) AS policies_at_risk,
-    string_agg(id || ':' || scope, ',' ORDER BY id) AS policies FROM spent GROUP BY 1""",
+    count(*) FILTER ({_AT_RISK}) AS policies_at_risk FROM spent GROUP BY 1""",
+)
+check(
+    "budget_status_policies",
+    ["spent"],
+    f"""SELECT org_id, id, scope, CAST(spend AS DOUBLE) AS current_spend_usd,
+    percentage AS spend_percentage, {_AT_RISK} AS at_risk FROM spent""",
 )
 check(
     "fail_open",
@@ -840,14 +846,14 @@ _piece(
 )
 _AUDIT = f"""call_id, feature, CAST(level AS DOUBLE) / {_UNIT} AS tokens_before,
     level >= {_UNIT} AS allowed"""
-check(
-    "rate_audit",
-    ["audit"],
-    f"""SELECT {_AUDIT}, CASE WHEN level < {_UNIT} THEN
-      CAST(({_UNIT} - level + {_AUDIT_FILL * 10**6 - 1}) // {_AUDIT_FILL * 10**6} AS BIGINT) END
-      AS retry_after_s FROM audit""",
-)
-check("stream_rate_audit", ["audit"], f"SELECT {_AUDIT} FROM audit")
+for _name in ("rate_audit", "stream_rate_audit"):
+    check(
+        _name,
+        ["audit"],
+        f"""SELECT {_AUDIT}, CASE WHEN level < {_UNIT} THEN
+          CAST(({_UNIT} - level + {_AUDIT_FILL * 10**6 - 1}) // {_AUDIT_FILL * 10**6} AS BIGINT) END
+          AS retry_after_s FROM audit""",
+    )
 _QUEUE_FILL = int(float(QUEUE_RATE) * 10**4 + 0.5)
 
 

@@ -5,6 +5,7 @@ Every derivation is plain arithmetic, so that the checking SQL can repeat it.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..runtime import spread
 from ..schemas import PROVIDERS
 
 # Fixed values: (model, provider) by event_id % 6.
@@ -92,7 +93,7 @@ def usage_from_events(events: DataFrame) -> DataFrame:
 
 
 def usage_calls(spark, sf_dir) -> DataFrame:
-    return usage_from_events(table(spark, sf_dir, "events"))
+    return usage_from_events(spread(table(spark, sf_dir, "events")))
 
 
 def _stream(spark, sf_dir, name) -> DataFrame:
@@ -201,7 +202,7 @@ def _suffixed(text, number):
 
 def documents(spark, sf_dir) -> DataFrame:
     """Documents with sample personal data, secrets and account numbers added at the end."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", _suffixed(F.col("text"), F.col("doc_id")).alias("text")
     )
 
@@ -214,8 +215,12 @@ def messages_from_conversations(conversations: DataFrame) -> DataFrame:
     )
 
 
+def pages(spark, sf_dir) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def messages(spark, sf_dir) -> DataFrame:
-    return messages_from_conversations(table(spark, sf_dir, "conversations"))
+    return messages_from_conversations(spread(table(spark, sf_dir, "conversations")))
 
 
 def session_limits(spark, sf_dir) -> DataFrame:

@@ -403,13 +403,16 @@ def budget_blocked(spark, sf):
 
 @query
 def budget_status(spark, sf):
-    status = B.budget_status(_all_policies(spark, sf), _costed(spark, sf))
-    listed = F.transform(
-        "policies", lambda p: F.concat_ws(":", p["id"], p["scope"])
-    )
-    return status.withColumn("policies", F.array_join(listed, ",")).withColumns(
-        _dollars("total_budget_usd", "total_spend_usd")
-    )
+    status = B.budget_status(B.policy_spend(_all_policies(spark, sf), _costed(spark, sf)))
+    return status.withColumns(_dollars("total_budget_usd", "total_spend_usd"))
+
+
+@query
+def budget_status_policies(spark, sf):
+    spent = B.policy_spend(_all_policies(spark, sf), _costed(spark, sf))
+    listed = B.status_policies(spent).withColumns(_dollars("current_spend_usd"))
+    return listed.select("org_id", "id", "scope", "current_spend_usd", "spend_percentage",
+                         "at_risk")
 
 
 @query
@@ -530,7 +533,7 @@ def luhn_check(spark, sf):
 def match_spans_html(spark, sf):
     """Spans of any pattern: here the tags of web pages."""
     found = match_spans(F.col("html"), "tag", "<[a-z]+[^<>]*>")
-    rows = I.table(spark, sf, "pages").select("page_id", F.inline(found))
+    rows = I.pages(spark, sf).select("page_id", F.inline(found))
     return rows.groupBy("page_id").agg(
         F.count(F.lit(1)).alias("tags"), F.sum("start").alias("starts"), F.sum("end").alias("ends"),
         F.max("value").alias("last_value"),
@@ -544,7 +547,7 @@ def pii_entities(spark, sf):
 
 @query
 def pii_entities_pages(spark, sf):
-    return G.entities(I.table(spark, sf, "pages"), ["page_id"], "html")
+    return G.entities(I.pages(spark, sf), ["page_id"], "html")
 
 
 @query
@@ -613,7 +616,7 @@ def policy_gate(spark, sf):
 
 
 def _blocked(spark, sf):
-    return G.first_blocking_message(G.privacy_gate(I.messages(spark, sf)))
+    return G.first_blocking_message(I.messages(spark, sf))
 
 
 @query
@@ -716,10 +719,12 @@ def stream_spend_monthly(spark, sf):
 
 @query
 def stream_session_ledger(spark, sf):
-    ledger = J.stream_session_ledger(
-        _call_stream(spark, sf), I.pricing(spark), I.SESSION_SPEND, I.SESSION_CALLS
-    )
-    return J.drain(ledger, "ledger").drop("timestamp")
+    path, checkpoint = shared_path(spark, "ledger"), shared_path(spark, "ledger-checkpoint")
+    J.stream_session_ledger(
+        _call_stream(spark, sf), I.pricing(spark), path, checkpoint,
+        I.SESSION_SPEND, I.SESSION_CALLS, interval=None,
+    ).awaitTermination()
+    return spark.read.parquet(path).drop("timestamp", "batch")
 
 
 @query
@@ -734,10 +739,12 @@ def stream_scan(spark, sf):
 
 @query
 def stream_rate_audit(spark, sf):
-    audit = J.stream_rate_audit(_call_stream(spark, sf), "feature", AUDIT_RATE, AUDIT_BURST)
-    return J.drain(audit, "rate").select(
-        "call_id", F.col("key").alias("feature"), "tokens_before", "allowed"
-    )
+    path, checkpoint = shared_path(spark, "rate"), shared_path(spark, "rate-checkpoint")
+    J.stream_rate_audit(
+        _call_stream(spark, sf), "feature", path, checkpoint, AUDIT_RATE, AUDIT_BURST, None
+    ).awaitTermination()
+    audit = spark.read.parquet(path).withColumnRenamed("key", "feature")
+    return audit.drop("timestamp", "batch")
 
 
 # The whole path ------------------------------------------------------------------------------

@@ -1,21 +1,21 @@
 """The jobs as streams. Prices are a static side of each micro-batch's plan.
 
-Stateful jobs see rows in arrival order: the rows of a key within one micro-batch are sorted by
-(timestamp, call_id), and later micro-batches are taken as later in time. State per key is a few
-numbers. A key's rows of one micro-batch are bounded by the source's ``maxFilesPerTrigger``.
+Jobs with state per key see rows in arrival order: within one micro-batch they are ordered by
+(timestamp, call_id), and later micro-batches are taken as later in time.
 """
 
-from typing import Iterator
+from typing import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cost import money, with_cost, with_cost_and_estimate
 from ..operators.governance import privacy_gate
-from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, Bucket
-from ..operators.sessions import BUDGET, ITERATIONS, NO_LIMIT, _pico
-from ..runtime import shared_path
+from ..operators.ordered import MAX_GROUP_ROWS, fold
+from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, RATE_OUTPUT, Bucket, bucket_fold
+from ..operators.sessions import STATE, replay_limits
+from ..runtime import checkpointed, shared_path
 from ..sources.sinks import usage_rows
 
 
@@ -51,116 +51,156 @@ def stream_scan(messages: DataFrame) -> DataFrame:
     return privacy_gate(messages)
 
 
-def _gather(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    rows = pd.concat(list(batches), ignore_index=True)
-    return rows.sort_values(["us", "call_id"], kind="stable")
+def run_stateful(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+    state_ddl: str,
+    interval: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Run ``step(batch, state) -> (rows, new state)`` per micro-batch, with state in a table.
+
+    A micro-batch is then a plain table, so a hot key's rows are split over tasks by the batch
+    operators instead of meeting in one state-store task. State has one row per live key and two
+    folders that take turns, so a repeated micro-batch starts from the same state and overwrites
+    its own output. ``interval=None`` drains what is there and stops.
+    """
+    schema = T.StructType.fromDDL(state_ddl)
+
+    def process(batch: DataFrame, number: int):
+        spark = batch.sparkSession
+        if number == 0:
+            state = spark.createDataFrame([], schema)
+        else:
+            state = spark.read.schema(schema).parquet(f"{checkpoint}/keys/{(number - 1) % 2}")
+        rows, new_state = step(batch, state)
+        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        new_state.write.mode("overwrite").parquet(f"{checkpoint}/keys/{number % 2}")
+
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    if interval is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()
+
+
+def _next_state(state: DataFrame, ended: DataFrame, key: str, idle_us: int) -> DataFrame:
+    """Old state overwritten by the keys of this batch, without keys idle for ``idle_us``."""
+    live = state.join(ended.select(key), key, "left_anti").unionByName(ended)
+    newest = live.agg(F.max("_last").alias("_newest"))
+    # The single-row side is broadcast by its size, one aggregate row.
+    return live.join(F.broadcast(newest)).where(F.col("_last") + idle_us >= F.col("_newest")).drop(
+        "_newest"
+    )
 
 
-LEDGER_DDL = """session_id string, call_id long, timestamp timestamp, call_sequence long,
-cumulative_input_tokens long, cumulative_cost_usd double, allowed boolean, reason string,
-status string"""
-LEDGER_STATE = "spend long, iterations long, tokens long, refused boolean"
+LEDGER_STATE = """session_id string, _spent0 long, _calls0 long, _tokens0 long,
+_refused0 boolean, _last long"""
 
 
 def stream_session_ledger(
     calls: DataFrame,
     pricing: DataFrame,
+    path: str,
+    checkpoint: str,
     max_spend_usd: float | None = None,
     max_iterations: int | None = None,
     idle: str = "7 days",
-) -> DataFrame:
-    """Session ledger with limits over a stream; state is dropped after ``idle`` event time.
+    interval: str | None = "5 seconds",
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> StreamingQuery:
+    """Session ledger with limits over a stream; a session idle for ``idle`` is forgotten.
 
     A refused call adds nothing, so its row shows the totals before it.
     """
-    priced = with_cost_and_estimate(calls, pricing)
-    narrow = priced.withWatermark("timestamp", "1 hour").select(
-        "session_id", "call_id", "timestamp", F.unix_micros("timestamp").alias("us"),
-        "input_tokens", _pico("cost_usd").alias("cost"),
-        _pico("estimated_cost_usd").alias("estimate"),
-    )
-    limit = NO_LIMIT if max_spend_usd is None else round(max_spend_usd * 10**12)
-    most = NO_LIMIT if max_iterations is None else max_iterations
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
-
-    def update(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = _gather(batches)
-        spent, calls_, tokens, refused = state.get if state.exists else (0, 0, 0, False)
-        out = []
-        for cost, estimate, count in zip(
-            rows["cost"].tolist(), rows["estimate"].tolist(), rows["input_tokens"].tolist()
-        ):
-            reason = ""
-            if limit != NO_LIMIT and spent + estimate > limit:
-                reason = BUDGET
-            elif most != NO_LIMIT and calls_ + 1 > most:
-                reason = ITERATIONS
-            else:
-                spent, calls_, tokens = spent + cost, calls_ + 1, tokens + int(count)
-            refused = refused or reason != ""
-            status = "terminated" if refused else "active"
-            out.append((calls_, tokens, spent / 10**12, reason == "", reason, status))
-        state.update((spent, calls_, tokens, refused))
-        last_ms = int(rows["us"].iloc[-1]) // 1000
-        state.setTimeoutTimestamp(max(last_ms + idle_ms, state.getCurrentWatermarkMs() + 1))
-        ledger = pd.DataFrame(
-            out,
-            columns=["call_sequence", "cumulative_input_tokens", "cumulative_cost_usd",
-                     "allowed", "reason", "status"],
-        )
-        head = rows[["session_id", "call_id", "timestamp"]].reset_index(drop=True)
-        yield pd.concat([head, ledger], axis=1)
-
-    ledger = narrow.groupBy("session_id").applyInPandasWithState(
-        update, LEDGER_DDL, LEDGER_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return ledger.withColumn("reason", F.nullif("reason", F.lit("")))
-
-
-RATE_DDL = "key string, call_id long, timestamp timestamp, tokens_before double, allowed boolean"
+    idle_us = int(pd.Timedelta(idle).total_seconds() * 10**6)
+
+    def step(batch, state):
+        priced = with_cost_and_estimate(batch, pricing).select(
+            "session_id", "call_id", "timestamp", "input_tokens", "cost_usd", "estimated_cost_usd"
+        )
+        replayed = checkpointed(
+            replay_limits(
+                priced.join(state.drop("_last"), "session_id", "left").withColumns(
+                    {
+                        "_spent0": F.coalesce("_spent0", F.lit(0)),
+                        "_calls0": F.coalesce("_calls0", F.lit(0)),
+                        "_tokens0": F.coalesce("_tokens0", F.lit(0)),
+                        "_refused0": F.coalesce("_refused0", F.lit(False)),
+                    }
+                ),
+                F.lit(max_spend_usd).cast("double"),
+                F.lit(max_iterations).cast("long"),
+                max_group_rows=max_group_rows,
+                counted=batch,
+            )
+        )
+        rows = replayed.select(
+            "session_id",
+            "call_id",
+            "timestamp",
+            F.col("_calls").alias("call_sequence"),
+            F.col("_sum_tokens").alias("cumulative_input_tokens"),
+            (F.col("_spent") / 1e12).alias("cumulative_cost_usd"),
+            "allowed",
+            "reason",
+            F.when(F.col("_refused"), "terminated").otherwise("active").alias("status"),
+        )
+        last = F.struct("timestamp", "call_id", *STATE)
+        ended = replayed.groupBy("session_id").agg(F.max(last).alias("_end")).select(
+            "session_id",
+            F.col("_end._spent").alias("_spent0"),
+            F.col("_end._calls").alias("_calls0"),
+            F.col("_end._sum_tokens").alias("_tokens0"),
+            F.col("_end._refused").alias("_refused0"),
+            F.unix_micros("_end.timestamp").alias("_last"),
+        )
+        return rows, _next_state(state, ended, "session_id", idle_us)
+
+    return run_stateful(calls, path, checkpoint, step, LEDGER_STATE, interval)
+
+
+RATE_STATE = "_key string, _level long, _last long"
 
 
 def stream_rate_audit(
-    calls: DataFrame, key: str, rate=DEFAULT_RATE, burst=DEFAULT_BURST
-) -> DataFrame:
+    calls: DataFrame,
+    key: str,
+    path: str,
+    checkpoint: str,
+    rate=DEFAULT_RATE,
+    burst=DEFAULT_BURST,
+    interval: str | None = "5 seconds",
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> StreamingQuery:
     """Token-bucket audit over a stream; state per key is the level and the last call time.
 
-    A key idle long enough to fill its bucket starts full again, so its state can be dropped.
+    A key idle long enough to fill its bucket would start full anyway and is forgotten.
     """
     bucket = Bucket.of(rate, burst)
-    fill_ms = -(-bucket.full // (bucket.refill * 1000)) + 1
-    narrow = calls.withWatermark("timestamp", "1 hour").select(
-        F.col(key).cast("string").alias("key"), "call_id", "timestamp",
-        F.unix_micros("timestamp").alias("us"),
-    )
-
-    def update(_, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = _gather(batches)
-        level, last = (int(v) for v in state.get) if state.exists else (bucket.full, None)
-        before, allowed = [], []
-        for now in rows["us"].tolist():
-            # A late row earns no refill and does not move the clock back.
-            elapsed = 0 if last is None else max(0, now - last)
-            last = now if last is None else max(last, now)
-            level = min(bucket.full, level + elapsed * bucket.refill)
-            before.append(level / bucket.token)
-            allowed.append(level >= bucket.token)
-            level -= bucket.token if level >= bucket.token else 0
-        state.update((str(level), str(last)))
-        timeout = last // 1000 + fill_ms
-        state.setTimeoutTimestamp(max(timeout, state.getCurrentWatermarkMs() + 1))
-        yield rows[["key", "call_id", "timestamp"]].assign(tokens_before=before, allowed=allowed)
-
-    return narrow.groupBy("key").applyInPandasWithState(
-        update, RATE_DDL, "level string, last string", "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    fill_us = -(-bucket.full // bucket.refill)
+
+    def step(batch, state):
+        timed = batch.select(
+            F.col(key).cast("string").alias("_key"), "call_id", "timestamp",
+            F.unix_micros("timestamp").alias("_us"),
+        )
+        joined = timed.join(state, "_key", "left")
+        audit = checkpointed(
+            fold(joined, ["_key"], ["_us", "call_id"], bucket_fold(bucket), RATE_OUTPUT,
+                 max_group_rows, counted=timed)
+        )
+        rows = audit.select(
+            F.col("_key").alias("key"), "call_id", "timestamp", "tokens_before", "allowed",
+            "retry_after_s",
+        )
+        end = F.struct("_us", "call_id", "_after", F.greatest("_us", "_last").alias("_last"))
+        ended = audit.groupBy("_key").agg(F.max(end).alias("_end")).select(
+            "_key", F.col("_end._after").alias("_level"), F.col("_end._last").alias("_last")
+        )
+        return rows, _next_state(state, ended, "_key", fill_us)
+
+    return run_stateful(calls, path, checkpoint, step, RATE_STATE, interval)
 
 
 def write_usage_stream(

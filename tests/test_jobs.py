@@ -1,0 +1,241 @@
+"""Budgets, gates, signals, sinks and validation on small known tables."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from spendguard import schemas
+from spendguard.operators import budgets as B
+from spendguard.operators import governance as G
+from spendguard.operators import usage as U
+from spendguard.plans import inputs as I
+from spendguard.runtime import shared_path
+from spendguard.sources import sinks, tables
+
+CALLS_DDL = """call_id long, org_id string, feature string, environment string,
+customer_id string, ts string, cost_usd double, estimated_cost_usd double"""
+
+
+def calls_df(spark, rows):
+    df = spark.createDataFrame(rows, CALLS_DDL)
+    return df.withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
+
+
+@pytest.fixture(scope="module")
+def calls(spark):
+    return calls_df(
+        spark,
+        [
+            (1, "org-1", "purchase", "staging", "8", "2024-01-01 00:00:00", 4.0, 1.0),
+            (2, "org-1", "view", "production", "9", "2024-01-07 23:59:59", 30.0, 1.0),
+            (3, "org-1", "purchase", "production", "8", "2024-01-08 00:00:00", 47.0, 1.0),
+            (4, "org-1", "purchase", "staging", "9", "2024-01-31 23:59:59", 1.0, 1.0),
+            (5, "org-1", "purchase", "staging", "8", "2024-02-01 00:00:00", 500.0, 1.0),
+            (6, "org-2", "purchase", "staging", "8", "2024-01-02 00:00:00", 500.0, 1.0),
+        ],
+    )
+
+
+def test_policy_spend_by_scope_and_window(spark, calls):
+    spent = B.policy_spend(I.policies(spark), calls)
+    got = {r.id: float(r.current_spend_usd) for r in spent.collect()}
+    assert got == {"pol_001": 82, "pol_002": 52, "pol_003": 5, "pol_004": 34, "pol_005": 4}
+    status = B.budget_status(spent).first()
+    assert (status.total_budget_usd, status.total_spend_usd) == (720, 177)
+    # 52 of 50 is over 50 percent; 82 of 500, 5 of 60, 34 of 100 and 4 of 10 are not.
+    assert status.policies_at_risk == 1
+
+
+def test_windows(spark):
+    start = F.lit("2024-01-31 10:00:00").cast("timestamp")
+    rows = B.policy_window(I.policies(spark).withColumn("period_start", start)).collect()
+    ends = {r.period: r.period_end for r in rows}
+    assert ends == {
+        "daily": datetime(2024, 2, 1, 10),
+        "weekly": datetime(2024, 2, 7, 10),
+        "monthly": datetime(2024, 2, 29, 10),
+        "custom": datetime(2024, 2, 7, 10),
+    }
+
+
+def test_apply_spend_ignores_scope_and_keeps_percentage_without_a_budget(spark):
+    calls = calls_df(spark, [(1, "org-1", "x", "y", "z", "2030-01-01", 10.0, 0.0)])
+    policies = I.policies(spark).withColumn(
+        "budget_amount_usd",
+        F.when(F.col("id") == "pol_005", 0.0).otherwise(F.col("budget_amount_usd")),
+    )
+    rows = {r.id: r for r in B.apply_spend(policies, calls).collect()}
+    assert all(r.current_spend_usd == pytest.approx(133.45) for r in rows.values())
+    assert rows["pol_001"].spend_percentage == pytest.approx(26.69)
+    assert rows["pol_005"].spend_percentage == 24.69
+    status = spark.createDataFrame([("org-1", 123.45), ("org-9", 1.0)],
+                                   "org_id string, total_spend_usd double")
+    totals = {r.org_id: r.total_spend_usd for r in B.apply_spend_to_status(status, calls).collect()}
+    assert totals == {"org-1": pytest.approx(133.45), "org-9": 1.0}
+
+
+def test_crossings(spark, calls):
+    rows = B.first_crossing(I.policies(spark), calls).collect()
+    got = {(r.policy_id, r.threshold): r.call_id for r in rows}
+    assert got == {("pol_002", t): 3 for t in (50, 80, 90)}
+    reached = B.alert_crossings(B.policy_spend(I.policies(spark), calls)).collect()
+    assert {(r.id, r.threshold) for r in reached} == set(got)
+
+
+def test_budget_check_takes_the_strictest_action(spark, calls):
+    policies = I.policies(spark).withColumn(
+        "budget_amount_usd",
+        F.when(F.col("id") == "pol_001", 80.5).when(F.col("id") == "pol_003", 4.5).otherwise(
+            F.col("budget_amount_usd")
+        ),
+    )
+    checked = B.budget_check(calls, policies)
+    rows = {r.call_id: (r.allowed, r.action, r.throttle_percentage) for r in checked.collect()}
+    assert rows[1] == (True, None, None)
+    assert rows[3] == (True, None, None)  # 4 + 1 is within 50, 34 + 1 within 80.5
+    assert rows[4] == (False, "block", 50.0)  # all three monthly policies are exceeded
+    assert rows[5] == rows[6] == (True, None, None)
+    blocked = B.budget_blocked(checked).collect()
+    assert [(r.call_id, r.reason) for r in blocked] == [(4, "Budget limit exceeded")]
+    unnamed = checked.withColumn("reason", F.lit(None).cast("string"))
+    assert B.budget_blocked(unnamed).first().reason == "Budget exceeded"
+
+
+def test_missing_verdicts(spark):
+    left = spark.createDataFrame([(1,), (2,)], "call_id long")
+    verdicts = spark.createDataFrame(
+        [(1, False, "block", 5.0, None)],
+        "call_id long, allowed boolean, action string, throttle_percentage double, reason string",
+    )
+    rows = B.fail_open_defaults(left, verdicts, "call_id", "budget_check").orderBy("call_id")
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, False, "block", 5.0, None),
+        (2, True, None, None, "fail-open: API unavailable"),
+    ]
+    rows = B.fail_open_defaults(left, verdicts, "call_id", "budget_check", False)
+    assert {r.call_id: r.error for r in rows.collect()} == {1: False, 2: True}
+
+
+MESSAGES = [
+    (1, 0, "nothing here"),
+    (1, 1, "key sk-abc123def456ghi789jkl012mno"),  # a secret alone passes
+    (1, 2, "Card: 340000000000009"),  # scan hits, classification does not
+    (1, 3, "SSN 123-45-6789 and a@b.io"),
+    (1, 4, "SSN 111-22-3333"),
+    (2, 0, "DE89370400440532013000"),  # an account number alone passes
+]
+
+
+@pytest.fixture(scope="module")
+def messages(spark):
+    return spark.createDataFrame(MESSAGES, "request_id long, msg_index long, text string")
+
+
+def test_privacy_gate_and_signals(spark, messages):
+    gated = G.privacy_gate(messages).orderBy("request_id", "msg_index").collect()
+    assert [r.blocked for r in gated] == [False, False, False, True, True, False]
+    assert gated[3].redacted_text == "SSN [SSN] and [EMAIL]" and gated[2].redacted_text is None
+    assert [r.request_id for r in G.blocked_requests(messages).collect()] == [1]
+    first = G.first_blocking_message(messages)
+    assert [(r.request_id, r.msg_index) for r in first.collect()] == [(1, 3)]
+    at = F.lit("2024-01-01").cast("timestamp")
+    signals = G.governance_signals(first, F.lit("org-1"), F.lit("prod"), at)
+    rows = signals.collect()
+    assert [(r.violation_type, r.violation_subtype, r.severity) for r in rows] == [
+        ("pii", "ssn", "critical"), ("pii", "email", "high")
+    ]
+    assert {(r.action_taken, r.was_allowed, r.source, r.violation_count) for r in rows} == {
+        ("block", False, "metadata_only", 1)
+    }
+    assert set(signals.columns) - {"request_id"} == set(schemas.SIGNALS.fieldNames())
+    for r in rows:
+        assert "6789" not in str(r) and "a@b.io" not in str(r)
+    assert G.signal_rollup(signals).count() == 2
+
+
+def test_policy_gate(spark, messages):
+    verdicts = spark.createDataFrame(
+        [(1, 3, False, "block", [], "(gone)"), (1, 4, False, "block", [], None),
+         (1, 0, False, "block", [], None)],
+        "request_id long, msg_index long, is_allowed boolean, action string, "
+        f"violations {'array<struct<type:string>>'}, redacted_text string",
+    )
+    rows = {(r.request_id, r.msg_index): r for r in G.policy_gate(messages, verdicts).collect()}
+    assert {k for k, r in rows.items() if r.blocked} == {(1, 3), (1, 4)}
+    assert rows[1, 3].redacted_text == "(gone)" and rows[1, 4].redacted_text == "SSN [SSN]"
+    assert rows[1, 2].is_allowed and rows[1, 2].violations == []  # no verdict: fail open
+    closed = G.policy_gate(messages, verdicts, fail_open=False).collect()
+    assert {(r.request_id, r.msg_index) for r in closed if r.error} == {(1, 2)}
+
+
+def test_sinks(spark, calls, messages):
+    path = shared_path(spark, "usage")
+    rows = spark.createDataFrame(
+        [(1, "k", "2024-01-01 10:00:00", "openai", "gpt-4", 5, 6, 0, 7)],
+        "call_id long, api_key string, ts string, provider string, model string, "
+        "input_tokens long, output_tokens long, cache_creation_tokens long, cache_read_tokens long",
+    ).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    sinks.write_usage(rows, path)
+    sinks.write_usage(rows, path)
+    stored = tables.read_usage(spark, path)
+    assert stored.drop("date").schema == schemas.USAGE and stored.count() == 2
+    row = stored.first()
+    assert (row.cache_creation_tokens, row.cache_read_tokens, row.feature) == (None, 7, None)
+
+    path = shared_path(spark, "signals")
+    text = messages.select(F.lit("org-1").alias("organization_id"), F.lit("pii").alias(
+        "violation_type"), "text")
+    sinks.write_signals(text, path)
+    stored = spark.read.parquet(path)
+    assert "text" not in stored.columns and {r.violation_count for r in stored.collect()} == {1}
+
+    summary = spark.createDataFrame(
+        [("a", "completed", "completed", Decimal("1.5"), 2), ("b", "active", None, Decimal(0), 0)],
+        "session_id string, status string, termination_reason string, "
+        "final_spend_usd decimal(36,12), final_iteration_count long",
+    )
+    path = shared_path(spark, "closures")
+    sinks.write_session_closures(summary, path)
+    assert [r.session_id for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_validation_lists_every_failed_rule(spark):
+    ddl = """call_id long, api_key string, timestamp string, provider string, model string,
+    input_tokens double, output_tokens double, cache_creation_tokens double,
+    cache_read_tokens double, latency_ms double"""
+    rows = [
+        (1, "k", "2024-01-01T00:00:00Z", "openai", "m", 1.0, 2.0, None, None, None),
+        (2, "", "2024-01-01", "x", None, -1.0, 1.5, -2.0, 0.5, 1.5),
+        (3, None, "2024-13-01T00:00:00Z", None, "m", None, 0.0, 0.0, 0.0, -3.0),
+        (4, "k", "2024-01-01T00:00:00.123Z", "mistral", "m", 0.0, 0.0, 3.0, 4.0, 5.0),
+    ]
+    valid, rejects = U.validate_usage(spark.createDataFrame(rows, ddl))
+    assert {r.call_id for r in valid.collect()} == {1, 4}
+    errors = {r.call_id: r.errors for r in rejects.collect()}
+    assert errors[2] == ["api_key", "timestamp", "provider", "model", "input_tokens",
+                         "output_tokens", "cache_creation_tokens", "cache_read_tokens",
+                         "latency_ms"]
+    assert errors[3] == ["api_key", "timestamp", "provider", "input_tokens"]
+
+
+def test_policy_and_price_validation(spark):
+    policies = tables.load_policies(I.policies(spark))
+    bad = policies.limit(1).withColumns(
+        {"action": F.lit("warn"), "period": F.lit("hourly"), "name": F.lit(None).cast("string")}
+    )
+    valid, rejects = U.validate_policies(policies.unionByName(bad))
+    assert valid.count() == 6
+    assert rejects.first().errors == ["name", "period", "action"]
+    prices = I.pricing(spark).withColumn(
+        "cache_read_cost_per_1k", F.when(F.col("model") == "gpt-4", -1.0)
+    )
+    assert U.validate_pricing(prices)[1].first().errors == ["cache_read_cost_per_1k"]
+
+
+def test_new_sessions_get_an_id(spark):
+    rows = spark.createDataFrame([("s", 1.0), (None, 2.0)], "session_id string, max_spend_usd double")
+    loaded = {r.max_spend_usd: r for r in tables.load_sessions(rows).collect()}
+    assert loaded[1.0].session_id == "s" and len(loaded[2.0].session_id) == 36
+    assert loaded[2.0].status == "active" and loaded[2.0].max_iterations is None

@@ -1,10 +1,12 @@
 """Running totals and sequential folds over time-ordered groups of any size.
 
 A group that fits one task goes through one hash shuffle and a plain window. When a group holds
-more rows than ``max_group_rows``, rows are range-partitioned by (keys, order) instead, which
-splits a hot group over many balanced blocks, and the blocks are frozen with a checkpoint so
-that every later step sees the same cut. A block's own totals are then shifted by the totals of
-the blocks before it. The exact same values come out either way.
+more rows than ``max_group_rows`` it is cut into blocks along the order, a block's own totals are
+computed side by side, and each is shifted by the totals of the blocks before it. Blocks are
+stretches of time where that cuts finely enough, which needs no more than one shuffle of the rows.
+Otherwise, and for folds, rows are range-partitioned by (keys, order), which splits any group, and
+frozen with a checkpoint so that every later step sees the same cut. The exact same values come
+out either way.
 """
 
 import itertools
@@ -18,20 +20,52 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..runtime import checkpointed
 
 MAX_GROUP_ROWS = 2_000_000
+MAX_BLOCKS = 50_000  # more blocks than this only make them smaller, not more parallel
 
 
-def has_large_group(df: DataFrame, keys: list[str], limit: int) -> bool:
-    """True when some key has more than ``limit`` rows; counts combine before the shuffle."""
-    counts = df.groupBy(*keys).count().where(F.col("count") > limit)
-    return not counts.isEmpty()
+@dataclass(frozen=True)
+class Sizes:
+    """Total rows, rows of the largest group, and a stretch of time that should cut the large
+    groups to a quarter of the limit."""
 
+    total: int
+    largest: int
+    width: int | None
 
-def freeze(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+
+def group_sizes(df: DataFrame, keys: list[str], at: str, limit: int) -> Sizes:
+    """Sizes in one pass; counts combine before the shuffle and one row comes back."""
+    timed = dict(df.dtypes).get(at) == "timestamp"
+    clock = F.unix_micros(at) if timed else F.lit(0)
+    groups = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.max(clock) - F.min(clock)).alias("range")
+    )
+    width = F.when(F.col("n") > limit, F.col("range") * (limit / 4) / F.col("n"))
+    row = groups.agg(F.sum("n"), F.max("n"), F.min(width)).first()
+    return Sizes(row[0] or 0, row[1] or 0, max(1, int(row[2])) if timed and row[2] else None)
+
+
+def time_blocks(df, counted, keys, at, width, limit) -> DataFrame | None:
+    """``df`` with ``_block`` = the stretch of time, if no group has too much in one stretch."""
+    block = F.floor(F.unix_micros(at) / F.lit(width)).alias("_block")
+    stretches = counted.groupBy(*keys, block).count()
+    if stretches.agg(F.max("count")).first()[0] > limit:
+        return None
+    return df.select("*", block)
+
+
+def freeze(df: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
     """Rows cut into contiguous blocks of the (keys, order) sequence, with ``_block`` numbers."""
-    cut = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    cut = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
     return checkpointed(cut.withColumn("_block", F.spark_partition_id()))
 
 
+def _parts(df: DataFrame, sizes: Sizes, limit: int) -> int:
+    """Blocks of about ``limit`` rows, never fewer than the session's shuffle partitions."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, min(MAX_BLOCKS, -(-sizes.total // limit)))
+
+
 def _frame(keys, order):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
@@ -53,24 +87,32 @@ def running(
     groups are at least as large, to size the groups without running ``df`` twice.
     """
     sums, maxima = sums or {}, maxima or {}
-    if not has_large_group(df if counted is None else counted, keys, max_group_rows):
+    counted = df if counted is None else counted
+    sizes = group_sizes(counted, keys, order[0], max_group_rows)
+    if sizes.largest <= max_group_rows:
         frame = _frame(keys, order)
         out = df.withColumns({name: F.sum(term).over(frame) for name, term in sums.items()})
         return out.withColumns(
             {name: F.max(term(F.col)).over(frame) for name, term in maxima.items()}
         )
 
-    frozen = freeze(df.withColumns({f"_t_{n}": t for n, t in sums.items()}), keys, order)
-    out = _shifted(
-        frozen, keys, order, {n: F.col(f"_t_{n}") for n in sums}, F.sum, lambda a, b: a + b
-    ).drop(*[f"_t_{n}" for n in sums])
+    blocked = None
+    if sizes.width:
+        blocked = time_blocks(df, counted, keys, order[0], sizes.width, max_group_rows)
+    frozen = blocked is None
+    if frozen:
+        blocked = freeze(df, keys, order, _parts(df, sizes, max_group_rows))
+    blocked = blocked.withColumns({f"_t_{n}": t for n, t in sums.items()})
+    terms = {n: F.col(f"_t_{n}") for n in sums}
+    out = _shifted(blocked, keys, order, terms, F.sum, lambda a, b: a + b, frozen)
+    out = out.drop(*[f"_t_{n}" for n in sums])
     if maxima:
         terms = {n: t(F.col) for n, t in maxima.items()}
-        out = _shifted(out, keys, order, terms, F.max, F.greatest)
+        out = _shifted(out, keys, order, terms, F.max, F.greatest, frozen)
     return out.drop("_block")
 
 
-def _shifted(blocked, keys, order, terms, total, join) -> DataFrame:
+def _shifted(blocked, keys, order, terms, total, join, frozen) -> DataFrame:
     """Running values inside each block, joined with the total of the group's earlier blocks."""
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -78,7 +120,6 @@ def _shifted(blocked, keys, order, terms, total, join) -> DataFrame:
     per_block = blocked.groupBy(*keys, "_block").agg(
         *[total(term).alias(f"_b_{name}") for name, term in terms.items()]
     )
-    # At most one group continues into each block, so this holds no more rows than blocks.
     carried = (
         per_block.withColumns({f"_c_{n}": total(f"_b_{n}").over(earlier) for n in terms})
         .withColumn("_first", F.min("_block").over(Window.partitionBy(*keys)))
@@ -92,7 +133,9 @@ def _shifted(blocked, keys, order, terms, total, join) -> DataFrame:
     local = _frame([*keys, "_block"], order)
     out = blocked.withColumns({n: total(term).over(local) for n, term in terms.items()})
     kinds = {n: out.schema[n].dataType for n in terms}
-    out = out.join(F.broadcast(carried), match, "left")
+    # At most one group continues into each frozen block, so there are no more rows than blocks.
+    # Stretches of time hold many groups; that join is left to the optimiser, on the window's keys.
+    out = out.join(F.broadcast(carried) if frozen else carried, match, "left")
     shifted = {}
     for name, kind in kinds.items():
         before, inside = F.col(f"_c_{name}").cast(kind), F.col(name)
@@ -144,13 +187,15 @@ def fold(
     columns = df.columns
     schema = T.StructType([*df.schema.fields, *output.fields])
     types = {f.name: ARROW_TYPES[f.dataType] for f in output.fields}
-    if not has_large_group(df if counted is None else counted, keys, max_group_rows):
+    counted = df if counted is None else counted
+    sizes = group_sizes(counted, keys, order[0], max_group_rows)
+    if sizes.largest <= max_group_rows:
         # The window asks for whole groups in order. An explicit repartition would not do: after
         # a join on the same keys it is dropped, and run-time join changes then scatter groups.
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         ordered, starts = df.withColumn("_n", number), {}
     else:
-        ordered = freeze(df, keys, order)
+        ordered = freeze(df, keys, order, _parts(df, sizes, max_group_rows))
         starts = _block_starts(ordered, keys, rule)
 
     def walk(batches):
@@ -206,17 +251,25 @@ def _block_starts(frozen: DataFrame, keys: list[str], rule: Fold) -> dict[int, A
     ends = _last_states(frozen, keys, rule, {b: None for b in feeds - unknown}, {})
 
     starts: dict[int, Any] = {}
-    for block in sorted(follows):
-        source = follows[block]
-        if source not in unknown:
-            starts[block] = ends[source]
-            continue
-        state = rule.advance(starts[source], summaries[source])
-        if state is None:
-            known = {source: starts[source]}
-            state = _last_states(frozen, keys, rule, known, known)[source]
-        starts[block] = state
-    return starts
+    replayed = ends
+    while True:
+        undecided = {}
+        for block in sorted(follows):
+            source = follows[block]
+            if block in starts or (source in unknown and source not in starts):
+                continue
+            if source in replayed:
+                starts[block] = replayed[source]
+                continue
+            state = rule.advance(starts[source], summaries[source])
+            if state is None:
+                undecided[source] = starts[source]
+            else:
+                starts[block] = state
+        if not undecided:
+            return starts
+        # One job replays the next undecided block of every hot group.
+        replayed = replayed | _last_states(frozen, keys, rule, undecided, undecided)
 
 
 def _last_states(frozen, keys, rule, wanted, starts) -> dict[int, Any]:

@@ -450,7 +450,11 @@ def session_first_refusal(spark, sf):
 
 
 def _replayed(spark, sf):
-    return S.session_replay(_costed(spark, sf), I.session_limits(spark, sf))
+    # Only the columns the walk needs cross into Python.
+    calls = _costed(spark, sf).select(
+        "session_id", "call_id", "timestamp", "cost_usd", "estimated_cost_usd"
+    )
+    return S.session_replay(calls, I.session_limits(spark, sf))
 
 
 @query

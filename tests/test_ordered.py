@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from spendguard.operators import budgets as B
 from spendguard.operators import rate as R
 from spendguard.operators import sessions as S
-from spendguard.operators.ordered import running
+from spendguard.operators.ordered import group_sizes, running, time_blocks
 from spendguard.plans import inputs as I
 
-SMALL = 40  # forces groups to be cut into blocks
+SMALL = 150  # forces groups to be cut into blocks
 
 
 @pytest.fixture(scope="module")
@@ -256,6 +256,22 @@ def test_ineligible_calls_stay_undecided_and_do_not_count(spark, calls):
     assert [r.call_id for r in rows if r.allowed] == [0, 6, 12, 18, 24]
 
 
+def test_blocks_of_time_and_frozen_blocks(spark, calls):
+    sizes = group_sizes(calls, ["session_id"], "timestamp", SMALL)
+    assert sizes.total == 3000 and sizes.largest == 1000 and sizes.width > 1
+    args = calls, calls, ["session_id"], "timestamp"
+    assert time_blocks(*args, sizes.width, 500).select("_block").distinct().count() > 10
+    # A burst at one instant cannot be cut by time.
+    assert time_blocks(*args, 10**15, SMALL) is None
+    same = calls.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    plain, cut = [
+        sorted(map(tuple, S.session_ledger(same, max_group_rows=n).collect()))
+        for n in (10**6, SMALL)
+    ]
+    assert plain == cut
+    assert group_sizes(same, ["session_id"], "timestamp", SMALL).width is None
+
+
 def test_hot_session_ledger_and_refusal_equal_plain(spark, calls, blocks):
     limits = limits_df(spark, [(f"k{i}", 0.5, 15) for i in range(40)] + [("hot", 5.0, 900)])
     for job in (

@@ -14,7 +14,9 @@ import pickle
 from dataclasses import dataclass
 from typing import Any, Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..runtime import checkpointed
@@ -211,19 +213,40 @@ def _block(batch: pa.RecordBatch) -> int:
     return batch.column("_block")[0].as_py()
 
 
+def plain_values(batch: pa.RecordBatch, name: str) -> list:
+    """A column as Python values, by the quick way where it has no NULLs."""
+    column = batch.column(name)
+    if column.null_count or pa.types.is_string(column.type):
+        return column.to_pylist()
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """True where a row's keys differ from the row before; NULL keys are equal."""
+    changed = np.zeros(batch.num_rows, dtype=bool)
+    for key in keys:
+        after, before = batch.column(key)[1:], batch.column(key)[:-1]
+        differ = pc.fill_null(pc.not_equal(after, before), False).to_numpy(zero_copy_only=False)
+        nulls = pc.xor(after.is_null(), before.is_null()).to_numpy(zero_copy_only=False)
+        changed[1:] |= differ | nulls
+    return changed
+
+
 def _replayed(batches, keys, rule, starts):
     """Replay sorted batches; ``starts`` holds the state of blocks that continue a group."""
     state, last = None, None
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        groups = list(zip(*[batch.column(key).to_pylist() for key in keys]))
-        fresh = [a != b for a, b in zip(groups, [last, *groups])]
+        fresh = _changes(batch, keys)
+        head = tuple(batch.column(key)[0].as_py() for key in keys)
         if last is None:
             fresh[0] = not (starts and _block(batch) in starts)
             state = None if fresh[0] else starts[_block(batch)]
-        added, state = rule.replay(batch, fresh, state)
-        last = groups[-1]
+        else:
+            fresh[0] = head != last
+        added, state = rule.replay(batch, fresh.tolist(), state)
+        last = tuple(batch.column(key)[-1].as_py() for key in keys)
         yield batch, added, state
 
 

@@ -11,7 +11,7 @@ from fractions import Fraction
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .ordered import MAX_GROUP_ROWS, Fold, fold, running
+from .ordered import MAX_GROUP_ROWS, Fold, fold, plain_values, running
 
 DEFAULT_RATE, DEFAULT_BURST = 10, 50  # fixed values: calls per second, bucket size
 
@@ -37,11 +37,11 @@ def bucket_fold(bucket: Bucket) -> Fold:
 
     def replay(rows, fresh, state):
         level, last = state or (full, 0)
-        times = rows.column("_us").to_pylist()
+        times = plain_values(rows, "_us")
         # Level and time carried over from earlier rows of the key, where a caller has them.
         carried = [None] * len(times)
         if "_level" in rows.schema.names:
-            carried = zip(rows.column("_level").to_pylist(), rows.column("_last").to_pylist())
+            carried = zip(plain_values(rows, "_level"), plain_values(rows, "_last"))
         before, allowed, retry, after = [], [], [], []
         for now, new, start in zip(times, fresh, carried):
             if new:
@@ -67,11 +67,11 @@ def bucket_fold(bucket: Bucket) -> Fold:
         first = last = None
         levels = LevelMap(full, token)
         for rows in batches:
-            for now in rows.column("_us").to_pylist():
-                if first is None:
-                    first = last = now
-                levels.call(min(full, (now - last) * refill))
-                last = now
+            times = rows.column("_us").to_numpy()
+            first = int(times[0]) if first is None else first
+            gaps = np.diff(times, prepend=times[0] if last is None else last)
+            levels.calls(np.minimum(np.minimum(gaps, full // refill + 1) * refill, full))
+            last = int(times[-1])
         return first, last, levels.pieces()
 
     def advance(state, summary):
@@ -97,6 +97,48 @@ class LevelMap:
         self.slope = np.array([True])  # grows with the arrival level?
         self.level = None  # the one result left, if so
 
+    def calls(self, refills: np.ndarray):
+        """A run of calls, each after its refill; in bulk wherever the bucket stays below full."""
+        at, size = 0, 64
+        while at < len(refills):
+            part = refills[at : at + size]
+            at += len(part)
+            if self.level is None and self._bulk(part):
+                size = min(2 * size, 65536)
+                continue
+            size = 64 if self.level is None else 65536
+            for refill in part.tolist():
+                self.call(refill)
+
+    def _bulk(self, refills: np.ndarray) -> bool:
+        """All calls at once if no level can get near full; False leaves everything as it was.
+
+        Below full, the tokens taken so far are at most the calls so far and at most the whole
+        tokens there have been, so the total taken is a running minimum of the latter. Over the
+        levels it depends on the whole tokens of a level and on one threshold of its fraction.
+        """
+        token, n = self.token, len(refills)
+        if self.full >= 2**62 // (n + 1):
+            return False
+        number = np.arange(1, n + 1)
+        supply = np.cumsum(refills)
+        top = int((self.value + np.where(self.slope, self._sizes() - 1, 0)).max())
+        whole = np.minimum.accumulate((top + supply) // token - number)
+        taken = number + np.minimum(0, whole)
+        before = top + supply - token * np.append(0, taken[:-1])
+        if (before > self.full - token).any():
+            return False
+        spare = supply // token - number
+        least = int(spare.min())
+        threshold = token - int((supply % token)[spare == least].min())
+        for base in range(0, top + 1, token):
+            self._split(base)
+            self._split(base + threshold)
+        short = self.value // token + least + (self.value % token >= threshold)
+        self.value = self.value + int(supply[-1]) - token * (n + np.minimum(0, short))
+        self._merge()
+        return True
+
     def call(self, refill: int):
         if self.level is not None:
             level = min(self.full, self.level + refill)
@@ -189,17 +231,22 @@ def queue_delay(
     arrival j, so the finish time is a running maximum; a full bucket is worth ``burst`` times.
     """
     bucket = Bucket.of(rate, burst)
+    # 64 bits hold the unit times of a trillion calls at plain rates; odd rates take decimals.
+    plain = bucket.refill <= 1000 and bucket.token <= 4 * 10**6
+    kind = "long" if plain else "decimal(38,0)"
+    token, full, refill = (
+        F.lit(n if plain else Decimal(n)) for n in (bucket.token, bucket.full, bucket.refill)
+    )
     timed = calls.withColumn(
-        "_at", F.unix_micros(order[0]).cast("decimal(20,0)") * F.lit(Decimal(bucket.refill))
+        "_at", (F.unix_micros(order[0]).cast("long" if plain else "decimal(20,0)") * refill)
     )
-    token = F.lit(Decimal(bucket.token))
 
     def lead(column):
-        return (F.col("_at") - (column("_n") - 1) * token).cast("decimal(38,0)")
+        return (F.col("_at") - (column("_n") - 1) * token).cast(kind)
 
     timed = running(
         timed, keys, list(order), {"_n": F.lit(1)}, {"_lead": lead}, max_group_rows
     )
-    wait = F.col("_n") * token + F.col("_lead") - F.col("_at") - F.lit(Decimal(bucket.full))
+    wait = F.col("_n") * token + F.col("_lead") - F.col("_at") - full
     seconds = F.greatest(wait, F.lit(0)).cast("double") / F.lit(float(bucket.refill * 10**6))
     return timed.withColumn("wait_s", seconds).drop("_at", "_n", "_lead")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schemas import TOTAL
 from .cost import money
-from .ordered import MAX_GROUP_ROWS, Fold, fold, running
+from .ordered import MAX_GROUP_ROWS, Fold, fold, plain_values, running
 
 ORDER = ["timestamp", "call_id"]
 BUDGET, ITERATIONS = "budget_exceeded", "iteration_limit_exceeded"  # fixed values
@@ -92,6 +92,7 @@ def session_first_refusal(
 
 
 NO_LIMIT = -(2**63)
+SKIPPED = "skipped"
 MAX_LEVELS = 10_000
 
 
@@ -107,36 +108,40 @@ def _limit_fold() -> Fold:
 
     def columns(rows):
         names = ("_cost", "_estimate", "_tokens", "_max_spend", "_max_calls", "_eligible")
-        return zip(*[rows.column(n).to_pylist() for n in names])
+        return zip(*[plain_values(rows, n) for n in names])
 
     def carried(rows):
         """State brought along from earlier rows of the session, where a caller has it."""
         names = ("_spent0", "_calls0", "_tokens0", "_refused0")
         if names[0] not in rows.schema.names:
             return itertools.repeat((0, 0, 0, False))
-        return zip(*[rows.column(n).to_pylist() for n in names])
+        return zip(*[plain_values(rows, n) for n in names])
 
     def replay(rows, fresh, state):
         spent, calls, tokens, refused = state or (0, 0, 0, False)
-        out = {name: [] for name in REPLAY_OUTPUT.fieldNames()}
-        add = [out[name].append for name in REPLAY_OUTPUT.fieldNames()]
+        verdicts, before, after = [], [], []
         for row, new, start in zip(columns(rows), fresh, carried(rows)):
             cost, estimate, size, max_spend, max_calls, eligible = row
             if new:
                 spent, calls, tokens, refused = start
-            spent_before, calls_before, allowed, reason = spent, calls, True, None
+            before.append((spent, calls))
             if not eligible:
-                allowed = None
+                verdicts.append(SKIPPED)
             elif max_spend != NO_LIMIT and spent + estimate > max_spend:
-                allowed, reason, refused = False, BUDGET, True
+                verdicts.append(BUDGET)
+                refused = True
             elif max_calls != NO_LIMIT and calls + 1 > max_calls:
-                allowed, reason, refused = False, ITERATIONS, True
+                verdicts.append(ITERATIONS)
+                refused = True
             else:
+                verdicts.append(None)
                 spent, calls, tokens = spent + cost, calls + 1, tokens + size
-            values = (allowed, reason, spent_before / 10**12, calls_before,
-                      spent, calls, tokens, refused)
-            for append, value in zip(add, values):
-                append(value)
+            after.append((spent, calls, tokens, refused))
+        out = dict(zip(STATE, map(list, zip(*after))))
+        out["spend_before_usd"] = [b[0] / 10**12 for b in before]
+        out["iterations_before"] = [b[1] for b in before]
+        out["allowed"] = [None if v is SKIPPED else v is None for v in verdicts]
+        out["reason"] = [None if v is SKIPPED else v for v in verdicts]
         return out, (spent, calls, tokens, refused)
 
     def summarise(batches):

@@ -177,7 +177,7 @@ def _counts(provider):
 
 for _provider in ("openai", "anthropic", "google"):
     check(
-        f"usage_{_provider}_counts",
+        f"usage_{_provider}",
         ["usage_calls"],
         "SELECT call_id, "
         + ", ".join(f"{v} AS {n}" for n, v in _counts(_provider).items())

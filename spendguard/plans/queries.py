@@ -64,19 +64,9 @@ def _extracted(spark, sf, provider, extract):
     return parsed.select("call_id", extract(F.col("p")).alias("u")).select("call_id", "u.*")
 
 
-@query
-def usage_openai_counts(spark, sf):
-    return _extracted(spark, sf, "openai", usage_openai)
-
-
-@query
-def usage_anthropic_counts(spark, sf):
-    return _extracted(spark, sf, "anthropic", usage_anthropic)
-
-
-@query
-def usage_google_counts(spark, sf):
-    return _extracted(spark, sf, "google", usage_google)
+QUERIES["usage_openai"] = lambda spark, sf: _extracted(spark, sf, "openai", usage_openai)
+QUERIES["usage_anthropic"] = lambda spark, sf: _extracted(spark, sf, "anthropic", usage_anthropic)
+QUERIES["usage_google"] = lambda spark, sf: _extracted(spark, sf, "google", usage_google)
 
 
 def _raw(spark, sf):

@@ -16,6 +16,8 @@ def local_session(cpus="*", name="spendguard", **conf) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the Python call site of every column operation doubles the time to build plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -24,16 +26,20 @@ def local_session(cpus="*", name="spendguard", **conf) -> SparkSession:
     return spark
 
 
+_local_root: str | None = None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="spendguard-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="spendguard-")
+    return _local_root
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -41,14 +47,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(scan):
-    """Spread a plain file scan over idle cores when its files give fewer tasks than that.
+    """Spread a plain file scan over idle cores when its files keep only a few of them busy.
 
     A table of many files has tasks enough and is left as it is, so no large data is shuffled.
     """
     if scan.isStreaming:
         return scan
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if scan.rdd.getNumPartitions() * 4 > cores else scan.repartition(cores)
 
 
 def checkpointed(df):

@@ -184,6 +184,10 @@ def test_sinks(spark, calls, messages):
     row = stored.first()
     assert (row.cache_creation_tokens, row.cache_read_tokens, row.feature) == (None, 7, None)
 
+    path = shared_path(spark, "usage-json")
+    sinks.write_usage(rows, path, "json")
+    assert tables.read_usage(spark, path, "json").drop("date").first() == row[:-1]
+
     path = shared_path(spark, "signals")
     text = messages.select(F.lit("org-1").alias("organization_id"), F.lit("pii").alias(
         "violation_type"), "text")

@@ -117,6 +117,46 @@ def test_level_map_equals_walking(burst, gaps, arriving):
         assert R.LevelMap.apply(levels.pieces(), first) == level
 
 
+@settings(max_examples=200, deadline=None)
+@given(
+    st.integers(1, 6),
+    st.lists(
+        st.tuples(st.integers(1, 300), st.sampled_from([0, 1, 7, 30, 95, 100, 130])),
+        min_size=1, max_size=6,
+    ),
+    st.lists(st.integers(0, 600), min_size=1, max_size=8),
+)
+def test_bulk_calls_equal_walking(burst, spells, arriving):
+    token, full = 100, burst * 100
+    gaps = [(gap * (i % 3) + i % 5) % 140 for n, gap in spells for i in range(n)]
+    gaps = np.minimum(np.array(gaps, dtype=np.int64), full)
+    gaps[0] = 0
+    levels = R.LevelMap(full, token)
+    levels.calls(gaps)
+    for start in arriving:
+        level = first = min(full, start)
+        for i, gap in enumerate(gaps.tolist()):
+            level = min(full, level + gap) if i else level
+            level -= token if level >= token else 0
+        assert R.LevelMap.apply(levels.pieces(), first) == level
+
+
+def test_overload_is_done_in_bulk():
+    levels = R.LevelMap(50_000_000, 1_000_000)
+    refills = np.full(300_000, 5_000, dtype=np.int64)
+    refills[0] = 0
+    calls = []
+    levels.call = lambda refill, call=levels.call: (calls.append(1), call(refill))
+    levels.calls(refills)
+    assert len(calls) < 500
+    for start in (0, 999_999, 1_000_000, 49_999_999, 50_000_000):
+        level = start
+        for refill in refills.tolist():
+            level = min(50_000_000, level + refill)
+            level -= 1_000_000 if level >= 1_000_000 else 0
+        assert R.LevelMap.apply(levels.pieces(), start) == level
+
+
 def test_level_map_follows_a_settled_bucket_as_a_number():
     levels = R.LevelMap(500, 100)
     levels.call(0)

@@ -12,6 +12,8 @@ out either way.
 import itertools
 import pickle
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from typing import Any, Callable, Iterator
 
 import numpy as np
@@ -101,51 +103,40 @@ def running(
     blocked = None
     if sizes.width:
         blocked = time_blocks(df, counted, keys, order[0], sizes.width, max_group_rows)
-    frozen = blocked is None
-    if frozen:
+    if blocked is None:
         blocked = freeze(df, keys, order, _parts(df, sizes, max_group_rows))
-    blocked = blocked.withColumns({f"_t_{n}": t for n, t in sums.items()})
-    terms = {n: F.col(f"_t_{n}") for n in sums}
-    out = _shifted(blocked, keys, order, terms, F.sum, lambda a, b: a + b, frozen)
-    out = out.drop(*[f"_t_{n}" for n in sums])
+    out = _over_blocks(blocked, keys, order, sums, F.sum) if sums else blocked
     if maxima:
-        terms = {n: t(F.col) for n, t in maxima.items()}
-        out = _shifted(out, keys, order, terms, F.max, F.greatest, frozen)
+        terms = {name: term(F.col) for name, term in maxima.items()}
+        out = _over_blocks(out, keys, order, terms, F.max)
     return out.drop("_block")
 
 
-def _shifted(blocked, keys, order, terms, total, join, frozen) -> DataFrame:
-    """Running values inside each block, joined with the total of the group's earlier blocks."""
+def _over_blocks(blocked, keys, order, terms, total) -> DataFrame:
+    """Running totals inside each block, led by a row with the total of the group's earlier blocks.
+
+    The leading rows make a join unnecessary: rows are shuffled once, by (keys, block).
+    """
+    probe = blocked.agg(*[total(term).alias(name) for name, term in terms.items()])
+    kinds = {field.name: field.dataType for field in probe.schema.fields}
+    work = {name: f"_term_{name}" for name in terms}
+    blocked = blocked.withColumns({work[n]: term.cast(kinds[n]) for n, term in terms.items()})
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    per_block = blocked.groupBy(*keys, "_block").agg(
-        *[total(term).alias(f"_b_{name}") for name, term in terms.items()]
+    leading = (
+        blocked.groupBy(*keys, "_block")
+        .agg(*[total(column).alias(column) for column in work.values()])
+        .withColumns({c: total(c).over(earlier).cast(kinds[n]) for n, c in work.items()})
+        .where(reduce(or_, [F.col(c).isNotNull() for c in work.values()]))
+        .withColumn("_is_row", F.lit(False))
     )
-    carried = (
-        per_block.withColumns({f"_c_{n}": total(f"_b_{n}").over(earlier) for n in terms})
-        .withColumn("_first", F.min("_block").over(Window.partitionBy(*keys)))
-        .where("_block > _first")
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                F.col("_block").alias("_k_block"), *[f"_c_{n}" for n in terms])
-    )
-    match = F.col("_block") == F.col("_k_block")
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    local = _frame([*keys, "_block"], order)
-    out = blocked.withColumns({n: total(term).over(local) for n, term in terms.items()})
-    kinds = {n: out.schema[n].dataType for n in terms}
-    # At most one group continues into each frozen block, so there are no more rows than blocks.
-    # Stretches of time hold many groups; that join is left to the optimiser, on the window's keys.
-    out = out.join(F.broadcast(carried) if frozen else carried, match, "left")
-    shifted = {}
-    for name, kind in kinds.items():
-        before, inside = F.col(f"_c_{name}").cast(kind), F.col(name)
-        both = F.when(inside.isNull(), before).otherwise(join(before, inside).cast(kind))
-        shifted[name] = F.when(before.isNull(), inside).otherwise(both)
-    return out.withColumns(shifted).drop(
-        "_k_block", *[f"_k_{k}" for k in keys], *[f"_c_{n}" for n in terms]
+    both = blocked.withColumn("_is_row", F.lit(True)).unionByName(
+        leading, allowMissingColumns=True
     )
+    frame = _frame([*keys, "_block"], ["_is_row", *order])
+    out = both.withColumns({n: total(c).over(frame).cast(kinds[n]) for n, c in work.items()})
+    return out.where("_is_row").drop("_is_row", *work.values())
 
 
 @dataclass

@@ -87,11 +87,8 @@ def run_stateful(
 def _next_state(state: DataFrame, ended: DataFrame, key: str, idle_us: int) -> DataFrame:
     """Old state overwritten by the keys of this batch, without keys idle for ``idle_us``."""
     live = state.join(ended.select(key), key, "left_anti").unionByName(ended)
-    newest = live.agg(F.max("_last").alias("_newest"))
-    # The single-row side is broadcast by its size, one aggregate row.
-    return live.join(F.broadcast(newest)).where(F.col("_last") + idle_us >= F.col("_newest")).drop(
-        "_newest"
-    )
+    newest = live.agg(F.max("_last")).first()[0]
+    return live if newest is None else live.where(F.col("_last") >= newest - idle_us)
 
 
 LEDGER_STATE = """session_id string, _spent0 long, _calls0 long, _tokens0 long,

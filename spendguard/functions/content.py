@@ -12,7 +12,7 @@ from .spans import Detector, bind, luhn_valid, redact_spans, remove_overlaps, sp
 CATEGORIES = ("pii", "phi", "secrets", "financial")
 VIOLATIONS_DDL = "array<struct<category:string,type:string,severity:string,start:int,end:int>>"
 
-__all__ = ["detect", "detected", "scan", "redact", "gate", "full_scan", "luhn_valid",
+__all__ = ["detect", "detected", "entities", "scan", "redact", "gate", "full_scan", "luhn_valid",
            "pii_violations", "phi_violations", "secret_violations", "financial_violations"]
 
 # Literals without which a pattern cannot match. All card, phone, social security and account
@@ -73,26 +73,37 @@ def detected(text: Column) -> Column:
     return F.exists(_spans(text, SCAN), lambda spans: F.size(spans) > 0)
 
 
+def _kept(text: Column) -> Column:
+    return remove_overlaps(F.flatten(_spans(text, SCAN)))
+
+
+def _shown(kept: Column) -> Column:
+    return F.transform(
+        kept,
+        lambda e: F.struct(
+            e["type"].alias("type"),
+            e["value"].alias("value"),
+            e["start"].alias("start"),
+            e["end"].alias("end"),
+        ),
+    )
+
+
+def entities(text: Column) -> Column:
+    """The entities of ``scan`` without the work of redaction."""
+    return _shown(_kept(text))
+
+
 def scan(text: Column) -> Column:
     """struct(detected, entities, redacted_text) over the seven personal-data patterns."""
-
-    def result(kept):
-        entities = F.transform(
-            kept,
-            lambda e: F.struct(
-                e["type"].alias("type"),
-                e["value"].alias("value"),
-                e["start"].alias("start"),
-                e["end"].alias("end"),
-            ),
-        )
-        return F.struct(
+    return bind(
+        _kept(text),
+        lambda kept: F.struct(
             (F.size(kept) > 0).alias("detected"),
-            entities.alias("entities"),
+            _shown(kept).alias("entities"),
             redact_spans(text, kept).alias("redacted_text"),
-        )
-
-    return bind(remove_overlaps(F.flatten(_spans(text, SCAN))), result)
+        ),
+    )
 
 
 def redact(text: Column) -> Column:

@@ -24,7 +24,7 @@ def classify_text(df: DataFrame, text: str = "text", categories=CATEGORIES) -> D
 
 def entities(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """One row per entity. The explode drops clean texts, so no filter repeats the scan."""
-    return df.select(*keys, F.inline(scan(F.col(text))["entities"]))
+    return df.select(*keys, F.inline(C.entities(F.col(text))))
 
 
 def violations(df: DataFrame, keys: list[str], found: Column) -> DataFrame:
@@ -46,7 +46,7 @@ def pii_summary(df: DataFrame, text: str = "text") -> DataFrame:
             ),
         )
 
-    types = F.transform(scan(F.col(text))["entities"], lambda e: e["type"])
+    types = F.transform(C.entities(F.col(text)), lambda e: e["type"])
     return (
         df.select(F.inline(bind(types, counts)))
         .groupBy("type")

@@ -201,21 +201,25 @@ def stream_rate_audit(
 
 
 def write_usage_stream(
-    calls: DataFrame, path: str, checkpoint: str, flush_interval: str | None = "5 seconds"
-):
-    """Append usage rows per micro-batch, once per call_id; returns the running query.
+    calls: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds"
+) -> StreamingQuery:
+    """Store usage rows per micro-batch, once per call_id; returns the running query.
 
     A call repeated within a day of event time is dropped by the stream's own state, and a
-    replayed micro-batch is skipped by the file sink's log. ``flush_interval=None`` drains what
-    is there and stops.
+    repeated micro-batch overwrites its own folder. Each day's rows of a micro-batch are gathered
+    into few files. ``interval=None`` drains what is there and stops.
     """
     rows = usage_rows(calls).withWatermark("timestamp", "1 day")
     rows = rows.dropDuplicatesWithinWatermark(["call_id"])
-    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy("date")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    if flush_interval is None:
+
+    def store(batch: DataFrame, number: int):
+        writer = batch.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
+        writer.parquet(f"{path}/batch={number}")
+
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    if interval is None:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=flush_interval).start()
+    return writer.trigger(processingTime=interval).start()
 
 
 def drain(stream: DataFrame, name: str, complete: bool = False) -> DataFrame:

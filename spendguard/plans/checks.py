@@ -72,16 +72,13 @@ _piece(
     event_id % {I.REQUESTS} AS request_id
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
 )
+# Spark marks double literals with a D. In DuckDB a plain literal is a decimal, so cast.
 _piece(
     "pricing",
-    f"""SELECT * FROM (VALUES {I.PRICING_ROWS.replace('D,', ',').replace('D)', ')')})
-    AS p(provider, model, ri, ro, rcc, rcr)""",
-)
-# Keep the rates doubles, as literals would be decimals.
-PIECES["pricing"] = (
-    [],
     f"""SELECT provider, model, CAST(ri AS DOUBLE) AS ri, CAST(ro AS DOUBLE) AS ro,
-    CAST(rcc AS DOUBLE) AS rcc, CAST(rcr AS DOUBLE) AS rcr FROM ({PIECES['pricing'][1]})""",
+    CAST(rcc AS DOUBLE) AS rcc, CAST(rcr AS DOUBLE) AS rcr
+    FROM (VALUES {I.PRICING_ROWS.replace('D,', ',').replace('D)', ')')})
+    AS p(provider, model, ri, ro, rcc, rcr)""",
 )
 _COST = """coalesce(coalesce(input_tokens, 0) / 1000 * ri + coalesce(output_tokens, 0) / 1000 * ro
     + coalesce(cache_creation_tokens, 0) / 1000 * coalesce(rcc, ri)
@@ -483,13 +480,13 @@ check(
     CAST(tokens AS BIGINT) AS cumulative_input_tokens, cost_usd,
     CAST(spent AS DOUBLE) AS cumulative_cost_usd FROM ledger""",
 )
-_piece("clean_docs", "SELECT DISTINCT id FROM kept", ["kept"])
+_piece("marked_docs", "SELECT DISTINCT id FROM kept", ["kept"])
 check(
     "write_session_calls",
-    ["ledger", "clean_docs"],
+    ["ledger", "marked_docs"],
     """SELECT session_id, call_id, n AS call_sequence, 'llm' AS call_type,
     CAST(tokens AS BIGINT) AS cumulative_input_tokens, d.id IS NOT NULL AS pii_detected
-    FROM ledger LEFT JOIN clean_docs d ON d.id = call_id""",
+    FROM ledger LEFT JOIN marked_docs d ON d.id = call_id""",
 )
 _OVER = f"""spent - CAST(cost_usd AS {MONEY}) + CAST(estimated_cost_usd AS {MONEY})
     > {I.SESSION_SPEND}"""

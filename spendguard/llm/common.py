@@ -25,3 +25,45 @@ def salted(df: DataFrame, salts: int) -> DataFrame:
 def with_salt(df: DataFrame, by: Column, salts: int) -> DataFrame:
     """The large side of such a join: one salt for each row, from ``by``, which differs within a key."""
     return df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_keys(docs: DataFrame) -> list[Column]:
+    """Three columns ``_id, _no_id, _hash`` that name a row by its id, which may be null, and its text."""
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"),
+        F.col("doc_id").isNull().alias("_no_id"),
+        F.xxhash64("text").alias("_hash"),
+    ]
+
+
+def _keyed(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``docs`` with its keys and ``keys``, both under names that ``docs`` does not use."""
+    names = [fresh_name(docs, n) for n in ("_id", "_no_id", "_hash")]
+    keyed = docs.select("*", *[k.alias(n) for k, n in zip(row_keys(docs), names, strict=True)])
+    return keyed, keys.select(*[F.col(a).alias(b) for a, b in zip(("_id", "_no_id", "_hash"), names, strict=True)]), names
+
+
+def without(docs: DataFrame, gone: DataFrame, bound: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` whose keys are not in ``gone`` (``row_keys`` of some rows, each once).
+
+    ``gone`` is broadcast while it has at most ``bound`` rows, so that texts stay where they are; a larger one is
+    joined by shuffling, evenly, as its keys are distinct.
+    """
+    keyed, gone, names = _keyed(docs, gone)
+    gone = F.broadcast(gone) if gone.count() <= bound else gone
+    return keyed.join(gone, names, "left_anti").drop(*names)
+
+
+def one_of_each(docs: DataFrame, keys: DataFrame, bound: int = 500_000) -> DataFrame:
+    """One row of ``docs`` for each of ``keys``, which rows share that are equal in id and text."""
+    keyed, keys, names = _keyed(docs, keys)
+    keys = F.broadcast(keys) if keys.count() <= bound else keys
+    return keyed.join(keys, names, "left_semi").dropDuplicates(names).drop(*names)

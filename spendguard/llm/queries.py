@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendguard.llm import licenses, sharding, simhash, url_filter
+import corpus_pipeline
+from spendguard.llm import html_text, licenses, packing, pii, sharding, simhash, tiling, toxicity, url_filter, vptree
 from spendguard.llm.common import table
 
 #: (host, start of the path, verdict)
@@ -47,9 +48,40 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_pii(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), corpus_pipeline.vocabulary())
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op4_license_scan": op4_license_scan,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
+    "op8_toxicity": op8_toxicity,
+    "op9_packing": op9_packing,
+    "op10_ann": op10_ann,
+    "pipeline": corpus_pipeline.run,
 }

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from spendguard.llm.common import salted, with_salt
+from spendguard.llm.common import one_of_each, row_keys, salted, with_salt, without
 from spendguard.llm.components import components
 from spendguard.runtime import checkpointed
 
@@ -57,15 +57,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` of every row, and the columns ``keep``."""
 
     @pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select(F.col(id_).alias("doc_id"), of(F.col(text)).alias("fp"))
+    return docs.select("doc_id", *keep, of(F.col("text")).alias("fp"))
 
 
 def _keys(fps: DataFrame, distance: int) -> DataFrame:
@@ -120,24 +120,24 @@ def close_pairs(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFr
 
 
 def classes(prints: DataFrame, distance: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for rows ``(doc_id, fp)``, which should be read from a checkpoint.
+    """Rows ``(doc_id, fp, ...)``, which should be read from a checkpoint, with ``root`` and ``component_id``.
 
-    ``component_id`` is the smallest doc_id that links lead to, the row's own included.
+    ``component_id`` is the smallest doc_id that links lead to, the row's own included; ``root`` is a fingerprint that
+    names the component also where no row of it has an id.
     """
     smallest = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    reach = components(close_pairs(smallest.select("fp"), distance))
-    joined = smallest.join(reach.withColumnRenamed("node", "fp"), "fp")
-    # Components are those of linked fingerprints only; each may hold many, so minima are combined before the shuffle.
+    reach = components(close_pairs(smallest.select("fp"), distance)).select(F.col("node").alias("fp"), "component")
+    joined = checkpointed(smallest.join(reach, "fp"))
+    # A component may hold many fingerprints: minima are combined before the shuffle and joined with salted keys.
     best = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    linked = checkpointed(
-        with_salt(joined, F.col("fp"), SALTS).join(salted(best, SALTS), ["component", "_salt"]).select("fp", "component_id")
-    )
-    named = checkpointed(
-        smallest.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    )
-    return with_salt(prints, F.col("doc_id"), SALTS).join(salted(named, SALTS), ["fp", "_salt"]).select(
-        "doc_id", "fp", "component_id"
-    )
+    linked = with_salt(joined, F.col("fp"), SALTS).join(salted(best, SALTS), ["component", "_salt"])
+    linked = checkpointed(linked.select("fp", F.col("component").alias("root"), "component_id"))
+    named = smallest.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
+    )
+    named = salted(checkpointed(named), SALTS)
+    # All rows may share one fingerprint: the row's number, not its id, deals them out.
+    return with_salt(prints, F.monotonically_increasing_id(), SALTS).join(named, ["fp", "_salt"]).drop("_salt")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -145,3 +145,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     found = classes(checkpointed(fingerprints(docs, shingle)), distance)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def first_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id stays, rows
+    without an id last; of equal rows one stays."""
+    read = docs.select("doc_id", "text", *row_keys(docs))
+    prints = checkpointed(fingerprints(read, shingle, keep=("_id", "_no_id", "_hash")))
+    keys = ["_no_id", "_id", "_hash"]
+    found = checkpointed(classes(prints, distance).select("root", *keys))
+    best = found.groupBy("root").agg(F.min(F.struct(*keys)).alias("best"), F.count("*").alias("n")).where("n > 1")
+    each = with_salt(found, F.monotonically_increasing_id(), SALTS).join(salted(best, SALTS), ["root", "_salt"])
+    gone = checkpointed(each.where(F.struct(*keys) != F.col("best")).select(*keys).distinct())
+    # Equal rows have one key, so they stay or go together; those of a key that stays more than once are made one.
+    several = each.where(F.struct(*keys) == F.col("best")).groupBy(*keys).agg(F.count("*").alias("m")).where("m > 1")
+    several = checkpointed(several.select(*keys))
+    rest = without(docs, several.unionByName(gone))
+    return rest if several.isEmpty() else rest.unionByName(one_of_each(docs, several))

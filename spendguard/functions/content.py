@@ -192,20 +192,25 @@ def full_scan(text: Column, categories=CATEGORIES) -> Column:
     )
 
 
-def gate(text: Column) -> Column:
-    """struct(blocked, violations, redacted_text): blocked when scan and full scan both hit."""
+def gate(text: Column, redacted: bool = True) -> Column:
+    """struct(blocked, violations, redacted_text): blocked when scan and full scan both hit.
+
+    Without ``redacted`` the last field and the work for it are left out.
+    """
 
     def judged(scanned):
         found = F.when(scanned["detected"], _violations(text, CATEGORIES)).otherwise(
             F.array().cast(VIOLATIONS_DDL)
         )
-        return bind(
-            found,
-            lambda v: F.struct(
-                (F.size(v) > 0).alias("blocked"),
-                v.alias("violations"),
-                F.when(F.size(v) > 0, scanned["redacted_text"]).alias("redacted_text"),
-            ),
-        )
 
-    return bind(scan(text), judged)
+        def fields(v):
+            blocked = F.size(v) > 0
+            out = [blocked.alias("blocked"), v.alias("violations")]
+            if redacted:
+                out.append(F.when(blocked, scanned["redacted_text"]).alias("redacted_text"))
+            return F.struct(*out)
+
+        return bind(found, fields)
+
+    scanned = scan(text) if redacted else F.struct(detected(text).alias("detected"))
+    return bind(scanned, judged)

@@ -66,12 +66,8 @@ def policy_window(policies: DataFrame) -> DataFrame:
     return policies.withColumn("period_end", end)
 
 
-def policy_calls(policies: DataFrame, calls: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per active policy and call inside its scope and window, with the call ``columns``.
-
-    Each call offers one key per scope, so a single equi-join finds its policies in one pass.
-    """
-    active = policy_window(policies).where("is_active").select(
+def _active(policies: DataFrame) -> DataFrame:
+    return policy_window(policies).where("is_active").select(
         F.col("id").alias("policy_id"),
         F.col("org_id").alias("_org"),
         F.col("scope").alias("_scope"),
@@ -85,6 +81,13 @@ def policy_calls(policies: DataFrame, calls: DataFrame, columns: list[str]) -> D
         "throttle_percentage",
         "alert_thresholds",
     )
+
+
+SCOPE = ["org_id", "_call_scope", "_call_name"]
+
+
+def _offered(calls: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per call and scope that it belongs to, keyed by ``SCOPE``."""
     names = {
         "organization": F.lit(""),
         "feature": F.col("feature"),
@@ -97,19 +100,32 @@ def policy_calls(policies: DataFrame, calls: DataFrame, columns: list[str]) -> D
             for scope, name in names.items()
         ]
     )
-    offered = calls.select("org_id", *columns, F.inline(scopes))
-    match = (
+    return calls.select("org_id", *columns, F.inline(scopes))
+
+
+def _matches() -> Column:
+    return (
         (F.col("org_id") == F.col("_org"))
         & (F.col("_call_scope") == F.col("_scope"))
         & (F.col("_call_name") == F.col("_name"))
-        & (F.col("timestamp") >= F.col("period_start"))
-        & (F.col("timestamp") < F.col("period_end"))
     )
-    return offered.join(active, match).drop(
-        "_org", "_scope", "_name", "_call_scope", "_call_name", "period_start", "period_end"
+
+
+def _inside() -> Column:
+    return _matches() & (
+        (F.col("timestamp") >= F.col("period_start")) & (F.col("timestamp") < F.col("period_end"))
     )
 
 
+def policy_calls(policies: DataFrame, calls: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per active policy and call inside its scope and window, with the call ``columns``.
+
+    Each call offers one key per scope, so a single equi-join finds its policies in one pass.
+    """
+    pairs = _offered(calls, columns).join(_active(policies), _inside())
+    return pairs.drop("_org", "_scope", "_name", *SCOPE[1:], "period_start", "period_end")
+
+
 def policy_spend(policies: DataFrame, calls: DataFrame) -> DataFrame:
     """Active policies with the spend inside scope and window; 0 where there is none."""
     spent = (
@@ -140,12 +156,34 @@ def alert_crossings(policies: DataFrame) -> DataFrame:
 
 
 def _running_spend(policies, calls, columns, max_group_rows, counted=None) -> DataFrame:
-    matched = policy_calls(policies, calls, ["call_id", "timestamp", "cost_usd", *columns])
-    sizes = policy_calls(policies, calls if counted is None else counted, ["timestamp"])
-    return running(
-        matched, ["policy_id"], ORDER, {"running_spend_usd": money("cost_usd")},
-        max_group_rows=max_group_rows, counted=sizes,
+    """One row per active policy and call inside it, with the policy's spend up to the call.
+
+    A policy's spend is the running sum of its scope, less that before its window. So calls are
+    shuffled once per scope that has policies, at most four times, however many policies there
+    are; policies are joined to rows that already have their sums.
+    """
+    active = _active(policies)
+    scopes = active.select("_org", "_scope", "_name").distinct()
+
+    def scoped(rows, names):
+        return _offered(rows, names).join(scopes, _matches(), "left_semi")
+
+    rows = scoped(calls, ["call_id", "timestamp", "cost_usd", *columns])
+    sizes = scoped(calls if counted is None else counted, ["timestamp"])
+    run = running(
+        rows, SCOPE, ORDER, {"_total": money("cost_usd")}, max_group_rows=max_group_rows,
+        counted=sizes,
     )
+    # Sums per policy combine before the shuffle.
+    earlier = _matches() & (F.col("timestamp") < F.col("period_start"))
+    before = scoped(calls, ["timestamp", "cost_usd"]).join(active, earlier)
+    before = before.groupBy("policy_id").agg(F.sum(money("cost_usd")).alias("_before_window"))
+    dated = active.join(before, "policy_id", "left")
+    spend = F.col("_total") - F.coalesce("_before_window", F.lit(0).cast(TOTAL))
+    pairs = run.join(dated, _inside()).withColumn("running_spend_usd", spend.cast(TOTAL))
+    return pairs.drop(
+        "_org", "_scope", "_name", *SCOPE[1:], "period_start", "period_end", "_total", "_before_window"
+    )
 
 
 def first_crossing(
@@ -246,6 +284,7 @@ FAIL_OPEN = {
     },
     "budget_status": {"total_budget_usd": 0, "total_spend_usd": 0, "policies_at_risk": 0},
     "scan": {"is_allowed": True, "action": None, "redacted_text": None},
+    "session": {"server_session_id": "fail-open", "status": "active"},
 }
 
 

@@ -84,28 +84,63 @@ def cost_discrepancies(calls: DataFrame, server_costs: DataFrame, tolerance=0.01
     )
 
 
-def price_intervals(history: DataFrame) -> DataFrame:
-    """Turn dated prices into [effective_from, effective_to) rows, one shuffle of prices only."""
+def price_intervals(history: DataFrame, tie: str | None = None) -> DataFrame:
+    """Turn dated prices into [effective_from, effective_to) rows, one shuffle of prices only.
+
+    Of several prices of a model with one date the one with the largest ``tie`` counts, without
+    ``tie`` (or among equal ones) that of the largest rates. A price equal to the one before it
+    is merged with it.
+    """
+    rates = F.struct(*RATES)
+    latest = F.max(F.struct(*([F.col(tie).alias("_tie")] if tie else []), *RATES))
+    one = history.groupBy("model", "effective_from").agg(latest.alias("_row"))
+    one = one.select("model", "effective_from", *[F.col(f"_row.{r}") for r in RATES])
     order = Window.partitionBy("model").orderBy("effective_from")
-    return history.withColumn("effective_to", F.lead("effective_from").over(order))
+    before = one.withColumns({"_first": F.row_number().over(order) == 1, "_same": F.lag(rates).over(order).eqNullSafe(rates)})
+    changed = before.where("_first OR NOT _same").drop("_first", "_same")
+    return changed.withColumn("effective_to", F.lead("effective_from").over(order))
 
 
-def with_cost_asof(calls: DataFrame, history: DataFrame) -> DataFrame:
-    """Add ``cost_usd`` at the price in force at call time; 0 before a model's first price.
+def daily_prices(intervals: DataFrame, days: DataFrame) -> DataFrame:
+    """The intervals that touch each (model, _day) of ``days``.
 
-    The intervals of a model do not overlap, so the join adds no rows and the call side needs no
-    sort: a small history is broadcast, a large one is hash-joined on the model.
+    For a day these are the interval that is in force when it starts and those that start in it:
+    both come from one ordered pass over a model's days and intervals, of which there are far
+    fewer than calls.
     """
-    spans = price_intervals(history).select(
-        F.col("model").alias("_model"), "effective_from", "effective_to", *RATES
+    price = F.struct("effective_from", "effective_to", *RATES)
+    starts = intervals.select(
+        "model", F.to_date("effective_from").alias("_day"), F.col("effective_from").alias("_at"), price.alias("_price")
     )
+    begins = days.select("model", "_day", F.col("_day").cast("timestamp").alias("_at"))
+    # At a day's first moment, a price that starts then comes before the day that asks for it.
+    order = Window.partitionBy("model").orderBy("_at", F.col("_price").isNull())
+    both = starts.unionByName(begins, allowMissingColumns=True)
+    held = both.withColumn("_held", F.last("_price", ignorenulls=True).over(order))
+    # A price that starts at the first moment of a day would come twice, as held and as starting.
+    found = held.where("_held IS NOT NULL").select("model", "_day", F.col("_held").alias("_price")).distinct()
+    return found.select(F.col("model").alias("_model"), F.col("_day").alias("_on"), "_price.*")
+
+
+def with_cost_asof(calls: DataFrame, history: DataFrame, tie: str | None = None) -> DataFrame:
+    """Add ``cost_usd`` at the price in force at call time; 0 before a model's first price.
+
+    Calls are joined on model and day, so each is compared with the prices of its day only,
+    however long the history is. The intervals of a model do not overlap, so the join adds no
+    rows; a small history is broadcast by the optimiser, in a large one a hot model is spread
+    over its days.
+    """
+    dated = calls.withColumn("_day", F.to_date("timestamp"))
+    days = dated.select("model", "_day").distinct()
+    spans = daily_prices(price_intervals(history, tie), days)
     in_force = (
         (F.col("model") == F.col("_model"))
+        & (F.col("_day") == F.col("_on"))
         & (F.col("timestamp") >= F.col("effective_from"))
         & (F.col("effective_to").isNull() | (F.col("timestamp") < F.col("effective_to")))
     )
-    out = calls.join(spans, in_force, "left").withColumn("cost_usd", call_cost())
-    return out.drop("_model", "effective_from", "effective_to", *RATES)
+    out = dated.join(spans, in_force, "left").withColumn("cost_usd", call_cost())
+    return out.drop("_day", "_model", "_on", "effective_from", "effective_to", *RATES)
 
 
 def usage_report(calls: DataFrame, dims: list[str], subtotals: bool = False) -> DataFrame:

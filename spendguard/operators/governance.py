@@ -80,38 +80,76 @@ def blocked_requests(messages: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def judged_requests(messages: DataFrame, verdicts: DataFrame, fail_open: bool = True) -> DataFrame:
+    """Requests that standard mode stops, with ``content``: ``content_blocked`` or ``content_error``.
+
+    Messages are judged in order and the first one that stops its request says why. Only the keys
+    of hits are joined with the verdicts' keys.
+    """
+    keys = ["request_id", "msg_index"]
+    hit = F.struct(C.detected(F.col("text")).alias("hit"))
+    hits = messages.select(*keys, kept_if(hit, lambda f: f["hit"])).drop("hit")
+    judged = hits.join(verdicts.select(*keys, "is_allowed", F.lit(True).alias("_found")), keys, "left")
+    refused = F.col("_found") & ~F.coalesce("is_allowed", F.lit(True))
+    why = F.when(refused, "content_blocked")
+    if not fail_open:
+        why = why.when(F.col("_found").isNull(), "content_error")
+    first = F.min(F.struct("msg_index", "content")).alias("_first")
+    stopped = judged.withColumn("content", why).where("content IS NOT NULL")
+    return stopped.groupBy("request_id").agg(first).select("request_id", "_first.content")
+
+
 def policy_gate(
     messages: DataFrame, verdicts: DataFrame, keys=("request_id", "msg_index"), fail_open=True
 ) -> DataFrame:
     """Standard mode: messages the scan hits follow an external verdict.
 
     ``verdicts`` has the keys, is_allowed, action, violations and redacted_text. A missing
-    verdict allows the message when failing open and marks it as ``error`` otherwise.
+    verdict allows the message when failing open and marks it as ``error`` otherwise. Only hits
+    are joined; clean messages, most of them, stay where they are and have no verdict.
     """
-    hit = messages.withColumn("_scan", scan(F.col("text")))
+    text, columns = F.col("text"), messages.columns
+    none = {f.name: F.lit(None).cast(f.dataType) for f in verdicts.schema if f.name not in keys}
+    # The clean branch needs no spans or redaction; the other does that work for hits.
+    hit = F.struct(C.detected(text).alias("detected"))
+    clean = messages.select(*columns, kept_if(hit, lambda s: ~s["detected"]))
+    found = kept_if(scan(text), lambda s: s["detected"])
+    hits = messages.select(*columns, found).drop("entities")
     renamed = verdicts.withColumnRenamed("redacted_text", "_verdict_text")
-    judged = fail_open_defaults(hit, renamed, list(keys), "scan", fail_open)
-    blocked = F.col("_scan.detected") & ~F.coalesce(F.col("is_allowed"), F.lit(True))
-    redacted = F.coalesce("_verdict_text", F.col("_scan.redacted_text"))
-    extra = {} if fail_open else {"error": F.col("error") & F.col("_scan.detected")}
-    return judged.withColumns(
-        {
-            "detected": F.col("_scan.detected"),
-            "blocked": blocked,
-            "redacted_text": F.when(blocked, redacted),
-            **extra,
-        }
-    ).drop("_scan", "_verdict_text")
+    judged = fail_open_defaults(hits, renamed, list(keys), "scan", fail_open)
+    blocked = ~F.coalesce(F.col("is_allowed"), F.lit(True))
+    redacted = F.coalesce("_verdict_text", F.col("redacted_text"))
+    judged = judged.withColumns({"blocked": blocked, "redacted_text": F.when(blocked, redacted)})
+    allowed = {"is_allowed": F.lit(True)} if fail_open else {"error": F.lit(False)}
+    added = none | allowed | {"blocked": F.lit(False), "redacted_text": F.lit(None).cast("string")}
+    return judged.drop("_verdict_text").unionByName(clean.withColumns(added))
+
+
+def message_violations(messages: DataFrame, keys=("request_id", "msg_index")) -> DataFrame:
+    """The messages the privacy gate blocks, with their violations and without any text."""
+    passed = kept_if(gate(F.col("text"), redacted=False), lambda g: g["blocked"])
+    return messages.select(*keys, passed).drop("blocked")
+
+
+def first_violations(messages: DataFrame) -> DataFrame:
+    """Of each request the first blocked message, with its violations and without any text.
+
+    The minimum combines before the shuffle, so a request of any length stays cheap.
+    """
+    found = message_violations(messages)
+    first = found.groupBy("request_id").agg(F.min("msg_index").alias("msg_index"))
+    return found.join(first, ["request_id", "msg_index"], "left_semi")
 
 
 def first_blocking_message(messages: DataFrame) -> DataFrame:
     """The first blocked message of each request; later ones are never looked at.
 
-    The minimum combines before the shuffle, so a request of any length stays cheap.
+    Which message it is follows from keys alone; only then is a text redacted.
     """
-    row = F.struct("msg_index", "violations", "redacted_text")
-    first = blocked_messages(messages).groupBy("request_id").agg(F.min(row).alias("_row"))
-    return first.select("request_id", "_row.*")
+    hit = F.struct(gate(F.col("text"), redacted=False)["blocked"].alias("hit"))
+    keys = messages.select("request_id", "msg_index", kept_if(hit, lambda f: f["hit"]))
+    first = keys.groupBy("request_id").agg(F.min("msg_index").alias("msg_index"))
+    return blocked_messages(messages.join(first, ["request_id", "msg_index"], "left_semi"))
 
 
 def governance_signals(

@@ -13,7 +13,7 @@ import itertools
 import pickle
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from typing import Any, Callable, Iterator
 
 import numpy as np
@@ -29,33 +29,51 @@ MAX_BLOCKS = 50_000  # more blocks than this only make them smaller, not more pa
 
 @dataclass(frozen=True)
 class Sizes:
-    """Total rows, rows of the largest group, and a stretch of time that should cut the large
-    groups to a quarter of the limit."""
+    """Total rows and rows of the largest group."""
 
     total: int
     largest: int
-    width: int | None
 
 
-def group_sizes(df: DataFrame, keys: list[str], at: str, limit: int) -> Sizes:
-    """Sizes in one pass; counts combine before the shuffle and one row comes back."""
+def _groups(df: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Rows and time range of each group; counts combine before the shuffle."""
     timed = dict(df.dtypes).get(at) == "timestamp"
-    clock = F.unix_micros(at) if timed else F.lit(0)
-    groups = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(clock) - F.min(clock)).alias("range")
+    clock = F.unix_micros(at) if timed else F.lit(None).cast("long")
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), (F.max(clock) - F.min(clock)).alias("_range")
     )
-    width = F.when(F.col("n") > limit, F.col("range") * (limit / 4) / F.col("n"))
-    row = groups.agg(F.sum("n"), F.max("n"), F.min(width)).first()
-    return Sizes(row[0] or 0, row[1] or 0, max(1, int(row[2])) if timed and row[2] else None)
 
 
-def time_blocks(df, counted, keys, at, width, limit) -> DataFrame | None:
-    """``df`` with ``_block`` = the stretch of time, if no group has too much in one stretch."""
-    block = F.floor(F.unix_micros(at) / F.lit(width)).alias("_block")
-    stretches = counted.groupBy(*keys, block).count()
-    if stretches.agg(F.max("count")).first()[0] > limit:
+def group_sizes(df: DataFrame, keys: list[str], at: str) -> Sizes:
+    """Sizes in one pass; one row comes back."""
+    row = _groups(df, keys, at).agg(F.sum("_rows"), F.max("_rows")).first()
+    return Sizes(row[0] or 0, row[1] or 0)
+
+
+def time_blocks(df, counted, keys, at, limit) -> DataFrame | None:
+    """``df`` with ``_block`` = the stretch of time, if no group has too much in one stretch.
+
+    Every group above the limit has stretches of its own length, a quarter of the limit long on
+    average, so it has at most four blocks for each ``limit`` rows; other groups are one block.
+    There are at most total / limit such groups; their few rows are broadcast.
+    """
+    width = F.floor(F.col("_range") * (limit / 4) / F.col("_rows")).cast("long")
+    large = _groups(counted, keys, at).where((F.col("_rows") > limit) & (F.col("_range") > 0))
+    names = {key: f"_hot_{i}" for i, key in enumerate(keys)}
+    hot = checkpointed(
+        large.select(*[F.col(k).alias(n) for k, n in names.items()],
+                     F.greatest(width, F.lit(1)).alias("_width"))
+    )
+
+    def cut(rows):
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+        block = F.coalesce(F.floor(F.unix_micros(at) / F.col("_width")), F.lit(0)).alias("_block")
+        return rows.join(F.broadcast(hot), same, "left").select(*[F.col(c) for c in rows.columns], block)
+
+    stretches = cut(counted.select(*keys, at)).groupBy(*keys, "_block").count()
+    if (stretches.agg(F.max("count")).first()[0] or 0) > limit:
         return None
-    return df.select("*", block)
+    return cut(df)
 
 
 def freeze(df: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
@@ -92,7 +110,7 @@ def running(
     """
     sums, maxima = sums or {}, maxima or {}
     counted = df if counted is None else counted
-    sizes = group_sizes(counted, keys, order[0], max_group_rows)
+    sizes = group_sizes(counted, keys, order[0])
     if sizes.largest <= max_group_rows:
         frame = _frame(keys, order)
         out = df.withColumns({name: F.sum(term).over(frame) for name, term in sums.items()})
@@ -101,8 +119,8 @@ def running(
         )
 
     blocked = None
-    if sizes.width:
-        blocked = time_blocks(df, counted, keys, order[0], sizes.width, max_group_rows)
+    if dict(counted.dtypes).get(order[0]) == "timestamp":
+        blocked = time_blocks(df, counted, keys, order[0], max_group_rows)
     if blocked is None:
         blocked = freeze(df, keys, order, _parts(df, sizes, max_group_rows))
     out = _over_blocks(blocked, keys, order, sums, F.sum) if sums else blocked
@@ -181,7 +199,7 @@ def fold(
     schema = T.StructType([*df.schema.fields, *output.fields])
     types = {f.name: ARROW_TYPES[f.dataType] for f in output.fields}
     counted = df if counted is None else counted
-    sizes = group_sizes(counted, keys, order[0], max_group_rows)
+    sizes = group_sizes(counted, keys, order[0])
     if sizes.largest <= max_group_rows:
         # The window asks for whole groups in order. An explicit repartition would not do: after
         # a join on the same keys it is dropped, and run-time join changes then scatter groups.

@@ -26,10 +26,30 @@ class Bucket:
 
     @classmethod
     def of(cls, rate, burst) -> "Bucket":
-        """``rate`` per second and ``burst``; numbers or exact text such as ``"1/3600"``."""
-        r, b = Fraction(str(rate)), Fraction(str(burst))
+        """``rate`` per second and ``burst``, both above 0; numbers or exact text like "1/3600".
+
+        Text, whole numbers, fractions and decimals are taken as they are. A float is taken as
+        the simplest fraction within its own precision, so 10/60 and 1/3 mean what they say.
+        Whatever would need levels beyond 62 bits is an error here, not in the middle of a job.
+        """
+        r, b = _exact(rate), _exact(burst)
+        if r <= 0 or b <= 0:
+            raise ValueError("rate and burst must be above 0")
         scale = r.denominator * b.denominator
-        return cls(r.numerator * b.denominator, 10**6 * scale, int(10**6 * scale * b))
+        bucket = cls(r.numerator * b.denominator, 10**6 * scale, int(10**6 * scale * b))
+        if max(bucket.full, bucket.token, bucket.refill * 10**6) >= 2**62:
+            raise ValueError(f"rate {rate} with burst {burst} needs a finer unit than 62 bits hold")
+        return bucket
+
+
+def _exact(number) -> Fraction:
+    if not isinstance(number, float):
+        return Fraction(str(number))
+    for digits in range(1, 16):
+        near = Fraction(number).limit_denominator(10**digits)
+        if abs(near - Fraction(number)) <= abs(Fraction(number)) * Fraction(1, 2**52):
+            return near
+    return Fraction(str(number))
 
 
 def bucket_fold(bucket: Bucket) -> Fold:

@@ -2,6 +2,10 @@
 
 ``calls`` carry ``cost_usd`` and, where a limit is tested, ``estimated_cost_usd``. Money is
 compared exactly, in whole 1e-12 dollars.
+
+A call without a session (NULL ``session_id``) has no ledger and no limit: its ledger columns are
+NULL, it is allowed, and no summary counts it. Such calls, often most of a log, are never
+shuffled by session.
 """
 
 import itertools
@@ -20,7 +24,7 @@ BUDGET, ITERATIONS = "budget_exceeded", "iteration_limit_exceeded"  # fixed valu
 def session_ledger(calls: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Number each call of its session and add the running input tokens and cost."""
     ledger = running(
-        calls,
+        calls.where("session_id IS NOT NULL"),
         ["session_id"],
         ORDER,
         {
@@ -30,13 +34,24 @@ def session_ledger(calls: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> Da
         },
         max_group_rows=max_group_rows,
     )
+    loose = calls.where("session_id IS NULL")
+    ledger = ledger.unionByName(loose, allowMissingColumns=True)
     return ledger.withColumn("call_type", F.lit("llm"))
 
 
 def session_remaining(totals: DataFrame, limits: DataFrame) -> DataFrame:
-    """Budget and iterations left, never below zero; NULL where the session has no limit."""
+    """Budget and iterations left, never below zero; NULL where the session has no limit.
+
+    Sessions that have limits but no calls yet have all of it left.
+    """
     both = totals.join(limits.select("session_id", "max_spend_usd", "max_iterations"),
-                       "session_id", "left")
+                       "session_id", "full_outer")
+    both = both.withColumns(
+        {
+            "final_spend_usd": F.coalesce("final_spend_usd", F.lit(0).cast(TOTAL)),
+            "final_iteration_count": F.coalesce("final_iteration_count", F.lit(0).cast("long")),
+        }
+    )
     spend = money("max_spend_usd") - F.col("final_spend_usd")
     calls = F.col("max_iterations") - F.col("final_iteration_count")
     zero = F.lit(0)
@@ -65,7 +80,7 @@ def session_first_refusal(
     Nothing is refused before it, so plain running sums give the spend before each call.
     """
     run = running(
-        _with_limits(calls, limits),
+        _with_limits(calls.where("session_id IS NOT NULL"), limits),
         ["session_id"],
         ORDER,
         {"_spent": money("cost_usd"), "_calls": F.lit(1)},
@@ -94,28 +109,38 @@ def session_first_refusal(
 NO_LIMIT = -(2**63)
 SKIPPED = "skipped"
 MAX_LEVELS = 10_000
+DOLLAR = 10**12
 
 
 def _pico(amount) -> Column:
     """Dollars as a whole number of 1e-12 dollars."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return (amount.cast("decimal(24,12)") * F.lit(Decimal(10**12))).cast("long")
+    return (amount.cast("decimal(24,12)") * F.lit(Decimal(DOLLAR))).cast("long")
 
 
 def _limit_fold() -> Fold:
     """State: (spend, calls, input tokens, any refusal). A refused call adds nothing, so cheaper
-    calls may pass later."""
+    calls may pass later.
+
+    Sums are plain whole numbers of any size; they leave as dollars and 1e-12 dollars, as 64 bits
+    of the latter alone end at nine million dollars.
+    """
 
     def columns(rows):
-        names = ("_cost", "_estimate", "_tokens", "_max_spend", "_max_calls", "_eligible")
-        return zip(*[plain_values(rows, n) for n in names])
+        names = ("_cost", "_estimate", "_tokens", "_max_usd", "_max_part", "_max_calls", "_eligible")
+        for cost, estimate, size, usd, part, calls, eligible in zip(
+            *[plain_values(rows, n) for n in names]
+        ):
+            limit = NO_LIMIT if usd == NO_LIMIT else usd * DOLLAR + part
+            yield cost, estimate, size, limit, calls, eligible
 
     def carried(rows):
         """State brought along from earlier rows of the session, where a caller has it."""
-        names = ("_spent0", "_calls0", "_tokens0", "_refused0")
+        names = ("_usd0", "_part0", "_calls0", "_tokens0", "_refused0")
         if names[0] not in rows.schema.names:
             return itertools.repeat((0, 0, 0, False))
-        return zip(*[plain_values(rows, n) for n in names])
+        values = zip(*[plain_values(rows, n) for n in names])
+        return ((usd * DOLLAR + part, *rest) for usd, part, *rest in values)
 
     def replay(rows, fresh, state):
         spent, calls, tokens, refused = state or (0, 0, 0, False)
@@ -136,9 +161,9 @@ def _limit_fold() -> Fold:
             else:
                 verdicts.append(None)
                 spent, calls, tokens = spent + cost, calls + 1, tokens + size
-            after.append((spent, calls, tokens, refused))
+            after.append((*divmod(spent, DOLLAR), calls, tokens, refused))
         out = dict(zip(STATE, map(list, zip(*after))))
-        out["spend_before_usd"] = [b[0] / 10**12 for b in before]
+        out["spend_before_usd"] = [b[0] / DOLLAR for b in before]
         out["iterations_before"] = [b[1] for b in before]
         out["allowed"] = [None if v is SKIPPED else v is None for v in verdicts]
         out["reason"] = [None if v is SKIPPED else v for v in verdicts]
@@ -186,13 +211,14 @@ REPLAY_OUTPUT = T.StructType(
         T.StructField("reason", T.StringType()),
         T.StructField("spend_before_usd", T.DoubleType()),
         T.StructField("iterations_before", T.LongType()),
-        T.StructField("_spent", T.LongType()),
+        T.StructField("_usd", T.LongType()),
+        T.StructField("_part", T.LongType()),
         T.StructField("_calls", T.LongType()),
         T.StructField("_sum_tokens", T.LongType()),
         T.StructField("_refused", T.BooleanType()),
     ]
 )
-STATE = ["_spent", "_calls", "_sum_tokens", "_refused"]
+STATE = ["_usd", "_part", "_calls", "_sum_tokens", "_refused"]
 
 
 def replay_limits(
@@ -204,18 +230,25 @@ def replay_limits(
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """The replay with its end state per row; see ``session_replay``."""
+    limit = max_spend.cast("decimal(32,12)")
+    whole = F.floor(limit).cast("long")
     inputs = {
         "_cost": _pico("cost_usd"),
         "_estimate": _pico("estimated_cost_usd"),
         "_tokens": F.coalesce("input_tokens", F.lit(0)) if "input_tokens" in calls.columns
         else F.lit(0),
-        "_max_spend": F.coalesce(_pico(max_spend), F.lit(NO_LIMIT)),
+        "_max_usd": F.coalesce(whole, F.lit(NO_LIMIT)),
+        "_max_part": F.coalesce(_pico(limit - F.floor(limit)), F.lit(0)),
         "_max_calls": F.coalesce(max_calls.cast("long"), F.lit(NO_LIMIT)),
         "_eligible": F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False)),
     }
-    work = calls.withColumns(inputs)
+    work = calls.where("session_id IS NOT NULL").withColumns(inputs)
+    counted = (calls if counted is None else counted).where("session_id IS NOT NULL")
     out = fold(work, ["session_id"], ORDER, _limit_fold(), REPLAY_OUTPUT, max_group_rows, counted)
-    return out.drop(*inputs)
+    loose = calls.where("session_id IS NULL").withColumn(
+        "allowed", F.when(inputs["_eligible"], F.lit(True))
+    )
+    return out.drop(*inputs).unionByName(loose, allowMissingColumns=True)
 
 
 def session_replay(
@@ -241,15 +274,24 @@ def session_replay(
     ).drop(*STATE)
 
 
-def session_summary(replayed: DataFrame, closes: DataFrame | None = None) -> DataFrame:
+def session_summary(
+    replayed: DataFrame, closes: DataFrame | None = None, opened: DataFrame | None = None
+) -> DataFrame:
     """Final state per session from replayed calls and optional close events.
 
     A refusal leaves the session terminated with the last refusal's reason; closing with
-    'completed' overwrites that, any other close reason terminates.
+    'completed' overwrites that, any other close reason terminates. Sessions that were opened
+    (``opened`` has their session_id) or closed without a call have zero totals.
     """
+    rows = replayed.where("session_id IS NOT NULL").select(
+        "session_id", "timestamp", "call_id", "cost_usd", "allowed", "reason"
+    )
+    for known in (closes, opened):
+        if known is not None:
+            rows = rows.unionByName(known.select("session_id").distinct(), allowMissingColumns=True)
     passed = F.col("allowed")
     last = F.when(~passed, F.struct("timestamp", "call_id", "reason"))
-    totals = replayed.groupBy("session_id").agg(
+    totals = rows.groupBy("session_id").agg(
         F.coalesce(
             F.sum(F.when(passed, money("cost_usd"))), F.lit(0).cast(TOTAL)
         ).alias("final_spend_usd"),

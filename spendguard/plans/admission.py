@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.budgets import budget_check
 from ..operators.cost import with_cost_and_estimate
-from ..operators.governance import blocked_requests
+from ..operators.governance import blocked_requests, judged_requests
 from ..operators.ordered import MAX_GROUP_ROWS
 from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, queue_delay
 from ..operators.sessions import session_replay
@@ -21,6 +21,8 @@ def admission_report(
     rate=DEFAULT_RATE,
     burst=DEFAULT_BURST,
     max_group_rows: int = MAX_GROUP_ROWS,
+    verdicts: DataFrame | None = None,
+    fail_open: bool = True,
 ) -> DataFrame:
     """One row per call: queue wait, outcome and the cost it added.
 
@@ -28,19 +30,25 @@ def admission_report(
     outcome names the first stage that stops the call. A call uses its rate token whatever comes
     later; only executed calls add cost. The budget stage counts the spend of all earlier calls
     that passed the content gate.
+
+    Content is judged by the classification alone if ``verdicts`` is None. In standard mode, with
+    a table of external verdicts, messages that the scan hits follow theirs; a missing verdict
+    allows the message, or, not failing open, gives all calls of its request the outcome
+    ``content_error``.
     """
     columns = ["call_id", "timestamp", "org_id", "session_id", "request_id", "feature",
                "environment", "customer_id", "cost_usd", "estimated_cost_usd"]
     priced = with_cost_and_estimate(calls, pricing).select(*columns)
     queued = queue_delay(priced, ["org_id"], rate, burst, max_group_rows=max_group_rows)
 
-    # One id per blocked request; the text never leaves the gate's projection.
-    blocked = blocked_requests(messages)
-    gated = queued.join(
-        blocked.withColumn("content_blocked", F.lit(True)), "request_id", "left"
-    ).withColumn("content_blocked", F.coalesce("content_blocked", F.lit(False)))
+    # One id per stopped request; the text never leaves the gate's projection.
+    if verdicts is None:
+        stopped = blocked_requests(messages).withColumn("content", F.lit("content_blocked"))
+    else:
+        stopped = judged_requests(messages, verdicts, fail_open)
+    gated = queued.join(stopped, "request_id", "left")
 
-    passed = gated.where(~F.col("content_blocked"))
+    passed = gated.where("content IS NULL")
     verdicts = budget_check(
         passed.select(*[c for c in columns if c not in ("request_id", "session_id")]),
         policies,
@@ -58,12 +66,12 @@ def admission_report(
     replayed = session_replay(
         judged,
         limits,
-        eligible=~F.col("content_blocked") & ~F.col("budget_blocked"),
+        eligible=F.col("content").isNull() & ~F.col("budget_blocked"),
         max_group_rows=max_group_rows,
         counted=calls,
     )
     outcome = (
-        F.when(F.col("content_blocked"), "content_blocked")
+        F.when(F.col("content").isNotNull(), F.col("content"))
         .when(F.col("budget_blocked"), "budget_blocked")
         .when(~F.col("allowed"), F.concat(F.lit("session_"), "reason"))
         .otherwise(EXECUTED)

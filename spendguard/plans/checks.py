@@ -68,8 +68,9 @@ _piece(
     CASE WHEN event_id % 3 = 0 THEN k END AS cache_read_tokens,
     k + 50 AS latency_ms, 'org-1' AS org_id,
     CASE WHEN event_id % 2 = 0 THEN 'production' ELSE 'staging' END AS environment,
-    user_id || '-' || strftime(date_trunc('week', ts), '%Y%m%d') AS session_id,
-    event_id % {I.REQUESTS} AS request_id
+    CASE WHEN event_id % 9 <> 4
+      THEN user_id || '-' || strftime(date_trunc('week', ts), '%Y%m%d') END AS session_id,
+    event_id % (SELECT coalesce(max(conv_id) + 1, 1) FROM conversations) AS request_id
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
 )
 # Spark marks double literals with a D. In DuckDB a plain literal is a decimal, so cast.
@@ -292,7 +293,12 @@ CASE WHEN c_custkey % 4 = 0 THEN 10::BIGINT END AS max_iterations, 'active' AS s
 # Cost ----------------------------------------------------------------------------------------
 
 check("usage_cost", ["costed"], "SELECT call_id, model, cost_usd FROM costed")
-check("stream_cost", ["costed"], "SELECT call_id, model, cost_usd FROM costed")
+check(
+    "stream_cost",
+    ["costed"],
+    f"""SELECT call_id, model, CASE WHEN call_id % {I.PARTS} < 2 THEN cost_usd ELSE cost_usd * 2 END
+    AS cost_usd FROM costed""",
+)
 check("cost_estimate", ["costed"], "SELECT call_id, model, estimated_cost_usd FROM costed")
 _REPORT = f"""CAST(sum(CAST(cost_usd AS {MONEY})) AS DOUBLE) AS spend_usd,
     CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
@@ -472,13 +478,19 @@ check(
 _LEDGER = f"""sum(CAST(cost_usd AS {MONEY})) OVER w AS spent, row_number() OVER w AS n,
     sum(input_tokens) OVER w AS tokens"""
 _WINDOW = "WINDOW w AS (PARTITION BY session_id ORDER BY ts, call_id ROWS UNBOUNDED PRECEDING)"
-_piece("ledger", f"SELECT *, {_LEDGER} FROM costed {_WINDOW}", ["costed"])
+_piece(
+    "ledger",
+    f"SELECT *, {_LEDGER} FROM costed WHERE session_id IS NOT NULL {_WINDOW}",
+    ["costed"],
+)
+_piece("loose", "SELECT * FROM costed WHERE session_id IS NULL", ["costed"])
 check(
     "session_ledger",
-    ["ledger"],
+    ["ledger", "loose"],
     """SELECT session_id, call_id, n AS call_sequence,
     CAST(tokens AS BIGINT) AS cumulative_input_tokens, cost_usd,
-    CAST(spent AS DOUBLE) AS cumulative_cost_usd FROM ledger""",
+    CAST(spent AS DOUBLE) AS cumulative_cost_usd FROM ledger
+    UNION ALL SELECT NULL, call_id, NULL, NULL, cost_usd, NULL FROM loose""",
 )
 _piece("marked_docs", "SELECT DISTINCT id FROM kept", ["kept"])
 check(
@@ -505,8 +517,8 @@ check(
 def _replay(source):
     """Walk every session one call at a time; (spend, calls) before each call."""
     decide = f"""CASE WHEN NOT eligible THEN 'skipped'
-      WHEN spend_before + estimate > {I.SESSION_SPEND} THEN 'budget_exceeded'
-      WHEN calls_before + 1 > {I.SESSION_CALLS} THEN 'iteration_limit_exceeded' ELSE 'ok' END"""
+      WHEN spend_before + estimate > max_spend THEN 'budget_exceeded'
+      WHEN calls_before + 1 > max_calls THEN 'iteration_limit_exceeded' ELSE 'ok' END"""
     return f"""(session_id, call_id, n, cost, spend_before, calls_before, verdict) AS (
     SELECT session_id, call_id, n, cost, spend_before, calls_before, {decide}
     FROM (SELECT *, CAST(0 AS {MONEY}) AS spend_before, CAST(0 AS BIGINT) AS calls_before
@@ -520,20 +532,21 @@ def _replay(source):
       FROM replay r JOIN {source} s ON s.session_id = r.session_id AND s.n = r.n + 1))"""
 
 
+_LIMITS = f"CAST({I.SESSION_SPEND} AS {MONEY}) AS max_spend, {I.SESSION_CALLS} AS max_calls"
 _piece(
     "steps",
     f"""SELECT session_id, call_id, n, CAST(cost_usd AS {MONEY}) AS cost,
-    CAST(estimated_cost_usd AS {MONEY}) AS estimate, true AS eligible FROM ledger""",
+    CAST(estimated_cost_usd AS {MONEY}) AS estimate, true AS eligible, {_LIMITS} FROM ledger""",
     ["ledger"],
 )
 _piece("replay", _replay("steps"), ["steps"])
 check(
     "session_replay",
-    ["replay"],
+    ["replay", "loose"],
     """SELECT session_id, call_id, verdict = 'ok' AS allowed,
     CASE WHEN verdict <> 'ok' THEN verdict END AS reason,
     CAST(spend_before AS DOUBLE) AS spend_before_usd, calls_before AS iterations_before
-    FROM replay""",
+    FROM replay UNION ALL SELECT NULL, call_id, true, NULL, NULL, NULL FROM loose""",
 )
 _piece(
     "summary",
@@ -541,7 +554,10 @@ _piece(
     count(*) FILTER (verdict = 'ok') AS calls,
     arg_max(verdict, n) FILTER (verdict <> 'ok') AS refusal,
     CASE CAST(split_part(session_id, '-', 1) AS BIGINT) % 3 WHEN 0 THEN 'completed'
-      WHEN 1 THEN 'cancelled' END AS closed FROM replay GROUP BY 1""",
+      WHEN 1 THEN 'cancelled' END AS closed
+    FROM (SELECT session_id, cost, verdict, n FROM replay
+      UNION ALL SELECT DISTINCT user_id || '-idle', CAST(0 AS DECIMAL(38,12)), NULL, NULL FROM events)
+    GROUP BY 1""",
     ["replay"],
 )
 _SUMMARY = """SELECT session_id, CAST(spend AS DOUBLE) AS final_spend_usd,
@@ -560,20 +576,45 @@ check(
       AS remaining_budget_usd, greatest(0, {I.SESSION_CALLS} - calls) AS remaining_iterations
     FROM summary""",
 )
+# Streams take rows in parts, dealt by id; within a part in order of time.
+_piece(
+    "stream_ledger",
+    f"""SELECT *, row_number() OVER (PARTITION BY session_id
+      ORDER BY call_id % {I.PARTS}, ts, call_id) AS n,
+    CAST(split_part(session_id, '-', 1) AS BIGINT) % 3 AS turn
+    FROM costed WHERE session_id IS NOT NULL""",
+    ["costed"],
+)
+_piece(
+    "stream_steps",
+    f"""SELECT session_id, call_id, n, CAST(cost_usd AS {MONEY}) AS cost,
+    CAST(estimated_cost_usd AS {MONEY}) AS estimate, true AS eligible,
+    CAST(CASE turn WHEN 0 THEN {I.SESSION_SPEND} WHEN 1 THEN {I.SESSION_SPEND / 2} END AS {MONEY})
+      AS max_spend, CASE turn WHEN 0 THEN {I.SESSION_CALLS} WHEN 1 THEN 3 END AS max_calls
+    FROM stream_ledger""",
+    ["stream_ledger"],
+)
+_piece(
+    "stream_replay",
+    _replay("stream_steps").replace("FROM replay r", "FROM stream_replay r"),
+    ["stream_steps"],
+)
 check(
     "stream_session_ledger",
-    ["replay", "ledger"],
+    ["stream_replay", "stream_ledger", "loose"],
     """SELECT session_id, call_id,
     CAST(calls_before + CASE WHEN verdict = 'ok' THEN 1 ELSE 0 END AS BIGINT) AS call_sequence,
     CAST(coalesce(sum(input_tokens) FILTER (verdict = 'ok') OVER w, 0) AS BIGINT)
       AS cumulative_input_tokens,
-    CAST(spend_before + CASE WHEN verdict = 'ok' THEN cost ELSE 0 END AS DOUBLE)
+    floor(total) + CAST((total - floor(total)) * 1000000000000 AS DOUBLE) / 1e12::DOUBLE
       AS cumulative_cost_usd,
     verdict = 'ok' AS allowed, CASE WHEN verdict <> 'ok' THEN verdict END AS reason,
     CASE WHEN count(*) FILTER (verdict <> 'ok') OVER w > 0 THEN 'terminated' ELSE 'active' END
       AS status
-    FROM replay r JOIN (SELECT call_id, input_tokens FROM ledger) USING (call_id)
-    WINDOW w AS (PARTITION BY session_id ORDER BY n ROWS UNBOUNDED PRECEDING)""",
+    FROM (SELECT *, spend_before + CASE WHEN verdict = 'ok' THEN cost ELSE 0 END AS total
+      FROM stream_replay) r JOIN (SELECT call_id, input_tokens FROM stream_ledger) USING (call_id)
+    WINDOW w AS (PARTITION BY session_id ORDER BY n ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT NULL, call_id, NULL, NULL, NULL, true, NULL, NULL FROM loose""",
 )
 
 # Content -------------------------------------------------------------------------------------
@@ -775,8 +816,8 @@ check("stream_scan", ["gated"], _GATE)
 check(
     "policy_gate",
     ["gated"],
-    """SELECT request_id, msg_index, detected, id % 5 = 0 OR id % 3 <> 0 AS is_allowed,
-    CASE WHEN id % 5 <> 0 AND id % 3 = 0 THEN 'block' END AS action,
+    """SELECT request_id, msg_index, detected, NOT detected OR id % 5 = 0 OR id % 3 <> 0 AS is_allowed,
+    CASE WHEN detected AND id % 5 <> 0 AND id % 3 = 0 THEN 'block' END AS action,
     detected AND id % 5 <> 0 AND id % 3 = 0 AS blocked,
     CASE WHEN detected AND id % 5 <> 0 AND id % 3 = 0
       THEN CASE WHEN id % 2 = 0 THEN '(withheld)' ELSE redacted END END AS redacted_text
@@ -804,7 +845,8 @@ _piece(
     FROM first_blocked JOIN msg_found USING (id)""",
     ["first_blocked", "msg_found"],
 )
-check("governance_signals", ["signals"], "SELECT * FROM signals")
+for _name in ("governance_signals", "stream_signals"):
+    check(_name, ["signals"], "SELECT * FROM signals")
 check(
     "signal_rollup",
     ["signals"],
@@ -843,14 +885,56 @@ _piece(
 )
 _AUDIT = f"""call_id, feature, CAST(level AS DOUBLE) / {_UNIT} AS tokens_before,
     level >= {_UNIT} AS allowed"""
-for _name in ("rate_audit", "stream_rate_audit"):
+_piece(
+    "stream_arrivals",
+    f"""SELECT call_id, feature, CAST(epoch_us(ts) AS HUGEINT) AS us,
+    row_number() OVER (PARTITION BY feature ORDER BY call_id % {I.PARTS}, ts, call_id) AS n
+    FROM usage_calls""",
+    ["usage_calls"],
+)
+_piece(  # a call that comes late earns nothing and does not move the clock back
+    "stream_audit",
+    f"""(feature, call_id, n, us, level) AS (
+    SELECT feature, call_id, n, us, CAST({_AUDIT_FULL} AS HUGEINT) FROM stream_arrivals WHERE n = 1
+    UNION ALL
+    SELECT a.feature, a.call_id, a.n, greatest(a.us, p.us),
+      least(CAST({_AUDIT_FULL} AS HUGEINT), CASE WHEN p.level >= {_UNIT} THEN p.level - {_UNIT}
+        ELSE p.level END + greatest(0, a.us - p.us) * {_AUDIT_FILL})
+    FROM stream_audit p JOIN stream_arrivals a ON a.feature = p.feature AND a.n = p.n + 1)""",
+    ["stream_arrivals"],
+)
+for _name, _source in (("rate_audit", "audit"), ("stream_rate_audit", "stream_audit")):
     check(
         _name,
-        ["audit"],
+        [_source],
         f"""SELECT {_AUDIT}, CASE WHEN level < {_UNIT} THEN
           CAST(({_UNIT} - level + {_AUDIT_FILL * 10**6 - 1}) // {_AUDIT_FILL * 10**6} AS BIGINT) END
-          AS retry_after_s FROM audit""",
+          AS retry_after_s FROM {_source}""",
     )
+# Ten a minute, burst 1: a token is 6,000,000 units, one of which comes each microsecond.
+_piece(
+    "minute_arrivals",
+    """SELECT call_id, CAST(epoch_us(ts) AS HUGEINT) AS us,
+    row_number() OVER (ORDER BY ts, call_id) AS n FROM usage_calls""",
+    ["usage_calls"],
+)
+_piece(
+    "minute_audit",
+    """(call_id, n, us, level) AS (
+    SELECT call_id, n, us, CAST(6000000 AS HUGEINT) FROM minute_arrivals WHERE n = 1
+    UNION ALL
+    SELECT a.call_id, a.n, a.us, least(CAST(6000000 AS HUGEINT),
+      CASE WHEN p.level >= 6000000 THEN p.level - 6000000 ELSE p.level END + (a.us - p.us))
+    FROM minute_audit p JOIN minute_arrivals a ON a.n = p.n + 1)""",
+    ["minute_arrivals"],
+)
+check(
+    "rate_audit_per_minute",
+    ["minute_audit"],
+    """SELECT call_id, CAST(level AS DOUBLE) / 6000000 AS tokens_before, level >= 6000000 AS allowed,
+    CASE WHEN level < 6000000 THEN CAST((6000000 - level + 999999) // 1000000 AS BIGINT) END
+      AS retry_after_s FROM minute_audit""",
+)
 _QUEUE_FILL = int(float(QUEUE_RATE) * 10**4 + 0.5)
 
 
@@ -886,52 +970,67 @@ for _name, _unit in (
 
 # The whole path ------------------------------------------------------------------------------
 
-_piece(
-    "admission_matched",
-    _matched("half_policies").format(calls="open_calls"),
-    ["half_policies", "open_calls"],
-)
 _piece(
     "half_policies",
     "SELECT * REPLACE (budget_amount_usd / 2 AS budget_amount_usd) FROM policies",
     ["policies"],
 )
-_piece(
-    "open_calls",
-    """SELECT * FROM costed WHERE request_id NOT IN (SELECT request_id FROM first_blocked)""",
-    ["costed", "first_blocked"],
-)
-_piece(
-    "admission_refused",
-    f"SELECT call_id FROM ({_verdicts('admission_matched')}) WHERE strictest = 3",
-    ["admission_matched"],
-)
-_piece(
-    "admission_steps",
-    f"""SELECT l.session_id, l.call_id, l.n, CAST(cost_usd AS {MONEY}) AS cost,
-    CAST(estimated_cost_usd AS {MONEY}) AS estimate,
-    o.call_id IS NOT NULL AND r.call_id IS NULL AS eligible,
-    o.call_id IS NULL AS content_blocked, r.call_id IS NOT NULL AS budget_blocked, l.cost_usd
-    FROM ledger l LEFT JOIN (SELECT call_id FROM open_calls) o USING (call_id)
-    LEFT JOIN admission_refused r USING (call_id)""",
-    ["ledger", "open_calls", "admission_refused"],
-)
-_piece(
-    "admission_replay",
-    _replay("admission_steps").replace("FROM replay r", "FROM admission_replay r"),
-    ["admission_steps"],
-)
+_STOPPED = {
+    "admission_report": "SELECT request_id, 'content_blocked' AS content FROM first_blocked",
+    # Standard mode: hits follow their verdict, which every fifth message lacks.
+    "admission_report_standard": """SELECT DISTINCT request_id, 'content_blocked' AS content
+      FROM gated WHERE detected AND id % 5 <> 0 AND id % 3 = 0""",
+    "admission_report_strict": """SELECT request_id, CASE WHEN id % 5 = 0 THEN 'content_error'
+      ELSE 'content_blocked' END AS content FROM gated WHERE detected AND (id % 5 = 0 OR id % 3 = 0)
+      QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY msg_index) = 1""",
+}
 _piece("waits", _wait("org_id"), ["usage_calls"])
-check(
-    "admission_report",
-    ["admission_replay", "waits"],
-    """SELECT call_id, s.session_id, wait_s,
-    CASE WHEN content_blocked THEN 'content_blocked' WHEN budget_blocked THEN 'budget_blocked'
-      WHEN verdict = 'ok' THEN 'executed' ELSE 'session_' || verdict END AS outcome,
-    CASE WHEN verdict = 'ok' THEN cost_usd ELSE 0.0::DOUBLE END AS cost_usd
-    FROM admission_steps s JOIN admission_replay r USING (call_id)
-    JOIN (SELECT call_id, wait_s FROM waits) USING (call_id)""",
-)
+for _name, _stops in _STOPPED.items():
+    _tag = _name.replace("admission_report", "path")
+    _piece(f"{_tag}_stopped", _stops, ["gated", "first_blocked"])
+    _piece(
+        f"{_tag}_open",
+        f"SELECT * FROM costed WHERE request_id NOT IN (SELECT request_id FROM {_tag}_stopped)",
+        ["costed", f"{_tag}_stopped"],
+    )
+    _piece(
+        f"{_tag}_matched",
+        _matched("half_policies").format(calls=f"{_tag}_open"),
+        ["half_policies", f"{_tag}_open"],
+    )
+    _piece(
+        f"{_tag}_refused",
+        f"SELECT call_id FROM ({_verdicts(f'{_tag}_matched')}) WHERE strictest = 3",
+        [f"{_tag}_matched"],
+    )
+    _piece(
+        f"{_tag}_steps",
+        f"""SELECT c.session_id, c.call_id, l.n, CAST(cost_usd AS {MONEY}) AS cost,
+        CAST(estimated_cost_usd AS {MONEY}) AS estimate,
+        content IS NULL AND r.call_id IS NULL AS eligible, {_LIMITS},
+        content, r.call_id IS NOT NULL AS budget_blocked, c.cost_usd
+        FROM costed c LEFT JOIN (SELECT call_id, n FROM ledger) l USING (call_id)
+        LEFT JOIN {_tag}_stopped s ON s.request_id = c.request_id
+        LEFT JOIN {_tag}_refused r USING (call_id)""",
+        ["costed", "ledger", f"{_tag}_stopped", f"{_tag}_refused"],
+    )
+    _piece(
+        f"{_tag}_replay",
+        _replay(f"{_tag}_steps").replace("FROM replay r", f"FROM {_tag}_replay r"),
+        [f"{_tag}_steps"],
+    )
+    check(
+        _name,
+        [f"{_tag}_replay", "waits"],
+        f"""SELECT call_id, s.session_id, wait_s,
+        CASE WHEN content IS NOT NULL THEN content WHEN budget_blocked THEN 'budget_blocked'
+          WHEN coalesce(verdict, 'ok') = 'ok' THEN 'executed' ELSE 'session_' || verdict END
+          AS outcome,
+        CASE WHEN eligible AND coalesce(verdict, 'ok') = 'ok' THEN cost_usd ELSE 0.0::DOUBLE END
+          AS cost_usd
+        FROM {_tag}_steps s LEFT JOIN (SELECT call_id, verdict FROM {_tag}_replay) r USING (call_id)
+        JOIN (SELECT call_id, wait_s FROM waits) USING (call_id)""",
+    )
 
 for _name, (_needs, _sql) in _WAITING.items():
     CHECKS[_name] = _with(_needs, _sql)

@@ -5,7 +5,7 @@ Every derivation is plain arithmetic, so that the checking SQL can repeat it.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..runtime import spread
+from ..runtime import shared_path
 from ..schemas import PROVIDERS
 
 # Fixed values: (model, provider) by event_id % 6.
@@ -56,15 +56,21 @@ SUFFIXES = [
 ]
 
 SESSION_SPEND, SESSION_CALLS = 0.5, 15
-REQUESTS = 200
+PARTS = 5  # files, and so micro-batches, of a stream
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def usage_from_events(events: DataFrame) -> DataFrame:
-    """Calls out of events; works on a stream too."""
+def requests(spark, sf_dir) -> int:
+    """How many request ids there are: one for each conversation."""
+    last = table(spark, sf_dir, "conversations").agg(F.max("conv_id")).first()[0]
+    return 1 if last is None else last + 1
+
+
+def usage_from_events(events: DataFrame, requests: int) -> DataFrame:
+    """Calls out of events; works on a stream too. Every ninth call belongs to no session."""
     k = F.get_json_object("props", "$.k").cast("long")
     number = F.col("event_id") % len(MODELS)
     models = F.array(*[F.lit(m) for m, _ in MODELS])
@@ -85,30 +91,56 @@ def usage_from_events(events: DataFrame) -> DataFrame:
         (k + 50).alias("latency_ms"),
         F.lit("org-1").alias("org_id"),
         F.when(F.col("event_id") % 2 == 0, "production").otherwise("staging").alias("environment"),
-        F.concat_ws(
-            "-", F.col("user_id").cast("string"), F.date_format(F.date_trunc("week", at), "yyyyMMdd")
+        F.when(
+            F.col("event_id") % 9 != 4,
+            F.concat_ws(
+                "-",
+                F.col("user_id").cast("string"),
+                F.date_format(F.date_trunc("week", at), "yyyyMMdd"),
+            ),
         ).alias("session_id"),
-        (F.col("event_id") % REQUESTS).alias("request_id"),
+        (F.col("event_id") % requests).alias("request_id"),
     )
 
 
 def usage_calls(spark, sf_dir) -> DataFrame:
-    return usage_from_events(spread(table(spark, sf_dir, "events")))
+    return usage_from_events(table(spark, sf_dir, "events"), requests(spark, sf_dir))
 
 
-def _stream(spark, sf_dir, name) -> DataFrame:
-    """A table as a stream. The pattern matches a single file as well as a folder of files."""
-    schema = table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100)
-    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+def _stream(rows: DataFrame, name: str, part) -> DataFrame:
+    """A table as a stream of ``PARTS`` micro-batches; ``part`` says in which a row comes.
+
+    Parts are dealt by id and not by time, so each of them has rows that are later and earlier
+    than rows of the part before, and every key comes up again and again.
+    """
+    path = shared_path(rows.sparkSession, name)
+    for number in range(PARTS):
+        rows.where(part == number).coalesce(1).write.mode("append").parquet(path)
+    reader = rows.sparkSession.readStream.schema(rows.schema)
+    return reader.option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def event_stream(spark, sf_dir) -> DataFrame:
-    return _stream(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
+    return _stream(events, "events", F.col("event_id") % PARTS)
+
+
+def repeated_event_stream(spark, sf_dir) -> DataFrame:
+    """The events, a seventh of which come again: in a later part, or in their own."""
+    events = table(spark, sf_dir, "events")
+    again = events.where("event_id % 7 = 0").withColumn("_part", F.lit(PARTS - 1))
+    rows = events.withColumn("_part", F.col("event_id") % PARTS).unionByName(again)
+    return _stream(rows, "events", F.col("_part")).drop("_part")
+
+
+def call_stream(spark, sf_dir) -> DataFrame:
+    return usage_from_events(event_stream(spark, sf_dir), requests(spark, sf_dir))
 
 
 def conversation_stream(spark, sf_dir) -> DataFrame:
-    return _stream(spark, sf_dir, "conversations")
+    """Turns dealt so that the messages of a conversation come in several micro-batches."""
+    rows = table(spark, sf_dir, "conversations")
+    return _stream(rows, "conversations", (F.col("conv_id") + F.col("turn") * 3) % PARTS)
 
 
 def pricing(spark) -> DataFrame:
@@ -202,7 +234,7 @@ def _suffixed(text, number):
 
 def documents(spark, sf_dir) -> DataFrame:
     """Documents with sample personal data, secrets and account numbers added at the end."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", _suffixed(F.col("text"), F.col("doc_id")).alias("text")
     )
 
@@ -216,17 +248,34 @@ def messages_from_conversations(conversations: DataFrame) -> DataFrame:
 
 
 def pages(spark, sf_dir) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
 def messages(spark, sf_dir) -> DataFrame:
-    return messages_from_conversations(spread(table(spark, sf_dir, "conversations")))
+    return messages_from_conversations(table(spark, sf_dir, "conversations"))
 
 
 def session_limits(spark, sf_dir) -> DataFrame:
-    """The same limits for every session seen in the log."""
-    return usage_calls(spark, sf_dir).select("session_id").distinct().select(
+    """Limits for every session seen in the log and for one idle session of each user."""
+    seen = usage_calls(spark, sf_dir).where("session_id IS NOT NULL").select("session_id")
+    return seen.unionByName(idle_sessions(spark, sf_dir)).distinct().select(
         "session_id",
         F.lit(SESSION_SPEND).alias("max_spend_usd"),
         F.lit(SESSION_CALLS).cast("long").alias("max_iterations"),
     )
+
+
+def idle_sessions(spark, sf_dir) -> DataFrame:
+    """Sessions that were opened and had no call."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    return users.select(F.concat(F.col("user_id").cast("string"), F.lit("-idle")).alias("session_id"))
+
+
+def own_limits(spark, sf_dir) -> DataFrame:
+    """Limits that differ: a third of the sessions has none, a third tight ones."""
+    turn = F.pmod(F.split_part("session_id", F.lit("-"), F.lit(1)).cast("long"), F.lit(3))
+    return session_limits(spark, sf_dir).select(
+        "session_id",
+        F.when(turn == 0, F.lit(SESSION_SPEND)).when(turn == 1, F.lit(SESSION_SPEND / 2)).alias("max_spend_usd"),
+        F.when(turn == 0, F.lit(SESSION_CALLS)).when(turn == 1, F.lit(3)).cast("long").alias("max_iterations"),
+    )

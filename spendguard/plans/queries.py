@@ -12,7 +12,7 @@ from ..operators import governance as G
 from ..operators import rate as R
 from ..operators import sessions as S
 from ..operators import usage as U
-from ..runtime import shared_path
+from ..runtime import checkpointed, shared_path
 from ..sources import sinks, tables
 from ..streaming import jobs as J
 from . import inputs as I
@@ -456,14 +456,15 @@ def session_replay(spark, sf):
 
 def _closes(spark, sf):
     """Close events: a third of the customers complete, a third are cancelled, the rest stay."""
-    sessions = I.usage_calls(spark, sf).select("session_id", "customer_id").distinct()
-    turn = F.col("customer_id").cast("long") % 3
+    sessions = I.session_limits(spark, sf).select("session_id")
+    turn = F.split_part("session_id", F.lit("-"), F.lit(1)).cast("long") % 3
     reason = F.when(turn == 0, "completed").when(turn == 1, "cancelled")
     return sessions.select("session_id", reason.alias("close_reason"))
 
 
 def _summary(spark, sf):
-    return S.session_summary(_replayed(spark, sf), _closes(spark, sf))
+    closes = _closes(spark, sf).where("close_reason IS NOT NULL")
+    return S.session_summary(_replayed(spark, sf), closes, I.idle_sessions(spark, sf))
 
 
 @query
@@ -623,7 +624,7 @@ def first_blocking_message(spark, sf):
 def _signals(spark, sf):
     environment = F.when(F.col("request_id") % 2 == 0, "production").otherwise("staging")
     at = F.lit("2024-01-31").cast("timestamp")
-    return G.governance_signals(_blocked(spark, sf), F.lit("org-1"), environment, at)
+    return G.governance_signals(G.first_violations(I.messages(spark, sf)), F.lit("org-1"), environment, at)
 
 
 @query
@@ -649,6 +650,14 @@ def rate_audit(spark, sf):
     return audit.select("call_id", "feature", "tokens_before", "allowed", "retry_after_s")
 
 
+@query
+def rate_audit_per_minute(spark, sf):
+    """Ten calls a minute as a float: a sixth of a call per second."""
+    calls = I.usage_calls(spark, sf).select("call_id", "timestamp", "org_id")
+    audit = R.rate_audit(calls, ["org_id"], 10 / 60, 1)
+    return audit.select("call_id", "tokens_before", "allowed", "retry_after_s")
+
+
 @query
 def queue_delay(spark, sf):
     calls = I.usage_calls(spark, sf).select("call_id", "timestamp", "feature")
@@ -659,14 +668,11 @@ def queue_delay(spark, sf):
 # Streams -------------------------------------------------------------------------------------
 
 
-def _call_stream(spark, sf):
-    return I.usage_from_events(I.event_stream(spark, sf))
-
-
 @query
 def write_usage_stream(spark, sf):
     path, checkpoint = shared_path(spark, "usage"), shared_path(spark, "usage-checkpoint")
-    J.write_usage_stream(_call_stream(spark, sf), path, checkpoint, None).awaitTermination()
+    calls = I.usage_from_events(I.repeated_event_stream(spark, sf), I.requests(spark, sf))
+    J.write_usage_stream(calls, path, checkpoint, None).awaitTermination()
     return tables.read_usage(spark, path).select(
         "call_id", "model", "feature", "session_id", "input_tokens", "output_tokens",
         "cache_creation_tokens", "cache_read_tokens",
@@ -683,15 +689,37 @@ def stream_usage(spark, sf):
     )
 
 
+def _fixed_prices(spark):
+    return I.pricing(spark)
+
+
+def _changing_prices(spark):
+    """Reader of a price table that is replaced while the stream runs: after two micro-batches."""
+    runs = []
+
+    def read(session):
+        runs.append(None)
+        table = I.pricing(session)
+        rates = [c for c in table.columns if c.endswith("per_1k")]
+        return table if len(runs) <= 2 else table.withColumns({c: F.col(c) * 2 for c in rates})
+
+    return read
+
+
 @query
 def stream_cost(spark, sf):
-    costed = J.stream_cost(_call_stream(spark, sf), I.pricing(spark))
-    return J.drain(costed.select("call_id", "model", "cost_usd"), "cost")
+    path, checkpoint = shared_path(spark, "cost"), shared_path(spark, "cost-checkpoint")
+    prices = _changing_prices(spark)
+    J.stream_cost(I.call_stream(spark, sf), prices, path, checkpoint, None).awaitTermination()
+    return spark.read.parquet(path).select("call_id", "model", "cost_usd")
 
 
 def _stream_spend(spark, sf, window):
-    costed = J.stream_cost(_call_stream(spark, sf), I.pricing(spark))
-    spend = J.drain(J.stream_spend(costed, ["feature"], window), "spend", complete=True)
+    path, checkpoint = shared_path(spark, "spend"), shared_path(spark, "spend-checkpoint")
+    J.stream_spend(
+        I.call_stream(spark, sf), _fixed_prices, ["feature"], path, checkpoint, window, None
+    ).awaitTermination()
+    spend = J.read_spend(spark, path, ["feature"])
     return spend.select("feature", F.unix_seconds("window_start").alias("start_s"),
                         F.col("spend_usd").cast("double").alias("spend_usd"), "calls")
 
@@ -714,11 +742,11 @@ def stream_spend_monthly(spark, sf):
 @query
 def stream_session_ledger(spark, sf):
     path, checkpoint = shared_path(spark, "ledger"), shared_path(spark, "ledger-checkpoint")
+    limits = checkpointed(I.own_limits(spark, sf))
     J.stream_session_ledger(
-        _call_stream(spark, sf), I.pricing(spark), path, checkpoint,
-        I.SESSION_SPEND, I.SESSION_CALLS, interval=None,
-    ).awaitTermination()
-    return spark.read.parquet(path).drop("timestamp", "batch")
+        I.call_stream(spark, sf), _fixed_prices, lambda _: limits, path, checkpoint, None
+    ).awaitTermination()
+    return spark.read.parquet(path).drop("timestamp", "batch", "cost_usd")
 
 
 @query
@@ -731,11 +759,23 @@ def stream_scan(spark, sf):
     return J.drain(gated, "gate")
 
 
+@query
+def stream_signals(spark, sf):
+    path, checkpoint = shared_path(spark, "signals"), shared_path(spark, "signals-checkpoint")
+    messages = I.messages_from_conversations(I.conversation_stream(spark, sf))
+    environment = F.when(F.col("request_id") % 2 == 0, "production").otherwise("staging")
+    at = F.lit("2024-01-31").cast("timestamp")
+    J.stream_signals(
+        messages, F.lit("org-1"), environment, at, path, checkpoint, None
+    ).awaitTermination()
+    return J.read_signals(spark, path).drop("detected_at", "user_id", "feature", "msg_index")
+
+
 @query
 def stream_rate_audit(spark, sf):
     path, checkpoint = shared_path(spark, "rate"), shared_path(spark, "rate-checkpoint")
     J.stream_rate_audit(
-        _call_stream(spark, sf), "feature", path, checkpoint, AUDIT_RATE, AUDIT_BURST, None
+        I.call_stream(spark, sf), "feature", path, checkpoint, AUDIT_RATE, AUDIT_BURST, None
     ).awaitTermination()
     audit = spark.read.parquet(path).withColumnRenamed("key", "feature")
     return audit.drop("timestamp", "batch")
@@ -744,13 +784,28 @@ def stream_rate_audit(spark, sf):
 # The whole path ------------------------------------------------------------------------------
 
 
-@query
-def admission_report(spark, sf) -> DataFrame:
+def _admission(spark, sf, **mode) -> DataFrame:
     """With half the sample budgets, so that every stage stops some calls."""
-    policies = I.policies(spark).withColumn(
-        "budget_amount_usd", F.col("budget_amount_usd") / 2
-    )
+    policies = I.policies(spark).withColumn("budget_amount_usd", F.col("budget_amount_usd") / 2)
+    # The log as it is stored, so that the path runs on what the writer kept.
+    path = shared_path(spark, "usage")
+    sinks.write_usage(I.usage_calls(spark, sf), path)
     return admission(
-        I.usage_calls(spark, sf), I.messages(spark, sf), policies,
-        I.session_limits(spark, sf), I.pricing(spark), QUEUE_RATE, QUEUE_BURST,
-    )
\ No newline at end of file
+        tables.read_usage(spark, path), I.messages(spark, sf), policies,
+        I.session_limits(spark, sf), I.pricing(spark), QUEUE_RATE, QUEUE_BURST, **mode,
+    )
+
+
+@query
+def admission_report(spark, sf) -> DataFrame:
+    return _admission(spark, sf)
+
+
+@query
+def admission_report_standard(spark, sf) -> DataFrame:
+    return _admission(spark, sf, verdicts=_verdicts(spark, sf))
+
+
+@query
+def admission_report_strict(spark, sf) -> DataFrame:
+    return _admission(spark, sf, verdicts=_verdicts(spark, sf), fail_open=False)

@@ -46,17 +46,6 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(scan):
-    """Spread a plain file scan over idle cores when its files keep half of them busy or fewer.
-
-    A table of many files has tasks enough and is left as it is, so no large data is shuffled.
-    """
-    if scan.isStreaming:
-        return scan
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() * 2 > cores else scan.repartition(cores)
-
-
 def checkpointed(df):
     """Reliable checkpoint: cuts the lineage with files every executor can read again."""
     spark = df.sparkSession

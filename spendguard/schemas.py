@@ -31,6 +31,7 @@ USAGE = T.StructType(
         T.StructField("org_id", T.StringType()),
         T.StructField("environment", T.StringType()),
         T.StructField("session_id", T.StringType()),
+        T.StructField("request_id", T.LongType()),
     ]
 )
 

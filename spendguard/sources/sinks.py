@@ -1,6 +1,6 @@
 """Writers for usage, signals and session rows. All append to partitioned files."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..operators.usage import nullify_zero_cache
 from ..schemas import SESSION_CALLS, SESSION_CLOSURES, SIGNALS, USAGE
@@ -22,9 +22,10 @@ def write_usage(calls: DataFrame, path: str, format: str = "parquet"):
     _append(usage_rows(calls), path, format, ["date"])
 
 
-def signal_rows(signals: DataFrame) -> DataFrame:
-    """Signal columns only, so no text can slip through; a missing count is 1."""
-    typed = _typed(signals, SIGNALS)
+def signal_rows(signals: DataFrame, keys=()) -> DataFrame:
+    """Signal columns and ``keys`` only, so no text can slip through; a missing count is 1."""
+    known = [T.StructField(k, signals.schema[k].dataType) for k in keys]
+    typed = _typed(signals, T.StructType([*known, *SIGNALS.fields]))
     return typed.withColumn("violation_count", F.coalesce("violation_count", F.lit(1)))
 
 
@@ -33,8 +34,9 @@ def write_signals(signals: DataFrame, path: str, format: str = "parquet"):
 
 
 def session_call_rows(ledger: DataFrame, detected: DataFrame) -> DataFrame:
-    """Ledger rows with ``pii_detected`` from (call_id, detected); a call without text is clean."""
-    marked = ledger.withColumn("created_at", F.col("timestamp")).join(
+    """Ledger rows with ``pii_detected`` from (call_id, detected); a call without text is clean,
+    one without a session has no row."""
+    marked = ledger.where("session_id IS NOT NULL").withColumn("created_at", F.col("timestamp")).join(
         detected.select("call_id", F.col("detected").alias("pii_detected")), "call_id", "left"
     )
     marked = marked.withColumn("pii_detected", F.coalesce("pii_detected", F.lit(False)))

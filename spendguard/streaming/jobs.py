@@ -1,49 +1,83 @@
-"""The jobs as streams. Prices are a static side of each micro-batch's plan.
+"""The jobs as streams.
 
 Jobs with state per key see rows in arrival order: within one micro-batch they are ordered by
-(timestamp, call_id), and later micro-batches are taken as later in time.
+(timestamp, call_id), and later micro-batches are taken as later. No stream drops a row for being
+late: stores take what comes, sums are added up, and state is kept for every key.
 """
 
 from typing import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import pyspark.sql.types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cost import money, with_cost, with_cost_and_estimate
-from ..operators.governance import privacy_gate
+from ..operators.governance import governance_signals, message_violations, privacy_gate
 from ..operators.ordered import MAX_GROUP_ROWS, fold
 from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, RATE_OUTPUT, Bucket, bucket_fold
-from ..operators.sessions import STATE, replay_limits
+from ..operators.sessions import DOLLAR, STATE, replay_limits
 from ..runtime import checkpointed, shared_path
-from ..sources.sinks import usage_rows
+from ..schemas import TOTAL
+from ..sources.sinks import signal_rows, usage_rows
 
+#: Reads a table as it is now: called in every micro-batch, so that prices and limits refresh.
+Reader = Callable[[SparkSession], DataFrame]
 
-def stream_cost(calls: DataFrame, pricing: DataFrame) -> DataFrame:
-    """Cost each call as it arrives: a stream-static join on the model."""
-    return with_cost(calls, pricing)
+
+def _start(stream: DataFrame, process, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Run ``process(batch, number)``; ``interval=None`` drains what is there and stops."""
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    if interval is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()
+
+
+def stream_cost(
+    calls: DataFrame, prices: Reader, path: str, checkpoint: str, interval: str | None = "5 seconds"
+) -> StreamingQuery:
+    """Store the cost of each call, at the prices that hold when its micro-batch runs."""
+
+    def process(batch: DataFrame, number: int):
+        costed = with_cost(batch, prices(batch.sparkSession))
+        costed.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return _start(calls, process, checkpoint, interval)
 
 
 def stream_spend(
-    costed: DataFrame, keys: list[str], window: str | None = "1 day", lateness="1 day"
-) -> DataFrame:
-    """Spend and calls per key and tumbling window of ``costed`` calls.
+    calls: DataFrame,
+    prices: Reader,
+    keys: list[str],
+    path: str,
+    checkpoint: str,
+    window: str | None = "1 day",
+    interval: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Spend and calls per key and tumbling window, however late a call comes.
 
-    Windows start at the epoch's Monday for weeks, as calendars do. ``window=None`` groups by
-    calendar month. Rows later than ``lateness`` are dropped in append and update mode.
+    Each micro-batch stores its own sums, which ``read_spend`` adds up; a repeated one overwrites
+    its folder. Windows start on the epoch's Monday for weeks, as calendars do; ``window=None``
+    groups by calendar month.
     """
-    timed = costed.withWatermark("timestamp", lateness)
-    if window is None:
-        start = F.date_trunc("month", "timestamp").alias("window_start")
-        return timed.groupBy(start, *keys).agg(*_spend())
-    offset = "4 days" if window.split()[1].startswith("week") or window == "7 days" else "0 days"
-    spans = timed.groupBy(F.window("timestamp", window, window, offset).alias("_w"), *keys)
-    out = spans.agg(*_spend())
-    return out.withColumn("window_start", F.col("_w.start")).drop("_w")
 
+    def process(batch: DataFrame, number: int):
+        costed = with_cost(batch, prices(batch.sparkSession))
+        if window is None:
+            grouped = costed.groupBy(F.date_trunc("month", "timestamp").alias("window_start"), *keys)
+        else:
+            offset = "4 days" if window.split()[1].startswith("week") or window == "7 days" else "0 days"
+            start = F.window("timestamp", window, window, offset)["start"]
+            grouped = costed.groupBy(start.alias("window_start"), *keys)
+        sums = grouped.agg(F.sum(money("cost_usd")).cast(TOTAL).alias("spend_usd"), F.count(F.lit(1)).alias("calls"))
+        sums.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-def _spend() -> list[Column]:
-    return [F.sum(money("cost_usd")).alias("spend_usd"), F.count(F.lit(1)).alias("calls")]
+    return _start(calls, process, checkpoint, interval)
+
+
+def read_spend(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """What ``stream_spend`` has stored so far."""
+    total = F.sum("spend_usd").cast(TOTAL).alias("spend_usd")
+    return spark.read.parquet(path).groupBy("window_start", *keys).agg(total, F.sum("calls").alias("calls"))
 
 
 def stream_scan(messages: DataFrame) -> DataFrame:
@@ -51,6 +85,41 @@ def stream_scan(messages: DataFrame) -> DataFrame:
     return privacy_gate(messages)
 
 
+def stream_signals(
+    messages: DataFrame,
+    organization_id: Column,
+    environment: Column,
+    detected_at: Column,
+    path: str,
+    checkpoint: str,
+    interval: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Store the signals of blocked messages as they come, with their place and without text.
+
+    Messages of one request may come in any micro-batch; ``read_signals`` keeps those of the first
+    blocked message of each request.
+    """
+
+    def process(batch: DataFrame, number: int):
+        blocked = message_violations(batch)
+        keys = ("request_id", "msg_index")
+        signals = governance_signals(blocked, organization_id, environment, detected_at, keys)
+        rows = signal_rows(signals, keys)
+        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return _start(messages, process, checkpoint, interval)
+
+
+def read_signals(spark: SparkSession, path: str) -> DataFrame:
+    """The signals that ``stream_signals`` has stored so far, of each request's first blocked message."""
+    stored = spark.read.parquet(path).drop("batch")
+    first = stored.groupBy("request_id").agg(F.min("msg_index").alias("msg_index"))
+    return stored.join(first, ["request_id", "msg_index"], "left_semi")
+
+
+SNAPSHOT_EVERY = 50
+
+
 def run_stateful(
     stream: DataFrame,
     path: str,
@@ -59,100 +128,115 @@ def run_stateful(
     state_ddl: str,
     interval: str | None = "5 seconds",
 ) -> StreamingQuery:
-    """Run ``step(batch, state) -> (rows, new state)`` per micro-batch, with state in a table.
+    """Run ``step(batch, state) -> (rows, state of the batch's keys)`` per micro-batch.
 
     A micro-batch is then a plain table, so a hot key's rows are split over tasks by the batch
-    operators instead of meeting in one state-store task. State has one row per live key and two
-    folders that take turns, so a repeated micro-batch starts from the same state and overwrites
-    its own output. ``interval=None`` drains what is there and stops.
+    operators instead of meeting in one state-store task. The first column of the state is its
+    key, never NULL. A micro-batch writes the state of its own keys only, to a folder of its own
+    that a repetition overwrites; every ``SNAPSHOT_EVERY`` batches the newest row of each key goes
+    into one folder, so that reading stays short. ``step`` gets the newest row of all keys and
+    joins it. No key is ever forgotten: whether one will come back, no clock can tell.
     """
     schema = T.StructType.fromDDL(state_ddl)
+    key, *values = schema.fieldNames()
+
+    def newest(spark: SparkSession, number: int) -> DataFrame:
+        """State before micro-batch ``number``."""
+        base = max(0, (number - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY)
+        folders = [f"{checkpoint}/keys/batch={i}" for i in range(base, number)]
+        if base:
+            folders.append(f"{checkpoint}/keys/full/batch={base - 1}")
+        if not folders:
+            return spark.createDataFrame([], schema)
+        # Folders are read one by one: the newest batch of a key wins, the snapshot is the oldest.
+        stored = None
+        for folder in folders:
+            part = spark.read.schema(schema).parquet(folder)
+            part = part.withColumn("_at", F.lit(int(folder.rpartition("=")[2])))
+            stored = part if stored is None else stored.unionByName(part)
+        row = F.max_by(F.struct(*values), "_at").alias("_row")
+        return stored.groupBy(key).agg(row).select(key, "_row.*")
 
     def process(batch: DataFrame, number: int):
         spark = batch.sparkSession
-        if number == 0:
-            state = spark.createDataFrame([], schema)
-        else:
-            state = spark.read.schema(schema).parquet(f"{checkpoint}/keys/{(number - 1) % 2}")
-        rows, new_state = step(batch, state)
+        state = newest(spark, number)
+        if number and number % SNAPSHOT_EVERY == 0:
+            full = f"{checkpoint}/keys/full/batch={number - 1}"
+            state.write.mode("overwrite").parquet(full)
+            state = spark.read.schema(schema).parquet(full)
+        rows, ended = step(batch, state)
         rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        new_state.write.mode("overwrite").parquet(f"{checkpoint}/keys/{number % 2}")
-
-    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+        ended.select(key, *values).write.mode("overwrite").parquet(f"{checkpoint}/keys/batch={number}")
 
+    return _start(stream, process, checkpoint, interval)
 
-def _next_state(state: DataFrame, ended: DataFrame, key: str, idle_us: int) -> DataFrame:
-    """Old state overwritten by the keys of this batch, without keys idle for ``idle_us``."""
-    live = state.join(ended.select(key), key, "left_anti").unionByName(ended)
-    newest = live.agg(F.max("_last")).first()[0]
-    return live if newest is None else live.where(F.col("_last") >= newest - idle_us)
 
-
-LEDGER_STATE = """session_id string, _spent0 long, _calls0 long, _tokens0 long,
-_refused0 boolean, _last long"""
+LEDGER_STATE = "session_id string, _usd0 long, _part0 long, _calls0 long, _tokens0 long, _refused0 boolean"
 
 
 def stream_session_ledger(
     calls: DataFrame,
-    pricing: DataFrame,
+    prices: Reader,
+    limits: Reader,
     path: str,
     checkpoint: str,
-    max_spend_usd: float | None = None,
-    max_iterations: int | None = None,
-    idle: str = "7 days",
     interval: str | None = "5 seconds",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> StreamingQuery:
-    """Session ledger with limits over a stream; a session idle for ``idle`` is forgotten.
+    """Session ledger over a stream, each session with its own limits.
 
-    A refused call adds nothing, so its row shows the totals before it.
+    ``limits`` has session_id, max_spend_usd and max_iterations and is read in every micro-batch.
+    A refused call adds nothing, so its row shows the totals before it. Calls without a session
+    have no totals and are allowed. ``session_summary`` of the stored rows and the close events
+    gives the sessions' final states.
     """
-    idle_us = int(pd.Timedelta(idle).total_seconds() * 10**6)
 
     def step(batch, state):
-        priced = with_cost_and_estimate(batch, pricing).select(
+        spark = batch.sparkSession
+        priced = with_cost_and_estimate(batch, prices(spark)).select(
             "session_id", "call_id", "timestamp", "input_tokens", "cost_usd", "estimated_cost_usd"
         )
+        own = limits(spark).select("session_id", "max_spend_usd", "max_iterations")
+        begun = priced.join(own, "session_id", "left").join(state, "session_id", "left")
+        zero = {c: F.coalesce(c, F.lit(0)) for c in ("_usd0", "_part0", "_calls0", "_tokens0")}
         replayed = checkpointed(
             replay_limits(
-                priced.join(state.drop("_last"), "session_id", "left").withColumns(
-                    {
-                        "_spent0": F.coalesce("_spent0", F.lit(0)),
-                        "_calls0": F.coalesce("_calls0", F.lit(0)),
-                        "_tokens0": F.coalesce("_tokens0", F.lit(0)),
-                        "_refused0": F.coalesce("_refused0", F.lit(False)),
-                    }
-                ),
-                F.lit(max_spend_usd).cast("double"),
-                F.lit(max_iterations).cast("long"),
+                begun.withColumns(zero | {"_refused0": F.coalesce("_refused0", F.lit(False))}),
+                F.col("max_spend_usd"),
+                F.col("max_iterations"),
                 max_group_rows=max_group_rows,
                 counted=batch,
             )
         )
+        status = F.when(F.col("_refused"), "terminated").when(F.col("session_id").isNotNull(), "active")
+        spent = F.col("_usd") + F.col("_part") / float(DOLLAR)
         rows = replayed.select(
             "session_id",
             "call_id",
             "timestamp",
             F.col("_calls").alias("call_sequence"),
             F.col("_sum_tokens").alias("cumulative_input_tokens"),
-            (F.col("_spent") / 1e12).alias("cumulative_cost_usd"),
+            spent.alias("cumulative_cost_usd"),
+            "cost_usd",
             "allowed",
             "reason",
-            F.when(F.col("_refused"), "terminated").otherwise("active").alias("status"),
+            status.alias("status"),
         )
         last = F.struct("timestamp", "call_id", *STATE)
-        ended = replayed.groupBy("session_id").agg(F.max(last).alias("_end")).select(
-            "session_id",
-            F.col("_end._spent").alias("_spent0"),
-            F.col("_end._calls").alias("_calls0"),
-            F.col("_end._sum_tokens").alias("_tokens0"),
-            F.col("_end._refused").alias("_refused0"),
-            F.unix_micros("_end.timestamp").alias("_last"),
+        ended = (
+            replayed.where("session_id IS NOT NULL")
+            .groupBy("session_id")
+            .agg(F.max(last).alias("_end"))
+            .select(
+                "session_id",
+                F.col("_end._usd").alias("_usd0"),
+                F.col("_end._part").alias("_part0"),
+                F.col("_end._calls").alias("_calls0"),
+                F.col("_end._sum_tokens").alias("_tokens0"),
+                F.col("_end._refused").alias("_refused0"),
+            )
         )
-        return rows, _next_state(state, ended, "session_id", idle_us)
+        return rows, ended
 
     return run_stateful(calls, path, checkpoint, step, LEDGER_STATE, interval)
 
@@ -172,14 +256,15 @@ def stream_rate_audit(
 ) -> StreamingQuery:
     """Token-bucket audit over a stream; state per key is the level and the last call time.
 
-    A key idle long enough to fill its bucket would start full anyway and is forgotten.
+    A call that comes after later ones earns no refill and does not move the key's clock back.
     """
     bucket = Bucket.of(rate, burst)
-    fill_us = -(-bucket.full // bucket.refill)
+    # State is joined by key, which NULL would not be; the marks keep it apart from any text.
+    marked = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
 
     def step(batch, state):
         timed = batch.select(
-            F.col(key).cast("string").alias("_key"), "call_id", "timestamp",
+            marked.alias("_key"), F.col(key).cast("string").alias("key"), "call_id", "timestamp",
             F.unix_micros("timestamp").alias("_us"),
         )
         joined = timed.join(state, "_key", "left")
@@ -187,15 +272,12 @@ def stream_rate_audit(
             fold(joined, ["_key"], ["_us", "call_id"], bucket_fold(bucket), RATE_OUTPUT,
                  max_group_rows, counted=timed)
         )
-        rows = audit.select(
-            F.col("_key").alias("key"), "call_id", "timestamp", "tokens_before", "allowed",
-            "retry_after_s",
-        )
+        rows = audit.select("key", "call_id", "timestamp", "tokens_before", "allowed", "retry_after_s")
         end = F.struct("_us", "call_id", "_after", F.greatest("_us", "_last").alias("_last"))
         ended = audit.groupBy("_key").agg(F.max(end).alias("_end")).select(
             "_key", F.col("_end._after").alias("_level"), F.col("_end._last").alias("_last")
         )
-        return rows, _next_state(state, ended, "_key", fill_us)
+        return rows, ended
 
     return run_stateful(calls, path, checkpoint, step, RATE_STATE, interval)
 
@@ -203,45 +285,41 @@ def stream_rate_audit(
 def write_usage_stream(
     calls: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds"
 ) -> StreamingQuery:
-    """Store usage rows per micro-batch, once per call_id; returns the running query.
+    """Store usage rows per micro-batch, once per call_id, however late; returns the running query.
 
-    A call repeated within a day of event time is dropped by the stream's own state, and a
-    repeated micro-batch overwrites its own folder. Each day's rows of a micro-batch are gathered
-    into few files. ``interval=None`` drains what is there and stops.
+    A call that comes again, with the same time, is found among the stored rows of its day: only
+    the call_ids of the days that a micro-batch touches are read. Calls without a call_id cannot
+    be told apart and are all stored. A repeated micro-batch overwrites its own folder and does
+    not look into it. Each day's rows of a micro-batch are gathered into few files.
     """
-    rows = usage_rows(calls).withWatermark("timestamp", "1 day")
-    rows = rows.dropDuplicatesWithinWatermark(["call_id"])
 
     def store(batch: DataFrame, number: int):
-        writer = batch.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
+        spark = batch.sparkSession
+        rows = checkpointed(usage_rows(batch))
+        named = rows.where("call_id IS NOT NULL").dropDuplicates(["call_id", "date"])
+        # One row a day: the days of one micro-batch.
+        days = [r.date for r in rows.select("date").distinct().collect()]
+        folders = [f"{path}/batch={i}" for i in range(number)]
+        if folders:
+            stored = spark.read.option("basePath", path).parquet(*folders)
+            kept = F.col("date").isin([d for d in days if d is not None])
+            if None in days:
+                kept = kept | F.col("date").isNull()
+            seen = stored.where(kept).select("call_id", F.col("date").cast("date").alias("_date"))
+            same = named["call_id"].eqNullSafe(seen["call_id"]) & named["date"].eqNullSafe(seen["_date"])
+            named = named.join(seen, same, "left_anti")
+        fresh = named.unionByName(rows.where("call_id IS NULL"))
+        writer = fresh.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
         writer.parquet(f"{path}/batch={number}")
 
-    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
-
+    return _start(calls, store, checkpoint, interval)
 
-def drain(stream: DataFrame, name: str, complete: bool = False) -> DataFrame:
-    """Run a stream over the data that is there now and read back what it wrote.
 
-    Append output goes to a file sink. Complete output replaces one folder per micro-batch; the
-    last folder is the result.
-    """
+def drain(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream over the data that is there now, into files, and read them back."""
     spark = stream.sparkSession
     path, checkpoint = shared_path(spark, name), shared_path(spark, f"{name}-checkpoint")
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
-    if not complete:
-        query = writer.format("parquet").option("path", path).trigger(availableNow=True).start()
-        query.awaitTermination()
-        return spark.read.schema(stream.schema).parquet(path)
-
-    last = {}
-
-    def replace(batch: DataFrame, number: int):
-        last["path"] = f"{path}/{number}"
-        batch.write.mode("overwrite").parquet(last["path"])
-
-    query = writer.outputMode("complete").foreachBatch(replace).trigger(availableNow=True).start()
+    query = writer.format("parquet").option("path", path).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(last["path"])
+    return spark.read.schema(stream.schema).parquet(path)

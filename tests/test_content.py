@@ -1,6 +1,7 @@
 """Scanner results on known texts, and against the same patterns in Python's ``re``."""
 
 import re
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -226,3 +227,33 @@ def test_scan_agrees_with_a_plain_loop(spark, texts):
         entities, redacted = expected(text)
         assert [(e.type, e.start, e.end) for e in scan.entities] == entities, repr(text)
         assert scan.redacted_text == redacted, repr(text)
+
+
+def test_time_grows_with_the_hits_and_not_their_square(spark):
+    """One text with 2,000, then 16,000 telephone numbers; spans, overlaps and redaction."""
+    seconds = []
+    for n in (2_000, 16_000):
+        text = " and ".join(f"555-{i % 900 + 100}-{i % 9000 + 1000}" for i in range(n))
+        df = spark.createDataFrame([(text,)], "text string").select(C.scan(F.col("text")).alias("s"))
+        for _ in range(2):
+            start = time.perf_counter()
+            row = df.first().s
+            took = time.perf_counter() - start
+        seconds.append(took)
+        assert len(row.entities) == n and row.redacted_text == " and ".join(["[PHONE_US]"] * n)
+        assert [e.start for e in row.entities] == [i * 17 for i in range(n)]
+    assert seconds[1] < 20 * seconds[0] + 2
+
+
+def test_longest_of_one_start_wins(spark):
+    from spendguard.functions.spans import SPAN_DDL, remove_overlaps
+
+    def kept(spans):
+        rows = [(s, r, e, "t", "v", s, e) for s, e, r in spans]
+        df = spark.createDataFrame([(rows,)], f"spans {SPAN_DDL}")
+        return [(s.start, s.end, s.rank) for s in df.select(remove_overlaps(F.col("spans")).alias("k")).first().k]
+
+    assert kept([(0, 3, 0), (0, 5, 1), (4, 6, 2), (5, 7, 3)]) == [(0, 5, 1), (5, 7, 3)]
+    assert kept([(0, 3, 1), (0, 3, 0), (2, 9, 0), (3, 4, 0)]) == [(0, 3, 0), (3, 4, 0)]
+    many = [(i, i + 2, 0) for i in range(1000)]
+    assert kept(many) == [(i, i + 2, 0) for i in range(0, 1000, 2)]

@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,23 @@ def test_messages(spark):
     df = spark.createDataFrame(bodies, "request_id long, provider string, body string")
     out = {(r.request_id, r.msg_index): r.text for r in tables.load_messages(df).collect()}
     assert out == {(1, 0): "hi", (1, 2): "", (2, 0): "a  b", (2, 2): "x", (3, 0): "prompt"}
+
+
+def test_asof_takes_the_price_of_the_moment(spark):
+    """Many versions a day, a tie, a gap before the first, an open end, and an unchanged one."""
+    rates = "output_cost_per_1k double, cache_creation_cost_per_1k double, cache_read_cost_per_1k double"
+    start = datetime(2024, 1, 1)
+    history = [("m", start + timedelta(minutes=7 * i), float(i // 2), 0.0, None, None, i) for i in range(400)]
+    history += [("m", start + timedelta(days=1), 900.0, 0.0, None, None, 1000), ("tied", start, 5.0, 0.0, None, None, 2), ("tied", start, 7.0, 0.0, None, None, 1)]
+    prices = spark.createDataFrame(history, f"model string, effective_from timestamp, input_cost_per_1k double, {rates}, version long")
+    at = [start + timedelta(minutes=m) for m in (-1, 0, 1, 7, 8, 14, 1439, 1440, 1441, 2800, 99999)]
+    calls = [(i, m, t) for i, (m, t) in enumerate((m, t) for m in ("m", "tied", "none") for t in at)]
+    table = spark.createDataFrame(calls, "call_id long, model string, timestamp timestamp").selectExpr(
+        "*", "1000L AS input_tokens", "0L AS output_tokens", "NULL AS cache_creation_tokens", "NULL AS cache_read_tokens"
+    )
+    got = {r.call_id: r.cost_usd for r in K.with_cost_asof(table, prices, "version").collect()}
+    for i, model, t in calls:
+        known = [h for h in history if h[0] == model and h[1] <= t]
+        assert got[i] == (max(known, key=lambda h: (h[1], h[6]))[2] if known else 0.0), (model, t)
+    merged = K.price_intervals(prices, "version").where("model = 'm'").count()
+    assert merged == 200 + 1  # one in two versions changes nothing

@@ -297,19 +297,36 @@ def test_ineligible_calls_stay_undecided_and_do_not_count(spark, calls):
 
 
 def test_blocks_of_time_and_frozen_blocks(spark, calls):
-    sizes = group_sizes(calls, ["session_id"], "timestamp", SMALL)
-    assert sizes.total == 3000 and sizes.largest == 1000 and sizes.width > 1
+    sizes = group_sizes(calls, ["session_id"], "timestamp")
+    assert sizes.total == 3000 and sizes.largest == 1000
     args = calls, calls, ["session_id"], "timestamp"
-    assert time_blocks(*args, sizes.width, 500).select("_block").distinct().count() > 10
+    assert time_blocks(*args, SMALL).select("_block").distinct().count() > 10
     # A burst at one instant cannot be cut by time.
-    assert time_blocks(*args, 10**15, SMALL) is None
     same = calls.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    assert time_blocks(same, same, ["session_id"], "timestamp", SMALL) is None
     plain, cut = [
         sorted(map(tuple, S.session_ledger(same, max_group_rows=n).collect()))
         for n in (10**6, SMALL)
     ]
     assert plain == cut
-    assert group_sizes(same, ["session_id"], "timestamp", SMALL).width is None
+
+
+def test_hot_groups_of_different_density_have_their_own_blocks(spark):
+    """2,000 rows within half a second, and 2,000 over a year, and the same without a key."""
+    second, year = 250, 365 * 24 * 3600 * 500
+    rows = [(k, i, i * step) for k, step in (("fast", second), ("slow", year), (None, year)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "session_id string, call_id long, at long").select(
+        "session_id", "call_id", F.timestamp_micros("at").alias("timestamp"), F.lit(0.5).alias("cost_usd"),
+        F.lit(1).cast("long").alias("input_tokens"),
+    )
+    blocked = time_blocks(df, df, ["session_id"], "timestamp", 100)
+    counts = {r.session_id: r.n for r in blocked.groupBy("session_id").agg(F.countDistinct("_block").alias("n")).collect()}
+    assert all(20 <= n <= 82 for n in counts.values()) and len(counts) == 3
+    plain, cut = [
+        sorted(map(str, running(df, ["session_id"], ["timestamp", "call_id"], {"n": F.lit(1)}, max_group_rows=n).collect()))
+        for n in (10**6, 100)
+    ]
+    assert plain == cut
 
 
 def test_hot_session_ledger_and_refusal_equal_plain(spark, calls, blocks):
@@ -339,3 +356,52 @@ def test_hot_budget_jobs_equal_plain(spark, calls, blocks):
     ):
         plain, cut = [sorted(map(str, job(n).collect())) for n in (10**6, SMALL)]
         assert plain == cut and plain
+
+
+def test_calls_without_a_session_pass_by(spark):
+    ddl = "call_id long, session_id string, timestamp timestamp, cost_usd double, estimated_cost_usd double, input_tokens long"
+    at = F.lit("2024-01-01").cast("timestamp")
+    rows = [(i, None if i % 2 else "s", None, 5e6, 5e6, 1) for i in range(10)]
+    df = spark.createDataFrame(rows, ddl).withColumn("timestamp", at)
+    limits = limits_df(spark, [("s", 2e7, None), ("idle", 1.0, 3), (None, 0.0, 0)])
+    ledger = {r.call_id: r for r in S.session_ledger(df).collect()}
+    assert ledger[8].call_sequence == 5 and ledger[8].cumulative_cost_usd == 25_000_000
+    assert ledger[1].call_sequence is None and ledger[1].call_type == "llm" and len(ledger) == 10
+    replayed = S.session_replay(df, limits)
+    for limit in (10**6, 2):
+        out = {r.call_id: r for r in S.session_replay(df, limits, max_group_rows=limit).collect()}
+        # Five million dollars a call: more than 64 bits of 1e-12 dollars hold.
+        assert [out[i].allowed for i in (0, 2, 4, 6, 8)] == [True] * 4 + [False]
+        assert all(out[i].allowed and out[i].iterations_before is None for i in (1, 3, 5))
+    first = S.session_first_refusal(df, limits).collect()
+    assert [(r.session_id, r.call_id) for r in first] == [("s", 8)]
+    closes = spark.createDataFrame([("gone", "completed")], "session_id string, close_reason string")
+    opened = limits.where("session_id IS NOT NULL")
+    summary = S.session_summary(replayed, closes, opened)
+    rows = {r.session_id: (r.final_iteration_count, float(r.final_spend_usd), r.status) for r in summary.collect()}
+    assert rows == {"s": (4, 2e7, "terminated"), "idle": (0, 0.0, "active"), "gone": (0, 0.0, "completed")}
+    left = {r.session_id: r.remaining_iterations for r in S.session_remaining(S.session_summary(replayed), opened).collect()}
+    assert left == {"s": None, "idle": 3}
+
+
+@pytest.mark.parametrize("rate", [1 / 3, 10 / 60, 0.1, 2 / 7, 1e-9, 123.456, 10, "1/3600", Decimal("0.7")])
+def test_any_positive_rate(rate):
+    made = R.Bucket.of(rate, 50)
+    assert abs(made.refill * 10**6 / made.token - float(Fraction(rate))) <= 1e-12 * float(Fraction(rate))
+    assert made.full == 50 * made.token
+
+
+@pytest.mark.parametrize("rate, burst", [(0, 1), (-1, 1), (1, 0), ("1/12345678901234567", 50)])
+def test_rates_that_cannot_be_kept_are_refused_at_once(rate, burst):
+    with pytest.raises(ValueError):
+        R.Bucket.of(rate, burst)
+
+
+def test_float_rate_in_a_job(spark):
+    rows = [(i, "k", i * 100_000) for i in range(20)]
+    df = spark.createDataFrame(rows, "call_id long, key string, at long").withColumn("timestamp", F.timestamp_micros("at"))
+    exact, floating = [
+        sorted((r.call_id, r.allowed, r.retry_after_s) for r in R.rate_audit(df, ["key"], rate, 2).collect())
+        for rate in ("1/3", 1 / 3)
+    ]
+    assert exact == floating and {a for _, a, _ in exact} == {True, False}

@@ -1,5 +1,7 @@
 """Streams fed file by file give what the batch job gives on the whole."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from spendguard.operators import cost as K
 from spendguard.operators import rate as R
 from spendguard.operators import sessions as S
 from spendguard.plans import inputs as I
-from spendguard.runtime import shared_path
+from spendguard.runtime import checkpointed, shared_path
 from spendguard.sources import sinks, tables
 from spendguard.streaming import jobs as J
 
@@ -36,29 +38,60 @@ def paths(spark, name):
     return shared_path(spark, name), shared_path(spark, f"{name}-checkpoint")
 
 
-@pytest.mark.parametrize("limit", [10**6, 20])
-def test_session_ledger(spark, log, limit):
+def source(spark, name, batches, schema):
+    """A stream of one micro-batch for each list of rows."""
+    path = shared_path(spark, name)
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@pytest.mark.parametrize("limit,every", [(10**6, 50), (20, 50), (10**6, 2)])
+def test_session_ledger(spark, log, limit, every, monkeypatch):
+    monkeypatch.setattr(J, "SNAPSHOT_EVERY", every)
     path, checkpoint = paths(spark, "ledger")
+    limits = checkpointed(I.session_limits(spark, SF))
     query = J.stream_session_ledger(
-        stream(spark, log), I.pricing(spark), path, checkpoint, 0.5, 15, "60 days", None, limit
+        stream(spark, log), I.pricing, lambda _: limits, path, checkpoint, None, limit
     )
     query.awaitTermination()
     out = spark.read.parquet(path)
     assert out.select("batch").distinct().count() == PARTS
     calls = K.with_cost_and_estimate(tables.read_usage(spark, log), I.pricing(spark))
-    batch = S.session_replay(calls, I.session_limits(spark, SF)).select(
-        "call_id", "allowed", "reason"
-    )
+    batch = S.session_replay(calls, limits)
     streamed = out.select("call_id", "allowed", "reason")
-    assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
-    final = S.session_summary(S.session_replay(calls, I.session_limits(spark, SF)))
-    last = out.groupBy("session_id").agg(
+    same = batch.select("call_id", "allowed", "reason")
+    assert sorted(map(str, streamed.collect())) == sorted(map(str, same.collect()))
+    last = out.where("session_id IS NOT NULL").groupBy("session_id").agg(
         F.max("call_sequence").alias("n"), F.max("cumulative_cost_usd").alias("spend")
     )
     both = {r.session_id: r for r in last.collect()}
-    for r in final.collect():
+    final = S.session_summary(batch).collect()
+    for r in final:
         assert both[r.session_id].n == r.final_iteration_count
         assert both[r.session_id].spend == pytest.approx(float(r.final_spend_usd))
+    assert sorted(map(str, S.session_summary(out).collect())) == sorted(map(str, final))
+
+
+CALL = "session_id string, call_id long, timestamp timestamp, model string, input_tokens long, output_tokens long, cache_creation_tokens long, cache_read_tokens long"
+
+
+def test_sessions_are_never_forgotten(spark):
+    """A session over its limit stays refused, however long other traffic goes on."""
+
+    def call(session, number, day, tokens):
+        return (session, number, datetime(2024, 1, day), "gpt-4", tokens, 0, None, None)
+
+    batches = [[call("a", 1, 1, 10_000)], [call("b", 2, 20, 1)], [call("b", 3, 25, 1), call("a", 4, 25, 1), call(None, 5, 25, 10**6)]]
+    limits = spark.createDataFrame([("a", 0.1, None)], "session_id string, max_spend_usd double, max_iterations long")
+    path, checkpoint = paths(spark, "long-lived")
+    J.stream_session_ledger(
+        source(spark, "sessions", batches, CALL), I.pricing, lambda _: limits, path, checkpoint, None
+    ).awaitTermination()
+    out = {r.call_id: r for r in spark.read.parquet(path).collect()}
+    # The first call's estimate fits; its cost takes the session beyond its limit.
+    assert out[1].allowed and out[2].allowed and out[3].allowed
+    assert not out[4].allowed and out[5].allowed and out[5].cumulative_cost_usd is None
 
 
 @pytest.mark.parametrize("limit", [10**6, 20])
@@ -74,43 +107,61 @@ def test_rate_audit(spark, log, limit):
     assert {r.allowed for r in streamed} == {True, False}
 
 
-def test_idle_sessions_start_over(spark, log):
-    path, checkpoint = paths(spark, "idle")
-    J.stream_session_ledger(
-        stream(spark, log), I.pricing(spark), path, checkpoint, None, None, "1 second", None
-    ).awaitTermination()
-    out = spark.read.parquet(path)
-    starts = out.where("call_sequence = 1").count()
-    assert starts > out.select("session_id").distinct().count()
+def test_other_keys_do_not_fill_a_bucket(spark):
+    """Rate 1, burst 1: A at 0 s and B at 600 s, then A at 0.1 s, and the same without a key."""
+    start = datetime(2024, 1, 1)
+    rows = [[("A", 1, start), ("B", 2, start + timedelta(seconds=600)), (None, 4, start)],
+            [("A", 3, start + timedelta(seconds=0.1)), (None, 5, start)]]
+    calls = source(spark, "clocks", rows, "feature string, call_id long, timestamp timestamp")
+    path, checkpoint = paths(spark, "clocks-out")
+    J.stream_rate_audit(calls, "feature", path, checkpoint, 1, 1, None).awaitTermination()
+    allowed = {r.call_id: r.allowed for r in spark.read.parquet(path).collect()}
+    assert allowed == {1: True, 2: True, 3: False, 4: True, 5: False}
 
 
-def test_spend_emits_closed_windows_only_in_append_mode(spark, log):
-    costed = J.stream_cost(stream(spark, log), I.pricing(spark))
-    done = J.drain(J.stream_spend(costed, ["feature"], "1 day", "1 day"), "spend-append")
-    whole = J.drain(
-        J.stream_spend(costed, ["feature"], "1 day", "1 day"), "spend-complete", complete=True
+def test_spend_counts_late_calls(spark, log):
+    late = spark.read.schema(tables.USAGE).parquet(log).where("call_id < 5").withColumn(
+        "timestamp", F.lit("2001-01-01").cast("timestamp")
     )
-    done_rows = {tuple(r) for r in done.select("feature", "window_start", "calls").collect()}
-    all_rows = {tuple(r) for r in whole.select("feature", "window_start", "calls").collect()}
-    assert done_rows < all_rows
-    assert sum(r[2] for r in all_rows) == tables.read_usage(spark, log).count()
+    twice = shared_path(spark, "late")
+    for rows in (tables.read_usage(spark, log), late):
+        rows.coalesce(1).write.mode("append").parquet(twice)
+    path, checkpoint = paths(spark, "spend")
+    J.stream_spend(
+        stream(spark, twice), I.pricing, ["feature"], path, checkpoint, "1 day", None
+    ).awaitTermination()
+    rows = J.read_spend(spark, path, ["feature"])
+    assert rows.agg(F.sum("calls")).first()[0] == tables.read_usage(spark, twice).count()
+    assert rows.where("window_start < '2002-01-01'").agg(F.sum("calls")).first()[0] == late.count()
 
 
-def test_usage_is_stored_once_per_call(spark):
-    source, (path, checkpoint) = shared_path(spark, "twice"), paths(spark, "once")
+def test_usage_is_stored_once_per_call_however_late(spark):
+    place, (path, checkpoint) = shared_path(spark, "twice"), paths(spark, "once")
     rows = sinks.usage_rows(I.usage_calls(spark, SF)).drop("date")
-    for _ in range(2):
-        rows.coalesce(1).write.mode("append").parquet(source)
+    late = rows.limit(3).withColumns(
+        {"call_id": F.col("call_id") + 10**9, "timestamp": F.lit("2001-01-01").cast("timestamp")}
+    )
+    unnamed = rows.limit(2).withColumn("call_id", F.lit(None).cast("long"))
+    for part in (rows, rows, late, late, unnamed):
+        part.coalesce(1).write.mode("append").parquet(place)
     for _ in range(2):  # a second run finds nothing new
-        J.write_usage_stream(stream(spark, source), path, checkpoint, None).awaitTermination()
+        J.write_usage_stream(stream(spark, place), path, checkpoint, None).awaitTermination()
     stored = tables.read_usage(spark, path)
-    assert stored.count() == stored.select("call_id").distinct().count() == rows.count()
-
-
-def test_stream_scan_matches_batch(spark):
-    from spendguard.operators.governance import privacy_gate
-
-    gated = J.stream_scan(I.messages_from_conversations(I.conversation_stream(spark, SF)))
-    streamed = J.drain(gated, "gate").collect()
-    batch = privacy_gate(I.messages(spark, SF)).collect()
-    assert sorted(map(str, streamed)) == sorted(map(str, batch))
+    assert stored.count() == rows.count() + 3 + 2
+    assert stored.select("call_id").distinct().count() == rows.count() + 3 + 1
+
+
+def test_stream_scan_and_signals_match_batch(spark):
+    from spendguard.operators import governance as G
+
+    messages = I.messages(spark, SF)
+    arriving = I.messages_from_conversations(I.conversation_stream(spark, SF))
+    streamed = J.drain(J.stream_scan(arriving), "gate").collect()
+    assert sorted(map(str, streamed)) == sorted(map(str, G.privacy_gate(messages).collect()))
+    path, checkpoint = paths(spark, "signals")
+    place = F.lit("o"), F.lit("e"), F.lit("2024-01-31").cast("timestamp")
+    J.stream_signals(arriving, *place, path, checkpoint, None).awaitTermination()
+    batch = G.governance_signals(G.first_violations(messages), *place)
+    columns = ["request_id", "violation_type", "violation_subtype", "detected_at"]
+    got = J.read_signals(spark, path).select(columns).collect()
+    assert sorted(map(str, got)) == sorted(map(str, batch.select(columns).collect()))

@@ -16,8 +16,10 @@ items are all found; repeated documents give repeated rows; empty tables give no
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -142,41 +144,43 @@ def tile(item: list[str], runs: list[list[str]], least: int = GRAM) -> list[tupl
     tiles: list[tuple[int, int, int]] = []
     size = max(least, min(len(item), 32))
     while True:
-        found, longest = _matches(p, t, size)
-        if longest > 2 * size:
-            size = longest
-            continue
-        for length, a, b in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            if all(p.free[a : a + length]) and all(t.free[b : b + length]):
-                p.free[a : a + length] = t.free[b : b + length] = [False] * length
-                tiles.append((a, b, length))
-        if found and _matches(p, t, size)[0]:
-            continue  # parts of matches that another tile cut into
+        queue = [(-n, a, b) for n, a, b in _matches(p, t, size)]
+        heapq.heapify(queue)
+        while queue:
+            n, a, b = heapq.heappop(queue)
+            free = [p.free[a + i] and t.free[b + i] for i in range(-n)]
+            if all(free):
+                p.free[a : a - n] = t.free[b : b - n] = [False] * -n
+                tiles.append((a, b, -n))
+                continue
+            i = 0  # another tile cut into it: what is left of it waits for its turn
+            for open_, run in groupby(free):
+                k = len(list(run))
+                if open_ and k >= size:
+                    heapq.heappush(queue, (-k, a + i, b + i))
+                i += k
         if size <= least:
             return tiles
         size = max(least, size // 2)
 
 
-def _matches(p: _Tokens, t: _Tokens, size: int) -> tuple[list[tuple[int, int, int]], int]:
-    """Longest free matches ``(length, a, b)`` of at least ``size`` words, and the greatest length."""
+def _matches(p: _Tokens, t: _Tokens, size: int) -> list[tuple[int, int, int]]:
+    """Longest free matches ``(length, a, b)`` of at least ``size`` words."""
     at: dict[int, list[int]] = defaultdict(list)
     for b, h in t.windows(size):
         at[h].append(b)
-    found, longest, end = [], 0, {}
+    found, end = [], {}
     for a, h in p.windows(size):
         for b in at.get(h, ()):
             if end.get(b - a, -1) >= a + size:  # inside the match of this diagonal that was found last
                 continue
-            n = 0
-            while (
-                a + n < len(p.numbers) and b + n < len(t.numbers) and p.numbers[a + n] == t.numbers[b + n] and p.free[a + n] and t.free[b + n]
-            ):
+            n, most = 0, min(len(p.numbers) - a, len(t.numbers) - b)
+            while n < most and p.numbers[a + n] == t.numbers[b + n] and p.free[a + n] and t.free[b + n]:
                 n += 1
-            if n >= size:
+            if n >= size:  # else the hashes are equal by chance
                 found.append((n, a, b))
-                longest = max(longest, n)
                 end[b - a] = a + n
-    return found, longest
+    return found
 
 
 def _joined(large: DataFrame, small: DataFrame, key: str, by: str, bound: int = SMALL) -> DataFrame:

@@ -23,11 +23,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from spendguard.llm.common import one_of_each, row_keys, salted, with_salt, without
+from spendguard.llm.common import salted, with_salt
 from spendguard.llm.components import components
 from spendguard.runtime import checkpointed
 
@@ -57,31 +57,33 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, fp)`` of every row, and the columns ``keep``."""
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """``(doc_id, fp)`` of every row."""
 
     @pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", *keep, of(F.col("text")).alias("fp"))
+    return docs.select("doc_id", of(F.col("text")).alias("fp"))
 
 
-def _keys(fps: DataFrame, distance: int) -> DataFrame:
-    """``(fp, key)``: a key for each two of the blocks, made of their number and their bits."""
+def block_keys(fp: Column, distance: int) -> Column:
+    """Array of ``(pair, bits)``: for each two of the blocks their number and the fingerprint's bits in them."""
     blocks = distance + 2
     edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
+    both = [a | b for a, b in combinations(masks, 2)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in both]
+    return F.array(
+        *[F.struct(F.lit(i).alias("pair"), fp.bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)]
+    )
 
-    def signed(x: int) -> int:
-        return x - (1 << 64) if x >> 63 else x
 
-    each = [
-        F.struct(F.lit(i).alias("pair"), F.col("fp").bitwiseAND(F.lit(signed(a | b))).alias("bits"))
-        for i, (a, b) in enumerate(combinations(masks, 2))
-    ]
-    return fps.select("fp", F.explode(F.array(*each)).alias("key")).select("fp", "key.pair", "key.bits")
+def midpoints(fp: Column) -> Column:
+    """The 65 values that differ from a fingerprint in at most one bit."""
+    flips = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
+    return F.array(fp, *[fp.bitwiseXOR(F.lit(f)) for f in flips])
 
 
 def close_pairs(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFrame:
@@ -92,7 +94,7 @@ def close_pairs(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFr
     """
     if not 0 <= distance <= 2:
         raise ValueError("distance must be 0, 1 or 2")
-    keys = _keys(fps, distance)
+    keys = fps.select("fp", F.inline(block_keys(F.col("fp"), distance)))
     shared = keys.groupBy("pair", "bits").agg(F.count("*").alias("n")).where("n > 1")
     by = ["pair", "bits"]
     held = with_salt(keys, F.col("fp"), SALTS).join(salted(shared, SALTS), [*by, "_salt"]).select("fp", *by, "n")
@@ -108,36 +110,30 @@ def close_pairs(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFr
         return pairs.distinct()
     many = held.where(F.col("n") > crowd).select("fp").distinct()
     if distance == 2:
-        flips = [F.col("fp").bitwiseXOR(F.lit((1 << i) if i < 63 else -(1 << 63))) for i in range(64)]
-        middle = many.select("fp", F.explode(F.array(F.col("fp"), *flips)).alias("middle"))
+        middle = many.select("fp", F.explode(midpoints(F.col("fp"))).alias("middle"))
         around = middle.groupBy("middle").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
         star = around.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).where("u <> v")
     else:
-        flips = [F.col("fp").bitwiseXOR(F.lit((1 << i) if i < 63 else -(1 << 63))) for i in range(64)]
-        star = many.select(F.col("fp").alias("u"), F.explode(F.array(*flips)).alias("v"))
+        star = many.select(F.col("fp").alias("u"), F.explode(midpoints(F.col("fp"))).alias("v"))
         star = star.join(many.select(F.col("fp").alias("v")), "v", "left_semi").where("u > v").select("u", "v")
     return pairs.unionByName(star).distinct()
 
 
 def classes(prints: DataFrame, distance: int = 2) -> DataFrame:
-    """Rows ``(doc_id, fp, ...)``, which should be read from a checkpoint, with ``root`` and ``component_id``.
-
-    ``component_id`` is the smallest doc_id that links lead to, the row's own included; ``root`` is a fingerprint that
-    names the component also where no row of it has an id.
-    """
+    """Rows ``(doc_id, fp)``, which should be read from a checkpoint, with ``component_id``: the smallest doc_id that
+    links lead to, the row's own included (null if no row of the component has an id)."""
     smallest = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     reach = components(close_pairs(smallest.select("fp"), distance)).select(F.col("node").alias("fp"), "component")
     joined = checkpointed(smallest.join(reach, "fp"))
     # A component may hold many fingerprints: minima are combined before the shuffle and joined with salted keys.
     best = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = with_salt(joined, F.col("fp"), SALTS).join(salted(best, SALTS), ["component", "_salt"])
-    linked = checkpointed(linked.select("fp", F.col("component").alias("root"), "component_id"))
-    named = smallest.join(linked, "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    linked = checkpointed(linked.select("fp", F.lit(True).alias("linked"), "component_id"))
+    own = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least"))
+    named = smallest.join(linked, "fp", "left").select("fp", own.alias("component_id"))
     named = salted(checkpointed(named), SALTS)
     # All rows may share one fingerprint: the row's number, not its id, deals them out.
-    return with_salt(prints, F.monotonically_increasing_id(), SALTS).join(named, ["fp", "_salt"]).drop("_salt")
+    return with_salt(prints, F.monotonically_increasing_id(), SALTS).join(named, ["fp", "_salt"]).select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -145,20 +141,3 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     found = classes(checkpointed(fingerprints(docs, shingle)), distance)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
-
-
-def first_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id stays, rows
-    without an id last; of equal rows one stays."""
-    read = docs.select("doc_id", "text", *row_keys(docs))
-    prints = checkpointed(fingerprints(read, shingle, keep=("_id", "_no_id", "_hash")))
-    keys = ["_no_id", "_id", "_hash"]
-    found = checkpointed(classes(prints, distance).select("root", *keys))
-    best = found.groupBy("root").agg(F.min(F.struct(*keys)).alias("best"), F.count("*").alias("n")).where("n > 1")
-    each = with_salt(found, F.monotonically_increasing_id(), SALTS).join(salted(best, SALTS), ["root", "_salt"])
-    gone = checkpointed(each.where(F.struct(*keys) != F.col("best")).select(*keys).distinct())
-    # Equal rows have one key, so they stay or go together; those of a key that stays more than once are made one.
-    several = each.where(F.struct(*keys) == F.col("best")).groupBy(*keys).agg(F.count("*").alias("m")).where("m > 1")
-    several = checkpointed(several.select(*keys))
-    rest = without(docs, several.unionByName(gone))
-    return rest if several.isEmpty() else rest.unionByName(one_of_each(docs, several))

@@ -1,0 +1,90 @@
+import random
+
+from spendguard.llm import near_copies
+from tests.llm.helpers import docs
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def alike(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def survivors(rows):
+    """Ids that stay when all pairs are compared."""
+    ids = [i for i, _ in rows]
+    root = dict(zip(ids, ids, strict=True))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, (i, a) in enumerate(rows):
+        for j, b in rows[:x]:
+            if alike(a, b):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return sorted({find(i) for i in ids})
+
+
+def edited(rng, words, vocabulary, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = rng.choice(vocabulary)
+    return " ".join(words)
+
+
+def corpus():
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(12):
+        base = rng.choices(vocabulary, k=rng.randint(60, 400))
+        rows.append(" ".join(base))
+        rows += [edited(rng, base, vocabulary, rng.randint(0, 2)) for _ in range(5)]
+        rows += [edited(rng, base, vocabulary, len(base) // 8) for _ in range(2)]  # too far off
+        shuffled = list(base)
+        rng.shuffle(shuffled)
+        rows.append(" ".join(shuffled))  # the same words, but no likeness
+    rows += [rows[0].upper(), rows[9].replace(" ", "\n"), "", " ", "one", "one two three", "ONE two  three"]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_one_of_each_group_stays(spark):
+    rows = corpus()
+    expected = survivors(rows)
+    assert sorted(r.doc_id for r in near_copies.first_of_each(docs(spark, rows)).collect()) == expected
+    assert len(expected) < len(rows) - 50
+
+
+def test_crowded_keys_are_linked_over_hubs(spark):
+    rng = random.Random(22)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = rng.choices(vocabulary, k=300)
+    rows = [(i, edited(rng, base, vocabulary, 1)) for i in range(150)] + [(1000 + i, edited(rng, rng.choices(vocabulary, k=80), vocabulary, 0)) for i in range(20)]
+    left = [r.doc_id for r in near_copies.first_of_each(docs(spark, rows), crowd=8).collect()]
+    assert sorted(left) == [0, *range(1000, 1020)]
+
+
+def test_missing_ids_and_equal_rows(spark):
+    long = " ".join(f"word{i}" for i in range(50))
+    rows = [(7, long), (3, long), (3, long), (None, long), (9, "other text of no likeness"), (None, "alone here"), (None, "alone here"), (1, None), (2, "")]
+    df = docs(spark, rows)
+    kept = near_copies.first_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, "alone here"), (1, ""), (3, long), (9, rows[4][1])]
+    assert near_copies.first_of_each(df.limit(0)).count() == 0
+
+
+def test_long_texts_are_read_whole(monkeypatch):
+    text = " ".join(f"w{i}" for i in range(500))
+    whole = near_copies.wide_fingerprint(text).tolist()
+    monkeypatch.setattr(near_copies, "STRETCH", 7)
+    assert near_copies.wide_fingerprint(text).tolist() == whole
+    assert near_copies.wide_fingerprint(None).tolist() == [0] * near_copies.WORDS

@@ -17,6 +17,7 @@ from operator import and_, or_
 from typing import Any, Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -212,12 +213,16 @@ def fold(
     def walk(batches):
         for batch, added, _ in _replayed(batches, keys, rule, starts):
             arrays = [batch.column(c) for c in columns]
-            arrays += [pa.array(added[name], type=kind) for name, kind in types.items()]
+            arrays += [_array(added[name], kind) for name, kind in types.items()]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
     return ordered.mapInArrow(walk, schema)
 
 
+def _array(values, kind: pa.DataType) -> pa.Array:
+    return values if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
+
 def _block(batch: pa.RecordBatch) -> int:
     return batch.column("_block")[0].as_py()
 
@@ -262,8 +267,9 @@ def _replayed(batches, keys, rule, starts):
 def _block_starts(frozen: DataFrame, keys: list[str], rule: Fold) -> dict[int, Any]:
     """State at the head of every block that continues the group of the block before it.
 
-    Works on one record per block. Blocks are summarised in parallel; the records are then
-    chained here, and a block is replayed only where its summary cannot decide.
+    Blocks are summarised in parallel. The summaries, which may be large, stay in a table; the
+    blocks of one group are chained by one task, which reads them in order. A block is replayed
+    only where its summary cannot decide. The driver holds keys and states, one of each per block.
     """
     edge = F.struct(*keys)
     edges = (
@@ -272,36 +278,60 @@ def _block_starts(frozen: DataFrame, keys: list[str], rule: Fold) -> dict[int, A
         .orderBy("_block")
         .collect()
     )
-    follows = {
-        b["_block"]: a["_block"] for a, b in zip(edges, edges[1:]) if a["tail"] == b["head"]
-    }
+    after = {a["_block"]: b["_block"] for a, b in zip(edges, edges[1:]) if a["tail"] == b["head"]}
     whole = {e["_block"] for e in edges if e["head"] == e["tail"]}
-    feeds = set(follows.values())  # blocks whose last state the next block needs
-    unknown = {b for b in feeds if b in follows and b in whole}  # their own start is not known
-
-    summaries = _per_block(frozen, unknown, rule.summarise)
-    ends = _last_states(frozen, keys, rule, {b: None for b in feeds - unknown}, {})
-
+    continued = set(after.values())
+    # Blocks inside a group: their own start is not known, so they are summarised.
+    unknown = {b for b in after if b in continued and b in whole}
+    chain: dict[int, int] = {}
+    for block in sorted(after):
+        chain[after[block]] = chain.get(block, block)
+
+    summaries = _summaries(frozen, unknown, chain, rule)
+    replayed = _last_states(frozen, keys, rule, {b: None for b in set(after) - unknown}, {})
     starts: dict[int, Any] = {}
-    replayed = ends
     while True:
+        starts |= {after[b]: state for b, state in replayed.items()}
         undecided = {}
-        for block in sorted(follows):
-            source = follows[block]
-            if block in starts or (source in unknown and source not in starts):
-                continue
-            if source in replayed:
-                starts[block] = replayed[source]
-                continue
-            state = rule.advance(starts[source], summaries[source])
-            if state is None:
-                undecided[source] = starts[source]
+        for block, decided, state in _chained(summaries, after, starts, rule) if unknown else ():
+            if decided:
+                starts[after[block]] = state
             else:
-                starts[block] = state
+                undecided[block] = starts[block]
         if not undecided:
             return starts
         # One job replays the next undecided block of every hot group.
-        replayed = replayed | _last_states(frozen, keys, rule, undecided, undecided)
+        replayed = _last_states(frozen, keys, rule, undecided, undecided)
+
+
+def _summaries(frozen, wanted: set[int], chain: dict[int, int], rule: Fold) -> DataFrame:
+    """Rows (_block, chain, result) of the wanted blocks, those of a chain in order in one task."""
+    spark = frozen.sparkSession
+    made = _per_block_rows(frozen, wanted, rule.summarise)
+    place = spark.createDataFrame([(b, chain[b]) for b in wanted], "_block int, chain int")
+    return checkpointed(made.join(F.broadcast(place), "_block").repartition("chain"))
+
+
+def _chained(summaries, after, starts, rule) -> Iterator[tuple[int, bool, Any]]:
+    """Follow each chain from the starts that are known: (block, True, state after it), or
+    (block, False, None) for the first block of a chain that its summary does not decide."""
+
+    def walk(batches):
+        known = dict(starts)
+        for batch in batches:
+            for block, result in zip(batch["_block"].tolist(), batch["result"]):
+                if block not in known or after[block] in known:
+                    continue
+                state = rule.advance(known[block], pickle.loads(result))
+                if state is not None:
+                    known[after[block]] = state
+                out = (block, state is not None, pickle.dumps(state))
+                yield pd.DataFrame([out], columns=["_block", "decided", "state"])
+
+    ordered = summaries.sortWithinPartitions("chain", "_block")
+    rows = ordered.mapInPandas(walk, "_block int, decided boolean, state binary").collect()
+    for row in sorted(rows, key=lambda r: r["_block"]):
+        yield row["_block"], row["decided"], pickle.loads(row["state"])
 
 
 def _last_states(frozen, keys, rule, wanted, starts) -> dict[int, Any]:
@@ -311,13 +341,14 @@ def _last_states(frozen, keys, rule, wanted, starts) -> dict[int, Any]:
             pass
         return state
 
-    return _per_block(frozen, set(wanted), last_state)
-
-
-def _per_block(frozen, wanted: set[int], work) -> dict[int, Any]:
-    """Run ``work`` over the batches of each wanted block; one small result per block."""
     if not wanted:
         return {}
+    done = _per_block_rows(frozen, set(wanted), last_state).collect()
+    return {row["_block"]: pickle.loads(row["result"]) for row in done}
+
+
+def _per_block_rows(frozen, wanted: set[int], work) -> DataFrame:
+    """Run ``work`` over the batches of each wanted block; one row (_block, result) per block."""
 
     def run(batches):
         batches = (batch for batch in batches if batch.num_rows)
@@ -328,5 +359,4 @@ def _per_block(frozen, wanted: set[int], work) -> dict[int, Any]:
                 {"_block": pa.array([_block(first)], pa.int32()), "result": [result]}
             )
 
-    done = frozen.mapInArrow(run, "_block int, result binary").collect()
-    return {row["_block"]: pickle.loads(row["result"]) for row in done}
+    return frozen.mapInArrow(run, "_block int, result binary")

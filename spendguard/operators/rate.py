@@ -9,6 +9,7 @@ from decimal import Decimal
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .ordered import MAX_GROUP_ROWS, Fold, fold, plain_values, running
@@ -52,35 +53,121 @@ def _exact(number) -> Fraction:
     return Fraction(str(number))
 
 
-def bucket_fold(bucket: Bucket) -> Fold:
-    refill, token, full = bucket.refill, bucket.token, bucket.full
+SHORT = 64  # runs of calls up to this length are walked one by one
 
-    def replay(rows, fresh, state):
-        level, last = state or (full, 0)
-        times = plain_values(rows, "_us")
-        # Level and time carried over from earlier rows of the key, where a caller has them.
-        carried = [None] * len(times)
-        if "_level" in rows.schema.names:
-            carried = zip(plain_values(rows, "_level"), plain_values(rows, "_last"))
-        before, allowed, retry, after = [], [], [], []
-        for now, new, start in zip(times, fresh, carried):
-            if new:
-                level, last = start if start and start[0] is not None else (full, now)
-            # A row out of order earns no refill and does not move the clock back.
+
+class Walk:
+    """Levels before and after each call of one key, written into slices of the batch's arrays."""
+
+    def __init__(self, bucket: Bucket, times: np.ndarray):
+        self.bucket, self.times = bucket, times
+        self.before = np.empty(len(times), np.int64)
+        self.after = np.empty(len(times), np.int64)
+
+    def run(self, at: int, end: int, level: int, last: int) -> tuple[int, int]:
+        """Calls ``at`` to ``end`` from a level at a time; in bulk wherever that can be done.
+
+        A row out of order earns no refill and does not move the clock back.
+        """
+        if end - at <= SHORT:
+            return self._plain(at, end, level, last)
+        full, refill, token = self.bucket.full, self.bucket.refill, self.bucket.token
+        clock = np.maximum.accumulate(np.maximum(self.times[at:end], last))
+        gaps = np.diff(clock, prepend=last)
+        earned = np.minimum(np.minimum(gaps, full // refill + 1) * refill, full)
+        base, size = at, SHORT
+        while at < end:
+            stop = min(at + size, end)
+            part = earned[at - base : stop - base]
+            done = self._never_short(at, stop, level, part)
+            if done < min(SHORT, len(part)):
+                done = max(done, self._never_full(at, stop, level, part))
+            if done:
+                at += done
+                level, size = int(self.after[at - 1]), min(2 * size, 65536)
+            if done < min(SHORT, len(part)):
+                rest = min(at + SHORT, end)
+                since = int(clock[at - base - 1]) if at > base else last
+                level, _ = self._plain(at, rest, level, since)
+                at, size = rest, SHORT
+        return level, int(clock[-1])
+
+    def _plain(self, at, end, level, last):
+        full, refill, token = self.bucket.full, self.bucket.refill, self.bucket.token
+        before, after = [], []
+        for now in self.times[at:end].tolist():
             level = min(full, level + max(0, now - last) * refill)
             last = max(last, now)
-            before.append(level / token)
+            before.append(level)
             if level >= token:
                 level -= token
-                allowed.append(True)
-                retry.append(None)
-            else:
-                allowed.append(False)
-                retry.append(-((level - token) // (refill * 10**6)))
             after.append(level)
+        self.before[at:end], self.after[at:end] = before, after
+        return level, last
+
+    def _never_short(self, at, stop, level, earned) -> int:
+        """How many calls from ``at`` on can be done at once, as each of them finds a token.
+
+        Then only a full bucket loses refill, and the level is what it would be without that less
+        the most that it would ever have been above full.
+        """
+        full, token, n = self.bucket.full, self.bucket.token, stop - at
+        if full >= 2**62 // (n + 1):
+            return 0
+        free = np.cumsum(earned) - token * np.arange(n)
+        before = free + np.minimum(np.minimum.accumulate(full - free), level)
+        short = np.flatnonzero(before < token)
+        good = int(short[0]) if len(short) else n
+        self.before[at : at + good] = before[:good]
+        self.after[at : at + good] = before[:good] - token
+        return good
+
+    def _never_full(self, at, stop, level, earned) -> int:
+        """How many calls from ``at`` on can be done at once, as the bucket stays below full.
+
+        Then the tokens taken so far are at most the calls so far and at most the whole tokens
+        there have been, so the total taken is a running minimum of the latter.
+        """
+        full, token, n = self.bucket.full, self.bucket.token, stop - at
+        if full >= 2**62 // (n + 1):
+            return 0
+        number = np.arange(1, n + 1)
+        supply = level + np.cumsum(earned)
+        taken = number + np.minimum(0, np.minimum.accumulate(supply // token - number))
+        before = supply - token * np.append(0, taken[:-1])
+        over = np.flatnonzero(before > full)
+        good = int(over[0]) if len(over) else n
+        self.before[at : at + good] = before[:good]
+        self.after[at : at + good] = (supply - token * taken)[:good]
+        return good
+
+
+def bucket_fold(bucket: Bucket) -> Fold:
+    refill, token, full = bucket.refill, bucket.token, bucket.full
+
+    def replay(rows, fresh, state):
+        times = rows.column("_us").to_numpy()
+        # Level and time carried over from earlier rows of the key, where a caller has them.
+        carried = None
+        if "_level" in rows.schema.names:
+            carried = rows.column("_level"), rows.column("_last")
+        walk = Walk(bucket, times)
+        cuts = [0, *(i for i, new in enumerate(fresh) if new and i), len(times)]
+        level, last = state or (full, 0)
+        for at, end in zip(cuts, cuts[1:]):
+            if fresh[at]:
+                level, last = full, int(times[at])
+                if carried and carried[0][at].is_valid:
+                    level, last = carried[0][at].as_py(), carried[1][at].as_py()
+            level, last = walk.run(at, end, level, last)
+        allowed = walk.before >= token
+        wait = -((walk.before - token) // (refill * 10**6))
         out = {
-            "tokens_before": before, "allowed": allowed, "retry_after_s": retry, "_after": after
-        }
+            "tokens_before": walk.before / token,
+            "allowed": allowed,
+            "retry_after_s": pa.array(wait, mask=allowed),
+            "_after": walk.after,
+        }
         return out, (level, last)
 
     def summarise(batches):

@@ -8,6 +8,7 @@ from ..operators.governance import blocked_requests, judged_requests
 from ..operators.ordered import MAX_GROUP_ROWS
 from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, queue_delay
 from ..operators.sessions import session_replay
+from ..runtime import checkpointed
 
 EXECUTED = "executed"
 
@@ -39,28 +40,22 @@ def admission_report(
     columns = ["call_id", "timestamp", "org_id", "session_id", "request_id", "feature",
                "environment", "customer_id", "cost_usd", "estimated_cost_usd"]
     priced = with_cost_and_estimate(calls, pricing).select(*columns)
-    queued = queue_delay(priced, ["org_id"], rate, burst, max_group_rows=max_group_rows)
-
     # One id per stopped request; the text never leaves the gate's projection.
     if verdicts is None:
         stopped = blocked_requests(messages).withColumn("content", F.lit("content_blocked"))
     else:
         stopped = judged_requests(messages, verdicts, fail_open)
-    gated = queued.join(stopped, "request_id", "left")
+    # Calls are read, priced and tagged once; all later stages start from these narrow rows.
+    tagged = checkpointed(priced.join(stopped, "request_id", "left"))
 
-    passed = gated.where("content IS NULL")
-    verdicts = budget_check(
-        passed.select(*[c for c in columns if c not in ("request_id", "session_id")]),
-        policies,
-        max_group_rows,
-        counted=calls,
-    ).select(
-        "call_id",
-        (~F.col("allowed") & (F.col("action") == "block")).alias("budget_blocked"),
-    )
+    queued = queue_delay(tagged, ["org_id"], rate, burst, max_group_rows=max_group_rows)
+    passed = tagged.where("content IS NULL").drop("request_id", "session_id", "content")
+    checked = budget_check(passed, policies, max_group_rows)
+    budget_blocked = ~F.col("allowed") & (F.col("action") == "block")
+    checked = checked.select("call_id", budget_blocked.alias("budget_blocked"))
     # Only refusals travel back; most calls have none.
-    refused = verdicts.where(F.coalesce("budget_blocked", F.lit(False)))
-    judged = gated.join(refused, "call_id", "left").withColumn(
+    refused = checked.where(F.coalesce("budget_blocked", F.lit(False)))
+    judged = queued.join(refused, "call_id", "left").withColumn(
         "budget_blocked", F.coalesce("budget_blocked", F.lit(False))
     )
     replayed = session_replay(
@@ -68,7 +63,7 @@ def admission_report(
         limits,
         eligible=F.col("content").isNull() & ~F.col("budget_blocked"),
         max_group_rows=max_group_rows,
-        counted=calls,
+        counted=tagged,
     )
     outcome = (
         F.when(F.col("content").isNotNull(), F.col("content"))

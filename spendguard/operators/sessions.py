@@ -8,9 +8,10 @@ NULL, it is allowed, and no summary counts it. Such calls, often most of a log,
 shuffled by session.
 """
 
-import itertools
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schemas import TOTAL
@@ -118,14 +119,136 @@ def _pico(amount) -> Column:
     return (amount.cast("decimal(24,12)") * F.lit(Decimal(DOLLAR))).cast("long")
 
 
-def _limit_fold() -> Fold:
-    """State: (spend, calls, input tokens, any refusal). A refused call adds nothing, so cheaper
-    calls may pass later.
+STATE = ["_usd", "_part", "_calls", "_sum_tokens", "_refused"]
+SHORT = 64  # runs of calls up to this length are walked one by one
+PASSED, OVER_BUDGET, OVER_CALLS, UNDECIDED = range(4)
+REASONS = np.array([None, BUDGET, ITERATIONS, None], dtype=object)
+WIDE = 2**62
+
 
-    Sums are plain whole numbers of any size; they leave as dollars and 1e-12 dollars, as 64 bits
+class Walk:
+    """Verdicts and totals of one batch, written into arrays; a session is walked from its state
+    (spend, calls, input tokens, any refusal).
+
+    Spend is a plain whole number of any size; it leaves as dollars and 1e-12 dollars, as 64 bits
     of the latter alone end at nine million dollars.
     """
 
+    def __init__(self, rows: pa.RecordBatch):
+        names = ("_cost", "_estimate", "_tokens", "_max_usd", "_max_part", "_max_calls")
+        self.cost, self.estimate, self.size, self.usd, self.part, self.most = (
+            rows.column(n).to_numpy(zero_copy_only=False) for n in names
+        )
+        self.eligible = rows.column("_eligible").to_numpy(zero_copy_only=False).astype(bool)
+        n = rows.num_rows
+        self.verdict = np.empty(n, np.int8)
+        self.before = np.empty(n)
+        self.calls_before = np.empty(n, np.int64)
+        self.after = {c: np.empty(n, np.int64) for c in STATE[:4]}
+        self.refused = np.empty(n, bool)
+
+    def run(self, at: int, end: int, state):
+        usd, part, most = (int(x[at]) for x in (self.usd, self.part, self.most))
+        limit = None if usd == NO_LIMIT else usd * DOLLAR + part
+        most = None if most == NO_LIMIT else most
+        size = SHORT
+        while at < end:
+            stop = min(at + size, end)
+            done = 0
+            if end - at > SHORT:
+                done, state = self._passing(at, stop, state, limit, most)
+                at += done
+                if at < stop:
+                    held, state = self._refusing(at, min(at + size, end), state, limit, most)
+                    at, done = at + held, done + held
+                size = min(2 * size, 65536)
+            if done < SHORT and at < end:  # verdicts that change often are quicker one by one
+                stop, size = min(at + SHORT, end), SHORT
+                at, state = stop, self._plain(at, stop, state, limit, most)
+        return state
+
+    def _passing(self, at, stop, state, limit, most):
+        """Calls up to the first one that is refused: (how many, state after them)."""
+        spent, calls, tokens, refused = state
+        own = self.eligible[at:stop]
+        cost = np.where(own, self.cost[at:stop], 0)
+        estimate = self.estimate[at:stop]
+        if cost.sum(dtype=float) >= WIDE or int(estimate.max()) >= WIDE:
+            return 0, state
+        total, number = np.cumsum(cost), np.cumsum(own)
+        bad = np.zeros(len(own), bool)
+        if limit is not None:
+            room = max(-WIDE, min(WIDE, limit - spent))
+            bad |= total - cost > room - estimate
+        if most is not None:
+            bad |= calls + number > most
+        bad = np.flatnonzero(bad & own)
+        n = int(bad[0]) if len(bad) else len(own)
+        if not n:
+            return 0, state
+        size = tokens + np.cumsum(np.where(own, self.size[at:stop], 0))[:n]
+        verdict = np.where(own[:n], PASSED, UNDECIDED)
+        totals = total[:n] - cost[:n], total[:n]
+        self._write(at, verdict, spent, *totals, calls + number[:n] - own[:n], calls + number[:n], size, refused)
+        return n, (spent + int(total[n - 1]), calls + int(number[n - 1]), int(size[-1]), refused)
+
+    def _refusing(self, at, stop, state, limit, most):
+        """Calls from a refused one up to the next that passes; they change no total."""
+        spent, calls, tokens, refused = state
+        own, estimate = self.eligible[at:stop], self.estimate[at:stop]
+        room = WIDE * 2 - 1 if limit is None else max(-WIDE, min(WIDE * 2 - 1, limit - spent))
+        dear = estimate > room
+        fits = own & ~dear & (most is None or calls + 1 <= most)
+        n = int(np.argmax(fits)) if fits.any() else len(own)
+        if not n:  # not refused: its amounts are too large for sums of 64 bits
+            return 0, state
+        verdict = np.where(own[:n], np.where(dear[:n], OVER_BUDGET, OVER_CALLS), UNDECIDED)
+        same = np.zeros(n, np.int64)
+        flags = refused | np.logical_or.accumulate(own[:n])
+        self._write(at, verdict, spent, same, same, same + calls, same + calls, same + tokens, flags)
+        return n, (spent, calls, tokens, bool(flags[-1]))
+
+    def _plain(self, at, end, state, limit, most):
+        spent, calls, tokens, refused = state
+        start, verdicts, befores, afters, numbers, sizes, refusals = spent, [], [], [], [calls], [], []
+        rows = zip(*(x[at:end].tolist() for x in (self.cost, self.estimate, self.size, self.eligible)))
+        for cost, estimate, size, eligible in rows:
+            befores.append(spent - start)
+            if not eligible:
+                verdicts.append(UNDECIDED)
+            elif limit is not None and spent + estimate > limit:
+                verdicts.append(OVER_BUDGET)
+                refused = True
+            elif most is not None and calls + 1 > most:
+                verdicts.append(OVER_CALLS)
+                refused = True
+            else:
+                verdicts.append(PASSED)
+                spent, calls, tokens = spent + cost, calls + 1, tokens + size
+            afters.append(spent - start)
+            numbers.append(calls)
+            sizes.append(tokens)
+            refusals.append(refused)
+        self._write(at, verdicts, start, befores, afters, numbers[:-1], numbers[1:], sizes, refusals)
+        return spent, calls, tokens, refused
+
+    def _write(self, at, verdict, spent, before, after, calls_before, calls, tokens, refused):
+        part = slice(at, at + len(verdict))
+        self.verdict[part], self.refused[part] = verdict, refused
+        self.calls_before[part] = calls_before
+        self.after["_calls"][part], self.after["_sum_tokens"][part] = calls, tokens
+        if spent + int(after[-1]) < 2**53:  # whole numbers that doubles hold exactly
+            self.before[part] = (spent + np.asarray(before)) / DOLLAR
+            self.after["_usd"][part], self.after["_part"][part] = np.divmod(spent + np.asarray(after), DOLLAR)
+        else:
+            self.before[part] = [(spent + int(x)) / DOLLAR for x in before]
+            self.after["_usd"][part], self.after["_part"][part] = zip(*(divmod(spent + int(x), DOLLAR) for x in after))
+
+
+def _limit_fold() -> Fold:
+    """State: (spend, calls, input tokens, any refusal). A refused call adds nothing, so cheaper
+    calls may pass later."""
+
     def columns(rows):
         names = ("_cost", "_estimate", "_tokens", "_max_usd", "_max_part", "_max_calls", "_eligible")
         for cost, estimate, size, usd, part, calls, eligible in zip(
@@ -134,40 +257,30 @@ def _limit_fold() -> Fold:
             limit = NO_LIMIT if usd == NO_LIMIT else usd * DOLLAR + part
             yield cost, estimate, size, limit, calls, eligible
 
-    def carried(rows):
-        """State brought along from earlier rows of the session, where a caller has it."""
-        names = ("_usd0", "_part0", "_calls0", "_tokens0", "_refused0")
-        if names[0] not in rows.schema.names:
-            return itertools.repeat((0, 0, 0, False))
-        values = zip(*[plain_values(rows, n) for n in names])
-        return ((usd * DOLLAR + part, *rest) for usd, part, *rest in values)
-
     def replay(rows, fresh, state):
-        spent, calls, tokens, refused = state or (0, 0, 0, False)
-        verdicts, before, after = [], [], []
-        for row, new, start in zip(columns(rows), fresh, carried(rows)):
-            cost, estimate, size, max_spend, max_calls, eligible = row
-            if new:
-                spent, calls, tokens, refused = start
-            before.append((spent, calls))
-            if not eligible:
-                verdicts.append(SKIPPED)
-            elif max_spend != NO_LIMIT and spent + estimate > max_spend:
-                verdicts.append(BUDGET)
-                refused = True
-            elif max_calls != NO_LIMIT and calls + 1 > max_calls:
-                verdicts.append(ITERATIONS)
-                refused = True
-            else:
-                verdicts.append(None)
-                spent, calls, tokens = spent + cost, calls + 1, tokens + size
-            after.append((*divmod(spent, DOLLAR), calls, tokens, refused))
-        out = dict(zip(STATE, map(list, zip(*after))))
-        out["spend_before_usd"] = [b[0] / DOLLAR for b in before]
-        out["iterations_before"] = [b[1] for b in before]
-        out["allowed"] = [None if v is SKIPPED else v is None for v in verdicts]
-        out["reason"] = [None if v is SKIPPED else v for v in verdicts]
-        return out, (spent, calls, tokens, refused)
+        walk = Walk(rows)
+        # State brought along from earlier rows of the session, where a caller has it.
+        names = ("_usd0", "_part0", "_calls0", "_tokens0", "_refused0")
+        carried = [rows.column(n) for n in names] if names[0] in rows.schema.names else None
+        state = state or (0, 0, 0, False)
+        cuts = [0, *(i for i, new in enumerate(fresh) if new and i), rows.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            if fresh[at]:
+                state = (0, 0, 0, False)
+                if carried:
+                    usd, part, *rest = (c[at].as_py() for c in carried)
+                    state = (usd * DOLLAR + part, *rest)
+            state = walk.run(at, end, state)
+        undecided = walk.verdict == UNDECIDED
+        out = {
+            **walk.after,
+            "_refused": walk.refused,
+            "spend_before_usd": walk.before,
+            "iterations_before": walk.calls_before,
+            "allowed": pa.array(walk.verdict == PASSED, mask=undecided),
+            "reason": REASONS[walk.verdict],
+        }
+        return out, state
 
     def summarise(batches):
         """Totals per distinct estimate; spend only grows, so an estimate that has once become
@@ -218,7 +331,6 @@ REPLAY_OUTPUT = T.StructType(
         T.StructField("_refused", T.BooleanType()),
     ]
 )
-STATE = ["_usd", "_part", "_calls", "_sum_tokens", "_refused"]
 
 
 def replay_limits(

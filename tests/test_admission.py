@@ -69,3 +69,30 @@ def test_hot_groups_change_nothing(spark):
         for limit in (10**6, 50)
     ]
     assert plain == cut and len(plain) == 1000
+
+
+def test_standard_mode_follows_verdicts(spark):
+    from spendguard.operators.governance import judged_requests
+
+    hit = "SSN 123-45-6789"
+    messages = spark.createDataFrame(
+        [(1, 0, "fine"), (1, 1, hit), (1, 2, hit), (2, 0, hit), (3, 0, "fine"), (4, 0, hit), (4, 1, hit)],
+        "request_id long, msg_index long, text string",
+    )
+    verdicts = spark.createDataFrame(
+        [(1, 0, False), (1, 2, False), (2, 0, True), (3, 0, False), (4, 0, None), (4, 1, False)],
+        "request_id long, msg_index long, is_allowed boolean",
+    )
+    stopped = {r.request_id: r.content for r in judged_requests(messages, verdicts).collect()}
+    assert stopped == {1: "content_blocked", 4: "content_blocked"}  # clean messages need no verdict
+    strict = {r.request_id: r.content for r in judged_requests(messages, verdicts, False).collect()}
+    assert strict == {1: "content_error", 4: "content_blocked"}
+
+
+def test_a_session_without_an_answer_is_open(spark):
+    from spendguard.operators.budgets import fail_open_defaults
+
+    left = spark.createDataFrame([("a",), ("b",)], "session_id string")
+    answers = spark.createDataFrame([("a", "s-1", "terminated")], "session_id string, server_session_id string, status string")
+    rows = fail_open_defaults(left, answers, "session_id", "session").collect()
+    assert sorted(map(tuple, rows)) == [("a", "s-1", "terminated"), ("b", "fail-open", "active")]

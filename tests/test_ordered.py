@@ -405,3 +405,49 @@ def test_float_rate_in_a_job(spark):
         for rate in ("1/3", 1 / 3)
     ]
     assert exact == floating and {a for _, a, _ in exact} == {True, False}
+
+
+def test_rate_walk_in_bulk_equals_one_by_one():
+    rng = random.Random(1)
+    for _ in range(300):
+        made = R.Bucket.of(rng.choice([1, 0.5, "1/3", 10, 3, 0.01]), rng.choice([1, 2, 5, 50, "1/2", "3/2"]))
+        at, times, mode = 0, [], rng.random()
+        for _ in range(rng.choice([10, 65, 1000])):
+            mode = rng.random() if rng.random() < 0.02 else mode
+            busy, even, idle = [0, 1000, 100_000], [300_000, 10**6, 2 * 10**6], [10**7, 10**8]
+            at += rng.choice(busy if mode < 0.4 else even if mode < 0.8 else idle)
+            times.append(at - (10**6 if rng.random() < 0.03 else 0))  # some come late
+        times, level = np.array(times, np.int64), rng.randint(0, made.full)
+        ends, levels = [], []
+        for step in ("run", "_plain"):
+            walk = R.Walk(made, times)
+            ends.append(getattr(walk, step)(0, len(times), level, int(times[0]) - 5))
+            levels.append((walk.before.tolist(), walk.after.tolist()))
+        assert ends[0] == ends[1] and levels[0] == levels[1]
+
+
+def test_session_walk_in_bulk_equals_one_by_one():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    for _ in range(300):
+        unit, n = rng.choice([10**18, 10**9, 10**9]), rng.choice([1, 50, 65, 1500])
+        limit, most = rng.choice([None, 0, 5, 300, 10**6]), rng.choice([None, 0, 3, 200, 10**6])
+        limit, share = None if limit is None else limit * unit, rng.choice([1, 1, 0.5, 0])
+        usd, part = (S.NO_LIMIT, 0) if limit is None else divmod(limit, S.DOLLAR)
+        columns = {
+            "_cost": [rng.choice([0, 1, 2, 7]) * unit for _ in range(n)],
+            "_estimate": [rng.choice([0, 1, 3, 8]) * unit for _ in range(n)],
+            "_tokens": [rng.randint(0, 9) for _ in range(n)],
+            "_max_usd": [usd] * n,
+            "_max_part": [part] * n,
+            "_max_calls": [S.NO_LIMIT if most is None else most] * n,
+        }
+        rows = {k: pa.array(v, pa.int64()) for k, v in columns.items()}
+        batch = pa.RecordBatch.from_pydict(rows | {"_eligible": [rng.random() < share for _ in range(n)]})
+        state = (rng.choice([0, 3 * unit]), rng.randint(0, 3), 5, False)
+        bulk, plain = S.Walk(batch), S.Walk(batch)
+        assert bulk.run(0, n, state) == plain._plain(0, n, state, limit, most)
+        for name in ("verdict", "before", "calls_before", "refused"):
+            assert (getattr(bulk, name) == getattr(plain, name)).all(), name
+        assert all((bulk.after[k] == plain.after[k]).all() for k in bulk.after)

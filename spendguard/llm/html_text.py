@@ -55,7 +55,7 @@ ELEMENT = {
 CLASS_WORDS = {
     **dict.fromkeys("article content entry story post main".split(), 2.0),
     **dict.fromkeys(
-        "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
+        "ad ads advert adverts advertisement advertising adsbygoogle banner sponsor sponsored promo promotion cookie cookies consent gdpr "
         "notice popup modal overlay newsletter subscribe subscription signup login sidebar widget related recommended "
         "share sharing social comment comments reply replies discussion disqus menu nav navbar navigation breadcrumb "
         "breadcrumbs footer masthead toolbar pagination copyright legal alert skip hidden".split(),
@@ -87,7 +87,10 @@ def _weight(tag: str, attributes: str, inside_article: bool) -> float:
             name, value = name.lower(), (a or b or c).lower()
             if name in ("class", "id", "role"):
                 if tag not in ("body", "html", "article", "main"):
-                    found = [CLASS_WORDS[w] for w in _NAME.findall(value) if w in CLASS_WORDS]
+                    names = _NAME.findall(value)
+                    found = [CLASS_WORDS[w] for w in names if w in CLASS_WORDS]
+                    if "header" in names and not inside_article and not found:
+                        found = [ELEMENT["header"]]  # of the page; an entry's header belongs to it
                     weight += min(found, default=0.0) if found and min(found) < 0 else max(found, default=0.0)
             elif name == "hidden" or name == "aria-hidden" and value == "true" or "display:none" in value.replace(" ", ""):
                 weight -= 8.0

@@ -20,6 +20,12 @@ def test_page_without_semantic_elements():
     assert html_text.main_text(links + story + links).count("\n") == 1
 
 
+def test_headers_of_the_page_and_of_the_entry():
+    page = """<div class="site-header"><p>The Daily Something, news since nineteen hundred and ten.</p></div>
+    <div class="post"><div class="post-header"><h2>Title of it</h2></div><p>The story is told here, in one long sentence.</p></div>"""
+    assert html_text.main_text(page) == "Title of it\nThe story is told here, in one long sentence."
+
+
 def test_least_cut_against_all_labellings():
     rng = random.Random(1)
     for _ in range(300):

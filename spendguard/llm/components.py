@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendguard.llm.common import salted, with_salt
 from spendguard.runtime import checkpointed
 
-SALTS = 8
-
 
 def _to_smallest(edges: DataFrame) -> DataFrame:
-    """Each row ``(u, v)`` with the smallest ``v`` of its ``u``; a hot ``u`` is dealt over several tasks."""
-    smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return with_salt(edges, F.col("v"), SALTS).join(salted(smallest, SALTS), ["u", "_salt"])
+    """Each row ``(u, v)`` with the smallest ``v`` of its ``u``.
+
+    The minima are combined before the shuffle and read from a checkpoint: both sides of the join are then shuffled for
+    it alone, and adaptive execution can split the rows of a hot ``u``.
+    """
+    smallest = checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")))
+    return edges.join(smallest, "u")
 
 
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:

@@ -11,10 +11,10 @@ and runs the method of ``simhash`` on each:
 Equal texts are one node beforehand. Links can be missed by chance, in the first step: measured on near copies of the
 test tables, it finds 97 % of the pairs with a similarity of 0.80 to 0.85 and all above. None is made wrongly.
 
-A key that more than ``CROWD`` nodes share is not joined with itself. Its nodes are linked to hubs: to one of the nodes
-with the same fingerprint, and to one of the at most 65 fingerprints around each midpoint (see ``simhash``), drawn by hash. Then those of its nodes that still stand for themselves or for their group go
-through the same steps again, with other hubs and with keys that fewer nodes share, until a round finds no link, no key
-is crowded, or after ``ROUNDS`` rounds.
+A key that more than ``CROWD`` nodes share is not joined with itself. For up to ``HUB_PARTS`` of its fingerprints, each
+of its nodes is linked to hubs: to one of the nodes with the same fingerprint, and to one of the at most 65 fingerprints
+around each midpoint (see ``simhash``). Hubs are drawn by hash, others for each fingerprint. Links to hubs are verified
+like all others; in a group of thousands of near copies, texts that are alike to none of their hubs stay unlinked.
 
 Defined cases are those of ``simhash``: texts without words are alike; rows equal in id and text are copies; rows
 without an id come last when a group's row to keep is chosen.
@@ -42,7 +42,7 @@ DISTANCE = 2
 SHINGLE = 5
 SIMILARITY = 0.8
 CROWD = 16
-ROUNDS = 3
+HUB_PARTS = 8
 SALTS = 8
 STRETCH = 2048
 KEYS = ["_no_id", "_id", "_hash"]
@@ -81,9 +81,8 @@ def _per_text(work) -> Column:
     return run(F.col("text"))
 
 
-def candidates(nodes: DataFrame, crowd: int = CROWD, turn: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(u, v)`` of rows ``(node, fps)`` of which some fingerprint is close, or that meet as node and hub; and
-    the nodes with a crowded key. ``turn`` changes which hubs are drawn."""
+def candidates(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """Pairs ``(u, v)`` of rows ``(node, fps)`` of which some fingerprint is close, or that meet as node and hub."""
     each = nodes.select("node", F.posexplode("fps").alias("part", "fp"))
     keys = each.select("node", "part", F.inline(block_keys(F.col("fp"), DISTANCE)))
     # The fingerprint's number is in the key's low bits: rows of two numbers are all that is shuffled.
@@ -100,20 +99,24 @@ def candidates(nodes: DataFrame, crowd: int = CROWD, turn: int = 0) -> tuple[Dat
     b = few.select("key", F.col("node").alias("v"), F.col("fp").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE
     pairs = a.join(b, "key").where((F.col("u") > F.col("v")) & close).select("u", "v")
-    many = checkpointed(held.where(F.col("n") > crowd).select("node", "part", "fp").distinct())
-    hub = F.min_by("node", F.xxhash64("node", "part", F.lit(turn))).alias("hub")
+    # At most WORDS fingerprints of a node, of which some are drawn.
+    draw = F.struct(F.xxhash64("node", "part").alias("draw"), "part", "fp")
+    some = held.where(F.col("n") > crowd).groupBy("node").agg(F.array_sort(F.collect_set(draw)).alias("all"))
+    many = some.select("node", F.explode(F.slice("all", 1, HUB_PARTS)).alias("one"))
+    many = checkpointed(many.select("node", "one.part", "one.fp"))
+    hub = F.min_by("node", F.xxhash64("node", "part")).alias("hub")
     hubs = many.groupBy("part", "fp").agg(hub)
     same = with_salt(many, F.col("node"), SALTS).join(salted(hubs, SALTS), ["part", "fp", "_salt"])
     around = hubs.select("part", "hub", F.explode(midpoints(F.col("fp"))).alias("middle"))
     around = around.groupBy("part", "middle").agg(F.collect_list("hub").alias("hubs")).where(F.size("hubs") > 1)
     # The hub with the lowest draw is the same for many midpoints, so that a node meets few hubs and not 65.
-    draws = F.transform("hubs", lambda h: F.xxhash64(h, "part", F.lit(turn)))
+    draws = F.transform("hubs", lambda h: F.xxhash64(h, "part"))
     around = around.withColumn("draws", draws)
     drawn = F.get("hubs", (F.array_position("draws", F.array_min("draws")) - 1).cast("int"))
     star = around.select(F.explode("hubs").alias("u"), drawn.alias("v"))
     both = same.select(F.col("node").alias("u"), F.col("hub").alias("v")).unionByName(star).where("u <> v")
     both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    return pairs.unionByName(both).distinct(), many.select("node").distinct()
+    return pairs.unionByName(both).distinct()
 
 
 def alike(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -126,31 +129,11 @@ def alike(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     sets = texts.select(*row_keys(texts), _per_text(shingle_set).alias("shingles"))
     sets = checkpointed(sets.join(first, KEYS).select("node", "shingles"))
     # Both sides of each join are read as they are and shuffled for it, so that adaptive execution can split a hub.
-    half = checkpointed(pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u"))
+    half = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
     both = half.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
     enough = common >= SIMILARITY * (F.size("a") + F.size("b") - common)
-    return checkpointed(both.where(enough).select("u", "v"))
-
-
-def grouped(docs: DataFrame, rows: DataFrame, nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """``(node, component)`` of the nodes with a verified link."""
-    pairs, crowded = candidates(nodes, crowd)
-    links = alike(docs, rows, pairs)
-    found = checkpointed(components(links))
-    for turn in range(1, ROUNDS):
-        # Nodes of crowded keys that no link leads on from: each stands for itself or for its whole group.
-        led = found.where("node <> component").select("node")
-        left = checkpointed(nodes.join(crowded, "node", "left_semi").join(led, "node", "left_anti"))
-        if left.isEmpty():
-            break
-        pairs, crowded = candidates(left, crowd, turn)
-        more = alike(docs, rows, pairs)
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        found = checkpointed(components(links))
-    return found
+    return both.where(enough).select("u", "v")
 
 
 def first_of_each(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -159,10 +142,8 @@ def first_of_each(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     prints = docs.select(*row_keys(docs), _per_text(wide_fingerprint).alias("fps"))
     prints = checkpointed(prints.withColumn("row", F.monotonically_increasing_id()))
     nodes = checkpointed(prints.groupBy("_hash", "fps").agg(F.min("row").alias("node")))
-    named = salted(nodes, SALTS)
-    by_row = with_salt(prints, F.col("row"), SALTS).join(named, ["_hash", "fps", "_salt"])
-    rows = checkpointed(by_row.select("node", "row", *KEYS))
-    found = grouped(docs, rows, nodes, crowd)
+    rows = checkpointed(prints.join(nodes, ["_hash", "fps"]).select("node", "row", *KEYS))
+    found = components(alike(docs, rows, candidates(nodes, crowd)))
     rooted = with_salt(rows, F.col("row"), SALTS).join(salted(found, SALTS), ["node", "_salt"], "left")
     rooted = checkpointed(rooted.select(F.coalesce("component", "node").alias("root"), "row", *KEYS))
     best = rooted.groupBy("root").agg(F.min(F.struct(*KEYS)).alias("best"), F.count("*").alias("n")).where("n > 1")

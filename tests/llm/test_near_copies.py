@@ -88,3 +88,13 @@ def test_long_texts_are_read_whole(monkeypatch):
     monkeypatch.setattr(near_copies, "STRETCH", 7)
     assert near_copies.wide_fingerprint(text).tolist() == whole
     assert near_copies.wide_fingerprint(None).tolist() == [0] * near_copies.WORDS
+
+
+def test_crowded_keys_lose_no_link(spark):
+    rng = random.Random(24)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = rng.choices(vocabulary, k=120)
+    rows = [(i, edited(rng, base, vocabulary, rng.randint(1, 4))) for i in range(150)]
+    left = [r.doc_id for r in near_copies.first_of_each(docs(spark, rows), crowd=4).collect()]
+    assert sorted(left) == survivors(rows)
+    assert len(left) < 150

@@ -90,6 +90,28 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert near_copies.wide_fingerprint(None).tolist() == [0] * near_copies.WORDS
 
 
+def tail_edits():
+    """Copies with the edit in one place, of lengths from 10 words up, and groups of over ``CROWD`` of them."""
+    rng = random.Random(23)
+    fresh = (f"n{i}" for i in range(10**6))
+    rows = []
+    for size in [10, 12, 14, 15, 20, 30, 50, 60, 200] * 4:
+        base = [next(fresh) for _ in range(size)]
+        n = max(1, (size - 4) // 10)
+        new = [next(fresh) for _ in range(n)]
+        rows += [base, base + new, new + base, base[:-n], base[n:], base[:-n] + new]
+    for size in (40, 200):
+        base = [next(fresh) for _ in range(size)]
+        rows += [base[: size - k % 5] + [next(fresh) for _ in range(size // 20 + k % 3)] for k in range(40)]
+    rng.shuffle(rows)
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def test_edits_in_one_place_are_all_found(spark):
+    rows = tail_edits()
+    assert sorted(r.doc_id for r in near_copies.first_of_each(docs(spark, rows)).collect()) == survivors(rows)
+
+
 def test_crowded_keys_lose_no_link(spark):
     rng = random.Random(24)
     vocabulary = [f"w{i}" for i in range(3000)]

@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spendguard.llm import html_text, licenses, packing, pii, sharding, simhash, tiling, toxicity, url_filter, vptree
+from spendguard.llm import (
+    curriculum,
+    divergence,
+    html_text,
+    licenses,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    spelling,
+    tiling,
+    toxicity,
+    url_filter,
+    vptree,
+)
 from spendguard.llm.common import table
 
 #: (host, start of the path, verdict)
@@ -72,6 +86,18 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.by_first_position(curriculum.positions(table(spark, sf_dir, "documents")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
@@ -83,5 +109,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_ann": op10_ann,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_curriculum_mix": op12_curriculum_mix,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }

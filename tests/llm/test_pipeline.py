@@ -23,7 +23,7 @@ def test_query(spark, db, name):
 
 def test_names():
     assert set(QUERIES) <= set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def test_stages_keep_clean_documents_and_their_columns(spark):

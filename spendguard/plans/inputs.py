@@ -113,11 +113,18 @@ def _stream(rows: DataFrame, name: str, part) -> DataFrame:
     Parts are dealt by id and not by time, so each of them has rows that are later and earlier
     than rows of the part before, and every key comes up again and again.
     """
-    path = shared_path(rows.sparkSession, name)
-    for number in range(PARTS):
-        rows.where(part == number).coalesce(1).write.mode("append").parquet(path)
-    reader = rows.sparkSession.readStream.schema(rows.schema)
-    return reader.option("maxFilesPerTrigger", 1).parquet(path)
+    spark = rows.sparkSession
+    # Every part has as many files; a table with too few rows for that has one file a part.
+    for files in (spark.sparkContext.defaultParallelism, 1):
+        path = shared_path(spark, name)
+        for number in range(PARTS):
+            spread = rows.where(part == number).repartition(files)
+            spread.write.parquet(f"{path}/{number}")
+        written = [len(spark.read.parquet(f"{path}/{number}").inputFiles()) for number in range(PARTS)]
+        if set(written) == {files}:
+            break
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{path}/*")
 
 
 def event_stream(spark, sf_dir) -> DataFrame:

@@ -52,3 +52,25 @@ def checkpointed(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint(eager=True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The store that ``path`` is in, and the path there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _files(spark, path)
+    return store.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    store, place = _files(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
+
+
+def delete(spark: SparkSession, path: str):
+    store, place = _files(spark, path)
+    store.delete(place, True)

@@ -17,8 +17,9 @@ from ..operators.ordered import MAX_GROUP_ROWS, fold
 from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, RATE_OUTPUT, Bucket, bucket_fold
 from ..operators.sessions import DOLLAR, STATE, replay_limits
 from ..runtime import checkpointed, shared_path
-from ..schemas import TOTAL
+from ..schemas import TOTAL, USAGE
 from ..sources.sinks import signal_rows, usage_rows
+from .runs import FAN, Runs
 
 #: Reads a table as it is now: called in every micro-batch, so that prices and limits refresh.
 Reader = Callable[[SparkSession], DataFrame]
@@ -44,6 +45,18 @@ def stream_cost(
     return _start(calls, process, checkpoint, interval)
 
 
+def _total_spend(rows: DataFrame, keys: list[str]) -> DataFrame:
+    total = F.sum("spend_usd").cast(TOTAL).alias("spend_usd")
+    return rows.groupBy("window_start", *keys).agg(total, F.sum("calls").alias("calls"))
+
+
+def _spend_runs(spark: SparkSession, path: str, kinds: list[T.StructField], fan: int) -> Runs:
+    keys = [k.name for k in kinds]
+    fields = [T.StructField("window_start", T.TimestampType()), *kinds]
+    schema = T.StructType([*fields, T.StructField("spend_usd", TOTAL), T.StructField("calls", T.LongType())])
+    return Runs(spark, path, schema, lambda rows: _total_spend(rows, keys), fan=fan)
+
+
 def stream_spend(
     calls: DataFrame,
     prices: Reader,
@@ -52,13 +65,15 @@ def stream_spend(
     checkpoint: str,
     window: str | None = "1 day",
     interval: str | None = "5 seconds",
+    fan: int = FAN,
 ) -> StreamingQuery:
     """Spend and calls per key and tumbling window, however late a call comes.
 
-    Each micro-batch stores its own sums, which ``read_spend`` adds up; a repeated one overwrites
-    its folder. Windows start on the epoch's Monday for weeks, as calendars do; ``window=None``
-    groups by calendar month.
+    Each micro-batch stores its own sums as a run; runs are added up into larger ones as they
+    become many, and ``read_spend`` adds up the rest. Windows start on the epoch's Monday for weeks,
+    as calendars do; ``window=None`` groups by calendar month.
     """
+    kinds = [T.StructField(k, calls.schema[k].dataType) for k in keys]
 
     def process(batch: DataFrame, number: int):
         costed = with_cost(batch, prices(batch.sparkSession))
@@ -69,15 +84,15 @@ def stream_spend(
             start = F.window("timestamp", window, window, offset)["start"]
             grouped = costed.groupBy(start.alias("window_start"), *keys)
         sums = grouped.agg(F.sum(money("cost_usd")).cast(TOTAL).alias("spend_usd"), F.count(F.lit(1)).alias("calls"))
-        sums.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        _spend_runs(batch.sparkSession, path, kinds, fan).add(number, sums)
 
     return _start(calls, process, checkpoint, interval)
 
 
-def read_spend(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """What ``stream_spend`` has stored so far."""
-    total = F.sum("spend_usd").cast(TOTAL).alias("spend_usd")
-    return spark.read.parquet(path).groupBy("window_start", *keys).agg(total, F.sum("calls").alias("calls"))
+def read_spend(spark: SparkSession, path: str, keys: dict[str, str], fan: int = FAN) -> DataFrame:
+    """What ``stream_spend`` has stored so far; ``keys`` has the names and types of its keys."""
+    kinds = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in keys.items())).fields
+    return _total_spend(_spend_runs(spark, path, kinds, fan).stored(), [*keys])
 
 
 def stream_scan(messages: DataFrame) -> DataFrame:
@@ -282,35 +297,49 @@ def stream_rate_audit(
     return run_stateful(calls, path, checkpoint, step, RATE_STATE, interval)
 
 
+KEY_BUCKETS = 64
+
+
+def _key_index(spark: SparkSession, checkpoint: str, fan: int) -> Runs:
+    """The call_ids stored so far, by day, sorted by hash bucket within a file."""
+    kinds = {f.name: f.dataType for f in USAGE.fields}
+    schema = T.StructType(
+        [T.StructField("bucket", T.IntegerType()), T.StructField("call_id", kinds["call_id"]), T.StructField("date", T.DateType())]
+    )
+    return Runs(spark, f"{checkpoint}/stored-calls", schema, lambda rows: rows, ["date"], ["bucket", "call_id"], fan)
+
+
 def write_usage_stream(
-    calls: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds"
+    calls: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds", fan: int = FAN
 ) -> StreamingQuery:
     """Store usage rows per micro-batch, once per call_id, however late; returns the running query.
 
-    A call that comes again, with the same time, is found among the stored rows of its day: only
-    the call_ids of the days that a micro-batch touches are read. Calls without a call_id cannot
-    be told apart and are all stored. A repeated micro-batch overwrites its own folder and does
-    not look into it. Each day's rows of a micro-batch are gathered into few files.
+    A call that comes again, with the same time, is found in an index of the stored call_ids, of
+    which a micro-batch reads the days that it touches, as far as the range of its own buckets goes.
+    The index is merged as it grows, so what a micro-batch opens does not grow with their number;
+    stored usage itself is never read again. Calls without a call_id cannot be told apart and are
+    all stored. A repeated micro-batch overwrites its own folder and does not look into it. Each
+    day's rows of a micro-batch are gathered into few files. A micro-batch may be empty.
     """
 
     def store(batch: DataFrame, number: int):
-        spark = batch.sparkSession
-        rows = checkpointed(usage_rows(batch))
+        index = _key_index(batch.sparkSession, checkpoint, fan)
+        bucket = F.pmod(F.xxhash64("call_id"), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+        rows = checkpointed(usage_rows(batch).select("*", bucket))
         named = rows.where("call_id IS NOT NULL").dropDuplicates(["call_id", "date"])
-        # One row a day: the days of one micro-batch.
-        days = [r.date for r in rows.select("date").distinct().collect()]
-        folders = [f"{path}/batch={i}" for i in range(number)]
-        if folders:
-            stored = spark.read.option("basePath", path).parquet(*folders)
-            kept = F.col("date").isin([d for d in days if d is not None])
-            if None in days:
-                kept = kept | F.col("date").isNull()
-            seen = stored.where(kept).select("call_id", F.col("date").cast("date").alias("_date"))
-            same = named["call_id"].eqNullSafe(seen["call_id"]) & named["date"].eqNullSafe(seen["_date"])
-            named = named.join(seen, same, "left_anti")
-        fresh = named.unionByName(rows.where("call_id IS NULL"))
-        writer = fresh.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
+        # One row a day: the days of one micro-batch and their buckets.
+        range_of = F.min("bucket").alias("low"), F.max("bucket").alias("high")
+        days = rows.where("call_id IS NOT NULL").groupBy("date").agg(*range_of).collect()
+        kept = F.lit(False)
+        for day in days:
+            kept = kept | (F.col("date").eqNullSafe(F.lit(day.date)) & F.col("bucket").between(day.low, day.high))
+        seen = index.before(number).where(kept).select("bucket", "call_id", F.col("date").alias("_date"))
+        same = [named["bucket"] == seen["bucket"], named["call_id"] == seen["call_id"], named["date"].eqNullSafe(seen["_date"])]
+        fresh = checkpointed(named.join(seen, same, "left_anti")) if days else named
+        every = fresh.unionByName(rows.where("call_id IS NULL")).drop("bucket")
+        writer = every.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
         writer.parquet(f"{path}/batch={number}")
+        index.add(number, fresh)
 
     return _start(calls, store, checkpoint, interval)
 

@@ -9,9 +9,10 @@ from spendguard.operators import cost as K
 from spendguard.operators import rate as R
 from spendguard.operators import sessions as S
 from spendguard.plans import inputs as I
-from spendguard.runtime import checkpointed, shared_path
+from spendguard.runtime import checkpointed, children, shared_path
 from spendguard.sources import sinks, tables
 from spendguard.streaming import jobs as J
+from spendguard.streaming.runs import Runs
 
 SF = "/root/testdata/sf0.001"
 PARTS = 4
@@ -130,7 +131,7 @@ def test_spend_counts_late_calls(spark, log):
     J.stream_spend(
         stream(spark, twice), I.pricing, ["feature"], path, checkpoint, "1 day", None
     ).awaitTermination()
-    rows = J.read_spend(spark, path, ["feature"])
+    rows = J.read_spend(spark, path, {"feature": "string"})
     assert rows.agg(F.sum("calls")).first()[0] == tables.read_usage(spark, twice).count()
     assert rows.where("window_start < '2002-01-01'").agg(F.sum("calls")).first()[0] == late.count()
 
@@ -151,6 +152,67 @@ def test_usage_is_stored_once_per_call_however_late(spark):
     assert stored.select("call_id").distinct().count() == rows.count() + 3 + 1
 
 
+@pytest.mark.parametrize("empty", [(0,), (3,), (7,), (0, 1, 6, 7), range(8)])
+def test_micro_batches_without_rows(spark, empty):
+    """Eight micro-batches, some empty; the index and the sums are merged every two of them."""
+    day = datetime(2024, 1, 1)
+    rows = [[(10 * i + j, day + timedelta(days=j % 2, hours=i)) for j in range(5)] for i in range(8)]
+    rows = [[(1, day + timedelta(days=1))] if i and i % 3 == 0 else r for i, r in enumerate(rows)]  # and one that comes again
+    rows = [[] if i in empty else r for i, r in enumerate(rows)]
+    schema = "call_id long, timestamp timestamp"
+    calls = source(spark, "gaps", rows, schema).withColumns(
+        {"model": F.lit("gpt-4"), "feature": F.lit("f")}
+        | {c: F.lit(1).cast("long") for c in ("input_tokens", "output_tokens", "cache_creation_tokens", "cache_read_tokens")}
+    )
+    path, checkpoint = paths(spark, "gaps-out")
+    J.write_usage_stream(calls, path, checkpoint, None, fan=2).awaitTermination()
+    stored = [r.call_id for r in tables.read_usage(spark, path).collect()]
+    assert sorted(stored) == sorted({c for r in rows for c, _ in r})
+    path, checkpoint = paths(spark, "gaps-spend")
+    J.stream_spend(calls, I.pricing, ["feature"], path, checkpoint, None, None, fan=2).awaitTermination()
+    spend = J.read_spend(spark, path, {"feature": "string"}, fan=2).collect()
+    assert sum(r.calls for r in spend) == sum(map(len, rows))
+
+
+def test_repeats_over_many_micro_batches(spark):
+    """Every call comes again, up to twelve micro-batches later, in its own one and with no id."""
+    day = datetime(2024, 1, 1)
+    rows = []
+    for i in range(13):
+        fresh = [(100 * i + j, day + timedelta(days=j)) for j in range(4)]
+        again = [(100 * k + k % 4, day + timedelta(days=k % 4)) for k in range(i)]
+        rows.append(fresh + fresh[:2] + again + [(None, day)])
+    calls = source(spark, "again", rows, "call_id long, timestamp timestamp")
+    path, checkpoint = paths(spark, "again-out")
+    J.write_usage_stream(calls, path, checkpoint, None, fan=3).awaitTermination()
+    stored = [r.call_id for r in tables.read_usage(spark, path).collect()]
+    assert stored.count(None) == 13
+    named = [c for c in stored if c is not None]
+    assert sorted(named) == [100 * i + j for i in range(13) for j in range(4)]
+    # 13 micro-batches are 1 run of nine, 1 of three and 1 of one; what the last merge read is still there.
+    index = J._key_index(spark, checkpoint, 3)
+    assert index.live(13) == [(0, 12), (1, 3), (2, 0)]
+    assert index.stored().count() == 52
+
+
+def test_runs_stay_few(spark):
+    """A thousand runs leave a handful of folders, each row in one of them, and can be repeated."""
+    schema = tables.USAGE.__class__.fromDDL("k string, n long")
+    runs = Runs(spark, shared_path(spark, "runs"), schema, lambda r: r.groupBy("k").agg(F.sum("n").alias("n")), fan=4)
+    covered = [run for number in (0, 1, 7, 64, 1000) for run in [runs.live(number)]]
+    assert [sum(4**level for level, _ in live) for live in covered] == [0, 1, 7, 64, 1000]
+    assert max(len(runs.live(n)) for n in range(1001)) <= 3 * 5
+    assert runs.stored().count() == 0
+    for number in range(21):
+        rows = spark.createDataFrame([("a", 1), ("b", number)], schema)
+        for _ in range(2 if number in (3, 15, 20) else 1):  # a micro-batch that failed late comes again
+            before = {r.k: r.n for r in runs.merge(runs.before(number)).collect()}
+            assert before == ({"a": number, "b": sum(range(number))} if number else {})
+            runs.add(number, rows)
+    assert {r.k: r.n for r in runs.merge(runs.stored()).collect()} == {"a": 21, "b": 210}
+    assert sum(len(children(spark, f"{runs.root}/{level}")) for level in children(spark, runs.root)) <= 10
+
+
 def test_stream_scan_and_signals_match_batch(spark):
     from spendguard.operators import governance as G
 

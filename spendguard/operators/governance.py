@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import content as C
 from ..functions.content import CATEGORIES, full_scan, gate, scan
 from ..functions.spans import bind, kept_if
+from ..runtime import checkpointed
 from .budgets import fail_open_defaults
+from .keyfilter import key_filter
 
 
 def scan_text(df: DataFrame, text: str = "text") -> DataFrame:
@@ -142,14 +144,24 @@ def first_violations(messages: DataFrame) -> DataFrame:
 
 
 def first_blocking_message(messages: DataFrame) -> DataFrame:
-    """The first blocked message of each request; later ones are never looked at.
+    """The first blocked message of each request; later ones are never redacted.
 
-    Which message it is follows from keys alone; only then is a text redacted.
+    Which message it is follows from keys alone. They come back to the texts as a filter of a few
+    bits a request, which picks the rows where they are scanned: no text is shuffled or joined.
+    Only if the requests are too many for an exact filter (16 million), redacted texts that it lets
+    through are joined with the keys. Messages without a key belong to no request.
     """
+    names = ["request_id", "msg_index"]
     hit = F.struct(gate(F.col("text"), redacted=False)["blocked"].alias("hit"))
-    keys = messages.select("request_id", "msg_index", kept_if(hit, lambda f: f["hit"]))
-    first = keys.groupBy("request_id").agg(F.min("msg_index").alias("msg_index"))
-    return blocked_messages(messages.join(first, ["request_id", "msg_index"], "left_semi"))
+    keys = messages.select(*names, kept_if(hit, lambda f: f["hit"])).drop("hit").na.drop()
+    keys = checkpointed(keys.distinct())
+    first = keys.groupBy("request_id").agg(F.min("msg_index").alias("_first"))
+    first = checkpointed(keys.join(first, "request_id").select(*names, (F.col("msg_index") == F.col("_first")).alias("_won")))
+    winners = first.where("_won").drop("_won")
+    picked = key_filter(winners, first.where("NOT _won").drop("_won"))
+    known = F.col("request_id").isNotNull() & F.col("msg_index").isNotNull()
+    blocked = blocked_messages(messages.where(known & picked.test(*[F.col(n) for n in names])))
+    return blocked if picked.exact else blocked.join(winners, names, "left_semi")
 
 
 def governance_signals(

@@ -284,11 +284,21 @@ check(
     CASE WHEN period NOT IN {_in(BUDGET_PERIODS)} THEN 'period' END) AS errors FROM policy_feed)
     WHERE errors <> ''""",
 )
+# Rows without an id have one made of their values and of a number that tells equal rows apart.
 CHECKS["load_sessions"] = """
-SELECT CASE WHEN c_custkey % 10 <> 0 THEN 's-' || c_custkey ELSE '(new)' END AS session_id,
-c_mktsegment AS feature, CAST(c_custkey AS VARCHAR) AS user_id,
-CASE WHEN c_custkey % 3 = 0 THEN 5.0::DOUBLE END AS max_spend_usd,
-CASE WHEN c_custkey % 4 = 0 THEN 10::BIGINT END AS max_iterations, 'active' AS status FROM customer"""
+WITH sessions AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 10 <> 0 THEN 's-' || c_custkey END AS session_id,
+  c_mktsegment AS feature, CAST(c_custkey AS VARCHAR) AS user_id,
+  CASE WHEN c_custkey % 3 = 0 THEN 5.0::DOUBLE END AS max_spend_usd,
+  CASE WHEN c_custkey % 4 = 0 THEN 10::BIGINT END AS max_iterations, 'active' AS status,
+  unnest(range(1, CASE WHEN c_custkey % 7 = 0 THEN 4 ELSE 2 END)) AS n FROM customer
+), hashed AS (
+  SELECT *, md5(concat_ws(chr(31), '-', coalesce('=' || feature, '-'), '=' || user_id,
+    coalesce('=' || max_spend_usd, '-'), coalesce('=' || max_iterations, '-'), '=' || status, n)) AS h FROM sessions
+)
+SELECT coalesce(session_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '3' || substr(h, 14, 3),
+  substr('89ab', ('0x' || substr(h, 17, 1))::INTEGER % 4 + 1, 1) || substr(h, 18, 3), substr(h, 21, 12))) AS session_id,
+feature, user_id, max_spend_usd, max_iterations, status FROM hashed"""
 
 # Cost ----------------------------------------------------------------------------------------
 

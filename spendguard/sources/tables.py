@@ -1,6 +1,6 @@
 """Readers and loaders that give the jobs typed tables."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.usage import message_text
 from ..schemas import POLICIES, PRICING, SESSIONS, USAGE
@@ -47,15 +47,38 @@ def load_policies(df: DataFrame) -> DataFrame:
     return _typed(df, POLICIES)
 
 
+#: Equal rows that one task writes out.
+COPIES = 10_000
+
+
+def _name_based_id(columns: list[str], number) -> Column:
+    """An id in the form of a UUID (version 3) out of a row's values and a number."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    h = F.md5(F.concat_ws("\x1f", *values, number.cast("string")).cast("binary"))
+    variant = F.substring(F.lit("89ab"), 1, 4)
+    variant = F.substr(variant, (F.conv(F.substr(h, F.lit(17), F.lit(1)), 16, 10).cast("int") % 4 + 1), F.lit(1))
+    parts = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)),
+             F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12)]
+    return F.concat_ws("-", *parts)
+
+
 def load_sessions(df: DataFrame) -> DataFrame:
-    """Session limits; a row without a session id gets a new one, a new session is active."""
-    typed = _typed(df, SESSIONS)
-    return typed.withColumns(
-        {
-            "session_id": F.coalesce("session_id", F.uuid()),
-            "status": F.coalesce("status", F.lit("active")),
-        }
-    )
+    """Session limits; a row without a session id gets one, a new session is active.
+
+    That id follows from the row's values, and from a count where rows are equal, so every load of
+    the same rows gives the same ids, however they are partitioned or ordered. Equal rows are
+    counted before they are shuffled and then written out by many tasks.
+    """
+    typed = _typed(df, SESSIONS).withColumn("status", F.coalesce("status", F.lit("active")))
+    named = typed.where("session_id IS NOT NULL")
+    rest = [c for c in typed.columns if c != "session_id"]
+    equal = typed.where("session_id IS NULL").groupBy(*rest).agg(F.count(F.lit(1)).alias("_n"))
+    starts = F.sequence(F.lit(1).cast("long"), F.col("_n"), F.lit(COPIES).cast("long"))
+    stretches = equal.withColumn("_from", F.explode(starts)).repartition(*rest, "_from")
+    last = F.least(F.col("_from") + COPIES - 1, F.col("_n"))
+    each = stretches.withColumn("_k", F.explode(F.sequence("_from", last)))
+    new = each.withColumn("session_id", _name_based_id(rest, F.col("_k"))).select(*typed.columns)
+    return named.unionByName(new)
 
 
 REQUEST_DDL = "messages array<struct<role: string, content: variant>>"

@@ -1,5 +1,6 @@
 """Budgets, gates, signals, sinks and validation on small known tables."""
 
+import uuid
 from datetime import datetime
 from decimal import Decimal
 
@@ -243,3 +244,25 @@ def test_new_sessions_get_an_id(spark):
     loaded = {r.max_spend_usd: r for r in tables.load_sessions(rows).collect()}
     assert loaded[1.0].session_id == "s" and len(loaded[2.0].session_id) == 36
     assert loaded[2.0].status == "active" and loaded[2.0].max_iterations is None
+
+
+def test_session_ids_are_the_same_in_every_load(spark):
+    rows = spark.range(60).select(
+        F.when(F.col("id") < 5, F.concat(F.lit("s"), F.col("id").cast("string"))).alias("session_id"),
+        (F.col("id") % 11).cast("string").alias("user_id"),
+        F.when(F.col("id") % 2 == 0, F.lit(1.5)).alias("max_spend_usd"),
+    )
+    loads = [tables.load_sessions(df) for df in (rows, rows.repartition(7), rows.orderBy(F.desc("id")).coalesce(1))]
+    first, *others = [sorted(map(str, load.collect())) for load in loads]
+    assert others == [first, first]
+    ids = [r.session_id for r in loads[0].collect()]
+    assert len(ids) == len(set(ids)) == 60
+    made = [i for i in ids if not i.startswith("s")]
+    assert len(made) == 55 and all(str(uuid.UUID(i)) == i and uuid.UUID(i).version == 3 for i in made)
+
+
+def test_many_equal_sessions_are_written_out_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(tables, "COPIES", 10)
+    rows = spark.range(95).select(F.lit(None).cast("string").alias("session_id"), F.lit("u").alias("user_id"))
+    assert tables.load_sessions(rows).select("session_id").distinct().count() == 95
+    assert tables.load_sessions(rows.limit(0)).count() == 0

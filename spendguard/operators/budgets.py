@@ -10,8 +10,13 @@ The rules for scopes, windows, admission and risk are stated here, in one place:
 * An active policy is at risk from its lowest alert threshold on, or from 100% without one.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+import heapq
+from collections.abc import Iterator
 
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..runtime import checkpointed
 from ..schemas import TOTAL
 from .cost import money
 from .ordered import MAX_GROUP_ROWS, running
@@ -155,88 +160,223 @@ def alert_crossings(policies: DataFrame) -> DataFrame:
     )
 
 
-def _running_spend(policies, calls, columns, max_group_rows, counted=None) -> DataFrame:
-    """One row per active policy and call inside it, with the policy's spend up to the call.
+def _swept(policies: DataFrame, calls: DataFrame, columns: list[str], max_group_rows: int):
+    """One ordered pass over the calls of each scope and the starts and ends of its windows.
 
-    A policy's spend is the running sum of its scope, less that before its window. So calls are
-    shuffled once per scope that has policies, at most four times, however many policies there
-    are; policies are joined to rows that already have their sums.
+    Returns the active policies with ``_base``, the spend of their scope before their window, and
+    one row per call and scope that has policies (at most four a call, however many policies there
+    are) with ``_total``, the scope's spend up to the call, ``_n``, the number of its row, and
+    ``_bound``, the last start or end of a window before it. A policy's spend is ``_total`` less
+    ``_base``. Calls are read once, in narrow rows.
     """
-    active = _active(policies)
-    scopes = active.select("_org", "_scope", "_name").distinct()
-
-    def scoped(rows, names):
-        return _offered(rows, names).join(scopes, _matches(), "left_semi")
-
-    rows = scoped(calls, ["call_id", "timestamp", "cost_usd", *columns])
-    sizes = scoped(calls if counted is None else counted, ["timestamp"])
+    active = _active(policies).where("period_start < period_end AND _name IS NOT NULL")
+    active = checkpointed(
+        active.withColumnsRenamed({"_org": SCOPE[0], "_scope": SCOPE[1], "_name": SCOPE[2]})
+    )
+    scopes = active.select(*SCOPE).distinct()
+    offered = _offered(calls, ["call_id", "timestamp", "cost_usd", *columns])
+    rows = offered.join(scopes, SCOPE, "left_semi").withColumn("_is_call", F.lit(True))
+    bounds = active.select(*SCOPE, F.explode(F.array("period_start", "period_end")).alias("timestamp"))
+    bounds = bounds.distinct().withColumn("_is_call", F.lit(False))
+    # A window has its first instant and not its last, so bounds come before calls of their time.
+    both = checkpointed(rows.unionByName(bounds, allowMissingColumns=True))
+    at_bound = F.when(~F.col("_is_call"), F.col("timestamp"))
     run = running(
-        rows, SCOPE, ORDER, {"_total": money("cost_usd")}, max_group_rows=max_group_rows,
-        counted=sizes,
+        both, SCOPE, ["timestamp", "_is_call", "call_id"],
+        {"_total": money("cost_usd"), "_n": F.lit(1)}, {"_bound": lambda _: at_bound},
+        max_group_rows,
     )
-    # Sums per policy combine before the shuffle.
-    earlier = _matches() & (F.col("timestamp") < F.col("period_start"))
-    before = scoped(calls, ["timestamp", "cost_usd"]).join(active, earlier)
-    before = before.groupBy("policy_id").agg(F.sum(money("cost_usd")).alias("_before_window"))
-    dated = active.join(before, "policy_id", "left")
-    spend = F.col("_total") - F.coalesce("_before_window", F.lit(0).cast(TOTAL))
-    pairs = run.join(dated, _inside()).withColumn("running_spend_usd", spend.cast(TOTAL))
-    return pairs.drop(
-        "_org", "_scope", "_name", *SCOPE[1:], "period_start", "period_end", "_total", "_before_window"
+    total = F.coalesce("_total", F.lit(0)).cast(TOTAL)
+    run = checkpointed(run.withColumn("_total", total))
+    starts = run.where("NOT _is_call").select(
+        *SCOPE, F.col("timestamp").alias("period_start"), F.col("_total").alias("_base")
     )
+    return active.join(starts, [*SCOPE, "period_start"]), run.where("_is_call")
+
+
+BLOCK = 1 << 16  # rows of a scope that are opened together
+STEPS = 48  # halvings of the widest range of rounding errors
+UNIT = 12  # decimals of an amount
+
+
+def _level(threshold: Column, amount: Column) -> Column:
+    """The least spend whose percentage of ``amount``, computed in floating point, is ``threshold``
+    or more. It lies within rounding errors of the exact share, where it is found by halving."""
+    share = (threshold * amount / 100).cast(TOTAL)
+    reach = F.abs(share.cast("double")) * 1e-14 * 10**UNIT
+    unit = F.lit(f"1e-{UNIT}").cast(f"decimal(13,{UNIT})")
+
+    def reached(units: Column) -> Column:
+        return (share + units * unit).cast("double") / amount * 100 >= threshold
+
+    def halve(range_, _):
+        middle = F.floor((range_["low"] + range_["high"]) / 2).cast("long")
+        hit = reached(middle)
+        return F.struct(
+            F.when(hit, range_["low"]).otherwise(middle + 1).alias("low"),
+            F.when(hit, middle).otherwise(range_["high"]).alias("high"),
+        )
+
+    wide = F.ceil(reach).cast("long") + 2
+    first = F.struct((-wide).alias("low"), wide.alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), first, halve)
+    return (share + found["high"] * unit).cast(TOTAL)
 
 
 def first_crossing(
-    policies: DataFrame, calls: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
+    policies: DataFrame,
+    calls: DataFrame,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """The call at which a policy's running spend reaches each alert threshold.
 
-    Spend never falls, so the crossing call is the one that is at the threshold while the call
-    before it was not; no second grouping is needed.
+    Spend never falls, so a threshold is a place in the sequence of the scope's running totals: the
+    first call at or beyond it, in the window. It is searched in two levels: among the last totals
+    of blocks of calls, then in the one block that has it; no other block is opened. Searching is
+    sorting places in among totals, so rows are those of calls plus those of thresholds. A
+    threshold of zero or less is crossed by the first call.
     """
-    run = _running_spend(policies, calls, [], max_group_rows).where("budget_amount_usd > 0")
-    before = F.col("running_spend_usd") - money("cost_usd")
-    share = [
-        spend.cast("double") / F.col("budget_amount_usd") * 100
-        for spend in (F.col("running_spend_usd"), before)
-    ]
-    run = run.withColumns({"percentage": share[0], "_before": share[1], "_start": before == 0})
-    # A threshold of zero or less is crossed by the first call; several free calls may share it.
-    reached = F.filter(
-        "alert_thresholds",
-        lambda t: (t <= F.col("percentage")) & ((t > F.col("_before")) | F.col("_start")),
+    dated, run = _swept(policies, calls, [], max_group_rows)
+    places = dated.where("budget_amount_usd > 0").select(
+        *SCOPE, "policy_id", "_base", "period_start", "period_end", "budget_amount_usd",
+        F.explode(F.col("alert_thresholds").cast("array<double>")).alias("_share"),
+    ).where("_share IS NOT NULL AND NOT isnan(_share)")
+    least = F.col("_base") + _level(F.col("_share"), F.col("budget_amount_usd"))
+    places = places.select(
+        *SCOPE, F.struct("policy_id", F.col("_share").alias("threshold"), "_base", "period_end",
+                         "budget_amount_usd").alias("_place"),
+        F.greatest(least, F.col("_base")).cast(TOTAL).alias("_total"), F.col("period_start").alias("timestamp"),
+    )
+
+    def next_of(rows, keys, found, order):
+        """For each place the first of ``rows`` at or after it, as a struct in ``found``."""
+        both = rows.unionByName(places_of(rows), allowMissingColumns=True)
+        back = Window.partitionBy(*keys).orderBy(
+            F.desc("_total"), F.desc("timestamp"), F.isnotnull("_place"), *[F.desc(c) for c in order]
+        ).rowsBetween(Window.unboundedPreceding, 0)
+        return both.withColumn(found, F.last(found, ignorenulls=True).over(back)).where("_place IS NOT NULL")
+
+    blocked = run.withColumn("_block", F.floor((F.col("_n") - 1) / block))
+    ends = blocked.groupBy(*SCOPE, "_block").agg(
+        F.max("_total").alias("_total"), F.max("timestamp").alias("timestamp")
     )
-    crossed = run.withColumn("threshold", F.explode(reached))
-    row = F.struct("timestamp", "call_id", "running_spend_usd", "percentage")
+    ends = ends.withColumn("_in", F.col("_block"))
+    places_of = lambda _: places
+    located = next_of(ends, SCOPE, "_in", ["_block"]).where("_in IS NOT NULL")
+    located = checkpointed(located.select(*SCOPE, F.col("_in").alias("_block"), "_place", "_total", "timestamp"))
+    opened = blocked.join(located.select(*SCOPE, "_block").distinct(), [*SCOPE, "_block"], "left_semi")
+    call = F.struct("timestamp", "call_id", "_total").alias("_call")
+    opened = opened.select(*SCOPE, "_block", "_total", "timestamp", "call_id", call)
+    places_of = lambda _: located
+    crossed = next_of(opened, [*SCOPE, "_block"], "_call", ["call_id"])
+    crossed = crossed.where(F.col("_call.timestamp") < F.col("_place.period_end"))
+    spend = (F.col("_call._total") - F.col("_place._base")).cast(TOTAL)
+    share = spend.cast("double") / F.col("_place.budget_amount_usd") * 100
+    row = F.struct(
+        F.col("_call.timestamp").alias("timestamp"), F.col("_call.call_id").alias("call_id"),
+        spend.alias("running_spend_usd"), share.alias("percentage"),
+    )
+    kind = policies.schema["alert_thresholds"].dataType.elementType
+    # Thresholds that a policy lists twice are one.
     return (
-        crossed.groupBy("policy_id", "threshold")
+        crossed.groupBy(F.col("_place.policy_id").alias("policy_id"), F.col("_place.threshold").cast(kind).alias("threshold"))
         .agg(F.min(row).alias("_row"))
         .select("policy_id", "threshold", "_row.*")
     )
 
 
+OPEN_DDL = """org_id string, _call_scope string, _call_name string, _bound timestamp, _alert decimal(36,12),
+_throttle decimal(36,12), _block decimal(36,12), _steps array<struct<level:decimal(36,12),percentage:double>>"""
+
+
+def _open_levels(policies: list[tuple]) -> Iterator[tuple]:
+    """For each stretch between the bounds of a scope's windows: the lowest total at which an open
+    policy of each action is exceeded, and throttle percentages as steps that rise with the total.
+
+    ``policies`` are (start, end, level, action, percentage), ordered by start. The lowest levels
+    come from heaps whose closed policies are dropped when they come up.
+    """
+    heaps: dict[str, list] = {action: [] for action in STRICTNESS}
+    throttled: list[tuple] = []
+    begun = 0
+    for bound in sorted({p[0] for p in policies} | {p[1] for p in policies}):
+        while begun < len(policies) and policies[begun][0] <= bound:
+            _, end, level, action, percentage = policies[begun]
+            begun += 1
+            if action in heaps:
+                heapq.heappush(heaps[action], (level, end))
+            if action == "throttle" and percentage == percentage and percentage is not None:
+                throttled.append((level, end, percentage))
+        lowest = []
+        for heap in heaps.values():
+            while heap and heap[0][1] <= bound:
+                heapq.heappop(heap)
+            lowest.append(heap[0][0] if heap else None)
+        throttled = [t for t in throttled if t[1] > bound]
+        steps: list[dict] = []
+        for level, _, percentage in sorted(throttled):
+            if not steps or percentage > steps[-1]["percentage"]:
+                steps.append({"level": level, "percentage": percentage})
+        if any(level is not None for level in lowest):
+            yield (bound, *lowest, steps)
+
+
+def _open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Policies sorted by scope and start, to rows of ``OPEN_DDL``; a scope may go over batches."""
+    scope, held, out = None, [], []
+
+    def close():
+        out.extend((*scope, *row) for row in _open_levels(held))
+
+    names = [*SCOPE, "_bound", "_alert", "_throttle", "_block", "_steps"]
+    for batch in batches:
+        columns = [*SCOPE, "period_start", "period_end", "_level", "action", "throttle_percentage"]
+        for *key, start, end, level, action, percentage in zip(*[batch[c] for c in columns], strict=True):
+            if key != scope:
+                if held:
+                    close()
+                scope, held = key, []
+            held.append((start, end, level, action, percentage))
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=names)
+            out.clear()
+    if held:
+        close()
+    if out:
+        yield pd.DataFrame(out, columns=names)
+
+
 def budget_check(
     calls: DataFrame,
     policies: DataFrame,
     max_group_rows: int = MAX_GROUP_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add allowed, action, throttle_percentage and reason to each call.
 
-    Calls carry ``cost_usd`` and ``estimated_cost_usd``. Only exceeded pairs of policy and call
-    are grouped back to calls. ``counted`` may name cheaper calls that include these, to size the
-    policies' groups.
+    Calls carry ``cost_usd`` and ``estimated_cost_usd``. A call exceeds a policy if the scope's
+    total before the call plus the estimate is above the policy's level: its amount plus the total
+    before its window. So all policies that are open between two bounds of windows come down to the
+    lowest level of each action, and a call meets one row of its scope, however many policies
+    overlap. Only exceeded rows are grouped back to calls.
     """
-    run = _running_spend(policies, calls, ["estimated_cost_usd"], max_group_rows, counted)
-    before = F.col("running_spend_usd") - money("cost_usd")
-    exceeded = run.where(
-        before + money("estimated_cost_usd") > money("budget_amount_usd")
-    )
-    rank = F.array_position(F.array(*[F.lit(a) for a in STRICTNESS]), F.col("action"))
-    throttled = F.when(F.col("action") == "throttle", F.col("throttle_percentage"))
-    verdicts = exceeded.groupBy("call_id").agg(
-        F.max(rank).alias("_rank"), F.max(throttled).alias("throttle_percentage")
+    dated, run = _swept(policies, calls, ["estimated_cost_usd"], max_group_rows)
+    level = (money("budget_amount_usd") + F.col("_base")).cast(TOTAL).alias("_level")
+    ordered = dated.select(*SCOPE, "period_start", "period_end", level, "action", "throttle_percentage")
+    ordered = ordered.repartition(*SCOPE).sortWithinPartitions(*SCOPE, "period_start")
+    opened = checkpointed(ordered.mapInPandas(_open, OPEN_DDL))
+    met = run.join(opened, [*SCOPE, "_bound"]).withColumn(
+        "_offer", F.col("_total") - money("cost_usd") + money("estimated_cost_usd")
     )
+    over = {a: F.coalesce(F.col("_offer") > F.col(f"_{a}"), F.lit(False)) for a in STRICTNESS}
+    rank = F.when(over["block"], 3).when(over["throttle"], 2).when(over["alert"], 1)
+    passed = F.filter("_steps", lambda step: step["level"] < F.col("_offer"))
+    verdicts = (
+        met.select("call_id", rank.alias("_rank"), F.try_element_at(F.transform(passed, lambda s: s["percentage"]), F.lit(-1)).alias("_share"))
+        .where("_rank IS NOT NULL")
+        .groupBy("call_id")
+        .agg(F.max("_rank").alias("_rank"), F.max("_share").alias("throttle_percentage"))
+    )
     action = F.get(F.array(*[F.lit(a) for a in STRICTNESS]), F.col("_rank").cast("int") - 1)
     return (
         calls.join(verdicts, "call_id", "left")

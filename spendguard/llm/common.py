@@ -62,8 +62,9 @@ def without(docs: DataFrame, gone: DataFrame, bound: int = 500_000) -> DataFrame
     return keyed.join(gone, names, "left_anti").drop(*names)
 
 
-def one_of_each(docs: DataFrame, keys: DataFrame, bound: int = 500_000) -> DataFrame:
-    """One row of ``docs`` for each of ``keys``, which rows share that are equal in id and text."""
+def only(docs: DataFrame, keys: DataFrame, bound: int = 500_000, once: bool = False) -> DataFrame:
+    """The rows of ``docs`` that have one of ``keys``, or one row for each of them."""
     keyed, keys, names = _keyed(docs, keys)
     keys = F.broadcast(keys) if keys.count() <= bound else keys
-    return keyed.join(keys, names, "left_semi").dropDuplicates(names).drop(*names)
+    found = keyed.join(keys, names, "left_semi")
+    return (found.dropDuplicates(names) if once else found).drop(*names)

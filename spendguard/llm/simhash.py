@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from spendguard.llm.common import salted, with_salt
+from spendguard.llm.common import only, row_keys, salted, with_salt, without
 from spendguard.llm.components import components
 from spendguard.runtime import checkpointed
 
@@ -57,15 +57,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *more: Column) -> DataFrame:
+    """``(doc_id, fp)`` of every row, and ``more`` columns."""
 
     @pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", of(F.col("text")).alias("fp"))
+    return docs.select("doc_id", of(F.col("text")).alias("fp"), *more)
 
 
 def block_keys(fp: Column, distance: int) -> Column:
@@ -120,20 +120,21 @@ def close_pairs(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFr
 
 
 def classes(prints: DataFrame, distance: int = 2) -> DataFrame:
-    """Rows ``(doc_id, fp)``, which should be read from a checkpoint, with ``component_id``: the smallest doc_id that
-    links lead to, the row's own included (null if no row of the component has an id)."""
+    """Rows ``(doc_id, fp)``, which should be read from a checkpoint, with ``component``, one of the fingerprints that
+    links lead to, and ``component_id``, the smallest doc_id there, the row's own included (null if there is none)."""
     smallest = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     reach = components(close_pairs(smallest.select("fp"), distance)).select(F.col("node").alias("fp"), "component")
     joined = checkpointed(smallest.join(reach, "fp"))
     # A component may hold many fingerprints: minima are combined before the shuffle and joined with salted keys.
     best = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = with_salt(joined, F.col("fp"), SALTS).join(salted(best, SALTS), ["component", "_salt"])
-    linked = checkpointed(linked.select("fp", F.lit(True).alias("linked"), "component_id"))
-    own = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least"))
-    named = smallest.join(linked, "fp", "left").select("fp", own.alias("component_id"))
+    linked = checkpointed(linked.select("fp", "component", "component_id"))
+    own = F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("least"))
+    component = F.coalesce("component", "fp").alias("component")
+    named = smallest.join(linked, "fp", "left").select("fp", component, own.alias("component_id"))
     named = salted(checkpointed(named), SALTS)
     # All rows may share one fingerprint: the row's number, not its id, deals them out.
-    return with_salt(prints, F.monotonically_increasing_id(), SALTS).join(named, ["fp", "_salt"]).select("doc_id", "fp", "component_id")
+    return with_salt(prints, F.monotonically_increasing_id(), SALTS).join(named, ["fp", "_salt"]).drop("_salt")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -141,3 +142,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     found = classes(checkpointed(fingerprints(docs, shingle)), distance)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def first_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """Of each component one row, with all its columns: the one with the smallest id, of these the one with the least
+    hash of its text. Rows without an id stay only where no row of their component has one. Of rows that are equal in
+    id and text one stays. Texts are not shuffled, but for one row a task of those that repeat."""
+    keys = ["_no_id", "_id", "_hash"]
+    prints = checkpointed(fingerprints(docs, shingle, *row_keys(docs)))
+    of = classes(prints, distance).groupBy("component", *keys).agg(F.count("*").alias("_n"))
+    of = checkpointed(of)
+    first = of.groupBy("component").agg(F.min(F.struct(*keys)).alias("_first"))
+    # A component may have many rows: its first one is sent to each salt.
+    led = with_salt(of, F.col("_hash"), SALTS).join(salted(first, SALTS), ["component", "_salt"])
+    is_first = F.struct(*keys) == F.col("_first")
+    kept = without(docs, checkpointed(led.where(~is_first | (F.col("_n") > 1)).select("_id", "_no_id", "_hash")))
+    repeated = checkpointed(led.where(is_first & (F.col("_n") > 1)).select("_id", "_no_id", "_hash"))
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(only(docs, repeated, once=True))

@@ -89,3 +89,29 @@ def test_components_of_paths_stars_and_nothing(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs(spark, [(1, "a")]).limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(6)
+    base = [f"word{i}" for i in range(400)]
+    rows = [(50 + i, " ".join(base[:200] + [f"x{i}"] if i % 3 else base[:200])) for i in range(30)]
+    rows += [(i, " ".join(rng.choices(base, k=60))) for i in range(20)]
+    rows += [(10, rows[40][1])] * 5 + [(None, rows[3][1]), (None, "alone without an id"), (None, "alone without an id")]
+    rows += [(300, None), (299, ""), (None, " ")] + [(77, "a row that stands here often")] * 60
+    df = docs(spark, rows)
+    kept = simhash.first_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect())
+    expected = []
+    prints = {i: plain(t) for i, (_, t) in enumerate(rows)}
+    members = {}
+    for i, least in groups(prints).items():
+        members.setdefault(least, []).append(rows[i])
+    for of in members.values():
+        first = min((i is None, i or 0) for i, _ in of)
+        expected.append((*first, {t for i, t in of if (i is None, i or 0) == first}))
+    assert len(got) == len(expected)
+    assert all(g[:2] == e[:2] and g[2] in e[2] for g, e in zip(got, sorted(expected, key=lambda e: (e[0], e[1], max(e[2]))), strict=True))
+    assert simhash.first_of_each(df.limit(0)).count() == 0
+    few = simhash.first_of_each(docs(spark, [(1, "a b c"), (2, "d e f")]))
+    assert sorted(r.doc_id for r in few.collect()) == [1, 2]

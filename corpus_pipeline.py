@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendguard.llm import near_copies, packing, pii, tiling, toxicity
+from spendguard.llm import packing, pii, simhash, tiling, toxicity
 from spendguard.llm.common import table
 from spendguard.runtime import shared_path
 
@@ -26,8 +26,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return near_copies.first_of_each(docs)
+    """Of each group of linked fingerprints the document with the smallest id stays."""
+    return simhash.first_of_each(docs, shingle=3, distance=2)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

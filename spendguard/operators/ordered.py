@@ -165,13 +165,15 @@ class Fold:
     ``replay(rows, fresh, state)`` walks an Arrow batch in order and returns (output lists, last
     state). ``fresh`` marks the first row of each group; the rows before the first mark go on
     from ``state``. To cross blocks of a hot group, ``summarise(batches)`` reduces one block of a
-    single group without knowing the state before it, and ``advance(state, summary)`` applies
-    such a summary, or returns None when only a replay of that block can tell.
+    single group to one or more parts without knowing the state before it, and
+    ``advance(state, part)`` gives the state after a part. ``compose(part, next)`` makes one part
+    out of two; where a rule has it, a block has one part, and blocks are followed as a tree.
     """
 
     replay: Callable[[pa.RecordBatch, list[bool], Any], tuple[dict[str, list], Any]]
-    summarise: Callable[[Iterator[pa.RecordBatch]], Any]
+    summarise: Callable[[Iterator[pa.RecordBatch]], Iterator[Any]]
     advance: Callable[[Any, Any], Any]
+    compose: Callable[[Any, Any], Any] | None = None
 
 
 ARROW_TYPES = {
@@ -205,13 +207,14 @@ def fold(
         # The window asks for whole groups in order. An explicit repartition would not do: after
         # a join on the same keys it is dropped, and run-time join changes then scatter groups.
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        ordered, starts = df.withColumn("_n", number), {}
+        ordered = df.withColumn("_n", number)
     else:
         ordered = freeze(df, keys, order, _parts(df, sizes, max_group_rows))
-        starts = _block_starts(ordered, keys, rule)
+        # At most MAX_BLOCKS rows; the join leaves every block as it is.
+        ordered = ordered.join(F.broadcast(_block_starts(ordered, keys, rule)), "_block", "left")
 
     def walk(batches):
-        for batch, added, _ in _replayed(batches, keys, rule, starts):
+        for batch, added, _ in _replayed(batches, keys, rule):
             arrays = [batch.column(c) for c in columns]
             arrays += [_array(added[name], kind) for name, kind in types.items()]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
@@ -223,18 +226,6 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values, type=kind)
 
 
-def _block(batch: pa.RecordBatch) -> int:
-    return batch.column("_block")[0].as_py()
-
-
-def plain_values(batch: pa.RecordBatch, name: str) -> list:
-    """A column as Python values, by the quick way where it has no NULLs."""
-    column = batch.column(name)
-    if column.null_count or pa.types.is_string(column.type):
-        return column.to_pylist()
-    return column.to_numpy(zero_copy_only=False).tolist()
-
-
 def _changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     """True where a row's keys differ from the row before; NULL keys are equal."""
     changed = np.zeros(batch.num_rows, dtype=bool)
@@ -246,8 +237,8 @@ def _changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return changed
 
 
-def _replayed(batches, keys, rule, starts):
-    """Replay sorted batches; ``starts`` holds the state of blocks that continue a group."""
+def _replayed(batches, keys, rule):
+    """Replay sorted batches; where they have ``_start``, the first one's is the state to go on from."""
     state, last = None, None
     for batch in batches:
         if batch.num_rows == 0:
@@ -255,8 +246,9 @@ def _replayed(batches, keys, rule, starts):
         fresh = _changes(batch, keys)
         head = tuple(batch.column(key)[0].as_py() for key in keys)
         if last is None:
-            fresh[0] = not (starts and _block(batch) in starts)
-            state = None if fresh[0] else starts[_block(batch)]
+            start = batch.column("_start")[0].as_py() if "_start" in batch.schema.names else None
+            fresh[0] = start is None
+            state = None if start is None else pickle.loads(start)
         else:
             fresh[0] = head != last
         added, state = rule.replay(batch, fresh.tolist(), state)
@@ -264,99 +256,126 @@ def _replayed(batches, keys, rule, starts):
         yield batch, added, state
 
 
-def _block_starts(frozen: DataFrame, keys: list[str], rule: Fold) -> dict[int, Any]:
-    """State at the head of every block that continues the group of the block before it.
+FAN = 32  # blocks that one task follows at a time
 
-    Blocks are summarised in parallel. The summaries, which may be large, stay in a table; the
-    blocks of one group are chained by one task, which reads them in order. A block is replayed
-    only where its summary cannot decide. The driver holds keys and states, one of each per block.
-    """
-    edge = F.struct(*keys)
-    edges = (
-        frozen.groupBy("_block")
-        .agg(F.min(edge).alias("head"), F.max(edge).alias("tail"))
-        .orderBy("_block")
-        .collect()
-    )
-    after = {a["_block"]: b["_block"] for a, b in zip(edges, edges[1:]) if a["tail"] == b["head"]}
-    whole = {e["_block"] for e in edges if e["head"] == e["tail"]}
-    continued = set(after.values())
-    # Blocks inside a group: their own start is not known, so they are summarised.
-    unknown = {b for b in after if b in continued and b in whole}
-    chain: dict[int, int] = {}
-    for block in sorted(after):
-        chain[after[block]] = chain.get(block, block)
-
-    summaries = _summaries(frozen, unknown, chain, rule)
-    replayed = _last_states(frozen, keys, rule, {b: None for b in set(after) - unknown}, {})
-    starts: dict[int, Any] = {}
-    while True:
-        starts |= {after[b]: state for b, state in replayed.items()}
-        undecided = {}
-        for block, decided, state in _chained(summaries, after, starts, rule) if unknown else ():
-            if decided:
-                starts[after[block]] = state
-            else:
-                undecided[block] = starts[block]
-        if not undecided:
-            return starts
-        # One job replays the next undecided block of every hot group.
-        replayed = _last_states(frozen, keys, rule, undecided, undecided)
-
-
-def _summaries(frozen, wanted: set[int], chain: dict[int, int], rule: Fold) -> DataFrame:
-    """Rows (_block, chain, result) of the wanted blocks, those of a chain in order in one task."""
-    spark = frozen.sparkSession
-    made = _per_block_rows(frozen, wanted, rule.summarise)
-    place = spark.createDataFrame([(b, chain[b]) for b in wanted], "_block int, chain int")
-    return checkpointed(made.join(F.broadcast(place), "_block").repartition("chain"))
-
-
-def _chained(summaries, after, starts, rule) -> Iterator[tuple[int, bool, Any]]:
-    """Follow each chain from the starts that are known: (block, True, state after it), or
-    (block, False, None) for the first block of a chain that its summary does not decide."""
 
-    def walk(batches):
-        known = dict(starts)
-        for batch in batches:
-            for block, result in zip(batch["_block"].tolist(), batch["result"]):
-                if block not in known or after[block] in known:
-                    continue
-                state = rule.advance(known[block], pickle.loads(result))
-                if state is not None:
-                    known[after[block]] = state
-                out = (block, state is not None, pickle.dumps(state))
-                yield pd.DataFrame([out], columns=["_block", "decided", "state"])
-
-    ordered = summaries.sortWithinPartitions("chain", "_block")
-    rows = ordered.mapInPandas(walk, "_block int, decided boolean, state binary").collect()
-    for row in sorted(rows, key=lambda r: r["_block"]):
-        yield row["_block"], row["decided"], pickle.loads(row["state"])
+def _block_starts(frozen: DataFrame, keys: list[str], rule: Fold, fan: int = FAN) -> DataFrame:
+    """``(_block, _start)``: the state at the head of every block that continues the group of the
+    block before it.
 
+    Blocks are summarised in parallel. The chain of summaries of one group is followed as a tree:
+    ``fan`` neighbours at a time are composed level by level, then states go down the levels. A rule
+    whose summaries do not compose has its chain followed in order, without any job in between.
+    Keys, summaries and states stay in tables; the driver sees a count.
+    """
+    links = _links(frozen, keys)
+    items = checkpointed(_items(frozen, keys, rule, links))
+    after = _in_order(items, rule) if rule.compose is None else _as_tree(items, rule, fan)
+    nexts = links.select("_chain", "_pos", F.col("_next").alias("_block"))
+    return checkpointed(after.join(nexts, ["_chain", "_pos"]).select("_block", F.col("state").alias("_start")))
 
-def _last_states(frozen, keys, rule, wanted, starts) -> dict[int, Any]:
-    def last_state(batches):
-        state = None
-        for _, _, state in _replayed(batches, keys, rule, starts):
-            pass
-        return state
 
-    if not wanted:
-        return {}
-    done = _per_block_rows(frozen, set(wanted), last_state).collect()
-    return {row["_block"]: pickle.loads(row["result"]) for row in done}
+def _links(frozen: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each block whose last group goes on in the next one: ``_next``, whether it is
+    ``_inner``, a part of a single group with neither its start nor its end, and its place in the
+    chain of such blocks. One small row a block is put in order, at most ``MAX_BLOCKS``."""
+    edge = F.struct(*keys)
+    edges = frozen.groupBy("_block").agg(F.min(edge).alias("head"), F.max(edge).alias("tail"))
+    order = Window.orderBy("_block")
+    goes_on = F.coalesce(F.col("tail").eqNullSafe(F.lead("head").over(order)) & F.lead("_block").over(order).isNotNull(), F.lit(False))
+    came_on = F.coalesce(F.col("head").eqNullSafe(F.lag("tail").over(order)) & F.lag("_block").over(order).isNotNull(), F.lit(False))
+    known = edges.select(
+        "_block", F.lead("_block").over(order).alias("_next"), goes_on.alias("_goes_on"),
+        (came_on & F.col("head").eqNullSafe(F.col("tail"))).alias("_inner"),
+    )
+    first = F.max(F.when(~F.col("_inner"), F.col("_block"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    chained = known.where("_goes_on").withColumn("_chain", first)
+    place = F.row_number().over(Window.partitionBy("_chain").orderBy("_block")) - 1
+    return checkpointed(chained.select("_block", "_next", "_inner", "_chain", place.alias("_pos")))
 
 
-def _per_block_rows(frozen, wanted: set[int], work) -> DataFrame:
-    """Run ``work`` over the batches of each wanted block; one row (_block, result) per block."""
+def _items(frozen: DataFrame, keys: list[str], rule: Fold, links: DataFrame) -> DataFrame:
+    """``(_chain, _pos, _part, result)``: summaries of the inner blocks; for the first block of a
+    chain, where the group begins, the state at its end."""
 
     def run(batches):
         batches = (batch for batch in batches if batch.num_rows)
         first = next(batches, None)
-        if first is not None and _block(first) in wanted:
-            result = pickle.dumps(work(itertools.chain([first], batches)))
-            yield pa.RecordBatch.from_pydict(
-                {"_block": pa.array([_block(first)], pa.int32()), "result": [result]}
-            )
+        if first is None:
+            return
+        chain, pos, inner = (first.column(c)[0].as_py() for c in ("_chain", "_pos", "_inner"))
+        batches = itertools.chain([first], batches)
+        if inner:
+            results = rule.summarise(batches)
+        else:
+            state = None
+            for _, _, state in _replayed(batches, keys, rule):
+                pass
+            results = [state]
+        for part, result in enumerate(results):
+            row = {"_chain": [chain], "_pos": [pos], "_part": [part], "result": [pickle.dumps(result)]}
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], [*row])
+
+    told = frozen.join(F.broadcast(links.drop("_next")), "_block")
+    return told.mapInArrow(run, "_chain int, _pos int, _part int, result binary")
+
 
-    return frozen.mapInArrow(run, "_block int, result binary")
+STATES = "_chain int, _pos int, state binary"
+
+
+def _in_order(items: DataFrame, rule: Fold) -> DataFrame:
+    """``STATES`` after each block; a chain passes through one task, part by part."""
+
+    def walk(batches):
+        chain, pos, state = None, None, None
+        for batch in batches:
+            out = []
+            for at, place, result in zip(batch["_chain"].tolist(), batch["_pos"].tolist(), batch["result"]):
+                if chain is not None and (at, place) != (chain, pos):
+                    out.append((chain, pos, pickle.dumps(state)))
+                result = pickle.loads(result)
+                state = result if at != chain else rule.advance(state, result)
+                chain, pos = at, place
+            yield pd.DataFrame(out, columns=["_chain", "_pos", "state"])
+        if chain is not None:
+            yield pd.DataFrame([(chain, pos, pickle.dumps(state))], columns=["_chain", "_pos", "state"])
+
+    dealt = items.repartition("_chain").sortWithinPartitions("_chain", "_pos", "_part")
+    return dealt.select("_chain", "_pos", "result").mapInPandas(walk, STATES)
+
+
+def _as_tree(items: DataFrame, rule: Fold, fan: int) -> DataFrame:
+    """``STATES`` after each block, in rounds as many as the logarithm of the longest chain."""
+
+    def together(rows: pd.DataFrame) -> pd.DataFrame:
+        """The rows of one group as one; the first of a chain is a state, all others are summaries."""
+        rows = rows.sort_values("_pos")
+        chain, first = int(rows["_chain"].iloc[0]), int(rows["_pos"].iloc[0])
+        results = map(pickle.loads, rows["result"])
+        result = next(results)
+        for summary in results:
+            result = (rule.advance if first == 0 else rule.compose)(result, summary)
+        return pd.DataFrame([(chain, first // fan, pickle.dumps(result))], columns=["_chain", "_pos", "result"])
+
+    def apart(rows: pd.DataFrame) -> pd.DataFrame:
+        """The state after each row of a group, from the state before it."""
+        rows = rows.sort_values("_pos")
+        begin, states = rows["start"].iloc[0], []
+        state = None if begin is None else pickle.loads(begin)
+        for result in map(pickle.loads, rows["result"]):
+            state = result if state is None else rule.advance(state, result)
+            states.append(pickle.dumps(state))
+        return pd.DataFrame({"_chain": rows["_chain"], "_pos": rows["_pos"], "state": states})
+
+    group = F.floor(F.col("_pos") / fan).cast("int")
+    levels = [items.select("_chain", "_pos", "result")]
+    while not levels[-1].where(F.col("_pos") >= fan).isEmpty():
+        up = levels[-1].groupBy("_chain", group.alias("_group"))
+        levels.append(checkpointed(up.applyInPandas(together, "_chain int, _pos int, result binary")))
+    starts = levels[-1].sparkSession.createDataFrame([], "_chain int, _group int, start binary")
+    for level in reversed(levels):
+        begun = level.withColumn("_group", group).join(starts, ["_chain", "_group"], "left")
+        after = checkpointed(begun.groupBy("_chain", "_group").applyInPandas(apart, STATES))
+        starts = after.select("_chain", (F.col("_pos") + 1).alias("_group"), F.col("state").alias("start"))
+    return after

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .ordered import MAX_GROUP_ROWS, Fold, fold, plain_values, running
+from .ordered import MAX_GROUP_ROWS, Fold, fold, running
 
 DEFAULT_RATE, DEFAULT_BURST = 10, 50  # fixed values: calls per second, bucket size
 
@@ -179,14 +179,21 @@ def bucket_fold(bucket: Bucket) -> Fold:
             gaps = np.diff(times, prepend=times[0] if last is None else last)
             levels.calls(np.minimum(np.minimum(gaps, full // refill + 1) * refill, full))
             last = int(times[-1])
-        return first, last, levels.pieces()
+        yield first, last, levels.pieces()
 
     def advance(state, summary):
         (level, before), (first, last, pieces) = state, summary
         arriving = min(full, level + (first - before) * refill)
         return LevelMap.apply(pieces, arriving), last
 
-    return Fold(replay, summarise, advance)
+    def compose(summary, then):
+        (first, before, pieces), (after, last, others) = summary, then
+        levels = LevelMap(full, token, pieces)
+        levels.refill(min(min(after - before, full // refill + 1) * refill, full))
+        levels.then(others)
+        return first, last, levels.pieces()
+
+    return Fold(replay, summarise, advance, compose)
 
 
 class LevelMap:
@@ -197,12 +204,15 @@ class LevelMap:
     then followed as a plain number.
     """
 
-    def __init__(self, full: int, token: int):
+    def __init__(self, full: int, token: int, pieces=None):
         self.full, self.token = full, token
         self.start = np.array([0], dtype=np.int64)  # first arrival level of each piece
         self.value = np.array([0], dtype=np.int64)  # result there
         self.slope = np.array([True])  # grows with the arrival level?
+        if pieces is not None:
+            self.start, self.value, self.slope = pieces
         self.level = None  # the one result left, if so
+        self._settle()
 
     def calls(self, refills: np.ndarray):
         """A run of calls, each after its refill; in bulk wherever the bucket stays below full."""
@@ -251,16 +261,38 @@ class LevelMap:
             level = min(self.full, self.level + refill)
             self.level = level - self.token if level >= self.token else level
             return
+        self.refill(refill)
+        self._split(self.token)
+        self.value = np.where(self.value >= self.token, self.value - self.token, self.value)
+        self._merge()
+        self._settle()
+
+    def refill(self, refill: int):
+        """Time passes; a full bucket stays full."""
+        if self.level is not None:
+            self.level = min(self.full, self.level + refill)
+            self.value = np.array([self.level], dtype=np.int64)
+            return
         self.value = self.value + refill
         self._split(self.full)
         capped = self.value >= self.full
         self.value = np.where(capped, self.full, self.value)
         self.slope = self.slope & ~capped
-        self._split(self.token)
-        self.value = np.where(self.value >= self.token, self.value - self.token, self.value)
+
+    def then(self, pieces):
+        """The results go through another map: cut where it has its cuts, then each piece is in one
+        piece of it."""
+        start, value, slope = pieces
+        for cut in start.tolist():
+            self._split(cut)
+        at = np.searchsorted(start, self.value, side="right") - 1
+        self.value = value[at] + np.where(slope[at], self.value - start[at], 0)
+        self.slope = self.slope & slope[at]
         self._merge()
-        if len(self.start) == 1 and not self.slope[0]:
-            self.level = int(self.value[0])
+        self._settle()
+
+    def _settle(self):
+        self.level = int(self.value[0]) if len(self.start) == 1 and not self.slope[0] else None
 
     def _sizes(self):
         return np.diff(np.append(self.start, self.full + 1))
@@ -286,7 +318,7 @@ class LevelMap:
 
     def pieces(self):
         if self.level is not None:
-            return np.array([0]), np.array([self.level]), np.array([False])
+            return np.array([0]), np.array([self.level], dtype=np.int64), np.array([False])
         return self.start, self.value, self.slope
 
     @staticmethod

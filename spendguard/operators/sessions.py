@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schemas import TOTAL
 from .cost import money
-from .ordered import MAX_GROUP_ROWS, Fold, fold, plain_values, running
+from .ordered import MAX_GROUP_ROWS, Fold, fold, running
 
 ORDER = ["timestamp", "call_id"]
 BUDGET, ITERATIONS = "budget_exceeded", "iteration_limit_exceeded"  # fixed values
@@ -109,7 +109,7 @@ def session_first_refusal(
 
 NO_LIMIT = -(2**63)
 SKIPPED = "skipped"
-MAX_LEVELS = 10_000
+STRETCH = 256  # calls of a block that are decided together
 DOLLAR = 10**12
 
 
@@ -249,14 +249,6 @@ def _limit_fold() -> Fold:
     """State: (spend, calls, input tokens, any refusal). A refused call adds nothing, so cheaper
     calls may pass later."""
 
-    def columns(rows):
-        names = ("_cost", "_estimate", "_tokens", "_max_usd", "_max_part", "_max_calls", "_eligible")
-        for cost, estimate, size, usd, part, calls, eligible in zip(
-            *[plain_values(rows, n) for n in names]
-        ):
-            limit = NO_LIMIT if usd == NO_LIMIT else usd * DOLLAR + part
-            yield cost, estimate, size, limit, calls, eligible
-
     def replay(rows, fresh, state):
         walk = Walk(rows)
         # State brought along from earlier rows of the session, where a caller has it.
@@ -283,37 +275,33 @@ def _limit_fold() -> Fold:
         return out, state
 
     def summarise(batches):
-        """Totals per distinct estimate; spend only grows, so an estimate that has once become
-        too dear stays refused, and a block is decided by which estimates still fit."""
-        levels, limits = {}, None
+        """Stretches of calls with what decides most of them at once: the highest spend before a
+        call plus its estimate, if all pass, and the lowest estimate."""
         for rows in batches:
-            for cost, estimate, size, max_spend, max_calls, eligible in columns(rows):
-                limits = (max_spend, max_calls)
-                if eligible:
-                    a, b, c = levels.get(estimate, (0, 0, 0))
-                    levels[estimate] = (a + cost, b + 1, c + size)
-            if len(levels) > MAX_LEVELS:
-                return None
-        return limits, levels
-
-    def advance(state, summary):
-        if summary is None:
-            return None
-        (spent, calls, tokens, refused), ((max_spend, max_calls), levels) = state, summary
-        fitting = {
-            e: v for e, v in levels.items() if max_spend == NO_LIMIT or spent + e <= max_spend
-        }
-        refused = refused or len(fitting) < len(levels)
-        if not fitting:
-            return spent, calls, tokens, refused
-        if max_calls != NO_LIMIT and calls >= max_calls:
+            own = rows.column("_eligible").to_numpy(zero_copy_only=False).astype(bool)
+            arrays = [rows.column(c).to_numpy(zero_copy_only=False)[own] for c in ("_cost", "_estimate", "_tokens")]
+            usd, part, most = (rows.column(c)[0].as_py() for c in ("_max_usd", "_max_part", "_max_calls"))
+            limits = None if usd == NO_LIMIT else usd * DOLLAR + part, None if most == NO_LIMIT else most
+            for at in range(0, len(arrays[0]), STRETCH):
+                cost, estimate, size = (a[at : at + STRETCH] for a in arrays)
+                wide = cost.sum(dtype=float) + float(estimate.max()) >= WIDE
+                cost = cost.astype(object) if wide else cost
+                peak = int((np.cumsum(cost) - cost + estimate).max())
+                yield limits, peak, int(estimate.min()), cost, estimate, size
+
+    def advance(state, part):
+        (spent, calls, tokens, refused), (limits, peak, least, cost, estimate, size) = state, part
+        limit, most = limits
+        if (limit is None or spent + peak <= limit) and (most is None or calls + len(cost) <= most):
+            return spent + int(cost.sum()), calls + len(cost), tokens + int(size.sum()), refused
+        if (limit is not None and spent + least > limit) or (most is not None and calls >= most):
             return spent, calls, tokens, True
-        cost, count, size = (sum(v) for v in zip(*fitting.values()))
-        if max_spend != NO_LIMIT and spent + cost + max(fitting) > max_spend:
-            return None
-        if max_calls != NO_LIMIT and calls + count > max_calls:
-            return None
-        return spent + cost, calls + count, tokens + size, refused
+        for one, expected, n in zip(cost.tolist(), estimate.tolist(), size.tolist()):
+            if (limit is not None and spent + expected > limit) or (most is not None and calls >= most):
+                refused = True
+            else:
+                spent, calls, tokens = spent + one, calls + 1, tokens + n
+        return spent, calls, tokens, refused
 
     return Fold(replay, summarise, advance)
 

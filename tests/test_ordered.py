@@ -1,15 +1,18 @@
 """Ordered work: known cases, plain loops, and hot groups cut into blocks."""
 
+import pickle
 import random
 from decimal import Decimal
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from spendguard.operators import budgets as B
+from spendguard.operators import ordered
 from spendguard.operators import rate as R
 from spendguard.operators import sessions as S
 from spendguard.operators.ordered import group_sizes, running, time_blocks
@@ -451,3 +454,86 @@ def test_session_walk_in_bulk_equals_one_by_one():
         for name in ("verdict", "before", "calls_before", "refused"):
             assert (getattr(bulk, name) == getattr(plain, name)).all(), name
         assert all((bulk.after[k] == plain.after[k]).all() for k in bulk.after)
+
+
+def jobs_of(spark, name, work):
+    """How many Spark jobs ``work`` starts, and what it gives."""
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        result = work()
+        return len(sc.statusTracker().getJobIdsForGroup(name)), result
+    finally:
+        sc._jsc.clearJobGroup()
+
+
+@pytest.mark.parametrize(("max_spend", "max_calls"), [(60.0, None), (900.0, 15_000), (None, 700), (1e9, None)])
+def test_a_session_of_many_different_estimates_needs_no_serial_job(spark, blocks, max_spend, max_calls):
+    """50,000 estimates, all of them different, in some 24 blocks: decided at once and never replayed one by one."""
+    rng = random.Random(11)
+    rows = [(i, "s", i // 3, rng.choice([0.0, 0.001, 0.02]), round((i * 7919 % 50_000) * 1e-4 + 0.0001, 4)) for i in range(50_000)]
+    ddl = "call_id long, session_id string, at long, cost_usd double, estimated_cost_usd double"
+    df = spark.createDataFrame(rows, ddl).withColumn("timestamp", F.timestamp_seconds("at")).drop("at").repartition(4)
+    df = df.cache()
+    limits = limits_df(spark, [("s", max_spend, max_calls)])
+    done = {}
+    for size in (1000, 10**6):
+        name = f"replay-{size}-{max_spend}-{max_calls}"
+        work = lambda: S.session_replay(df, limits, max_group_rows=size).collect()  # noqa: E731, B023
+        jobs, out = jobs_of(spark, name, work)
+        done[size] = sorted((r.call_id, r.allowed, r.reason) for r in out)
+        assert jobs <= 40
+    assert done[1000] == done[10**6] == sorted(replay_loop(sorted(df.collect(), key=lambda r: r.call_id), max_spend, max_calls))
+
+
+def test_rate_of_one_key_over_a_thousand_blocks(spark):
+    """Followed as a tree of three levels, equal to the loop."""
+    rng = random.Random(3)
+    now, rows = 0, []
+    for i in range(6000):
+        now += rng.choice([0, 1, 300_000, 900_000] if (i // 400) % 2 else [700_000, 2_000_000])
+        rows.append((i, "k", now))
+    df = spark.createDataFrame(rows, "call_id long, key string, us long").withColumn("timestamp", F.timestamp_micros("us")).drop("us")
+    old = {n: spark.conf.get(n) for n in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frozen = ordered.freeze(df.withColumn("_us", F.unix_micros("timestamp")), ["key"], ["_us", "call_id"], 1000)
+        assert frozen.select("_block").distinct().count() > 900
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        rule = R.bucket_fold(R.Bucket.of("0.9", 5))
+        starts = {r["_block"]: pickle.loads(r["_start"]) for r in ordered._block_starts(frozen, ["key"], rule, fan=8).collect()}
+        first = {r["_block"]: r.us for r in frozen.groupBy("_block").agg(F.min("_us").alias("us")).collect()}
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    bucket_ = R.Bucket.of("0.9", 5)
+    level, last, expected, place = bucket_.full, rows[0][2], {}, 0
+    order = sorted(first)
+    ends = [first[b] for b in order[1:]] + [now + 1]
+    sizes = {r["_block"]: r["count"] for r in frozen.groupBy("_block").count().collect()}
+    for block, _ in zip(order, ends):
+        if block != order[0]:
+            expected[block] = (level, last)
+        for _, _, us in rows[place : place + sizes[block]]:
+            level, last = min(bucket_.full, level + (us - last) * bucket_.refill), us
+            level -= bucket_.token if level >= bucket_.token else 0
+        place += sizes[block]
+    assert starts == expected
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 5), st.lists(st.integers(0, 700), min_size=2, max_size=40), st.data())
+def test_composed_maps_equal_walking(burst, gaps, data):
+    bucket_ = R.Bucket(1, 100, burst * 100)
+    cut = data.draw(st.integers(1, len(gaps) - 1))
+    times = np.cumsum(gaps)
+    rule = R.bucket_fold(bucket_)
+
+    def part(us):
+        return next(iter(rule.summarise([pa.RecordBatch.from_pydict({"_us": us})])))
+
+    both = rule.compose(part(times[:cut]), part(times[cut:]))
+    for level in (0, 1, 99, 100, 101, bucket_.full // 2, bucket_.full):
+        state = level, int(times[0])
+        assert rule.advance(state, both) == rule.advance(rule.advance(state, part(times[:cut])), part(times[cut:]))

@@ -15,8 +15,7 @@ VIOLATIONS_DDL = "array<struct<category:string,type:string,severity:string,start
 __all__ = ["detect", "detected", "entities", "scan", "redact", "gate", "full_scan", "luhn_valid",
            "pii_violations", "phi_violations", "secret_violations", "financial_violations"]
 
-# Literals without which a pattern cannot match. All card, phone, social security and account
-# patterns hold four digits in a row.
+# Literals without which a pattern cannot match.
 LITERALS = {
     "email": ["@"],
     "api_key_openai": ["sk-"],
@@ -25,17 +24,13 @@ LITERALS = {
     "jwt_token": [".eyJ"],
     "generic_secret": [":", "="],
 }
-SCAN = [
-    Detector(name, pattern, name.startswith("credit_card_"),
-             name if name in LITERALS else "digits")
-    for name, pattern in P.PII
-]
+SCAN = [Detector(name, pattern, name.startswith("credit_card_"), name) for name, pattern in P.PII]
 KINDS = {
-    "ssn": Detector("ssn", P.PATTERN["ssn"], gate="digits"),
+    "ssn": Detector("ssn", P.PATTERN["ssn"], gate="ssn"),
     "email": Detector("email", P.PATTERN["email"], gate="email"),
-    "credit_card": Detector("credit_card", P.CARD, luhn=True, gate="digits"),
-    "phone": Detector("phone", P.PATTERN["phone_us"], gate="digits"),
-    "iban": Detector("iban", P.IBAN, gate="digits"),
+    "credit_card": Detector("credit_card", P.CARD, luhn=True, gate="credit_card"),
+    "phone": Detector("phone", P.PATTERN["phone_us"], gate="phone_us"),
+    "iban": Detector("iban", P.IBAN, gate="iban"),
 }
 KINDS |= {name: Detector(name, pattern, gate=name) for name, pattern, _ in P.SECRETS}
 SEVERITY = P.PII_SEVERITY | {name: severity for name, _, severity in P.SECRETS}
@@ -51,16 +46,26 @@ REPORT = {
 
 
 def _spans(text: Column, detectors: list[Detector]) -> Column:
-    """Spans per detector, each cheap test made once per text."""
+    """Spans per detector, each cheap test made once per text.
 
-    def found(digits):
-        gates = {"digits": digits}
-        for name, literals in LITERALS.items():
-            tests = [F.contains(text, F.lit(literal)) for literal in literals]
-            gates[name] = tests[0] if len(tests) == 1 else tests[0] | tests[1]
+    One pass finds the stretches that may hold numbers. They are short, so that each number pattern
+    is tried on them first, and on the whole text only if it is there.
+    """
+    wanted = {d.gate for d in detectors}
+    gates = {"iban": text.rlike("[0-9]{7}")}
+    for name, literals in LITERALS.items():
+        tests = [F.contains(text, F.lit(literal)) for literal in literals]
+        gates[name] = tests[0] if len(tests) == 1 else tests[0] | tests[1]
+    cores = {name: core for name, core in P.CORES.items() if name in wanted}
+    if not cores:
         return spans_by_detector(text, detectors, gates)
 
-    return bind(text.rlike("[0-9]{4}"), found)
+    def found(stretches):
+        numbers = {name: (stretches != "") & stretches.rlike(core) for name, core in cores.items()}
+        return spans_by_detector(text, detectors, gates | numbers)
+
+    stretches = F.regexp_extract_all(text, F.lit(P.CANDIDATE), F.lit(0))
+    return bind(F.array_join(stretches, "x"), found)
 
 
 def detect(text: Column, name: str) -> Column:

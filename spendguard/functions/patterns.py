@@ -49,8 +49,9 @@ MEDICAL_TERMS = [
 PII_SEVERITY = {"ssn": "critical", "email": "high", "credit_card": "critical", "phone": "medium"}
 
 
-def jvm(pattern: str) -> str:
-    """Rewrite the portable pattern for ``java.util.regex``."""
+def jvm(pattern: str, edges: bool = True) -> str:
+    """Rewrite the portable pattern for ``java.util.regex``; without ``edges`` it matches wherever
+    it does with them, and in more places."""
     head = tail = ""
     body = pattern
     if body.endswith(r"\b"):  # every pattern here ends on a word character
@@ -63,7 +64,7 @@ def jvm(pattern: str) -> str:
     body = body.replace("[A-Za-z0-9._%+-]+@", "[A-Za-z0-9._%+-]++@")
     body = body.replace(r"[-.\s]", f"[-.{SPACES}]").replace(r"[\s-]", f"[{SPACES}-]")
     body = body.replace(r"\s*", f"[{SPACES}]*")
-    return head + body + tail
+    return head + body + tail if edges else body
 
 
 def re2(pattern: str) -> str:
@@ -78,6 +79,11 @@ SECRETS = [(name, jvm(p), severity) for name, p, severity in _SECRETS]
 IBAN = jvm(_IBAN)
 PATTERN = dict(PII)
 
+#: Card, phone and social security numbers lie in stretches of digits, brackets and separators, ten
+#: at least. Within these stretches the patterns without edges tell which of them to look for.
+CANDIDATE = f"[0-9+(][0-9+().{SPACES}-]{{8,}}[0-9]"
+CORES = {name: jvm(p, edges=False) for name, p in _PII if name != "email"} | {"credit_card": jvm(_CARD, edges=False)}
+
 PII_RE2 = [(name, re2(p)) for name, p in _PII]
 CARD_RE2 = re2(_CARD)
 SECRETS_RE2 = [(name, re2(p), severity) for name, p, severity in _SECRETS]

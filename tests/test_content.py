@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendguard.functions import content as C
 from spendguard.functions import patterns as P
+from spendguard.functions import spans
 from spendguard.functions.spans import luhn_valid
 
 JWT = (
@@ -257,3 +258,29 @@ def test_longest_of_one_start_wins(spark):
     assert kept([(0, 3, 1), (0, 3, 0), (2, 9, 0), (3, 4, 0)]) == [(0, 3, 0), (3, 4, 0)]
     many = [(i, i + 2, 0) for i in range(1000)]
     assert kept(many) == [(i, i + 2, 0) for i in range(0, 1000, 2)]
+
+
+def test_stretches_lose_no_number(spark):
+    """Each number pattern by way of the stretches, and on the whole text without any test before it."""
+    import random
+
+    rng = random.Random(31)
+    seeds = ["123-45-6789", "4111 1111 1111 1111", "5500-0000-0000-0004", "340000000000009", "6011000000000004",
+             "+1 (555) 123-4567", "555.123.4567", "1-555-123-4567", "5551234567", "(555)1234567", "6500 0000 0000 0002"]
+    glue = ["", " ", "a", "_", "-", ".", "(", ")", "+", "é", " ", "\n", "1", "99", "ab cd ", "x(", "٣"]
+    rows = []
+    for i in range(1500):
+        parts = [rng.choice(seeds) if rng.random() < 0.5 else rng.choice(glue) for _ in range(rng.randint(1, 7))]
+        text = "".join(p + rng.choice(glue) for p in parts)
+        if rng.random() < 0.3:
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + rng.choice("0 -.a") + text[at + 1 :]
+        rows.append((i, text))
+    df = spark.createDataFrame([*rows, (-1, None)], "id long, text string")
+    kinds = [*C.SCAN, *[d for d in C.KINDS.values() if d.name not in ("generic_secret",)]]
+    quick = C._spans(F.col("text"), kinds)
+    slow = F.array(*[spans.match_spans(F.col("text"), d.name, d.pattern, d.luhn) for d in kinds])
+    bare = [F.transform(c, lambda per: F.transform(per, lambda s: F.struct(s["start"], s["end"], s["value"]))) for c in (quick, slow)]
+    out = df.select("id", bare[0].alias("quick"), bare[1].alias("slow")).collect()
+    assert all([*map(len, r.quick)] == [*map(len, r.slow)] and str(r.quick) == str(r.slow) for r in out)
+    assert sum(any(r.quick[i]) for r in out for i in range(7)) > 500

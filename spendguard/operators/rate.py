@@ -92,6 +92,17 @@ class Walk:
                 at, size = rest, SHORT
         return level, int(clock[-1])
 
+    def output(self) -> dict:
+        token, refill = self.bucket.token, self.bucket.refill
+        allowed = self.before >= token
+        wait = -((self.before - token) // (refill * 10**6))
+        return {
+            "tokens_before": self.before / token,
+            "allowed": allowed,
+            "retry_after_s": pa.array(wait, mask=allowed),
+            "_after": self.after,
+        }
+
     def _plain(self, at, end, level, last):
         full, refill, token = self.bucket.full, self.bucket.refill, self.bucket.token
         before, after = [], []
@@ -147,28 +158,14 @@ def bucket_fold(bucket: Bucket) -> Fold:
 
     def replay(rows, fresh, state):
         times = rows.column("_us").to_numpy()
-        # Level and time carried over from earlier rows of the key, where a caller has them.
-        carried = None
-        if "_level" in rows.schema.names:
-            carried = rows.column("_level"), rows.column("_last")
         walk = Walk(bucket, times)
         cuts = [0, *(i for i, new in enumerate(fresh) if new and i), len(times)]
         level, last = state or (full, 0)
         for at, end in zip(cuts, cuts[1:]):
             if fresh[at]:
                 level, last = full, int(times[at])
-                if carried and carried[0][at].is_valid:
-                    level, last = carried[0][at].as_py(), carried[1][at].as_py()
             level, last = walk.run(at, end, level, last)
-        allowed = walk.before >= token
-        wait = -((walk.before - token) // (refill * 10**6))
-        out = {
-            "tokens_before": walk.before / token,
-            "allowed": allowed,
-            "retry_after_s": pa.array(wait, mask=allowed),
-            "_after": walk.after,
-        }
-        return out, (level, last)
+        return walk.output(), (level, last)
 
     def summarise(batches):
         first = last = None

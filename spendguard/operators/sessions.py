@@ -124,6 +124,7 @@ SHORT = 64  # runs of calls up to this length are walked one by one
 PASSED, OVER_BUDGET, OVER_CALLS, UNDECIDED = range(4)
 REASONS = np.array([None, BUDGET, ITERATIONS, None], dtype=object)
 WIDE = 2**62
+NEW = 0, 0, 0, False  # spend, calls, input tokens, any refusal
 
 
 class Walk:
@@ -232,6 +233,17 @@ class Walk:
         self._write(at, verdicts, start, befores, afters, numbers[:-1], numbers[1:], sizes, refusals)
         return spent, calls, tokens, refused
 
+    def output(self) -> dict:
+        undecided = self.verdict == UNDECIDED
+        return {
+            **self.after,
+            "_refused": self.refused,
+            "spend_before_usd": self.before,
+            "iterations_before": self.calls_before,
+            "allowed": pa.array(self.verdict == PASSED, mask=undecided),
+            "reason": REASONS[self.verdict],
+        }
+
     def _write(self, at, verdict, spent, before, after, calls_before, calls, tokens, refused):
         part = slice(at, at + len(verdict))
         self.verdict[part], self.refused[part] = verdict, refused
@@ -251,28 +263,11 @@ def _limit_fold() -> Fold:
 
     def replay(rows, fresh, state):
         walk = Walk(rows)
-        # State brought along from earlier rows of the session, where a caller has it.
-        names = ("_usd0", "_part0", "_calls0", "_tokens0", "_refused0")
-        carried = [rows.column(n) for n in names] if names[0] in rows.schema.names else None
-        state = state or (0, 0, 0, False)
+        state = state or NEW
         cuts = [0, *(i for i, new in enumerate(fresh) if new and i), rows.num_rows]
         for at, end in zip(cuts, cuts[1:]):
-            if fresh[at]:
-                state = (0, 0, 0, False)
-                if carried:
-                    usd, part, *rest = (c[at].as_py() for c in carried)
-                    state = (usd * DOLLAR + part, *rest)
-            state = walk.run(at, end, state)
-        undecided = walk.verdict == UNDECIDED
-        out = {
-            **walk.after,
-            "_refused": walk.refused,
-            "spend_before_usd": walk.before,
-            "iterations_before": walk.calls_before,
-            "allowed": pa.array(walk.verdict == PASSED, mask=undecided),
-            "reason": REASONS[walk.verdict],
-        }
-        return out, state
+            state = walk.run(at, end, NEW if fresh[at] else state)
+        return walk.output(), state
 
     def summarise(batches):
         """Stretches of calls with what decides most of them at once: the highest spend before a
@@ -321,18 +316,13 @@ REPLAY_OUTPUT = T.StructType(
 )
 
 
-def replay_limits(
-    calls: DataFrame,
-    max_spend: Column,
-    max_calls: Column,
-    eligible: Column | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """The replay with its end state per row; see ``session_replay``."""
+def limit_inputs(
+    calls: DataFrame, max_spend: Column, max_calls: Column, eligible: Column | None = None
+) -> dict[str, Column]:
+    """What ``Walk`` reads of each call."""
     limit = max_spend.cast("decimal(32,12)")
     whole = F.floor(limit).cast("long")
-    inputs = {
+    return {
         "_cost": _pico("cost_usd"),
         "_estimate": _pico("estimated_cost_usd"),
         "_tokens": F.coalesce("input_tokens", F.lit(0)) if "input_tokens" in calls.columns
@@ -342,6 +332,18 @@ def replay_limits(
         "_max_calls": F.coalesce(max_calls.cast("long"), F.lit(NO_LIMIT)),
         "_eligible": F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False)),
     }
+
+
+def replay_limits(
+    calls: DataFrame,
+    max_spend: Column,
+    max_calls: Column,
+    eligible: Column | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """The replay with its end state per row; see ``session_replay``."""
+    inputs = limit_inputs(calls, max_spend, max_calls, eligible)
     work = calls.where("session_id IS NOT NULL").withColumns(inputs)
     counted = (calls if counted is None else counted).where("session_id IS NOT NULL")
     out = fold(work, ["session_id"], ORDER, _limit_fold(), REPLAY_OUTPUT, max_group_rows, counted)

@@ -745,7 +745,7 @@ def stream_session_ledger(spark, sf):
     J.stream_session_ledger(
         I.call_stream(spark, sf), _fixed_prices, lambda _: limits, path, checkpoint, None
     ).awaitTermination()
-    return spark.read.parquet(path).drop("timestamp", "batch", "cost_usd")
+    return spark.read.parquet(path).drop("timestamp", "batch", "arrival", "cost_usd")
 
 
 @query

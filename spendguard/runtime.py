@@ -65,6 +65,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
+def make_folder(spark: SparkSession, path: str):
+    store, place = _files(spark, path)
+    store.mkdirs(place)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies in a folder; none if there is no such folder."""
     store, place = _files(spark, path)

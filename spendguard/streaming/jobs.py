@@ -1,22 +1,28 @@
 """The jobs as streams.
 
-Jobs with state per key see rows in arrival order: within one micro-batch they are ordered by
-(timestamp, call_id), and later micro-batches are taken as later. No stream drops a row for being
-late: stores take what comes, sums are added up, and state is kept for every key.
+Jobs with state per key keep it in the engine's state store and see rows in arrival order: within
+one micro-batch they are ordered by (timestamp, call_id), and later micro-batches are taken as
+later. No stream drops a row for being late: stores take what comes, sums are added up, and state is
+kept for every key.
 """
 
+from collections.abc import Iterator
 from typing import Callable
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cost import money, with_cost, with_cost_and_estimate
 from ..operators.governance import governance_signals, message_violations, privacy_gate
-from ..operators.ordered import MAX_GROUP_ROWS, fold
-from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, RATE_OUTPUT, Bucket, bucket_fold
-from ..operators.sessions import DOLLAR, STATE, replay_limits
-from ..runtime import checkpointed, shared_path
+from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, Bucket
+from ..operators.rate import Walk as RateWalk
+from ..operators.sessions import DOLLAR, limit_inputs
+from ..operators.sessions import Walk as SessionWalk
+from ..runtime import checkpointed, exists, make_folder, shared_path
 from ..schemas import TOTAL, USAGE
 from ..sources.sinks import signal_rows, usage_rows
 from .runs import FAN, Runs
@@ -132,61 +138,69 @@ def read_signals(spark: SparkSession, path: str) -> DataFrame:
     return stored.join(first, ["request_id", "msg_index"], "left_semi")
 
 
-SNAPSHOT_EVERY = 50
+def _stateful(stream: DataFrame, path: str, checkpoint: str, interval: str | None, by=()) -> StreamingQuery:
+    """Start a stream with state of the engine; a repeated micro-batch overwrites its folder."""
 
+    def store(batch: DataFrame, number: int):
+        batch.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={number}")
 
-def run_stateful(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
-    state_ddl: str,
-    interval: str | None = "5 seconds",
-) -> StreamingQuery:
-    """Run ``step(batch, state) -> (rows, state of the batch's keys)`` per micro-batch.
-
-    A micro-batch is then a plain table, so a hot key's rows are split over tasks by the batch
-    operators instead of meeting in one state-store task. The first column of the state is its
-    key, never NULL. A micro-batch writes the state of its own keys only, to a folder of its own
-    that a repetition overwrites; every ``SNAPSHOT_EVERY`` batches the newest row of each key goes
-    into one folder, so that reading stays short. ``step`` gets the newest row of all keys and
-    joins it. No key is ever forgotten: whether one will come back, no clock can tell.
-    """
-    schema = T.StructType.fromDDL(state_ddl)
-    key, *values = schema.fieldNames()
-
-    def newest(spark: SparkSession, number: int) -> DataFrame:
-        """State before micro-batch ``number``."""
-        base = max(0, (number - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY)
-        folders = [f"{checkpoint}/keys/batch={i}" for i in range(base, number)]
-        if base:
-            folders.append(f"{checkpoint}/keys/full/batch={base - 1}")
-        if not folders:
-            return spark.createDataFrame([], schema)
-        # Folders are read one by one: the newest batch of a key wins, the snapshot is the oldest.
-        stored = None
-        for folder in folders:
-            part = spark.read.schema(schema).parquet(folder)
-            part = part.withColumn("_at", F.lit(int(folder.rpartition("=")[2])))
-            stored = part if stored is None else stored.unionByName(part)
-        row = F.max_by(F.struct(*values), "_at").alias("_row")
-        return stored.groupBy(key).agg(row).select(key, "_row.*")
+    return _start(stream, store, checkpoint, interval)
 
-    def process(batch: DataFrame, number: int):
-        spark = batch.sparkSession
-        state = newest(spark, number)
-        if number and number % SNAPSHOT_EVERY == 0:
-            full = f"{checkpoint}/keys/full/batch={number - 1}"
-            state.write.mode("overwrite").parquet(full)
-            state = spark.read.schema(schema).parquet(full)
-        rows, ended = step(batch, state)
-        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        ended.select(key, *values).write.mode("overwrite").parquet(f"{checkpoint}/keys/batch={number}")
 
-    return _start(stream, process, checkpoint, interval)
+class Chain:
+    """Streams that hand rows on to the next one: waited for and stopped together."""
+
+    def __init__(self, *queries: StreamingQuery):
+        self.queries = queries
+
+    def awaitTermination(self, timeout: int | None = None):
+        for query in self.queries:
+            query.awaitTermination(*([] if timeout is None else [timeout]))
 
+    def processAllAvailable(self):
+        for query in self.queries:
+            query.processAllAvailable()
 
-LEDGER_STATE = "session_id string, _usd0 long, _part0 long, _calls0 long, _tokens0 long, _refused0 boolean"
+    def stop(self):
+        for query in self.queries:
+            query.stop()
+
+
+PRICED = """session_id string, call_id long, timestamp timestamp, cost_usd double, _arrival long, _cost long,
+_estimate long, _tokens long, _max_usd long, _max_part long, _max_calls long, _eligible boolean"""
+LEDGER = """session_id string, call_id long, timestamp timestamp, call_sequence long, cumulative_input_tokens long,
+cumulative_cost_usd double, cost_usd double, allowed boolean, reason string, status string, arrival long"""
+LEDGER_STATE = "usd long, part long, calls long, tokens long, refused boolean"
+LOOSE = 64  # groups of calls without a session
+
+
+def _ledger_rows(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """Ledger rows of one session's new calls, from its state in the store."""
+    rows = pd.concat(list(frames)).sort_values(["_arrival", "timestamp", "call_id"], kind="stable")
+    names = ["session_id", "call_id", "timestamp", "cost_usd"]
+    if key[0] is None:
+        out = rows[names].assign(
+            call_sequence=None, cumulative_input_tokens=None, cumulative_cost_usd=None, allowed=True, reason=None,
+            status=None, arrival=rows["_arrival"],
+        )
+        yield out
+        return
+    walk = SessionWalk(pa.RecordBatch.from_pandas(rows, preserve_index=False))
+    usd, part, *rest = state.get if state.exists else (0, 0, 0, 0, False)
+    # The limits of a micro-batch hold for its calls: a stretch of rows for each arrival.
+    arrivals = rows["_arrival"].to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(arrivals)) + 1).tolist(), len(rows)]
+    now = usd * DOLLAR + part, *rest
+    for at, end in zip(cuts, cuts[1:]):
+        now = walk.run(at, end, now)
+    state.update((*divmod(now[0], DOLLAR), now[1], now[2], bool(now[3])))
+    done = walk.output()
+    yield rows[names].assign(
+        call_sequence=done["_calls"], cumulative_input_tokens=done["_sum_tokens"],
+        cumulative_cost_usd=done["_usd"] + done["_part"] / float(DOLLAR),
+        allowed=done["allowed"].to_pandas().to_numpy(), reason=done["reason"],
+        status=np.where(done["_refused"], "terminated", "active"), arrival=arrivals,
+    )
 
 
 def stream_session_ledger(
@@ -196,67 +210,41 @@ def stream_session_ledger(
     path: str,
     checkpoint: str,
     interval: str | None = "5 seconds",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> StreamingQuery:
+) -> Chain:
     """Session ledger over a stream, each session with its own limits.
 
-    ``limits`` has session_id, max_spend_usd and max_iterations and is read in every micro-batch.
+    Two streams: the first prices each micro-batch of calls and adds the sessions' limits, both
+    read anew every time (``limits`` has session_id, max_spend_usd and max_iterations); the second
+    decides the calls from the sessions' totals in the engine's state store. Calls are decided in
+    the order in which the first stream got them, whichever micro-batch of the second they meet.
     A refused call adds nothing, so its row shows the totals before it. Calls without a session
     have no totals and are allowed. ``session_summary`` of the stored rows and the close events
     gives the sessions' final states.
     """
-
-    def step(batch, state):
-        spark = batch.sparkSession
-        priced = with_cost_and_estimate(batch, prices(spark)).select(
-            "session_id", "call_id", "timestamp", "input_tokens", "cost_usd", "estimated_cost_usd"
-        )
-        own = limits(spark).select("session_id", "max_spend_usd", "max_iterations")
-        begun = priced.join(own, "session_id", "left").join(state, "session_id", "left")
-        zero = {c: F.coalesce(c, F.lit(0)) for c in ("_usd0", "_part0", "_calls0", "_tokens0")}
-        replayed = checkpointed(
-            replay_limits(
-                begun.withColumns(zero | {"_refused0": F.coalesce("_refused0", F.lit(False))}),
-                F.col("max_spend_usd"),
-                F.col("max_iterations"),
-                max_group_rows=max_group_rows,
-                counted=batch,
-            )
-        )
-        status = F.when(F.col("_refused"), "terminated").when(F.col("session_id").isNotNull(), "active")
-        spent = F.col("_usd") + F.col("_part") / float(DOLLAR)
-        rows = replayed.select(
-            "session_id",
-            "call_id",
-            "timestamp",
-            F.col("_calls").alias("call_sequence"),
-            F.col("_sum_tokens").alias("cumulative_input_tokens"),
-            spent.alias("cumulative_cost_usd"),
-            "cost_usd",
-            "allowed",
-            "reason",
-            status.alias("status"),
-        )
-        last = F.struct("timestamp", "call_id", *STATE)
-        ended = (
-            replayed.where("session_id IS NOT NULL")
-            .groupBy("session_id")
-            .agg(F.max(last).alias("_end"))
-            .select(
-                "session_id",
-                F.col("_end._usd").alias("_usd0"),
-                F.col("_end._part").alias("_part0"),
-                F.col("_end._calls").alias("_calls0"),
-                F.col("_end._sum_tokens").alias("_tokens0"),
-                F.col("_end._refused").alias("_refused0"),
-            )
-        )
-        return rows, ended
-
-    return run_stateful(calls, path, checkpoint, step, LEDGER_STATE, interval)
+    spark, staged = calls.sparkSession, f"{checkpoint}/priced"
+    make_folder(spark, staged)
+
+    def price(batch: DataFrame, number: int):
+        if exists(batch.sparkSession, f"{staged}/batch={number}/_SUCCESS"):
+            return  # handed on already; the second stream may have read it
+        priced = with_cost_and_estimate(batch, prices(batch.sparkSession))
+        own = limits(batch.sparkSession).select("session_id", "max_spend_usd", "max_iterations")
+        told = priced.join(own, "session_id", "left").withColumn("_arrival", F.lit(number).cast("long"))
+        told = told.withColumns(limit_inputs(told, F.col("max_spend_usd"), F.col("max_iterations")))
+        names = T.StructType.fromDDL(PRICED).fieldNames()
+        told.select(*names).write.mode("overwrite").parquet(f"{staged}/batch={number}")
+
+    first = _start(calls, price, f"{checkpoint}/pricing", interval)
+    if interval is None:
+        first.awaitTermination()
+    priced = spark.readStream.schema(PRICED).parquet(f"{staged}/*")
+    loose = F.when(F.isnull("session_id"), F.pmod(F.xxhash64("call_id"), F.lit(LOOSE))).otherwise(F.lit(0))
+    by_session = priced.withColumn("_loose", loose).groupBy("session_id", "_loose")
+    ledger = by_session.applyInPandasWithState(_ledger_rows, LEDGER, LEDGER_STATE, "append", "NoTimeout")
+    return Chain(first, _stateful(ledger, path, f"{checkpoint}/ledger", interval, ["arrival"]))
 
 
-RATE_STATE = "_key string, _level long, _last long"
+AUDIT = "key string, call_id long, timestamp timestamp, tokens_before double, allowed boolean, retry_after_s long"
 
 
 def stream_rate_audit(
@@ -267,34 +255,30 @@ def stream_rate_audit(
     rate=DEFAULT_RATE,
     burst=DEFAULT_BURST,
     interval: str | None = "5 seconds",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> StreamingQuery:
-    """Token-bucket audit over a stream; state per key is the level and the last call time.
+    """Token-bucket audit over a stream; the engine keeps the level and the last call time of each
+    key.
 
-    A call that comes after later ones earns no refill and does not move the key's clock back.
+    A call that comes after later ones earns no refill and does not move the key's clock back. The
+    calls of a key in one micro-batch are decided together, in bulk, so the size of a micro-batch
+    bounds what a hot key asks of a task.
     """
     bucket = Bucket.of(rate, burst)
-    # State is joined by key, which NULL would not be; the marks keep it apart from any text.
-    marked = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
 
-    def step(batch, state):
-        timed = batch.select(
-            marked.alias("_key"), F.col(key).cast("string").alias("key"), "call_id", "timestamp",
-            F.unix_micros("timestamp").alias("_us"),
-        )
-        joined = timed.join(state, "_key", "left")
-        audit = checkpointed(
-            fold(joined, ["_key"], ["_us", "call_id"], bucket_fold(bucket), RATE_OUTPUT,
-                 max_group_rows, counted=timed)
-        )
-        rows = audit.select("key", "call_id", "timestamp", "tokens_before", "allowed", "retry_after_s")
-        end = F.struct("_us", "call_id", "_after", F.greatest("_us", "_last").alias("_last"))
-        ended = audit.groupBy("_key").agg(F.max(end).alias("_end")).select(
-            "_key", F.col("_end._after").alias("_level"), F.col("_end._last").alias("_last")
+    def audit(_, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames)).sort_values(["_us", "call_id"], kind="stable")
+        times = rows["_us"].to_numpy()
+        walk = RateWalk(bucket, times)
+        level, last = state.get if state.exists else (bucket.full, int(times[0]))
+        state.update(walk.run(0, len(times), level, last))
+        done = walk.output()
+        yield rows[["key", "call_id", "timestamp"]].assign(
+            tokens_before=done["tokens_before"], allowed=done["allowed"], retry_after_s=done["retry_after_s"].to_pandas().array
         )
-        return rows, ended
 
-    return run_stateful(calls, path, checkpoint, step, RATE_STATE, interval)
+    timed = calls.select(F.col(key).cast("string").alias("key"), "call_id", "timestamp", F.unix_micros("timestamp").alias("_us"))
+    audited = timed.groupBy("key").applyInPandasWithState(audit, AUDIT, "level long, last long", "append", "NoTimeout")
+    return _stateful(audited, path, checkpoint, interval)
 
 
 KEY_BUCKETS = 64

@@ -9,6 +9,10 @@ cut of least capacity, found by max-flow, separates content from boilerplate; wh
 Blocks whose costs differ by more than all their edges together are settled beforehand, which changes no minimum; in
 practice little is left for the flow.
 
+Class names of an element say nothing about its content where it holds the page's ``main`` element, an ``article`` with
+half of the page's prose, or nearly all of that prose; nor does a ``form`` there. Names such as ``with-sidebar`` or
+``no-comments`` describe a layout and are not read.
+
 Scripts, styles, comments and the page's head never become blocks. Character references are decoded, white space in a
 block becomes one space, blocks are joined by line feeds. Nothing is shortened.
 
@@ -33,9 +37,10 @@ from pyspark.sql.functions import pandas_udf
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+'|["'])*+)>""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
+_LAYOUT = re.compile(r"(?<!\S)(?:with|without|has|no|js|is)[-_]\S*")
 
 #: Elements whose content is no text of the page.
-RAW = {"script", "style", "title", "textarea", "template", "iframe", "noscript", "svg", "math", "object", "select"}
+RAW = {"script", "style", "title", "textarea", "template", "iframe", "noscript", "svg", "annotation", "annotation-xml", "object", "select"}
 #: Elements that begin and end a block; the others stand within one.
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -78,38 +83,63 @@ class Block:
     linked: int
 
 
-def _weight(tag: str, attributes: str, inside_article: bool) -> float:
-    weight = ELEMENT.get(tag, 0.0)
-    if tag == "header" and inside_article:
-        weight = 0.0
-    if attributes:
-        for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), (a or b or c).lower()
-            if name in ("class", "id", "role"):
-                if tag not in ("body", "html", "article", "main"):
-                    names = _NAME.findall(value)
-                    found = [CLASS_WORDS[w] for w in names if w in CLASS_WORDS]
-                    if "header" in names and not inside_article and not found:
-                        found = [ELEMENT["header"]]  # of the page; an entry's header belongs to it
-                    weight += min(found, default=0.0) if found and min(found) < 0 else max(found, default=0.0)
-            elif name == "hidden" or name == "aria-hidden" and value == "true" or "display:none" in value.replace(" ", ""):
-                weight -= 8.0
+def _class_weight(tag: str, attributes: str, inside_article: bool) -> float:
+    weight = 0.0
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), (a or b or c).lower()
+        if name in ("class", "id", "role"):
+            if tag not in ("body", "html", "article", "main"):
+                names = _NAME.findall(_LAYOUT.sub(" ", value))
+                found = [CLASS_WORDS[w] for w in names if w in CLASS_WORDS]
+                if "header" in names and not inside_article and not found:
+                    found = [ELEMENT["header"]]  # of the page; an entry's header belongs to it
+                weight += min(found, default=0.0) if found and min(found) < 0 else max(found, default=0.0)
+        elif name == "hidden" or name == "aria-hidden" and value == "true" or "display:none" in value.replace(" ", ""):
+            weight -= HIDDEN
     return weight
 
 
+PROSE = 6  # words from which on a block counts as prose, if few of them are links
+ARTICLE_SHARE, WRAPPER_SHARE = 0.5, 0.9
+HIDDEN = 100.0
+
+
+def _wrappers(found: list[Block], tags: list[str]) -> set[int]:
+    """Numbers of the elements around the page's main part."""
+    under: dict[int, int] = {}
+    around: dict[int, tuple[int, ...]] = {}
+    total = 0
+    for block in found:
+        words = block.text.count(" ") + 1
+        if words < PROSE or 2 * block.linked > len(block.text):
+            words = 0
+        total += words
+        for k, number in enumerate(block.path):
+            under[number] = under.get(number, 0) + words
+            if tags[number] in ("article", "main"):
+                around[number] = block.path[:k]
+    most = {number for number, words in under.items() if words and words >= WRAPPER_SHARE * total}
+    for number, above in around.items():
+        if tags[number] == "main" or under[number] and under[number] >= ARTICLE_SHARE * total:
+            most.update(above)
+    return most
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page, in order."""
     out: list[Block] = []
     parts: list[str] = []
-    open_: list[tuple[str, int, float, bool]] = []  # element, its number, weights down to it, whether in an article
-    linked, in_link, count = 0, 0, 0
+    open_: list[tuple[str, int, bool]] = []  # element, its number, whether in an article
+    tags, weights = [""], [0.0]  # of the elements, by number
+    classes: dict[int, float] = {}
+    linked, in_link = 0, 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, tuple(x[1] for x in open_), open_[-1][2] if open_ else 0.0, min(linked, len(text))))
+                out.append(Block(text, tuple(x[1] for x in open_), 0.0, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -144,7 +174,7 @@ def blocks(page: str) -> list[Block]:
         at = tag.end()
         closing, name, attributes = tag.group(1), tag.group(2).lower(), tag.group(3)
         if name in RAW and not closing:
-            if attributes.endswith("/") and name in ("svg", "math", "iframe", "object"):
+            if attributes.endswith("/") and name in ("svg", "iframe", "object"):
                 continue
             lowered = lowered if lowered is not None else page.translate(_LOWER)
             end = lowered.find(f"</{name}", at)
@@ -168,11 +198,23 @@ def blocks(page: str) -> list[Block]:
             elif name not in VOID:
                 while open_ and open_[-1][0] in SHORT and (name == open_[-1][0] or open_[-1][0] == "p" or open_[-1][0][0] == "h"):
                     open_.pop()
-                above = open_[-1] if open_ else ("", 0, 0.0, False)
-                count += 1
-                inside = above[3] or name == "article"
-                open_.append((name, count, above[2] + _weight(name, attributes, above[3]), inside))
+                inside = bool(open_) and open_[-1][2]
+                number = len(tags)
+                tags.append(name)
+                weights.append(0.0 if inside and name == "header" else ELEMENT.get(name, 0.0))
+                if attributes and (by_class := _class_weight(name, attributes, inside)):
+                    classes[number] = by_class
+                open_.append((name, number, inside or name in ("article", "main")))
     flush()
+    around = _wrappers(out, tags) if classes or "form" in tags else set()
+    for number, weight in classes.items():
+        if number not in around or weight > 0 or weight <= -HIDDEN:
+            weights[number] += weight
+    for number in around:
+        if tags[number] == "form":
+            weights[number] -= ELEMENT["form"]
+    for block in out:
+        block.prior = sum([weights[number] for number in block.path])
     return out
 
 

@@ -55,3 +55,36 @@ def test_awkward_pages(spark):
     assert len(by[11].text) == len("long words and more. ") * 20000 - 1
     assert all(r.n_chars == len(r.text) for r in got)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+STORY = [f"Paragraph {i} of the story goes on for quite a number of words." for i in range(5)]
+BODY = "".join(f"<p>{p}</p>" for p in STORY)
+
+
+def test_names_around_the_main_part_do_not_count():
+    for page in (
+        f'<div class="layout with-sidebar"><article>{BODY}</article></div>',
+        f'<div class="post has-comments"><article>{BODY}</article></div>',
+        f'<form id="aspnetForm"><article>{BODY}</article></form>',
+        f'<div class="page-overlay"><main>{BODY}</main></div>',
+        f'<form action="/"><div class="sidebar-left">{BODY}</div></form>',
+        f'<div class="no-comments"><div>{BODY}</div></div>',
+        f'<div class="modal"><div class="sidebar"><p>Read this other story of ours, please, it is good.</p></div><main>{BODY}</main></div>',
+    ):
+        assert html_text.main_text(page) == "\n".join(STORY), page
+
+
+def test_what_is_beside_the_main_part_still_goes():
+    comments = "".join(f"<article class=comment><p>I do think that comment number {i} is right, really.</p></article>" for i in range(3))
+    teaser = "<div class=related><article><p>A story that is told on some other page, not on this one.</p></article></div>"
+    page = f'<div class="wrap with-sidebar"><article>{BODY}</article><section class="comments">{comments}</section>{teaser}</div>'
+    assert html_text.main_text(page) == "\n".join(STORY)
+    hidden = f'<div style="display:none"><main>{BODY}</main></div><main>{BODY}</main>'
+    assert html_text.main_text(hidden) == "\n".join(STORY)
+
+
+def test_titles_of_main_and_formulas():
+    page = f"<main><header><h1>The title of it</h1></header>{BODY}</main>"
+    assert html_text.main_text(page) == "\n".join(["The title of it", *STORY])
+    formula = "<article><p>Here <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> holds, as was said above.</p></article>"
+    assert html_text.main_text(formula) == "Here a=2 holds, as was said above."

@@ -103,13 +103,14 @@ def in_fold(id_: Column) -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, y, text)`` of at most ``size`` labelled documents that are not held out."""
+    """``(doc_id, y, text)`` of at most ``size`` labelled documents that are not held out; of rows that share an id the
+    one whose text has the least hash, so that the bound is one of rows and no id outweighs the others."""
     known = labels.where("doc_id is not null and toxic is not null").where(~in_fold(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     # At most ``size`` rows of two numbers are broadcast.
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return found.where("text is not null")
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def _train(x: list[np.ndarray], y: np.ndarray, swaps: list[tuple[int, np.ndarray]], n: int) -> tuple[np.ndarray, float]:

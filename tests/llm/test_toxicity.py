@@ -79,3 +79,15 @@ def test_rejection_and_missing_labels(spark, corpus):
         assert toxicity.reject_toxic(df, none).count() == len(rows)
     assert toxicity.judge(df.limit(0), table).count() == 0
     assert [len(x) for x in toxicity.feature_sets([])] == []
+
+
+def test_an_id_on_many_rows_counts_once(spark, corpus):
+    """One labelled id on a third of all rows, and in several texts: the sample is as without it."""
+    rows, labels = corpus
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    hot = next(i for i, _ in labels if zlib.crc32(str(i).encode()) % 5)
+    more = [(hot, rows[hot][1])] * 300 + [(hot, f"another text {k % 7}") for k in range(150)] + [(hot, None)] * 20
+    sample = toxicity._sample(docs(spark, [*rows, *more]), table, 16_000).collect()
+    assert len(sample) == len({r.doc_id for r in sample}) == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i, _ in labels)
+    few = toxicity._sample(docs(spark, [*rows, *more]), table, 50).collect()
+    assert len(few) <= 50

@@ -170,9 +170,7 @@ def _swept(policies: DataFrame, calls: DataFrame, columns: list[str], max_group_
     ``_base``. Calls are read once, in narrow rows.
     """
     active = _active(policies).where("period_start < period_end AND _name IS NOT NULL")
-    active = checkpointed(
-        active.withColumnsRenamed({"_org": SCOPE[0], "_scope": SCOPE[1], "_name": SCOPE[2]})
-    )
+    active = active.withColumnsRenamed({"_org": SCOPE[0], "_scope": SCOPE[1], "_name": SCOPE[2]})
     scopes = active.select(*SCOPE).distinct()
     offered = _offered(calls, ["call_id", "timestamp", "cost_usd", *columns])
     rows = offered.join(scopes, SCOPE, "left_semi").withColumn("_is_call", F.lit(True))
@@ -195,7 +193,6 @@ def _swept(policies: DataFrame, calls: DataFrame, columns: list[str], max_group_
 
 
 BLOCK = 1 << 16  # rows of a scope that are opened together
-STEPS = 48  # halvings of the widest range of rounding errors
 UNIT = 12  # decimals of an amount
 
 
@@ -219,7 +216,8 @@ def _level(threshold: Column, amount: Column) -> Column:
 
     wide = F.ceil(reach).cast("long") + 2
     first = F.struct((-wide).alias("low"), wide.alias("high"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), first, halve)
+    halvings = F.ceil(F.log2(wide.cast("double"))).cast("int") + 2
+    found = F.aggregate(F.sequence(F.lit(1), halvings), first, halve)
     return (share + found["high"] * unit).cast(TOTAL)
 
 
@@ -264,7 +262,7 @@ def first_crossing(
     ends = ends.withColumn("_in", F.col("_block"))
     places_of = lambda _: places
     located = next_of(ends, SCOPE, "_in", ["_block"]).where("_in IS NOT NULL")
-    located = checkpointed(located.select(*SCOPE, F.col("_in").alias("_block"), "_place", "_total", "timestamp"))
+    located = located.select(*SCOPE, F.col("_in").alias("_block"), "_place", "_total", "timestamp")
     opened = blocked.join(located.select(*SCOPE, "_block").distinct(), [*SCOPE, "_block"], "left_semi")
     call = F.struct("timestamp", "call_id", "_total").alias("_call")
     opened = opened.select(*SCOPE, "_block", "_total", "timestamp", "call_id", call)
@@ -364,7 +362,7 @@ def budget_check(
     level = (money("budget_amount_usd") + F.col("_base")).cast(TOTAL).alias("_level")
     ordered = dated.select(*SCOPE, "period_start", "period_end", level, "action", "throttle_percentage")
     ordered = ordered.repartition(*SCOPE).sortWithinPartitions(*SCOPE, "period_start")
-    opened = checkpointed(ordered.mapInPandas(_open, OPEN_DDL))
+    opened = ordered.mapInPandas(_open, OPEN_DDL)
     met = run.join(opened, [*SCOPE, "_bound"]).withColumn(
         "_offer", F.col("_total") - money("cost_usd") + money("estimated_cost_usd")
     )

@@ -1,7 +1,7 @@
 """Budgets, gates, signals, sinks and validation on small known tables."""
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -266,3 +266,56 @@ def test_many_equal_sessions_are_written_out_in_stretches(spark, monkeypatch):
     rows = spark.range(95).select(F.lit(None).cast("string").alias("session_id"), F.lit("u").alias("user_id"))
     assert tables.load_sessions(rows).select("session_id").distinct().count() == 95
     assert tables.load_sessions(rows.limit(0)).count() == 0
+
+
+def test_crossings_of_many_thresholds_equal_a_plain_loop(spark):
+    """Amounts and thresholds at which floating point rounds either way, free calls, ties and overlapping windows."""
+    import random
+
+    rng = random.Random(17)
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):
+        at = start + timedelta(hours=rng.randrange(0, 24 * 40))
+        rows.append((i, "org-1", rng.choice("ab"), "e", str(rng.randrange(3)), str(at), rng.choice([0.0, 0.01, 0.07, 0.1, 0.63]), 0.05))
+    calls = calls_df(spark, rows)
+    policies = []
+    for p in range(60):
+        scope, name = rng.choice([("organization", None), ("feature", "a"), ("custom", str(p % 3)), ("feature", "nobody")])
+        begin = start + timedelta(days=rng.randrange(-3, 35))
+        amount = rng.choice([0.7, 1.1, 2.3, 7.0, 0.0, 33.3])
+        policies.append((f"p{p}", scope, name, amount, rng.choice(["daily", "weekly", "monthly"]), begin, [0.0, 10.0, 33.3, 70.0, 90.0, 90.0, 100.0],
+                         rng.choice(["alert", "throttle", "block"]), rng.choice([None, 25.0, 50.0, 75.0])))
+    names = "id, scope, scope_identifier, budget_amount_usd, period, period_start, alert_thresholds, action, throttle_percentage"
+    df = spark.createDataFrame(
+        policies, "id string, scope string, scope_identifier string, budget_amount_usd double, period string, "
+        "period_start timestamp, alert_thresholds array<double>, action string, throttle_percentage double",
+    ).select(*names.split(", "), F.lit("org-1").alias("org_id"), F.lit(True).alias("is_active"), F.lit(None).cast("int").alias("custom_period_days"))
+    ends = {r.id: r.period_end for r in B.policy_window(df).collect()}
+    ordered = sorted(calls.collect(), key=lambda r: (r.timestamp, r.call_id))
+    crossed, verdicts = {}, {}
+    for pid, scope, name, amount, _, begin, thresholds, action, percent in policies:
+        spent = Decimal(0)
+        for r in ordered:
+            mine = scope == "organization" or {"feature": r.feature, "custom": r.customer_id}[scope] == name
+            if not mine or not begin <= r.timestamp < ends[pid]:
+                continue
+            if spent + Decimal(str(r.estimated_cost_usd)) > Decimal(str(amount)):
+                strict, share = verdicts.get(r.call_id, (0, None))
+                if action == "throttle" and percent is not None:
+                    share = max(share or 0, percent)
+                verdicts[r.call_id] = max(strict, ["alert", "throttle", "block"].index(action) + 1), share
+            spent += Decimal(str(r.cost_usd))
+            for t in thresholds:
+                if amount > 0 and float(spent) / amount * 100 >= t:
+                    crossed.setdefault((pid, t), (r.call_id, spent))
+    for block in (B.BLOCK, 3):
+        got = B.first_crossing(df, calls, block=block).collect()
+        assert len(got) == len({(r.policy_id, r.threshold) for r in got})
+        assert {(r.policy_id, r.threshold): (r.call_id, r.running_spend_usd) for r in got} == crossed
+    checked = B.budget_check(calls, df).collect()
+    assert len(checked) == len(rows)
+    for r in checked:
+        strict, share = verdicts.get(r.call_id, (0, None))
+        assert (r.action, r.throttle_percentage) == ([None, "alert", "throttle", "block"][strict], share)
+        assert r.allowed == (strict != 3)

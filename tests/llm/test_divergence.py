@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spendguard.llm import divergence
 from tests.llm.helpers import DOCS
@@ -48,8 +49,6 @@ def plain(rows, least=3, top=200):
 
 
 def table(spark, rows):
-    from pyspark.sql import functions as F
-
     df = spark.createDataFrame([(None, t, lang, s, 0) for t, lang, s in rows], DOCS)
     return df.withColumns({c: F.lit(1) for c in ("term", "row", "col", "p", "value", "rank", "n", "docs")})
 
@@ -86,7 +85,10 @@ def test_whole_operator(spark, side, width):
 def test_ranks_of_terms_are_cut_and_tables_beyond_the_bound_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(divergence, "BOUND", 0)
     rows = corpus(4)
-    assert divergence.term_counts(table(spark, rows), 10).subtract(divergence.term_counts(table(spark, rows))).isEmpty()
+    counts = [divergence.term_counts(table(spark, rows), held) for held in (10, 10**6)]
+    assert counts[0].drop("docs").exceptAll(counts[1].drop("docs")).isEmpty()
+    few, many = (c.groupBy("lang", "term").agg(F.sum("n"), F.sum("docs")) for c in counts)
+    assert few.count() == many.count() and few.subtract(many).isEmpty()
     assert got(divergence.audit(table(spark, rows), least_docs=1, top_terms=5)) == plain(rows, 1, 5)
 
 
@@ -104,8 +106,6 @@ def test_walking_two_trees():
 
 
 def test_prices_of_large_counts(spark):
-    from pyspark.sql import functions as F
-
     n, total, v = 9 * 10**17, 9 * 10**18, 10**17
     row = spark.range(1).select(divergence.price(F.lit(n), F.lit(total), F.lit(v)).alias("p")).first()
     assert row.p == 1 + S * (n + 1) // (total + v)

@@ -37,7 +37,7 @@ from spendguard.runtime import checkpointed
 MAX_REPEATS = 3
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a source in a slice, about.
-SLICE = 50_000
+SLICE = 2_000
 #: Equal rows that one task writes out.
 COPIES = 10_000
 SALTS = 16
@@ -117,9 +117,8 @@ def _areas(knots: Column) -> Column:
     )
 
 
-def invert(share: Column, knots: Column) -> Column:
+def invert(share: Column, knots: Column, areas: Column) -> Column:
     """The time, 0 to 1, at which the integral of the line through ``knots`` has reached ``share`` of its end."""
-    areas = _areas(knots)
     sought = share * F.element_at(areas, -1)
     step = F.greatest(F.lit(0), F.least(F.size(F.filter(areas, lambda a: a <= sought)) - 1, F.size(knots) - 2))
     begin, end, rest = F.get(knots, step), F.get(knots, step + 1), sought - F.get(areas, step)
@@ -137,14 +136,17 @@ def _schedule(weight: Column, knots: dict[int, tuple[float, ...]]) -> Column:
     return chosen.otherwise(F.array(F.lit(1.0), F.lit(1.0)))
 
 
-def _placed(classes: DataFrame, weights, max_repeats, slice_rows) -> DataFrame:
-    """Classes with ``before``, the words of their source that stand before them, and the source's columns."""
+def _placed(classes: DataFrame, weights, knots, max_repeats, slice_rows) -> DataFrame:
+    """Classes with ``before``, the words of their source that stand before them, and the source's columns, among them
+    its schedule and the integral of that."""
     sizes = classes.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("size") * F.col("m")).alias("source_size"))
-    mixed = checkpointed(targets(sizes, weights, max_repeats))
+    line = _schedule(F.col("weight"), knots)
+    mixed = targets(sizes, weights, max_repeats).withColumns({"knots": line, "areas": _areas(line)})
+    mixed = checkpointed(mixed)
     # A null source joins like any other under a name of two parts.
     name = [F.isnull("source").alias("_none"), F.coalesce("source", F.lit("")).alias("_name")]
     slices = F.ceil(F.col("n") / slice_rows)
-    meta = mixed.select(*name, slices.alias("_slices"), "source_size", "weight", "target")
+    meta = mixed.select(*name, slices.alias("_slices"), "source_size", "target", "knots", "areas")
     few = mixed.count() <= BOUND
     meta = F.broadcast(meta) if few else salted(meta, SALTS)
     rows = classes.select("*", *name)
@@ -173,7 +175,8 @@ def positions(
 ) -> DataFrame:
     """A row for each document: ``doc_id, source, key, size, source_size, target, copies``; ``copies`` are the times it
     is taken, each ``(copy, position, words)``, in their order. ``knots`` gives a schedule for each weight."""
-    placed = _placed(checkpointed(_classes(docs)), weights, max_repeats, slice_rows)
+    knots = KNOTS if knots is None else knots
+    placed = _placed(checkpointed(_classes(docs)), weights, knots, max_repeats, slice_rows)
     # Equal rows stand one after the other; first in stretches, so that many of them are written out by many tasks.
     stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(COPIES).cast("long")))
     cut = placed.withColumn("_from", stretch)
@@ -183,14 +186,13 @@ def positions(
     rows = cut.withColumn("_j", each)
     start = F.col("before") + F.col("_j") * F.col("size")
     end = F.floor("target").cast("long")
-    line = _schedule(F.col("weight"), KNOTS if knots is None else knots)
 
     def copy(k: Column) -> Column:
         at = start + k * F.col("source_size")
         share = at.cast("double") / F.col("target")
         return F.struct(
             k.alias("copy"),
-            F.when(at < end, invert(share, line)).alias("position"),
+            F.when(at < end, invert(share, F.col("knots"), F.col("areas"))).alias("position"),
             F.least(F.col("size"), end - at).alias("words"),
         )
 
@@ -208,7 +210,8 @@ def by_first_position(placed: DataFrame) -> DataFrame:
         F.get("copies", F.lit(0))["position"].alias("first_position"), "key",
     )
     order = ["first_position", "key", "doc_id"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("key")
+    # Ranges are found by sampling, which would compute all positions a second time.
+    return checkpointed(rows).repartitionByRange(*order).sortWithinPartitions(*order).drop("key")
 
 
 def training_order(docs: DataFrame, **options) -> DataFrame:
@@ -231,5 +234,5 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
                         order_key(docs).alias("key"), F.col("text").cast("string").alias("text"))
     texts = texts.groupBy(*same).agg(F.max("text").alias("text"))
     order = ["position", "key", "doc_id", "copy"]
-    mixed = places.join(texts, same).repartitionByRange(*order).sortWithinPartitions(*order)
+    mixed = checkpointed(places).join(texts, same).repartitionByRange(*order).sortWithinPartitions(*order)
     return mixed.select("position", "doc_id", "source", "copy", "words", "text")

@@ -370,6 +370,16 @@ check(
     FROM (SELECT * REPLACE (CASE org_id WHEN 'org-2' THEN 'org-1' ELSE org_id END AS org_id)
       FROM policy_feed) LEFT JOIN org_spend USING (org_id)""",
 )
+check(
+    "stream_budget_alerts",
+    ["policy_feed", "org_spend"],
+    """SELECT id, threshold FROM (SELECT *, unnest(alert_thresholds) AS threshold,
+        current_spend_usd / budget_amount_usd * 100 AS before,
+        (current_spend_usd + spent) / budget_amount_usd * 100 AS after
+      FROM (SELECT * REPLACE (CASE org_id WHEN 'org-2' THEN 'org-1' ELSE org_id END AS org_id)
+        FROM policy_feed) JOIN org_spend USING (org_id) WHERE is_active AND budget_amount_usd > 0)
+    WHERE before < threshold AND after >= threshold""",
+)
 check(
     "apply_spend_total",
     ["policy_feed", "org_spend"],
@@ -1044,3 +1054,6 @@ for _name, _stops in _STOPPED.items():
 
 for _name, (_needs, _sql) in _WAITING.items():
     CHECKS[_name] = _with(_needs, _sql)
+# Streams that end in what the batch job gives.
+CHECKS["stream_budget_state"] = CHECKS["apply_spend"]
+CHECKS["stream_cost_discrepancy"] = CHECKS["cost_discrepancy"]

@@ -713,6 +713,47 @@ def stream_cost(spark, sf):
     return spark.read.parquet(path).select("call_id", "model", "cost_usd")
 
 
+@query
+def stream_cost_discrepancy(spark, sf):
+    path, checkpoint = shared_path(spark, "gaps"), shared_path(spark, "gaps-checkpoint")
+    factor = F.when(F.col("call_id") % 10 == 0, 1.02).otherwise(1.005)
+
+    def answers(costed):
+        return costed.select("call_id", (F.col("cost_usd") * factor).alias("server_cost_usd"))
+
+    J.stream_cost_discrepancies(
+        I.call_stream(spark, sf), _fixed_prices, answers, path, checkpoint, interval=None
+    ).awaitTermination()
+    out = spark.read.parquet(path)
+    return out.select("call_id", "model", "cost_usd", "server_cost_usd", "difference_pct")
+
+
+def _budget_stream(spark, sf):
+    """Policies of which a seventh more belong to the organisation that calls, and where their state is."""
+    feed = tables.load_policies(I.policy_feed(spark, sf)).withColumn(
+        "org_id", F.when(F.col("org_id") == "org-2", "org-1").otherwise(F.col("org_id"))
+    )
+    path, checkpoint = shared_path(spark, "budget"), shared_path(spark, "budget-checkpoint")
+    J.stream_budget(
+        I.call_stream(spark, sf), _fixed_prices, lambda _: feed, path, checkpoint, None
+    ).awaitTermination()
+    return feed, path
+
+
+@query
+def stream_budget_state(spark, sf):
+    feed, path = _budget_stream(spark, sf)
+    return J.read_budget(spark, path, feed).select(
+        "id", "org_id", F.col("current_spend_usd").alias("spend"), F.col("spend_percentage").alias("percentage")
+    )
+
+
+@query
+def stream_budget_alerts(spark, sf):
+    _, path = _budget_stream(spark, sf)
+    return J.read_alerts(spark, path).select("id", "threshold")
+
+
 def _stream_spend(spark, sf, window):
     path, checkpoint = shared_path(spark, "spend"), shared_path(spark, "spend-checkpoint")
     J.stream_spend(

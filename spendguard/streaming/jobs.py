@@ -16,7 +16,8 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cost import money, with_cost, with_cost_and_estimate
+from ..operators.budgets import apply_spend, spend_percentage
+from ..operators.cost import cost_discrepancies, money, with_cost, with_cost_and_estimate
 from ..operators.governance import governance_signals, message_violations, privacy_gate
 from ..operators.rate import DEFAULT_BURST, DEFAULT_RATE, Bucket
 from ..operators.rate import Walk as RateWalk
@@ -51,6 +52,29 @@ def stream_cost(
     return _start(calls, process, checkpoint, interval)
 
 
+def stream_cost_discrepancies(
+    calls: DataFrame,
+    prices: Reader,
+    server_costs: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    tolerance: float = 0.01,
+    interval: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Compare costs as calls are stored: of each micro-batch, the calls whose server cost is off.
+
+    ``server_costs`` gets the micro-batch with its ``cost_usd`` and gives the answers to it,
+    (call_id, server_cost_usd); a call without an answer is not compared.
+    """
+
+    def process(batch: DataFrame, number: int):
+        costed = checkpointed(with_cost(batch, prices(batch.sparkSession)))
+        found = cost_discrepancies(costed, server_costs(costed), tolerance)
+        found.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return _start(calls, process, checkpoint, interval)
+
+
 def _total_spend(rows: DataFrame, keys: list[str]) -> DataFrame:
     total = F.sum("spend_usd").cast(TOTAL).alias("spend_usd")
     return rows.groupBy("window_start", *keys).agg(total, F.sum("calls").alias("calls"))
@@ -101,6 +125,54 @@ def read_spend(spark: SparkSession, path: str, keys: dict[str, str], fan: int =
     return _total_spend(_spend_runs(spark, path, kinds, fan).stored(), [*keys])
 
 
+def _budget_runs(spark: SparkSession, path: str, fan: int) -> Runs:
+    schema = T.StructType([T.StructField("org_id", T.StringType()), T.StructField("cost_usd", TOTAL)])
+    total = F.sum("cost_usd").cast(TOTAL).alias("cost_usd")
+    return Runs(spark, f"{path}/spend", schema, lambda rows: rows.groupBy("org_id").agg(total), fan=fan)
+
+
+def stream_budget(
+    calls: DataFrame,
+    prices: Reader,
+    policies: Reader,
+    path: str,
+    checkpoint: str,
+    interval: str | None = "5 seconds",
+    fan: int = FAN,
+) -> StreamingQuery:
+    """Keep the spend that budgets are measured by while calls come, and raise alerts.
+
+    A call adds to all policies of its organisation, as in ``apply_spend``. A micro-batch stores its
+    sums, one row an organisation, and the thresholds that active policies cross with it; policies
+    are read anew every time. ``read_budget`` gives the policies' state, ``read_alerts`` the alerts.
+    """
+
+    def process(batch: DataFrame, number: int):
+        spark = batch.sparkSession
+        runs, cost = _budget_runs(spark, path, fan), F.sum(money("cost_usd")).cast(TOTAL).alias("cost_usd")
+        sums = checkpointed(with_cost(batch, prices(spark)).groupBy("org_id").agg(cost))
+        here = policies(spark).where("is_active").join(sums.select("org_id"), "org_id", "left_semi")
+        earlier = apply_spend(here, runs.before(number))
+        before = spend_percentage(F.col("current_spend_usd"), F.col("budget_amount_usd"), F.col("spend_percentage"))
+        now = apply_spend(earlier.withColumn("_before", before), sums)
+        over = F.filter("alert_thresholds", lambda t: (t <= F.col("spend_percentage")) & (t > F.col("_before")))
+        alerts = now.select("id", "org_id", F.explode(over).alias("threshold"), "current_spend_usd", "spend_percentage")
+        alerts.write.mode("overwrite").parquet(f"{path}/alerts/batch={number}")
+        runs.add(number, sums)
+
+    return _start(calls, process, checkpoint, interval)
+
+
+def read_budget(spark: SparkSession, path: str, policies: DataFrame, fan: int = FAN) -> DataFrame:
+    """Policies with the spend that ``stream_budget`` has stored so far."""
+    return apply_spend(policies, _budget_runs(spark, path, fan).stored())
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The thresholds that policies have crossed so far, each as it was then."""
+    return spark.read.parquet(f"{path}/alerts").drop("batch")
+
+
 def stream_scan(messages: DataFrame) -> DataFrame:
     """The privacy gate on a stream of messages; stateless."""
     return privacy_gate(messages)

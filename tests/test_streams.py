@@ -234,3 +234,42 @@ def test_stream_scan_and_signals_match_batch(spark):
     columns = ["request_id", "violation_type", "violation_subtype", "detected_at"]
     got = J.read_signals(spark, path).select(columns).collect()
     assert sorted(map(str, got)) == sorted(map(str, batch.select(columns).collect()))
+
+
+def test_budget_state_and_alerts_while_calls_come(spark):
+    """Thresholds crossed in different micro-batches, at once and never; state merged every two of them."""
+    from spendguard.schemas import POLICIES
+
+    def call(number, org, tokens):
+        return (number, org, datetime(2024, 1, 1), "gpt-4", tokens, 0, None, None)
+
+    # A thousand input tokens cost 0.03 dollars.
+    batches = [[call(1, "o", 10_000), call(2, "p", 10)], [], [call(3, "o", 10_000)], [call(4, "o", 50_000), call(5, None, 9)]]
+    ddl = "call_id long, org_id string, timestamp timestamp, model string, input_tokens long, output_tokens long, cache_creation_tokens long, cache_read_tokens long"
+    rows = [("a", "o", 1.0, 0.0, True), ("b", "o", 100.0, 0.0, True), ("c", "o", 1.0, 0.0, False), ("d", "q", 0.1, 0.0, True), ("e", "o", 1.0, 0.65, True)]
+    policies = spark.createDataFrame(
+        [(i, org, amount, spent, active, [50, 80, 90], 100 * spent / amount) for i, org, amount, spent, active in rows],
+        "id string, org_id string, budget_amount_usd double, current_spend_usd double, is_active boolean, alert_thresholds array<int>, spend_percentage double",
+    )
+    policies = tables.load_policies(policies)
+    assert policies.columns == POLICIES.fieldNames()
+    path, checkpoint = paths(spark, "budget")
+    J.stream_budget(source(spark, "budget-calls", batches, ddl), I.pricing, lambda _: policies, path, checkpoint, None, fan=2).awaitTermination()
+    alerts = spark.read.parquet(f"{path}/alerts")
+    assert sorted((r.batch, r.id, r.threshold) for r in alerts.collect()) == [
+        (0, "e", 80), (0, "e", 90), (2, "a", 50), (3, "a", 80), (3, "a", 90)
+    ]
+    state = {r.id: r.current_spend_usd for r in J.read_budget(spark, path, policies, fan=2).collect()}
+    assert state == pytest.approx({"a": 2.1, "b": 2.1, "c": 2.1, "d": 0.0, "e": 2.75})
+
+
+def test_discrepancies_as_calls_are_stored(spark, log):
+    def answers(costed):
+        return costed.where("call_id % 3 <> 0").select("call_id", (F.col("cost_usd") * (1 + F.col("call_id") % 4 / 100)).alias("server_cost_usd"))
+
+    path, checkpoint = paths(spark, "off")
+    J.stream_cost_discrepancies(stream(spark, log), I.pricing, answers, path, checkpoint, interval=None).awaitTermination()
+    costed = K.with_cost(tables.read_usage(spark, log), I.pricing(spark))
+    batch = K.cost_discrepancies(costed, answers(costed))
+    assert sorted(r.call_id for r in spark.read.parquet(path).collect()) == sorted(r.call_id for r in batch.collect())
+    assert batch.count() > 0

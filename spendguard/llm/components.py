@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendguard.runtime import checkpointed, shared_path
+from spendguard.runtime import checkpointed, delete, shared_path
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written and read again. A checkpoint hands on estimated sizes, which joins multiply: after some rounds
-    they have so many digits that planning takes minutes. Files have a real size."""
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written and read again, and its folder. A checkpoint hands on estimated sizes, which joins multiply: after
+    some rounds they have so many digits that planning takes minutes. Files have a real size."""
     path = shared_path(df.sparkSession, "links")
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def _to_smallest(edges: DataFrame) -> DataFrame:
@@ -31,9 +31,9 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
 
     Each round hangs the larger neighbours of a node on its smallest one, then the smaller ones; the number of rounds
     grows with the logarithm of the longest path. Links stay in the cluster: the driver sees one count a round. Each
-    round is stored.
+    round is stored, and deleted when the next one is there.
     """
-    edges = stored(
+    edges, folder = stored(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     for _ in range(rounds):
@@ -42,9 +42,10 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
         large = large.distinct()
         small = _to_smallest(large)
         hung = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = stored(hung.unionByName(large.groupBy("u").agg(F.min("v").alias("v"))).distinct())
+        after, place = stored(hung.unionByName(large.groupBy("u").agg(F.min("v").alias("v"))).distinct())
         same = after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
-        edges = after
+        delete(links.sparkSession, folder)
+        edges, folder = after, place
         if same:
             break
     else:

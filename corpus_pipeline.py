@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendguard.llm import packing, pii, simhash, tiling, toxicity
 from spendguard.llm.common import table
-from spendguard.runtime import shared_path
+from spendguard.runtime import delete, shared_path
 
 
 def vocabulary() -> str:
@@ -58,10 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, on the whole table ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, on the whole table ``documents``. What a stage has written goes when the next one has read it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = shared_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return docs

@@ -1,5 +1,7 @@
 """Session settings and the shared folder for data that must outlive an executor."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,7 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="spendguard-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 

@@ -177,12 +177,16 @@ def _swept(policies: DataFrame, calls: DataFrame, columns: list[str], max_group_
     bounds = active.select(*SCOPE, F.explode(F.array("period_start", "period_end")).alias("timestamp"))
     bounds = bounds.distinct().withColumn("_is_call", F.lit(False))
     # A window has its first instant and not its last, so bounds come before calls of their time.
-    both = checkpointed(rows.unionByName(bounds, allowMissingColumns=True))
+    both = rows.unionByName(bounds, allowMissingColumns=True)
+    # So few calls cannot make a large scope; counting them reads no column. Otherwise the rows are
+    # kept, as scopes are sized before they are swept.
+    fits = calls.count() <= max_group_rows
+    both = both if fits else checkpointed(both)
     at_bound = F.when(~F.col("_is_call"), F.col("timestamp"))
     run = running(
         both, SCOPE, ["timestamp", "_is_call", "call_id"],
         {"_total": money("cost_usd"), "_n": F.lit(1)}, {"_bound": lambda _: at_bound},
-        max_group_rows,
+        max_group_rows, fits=fits,
     )
     total = F.coalesce("_total", F.lit(0)).cast(TOTAL)
     run = checkpointed(run.withColumn("_total", total))

@@ -101,17 +101,19 @@ def running(
     maxima: dict[str, Callable[[Callable[[str], Column]], Column]] | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
     counted: DataFrame | None = None,
+    fits: bool = False,
 ) -> DataFrame:
     """Add running values per group, the current row included.
 
     ``sums`` maps a new column to the expression to add up. ``maxima`` maps a new column to an
     expression whose running maximum is wanted; it is built from a lookup of the ``sums``
     columns already there. NULL terms count as nothing. ``counted`` may name a cheaper frame whose
-    groups are at least as large, to size the groups without running ``df`` twice.
+    groups are at least as large, to size the groups without running ``df`` twice; ``fits`` says that
+    no group can be too large, so that nothing is sized.
     """
     sums, maxima = sums or {}, maxima or {}
     counted = df if counted is None else counted
-    sizes = group_sizes(counted, keys, order[0])
+    sizes = Sizes(0, 0) if fits else group_sizes(counted, keys, order[0])
     if sizes.largest <= max_group_rows:
         frame = _frame(keys, order)
         out = df.withColumns({name: F.sum(term).over(frame) for name, term in sums.items()})

@@ -4,11 +4,13 @@ versioned map says which shard holds each slot.
 Version 1 of a map deals the slots round. Rebalancing edits it: it moves slots from the fullest to the emptiest shard
 while that lowers the difference, and the result is the next version. Growing moves slots to the new shard only. The
 map and the sums have one row a slot, a bound that does not depend on the data, so the driver may edit them and they
-may be broadcast. Rows themselves are hashed where they are read and shuffled once, as four numbers, to be counted off
-within their slot.
+may be broadcast. Rows themselves are measured where they are read; equal ones become one row with their number before
+anything is shuffled, so that a row that makes up a third of the table costs its tasks nothing. Such a group is opened
+again as numbered copies, ``COPIES`` at most in one task, and the number is part of the hash: copies lie in all slots.
 
-Defined cases: a null text has no bytes and the checksum of an empty one; null ids are hashed like any value; equal
-rows share a slot and are told apart only by their place. An empty table gives no rows. Extra columns are not read.
+Defined cases: a null text has no bytes and the checksum of an empty one; null ids are hashed like any value; rows with
+one id, size and checksum are copies of each other. Of a text of any length only these numbers are kept. An empty table
+gives no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from spendguard.runtime import checkpointed, shared_path
 
 SLOTS = 8192
+COPIES = 1 << 16
 
 
 def first_map(slots: int, shards: int) -> list[int]:
@@ -75,20 +78,31 @@ def load_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/version={version}")
 
 
-def slot_of(id_: Column, crc: Column, slots: int = SLOTS) -> Column:
-    """The virtual slot; the checksum keeps rows with one id (or none) from meeting in one slot."""
-    return F.pmod(F.xxhash64(id_, crc), F.lit(slots)).cast("int")
+def slot_of(id_: Column, crc: Column, copy: Column, slots: int = SLOTS) -> Column:
+    """The virtual slot; checksum and copy keep rows with one id (or none) from meeting in one slot."""
+    return F.pmod(F.xxhash64(id_, crc, copy), F.lit(slots)).cast("int")
 
 
-def measured(docs: DataFrame, id_: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """``(doc_id, size, text_crc32, vslot)``: bytes of the text plus 1, checksum of the text, virtual slot."""
+def measured(
+    docs: DataFrame, id_: str = "doc_id", text: str = "text", slots: int = SLOTS, copies: int = COPIES
+) -> DataFrame:
+    """``(doc_id, size, text_crc32, copy, vslot)``: bytes of the text plus 1, checksum of the text, number of the row
+    among its equals from 0, virtual slot."""
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(id_).alias("doc_id"),
         (F.octet_length(whole) + 1).cast("long").alias("size"),
         F.crc32(whole).alias("text_crc32"),
     )
-    return rows.withColumn("vslot", slot_of(F.col("doc_id"), F.col("text_crc32"), slots))
+    groups = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("_n"))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(copies).cast("long")))
+    parts = groups.withColumn("_first", first)
+    large = F.col("_n") > copies
+    dealt = parts.where(large).repartition("doc_id", "size", "text_crc32", "_first")
+    last = F.least(F.col("_n"), F.col("_first") + copies) - 1
+    opened = parts.where(~large).unionByName(dealt).withColumn("copy", F.explode(F.sequence("_first", last)))
+    slot = slot_of(F.col("doc_id"), F.col("text_crc32"), F.col("copy"), slots)
+    return opened.drop("_n", "_first").withColumn("vslot", slot)
 
 
 def slot_loads(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int]]:
@@ -116,7 +130,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, slots: int = SLOTS, folder: str
         before[s] = filled[k]
         filled[k] += count[s]
     store_map(spark, folder, 2, owner, before=before)
-    place = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size"))
+    place = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size", "copy"))
     return (
         rows.withColumn("_place", place)
         .join(F.broadcast(load_map(spark, folder, 2)), "vslot")

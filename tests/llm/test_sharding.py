@@ -24,6 +24,20 @@ def test_all_rows_in_near_equal_shards(spark, tmp_path):
     assert {r.vslot: r.shard for r in first} == {s: s % 8 for s in range(sharding.SLOTS)}
 
 
+def test_a_row_that_is_half_of_the_table_is_spread_evenly(spark, tmp_path):
+    rows = [(i, "z" * (i % 50)) for i in range(1000)] + [(7, "again and again")] * 1500 + [(None, None)] * 1500
+    table = docs(spark, rows).repartition(5)
+    assert sorted(r.copy for r in sharding.measured(table, copies=100).where("doc_id IS NULL").collect()) == list(range(1500))
+    got = sharding.shard_by_bytes(table, 8, folder=str(tmp_path)).collect()
+    assert sorted((r.doc_id or -1, r["size"]) for r in got) == sorted((i or -1, len(t or "") + 1) for i, t in rows)
+    load = [sum(r["size"] for r in got if r.shard == k) for k in range(8)]
+    assert max(load) - min(load) <= 50
+    for k in range(8):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+    again = sharding.shard_by_bytes(docs(spark, rows[::-1]).repartition(3), 8, folder=str(tmp_path / "again")).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_growth_takes_rows_only_into_the_new_shard():
     rng = random.Random(4)
     load = [rng.randint(0, 1000) for _ in range(500)]

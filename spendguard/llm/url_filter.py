@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendguard.llm.common import ascii_lower, salted, with_salt
+from spendguard.runtime import checkpointed
 
 SALTS = 8
 BITS_PER_URL = 16
-MAX_BLOCKS = 1 << 16
+MAX_BLOCKS = 1 << 18
 
 #: Query parameters that do not change what a URL shows.
 TRACKING = "^(utm_[^=]*|ref)(=|$)"
@@ -91,7 +92,7 @@ def is_listed(urls: DataFrame, key: str, listed: DataFrame, row: str, max_blocks
 
     ``row`` tells rows of one URL apart, to deal a hot URL over several tasks.
     """
-    listed = listed.where(F.col(key).isNotNull())
+    urls, listed = checkpointed(urls), checkpointed(listed.select(key).where(F.col(key).isNotNull()).distinct())
     words, blocks = bloom(listed, key, max_blocks)
     hit = reduce(lambda a, b: a & b, [F.col(f"_w{i}").bitwiseAND(m) == m for i, m in enumerate(_masks(F.col(key)))])
     probed = (
@@ -102,7 +103,7 @@ def is_listed(urls: DataFrame, key: str, listed: DataFrame, row: str, max_blocks
     )
     names = urls.columns
     passed = with_salt(probed.where("_maybe").select(*names), F.col(row), SALTS)
-    exact = salted(listed.select(key).distinct(), SALTS).withColumn("_found", F.lit(True))
+    exact = salted(listed, SALTS).withColumn("_found", F.lit(True))
     judged = passed.join(exact, [key, "_salt"], "left").select(
         *names, F.coalesce("_found", F.lit(False)).alias("listed")
     )

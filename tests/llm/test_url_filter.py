@@ -53,6 +53,25 @@ def test_against_plain_code(spark, max_blocks):
         assert (got[i].rule, got[i].verdict) == judge(url, known), url
 
 
+def test_equally_long_rules_and_repeated_pages(spark):
+    rules = [("b.org", "/x", "block"), ("a.b.org", "", "allow"), ("c.org", "/long", "allow"), ("c.org", "/", "block")]
+    urls = [(1, "http://a.b.org/x"), (2, "http://b.org/x"), (1, "http://a.b.org/x"), (3, "http://c.org/longer"), (3, None)]
+    pages = spark.createDataFrame(urls * 2, "page_id long, url string")
+    listed = spark.createDataFrame([("nothing.net",)], "canonical string")
+    got = sorted((r.page_id, r.rule or "", r.verdict) for r in url_filter.judge_urls(pages, rules, listed).collect())
+    one = [(1, "a.b.org", "allow")] * 2 + [(2, "b.org/x", "block"), (3, "", "allow"), (3, "c.org/long", "allow")]
+    assert got == sorted(one * 2)
+
+
+def test_pages_are_read_once(spark, tmp_path):
+    rows = spark.range(200).selectExpr("id AS page_id", "concat('http://h', id % 7, '.net/', id % 3) AS url", "'long' AS html")
+    rows.write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    judged = url_filter.judge_urls(pages, RULES, spark.createDataFrame([("h1.net/1",)], "canonical string"))
+    assert "parquet" not in judged._jdf.queryExecution().executedPlan().toString().lower()
+    assert judged.where("listed").count() == sum(i % 7 == 1 and i % 3 == 1 for i in range(200))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     listed = spark.createDataFrame([], "canonical string")

@@ -1,17 +1,21 @@
 """Benchmark decontamination by greedy string tiling.
 
-A document shares a passage with a test item only where it has ``GRAM`` consecutive words of it. The documents' word
-grams are first held against a bit map of all items' grams, of fixed size, which leaves the runs of words that may be
-shared; these few are joined with the items' grams. Each document and item that meet are tiled: the longest match of
-words that are not yet covered, found by running Karp-Rabin over the runs, is marked, and again, down to ``GRAM``
-words. The share of the item's words under tiles is its coverage. Tiles may lie anywhere and in any order, so a passage
-whose sentences were moved about is found as well.
+A document shares a passage with a test item only where it has ``GRAM`` consecutive words of it, or the whole item if
+that is shorter. The documents' word grams are first held against a bit map of all items' grams, of fixed size, which
+leaves the runs of words that may be shared; these few are joined with the items' grams. Each gram that a document and
+an item share accounts for ``GRAM`` words of the item at most at each of its places, so pairs whose shared grams cannot
+add up to the coverage are refused from the counts, before any text meets another. The others are tiled: the longest
+match of words that are not yet covered, found by running Karp-Rabin over the runs, is marked, and again, down to the
+size of the grams. The share of the item's words under tiles is its coverage. Tiles may lie anywhere and in any order,
+so a passage whose sentences were moved about is found as well.
 
 Texts are read once and not shuffled; runs are. A gram that a third of all documents hold is dealt over several tasks.
-The items' tables are broadcast while they have at most ``SMALL`` rows and otherwise joined with salted keys.
+The items' tables are broadcast while they have at most ``SMALL`` rows and otherwise joined with salted keys. With a
+benchmark of millions of grams the map lets more through to the join; answers stay the same.
 
-Defined cases: null texts have no words; items of fewer than ``GRAM`` words have no tile and are never found; equal
-items are all found; repeated documents give repeated rows; empty tables give no rows. Extra columns are not read.
+Defined cases: null texts and texts without words have no grams, and items of them are never found; an item of fewer
+than ``GRAM`` words is found where all its words stand together; equal items are all found; repeated documents give
+repeated rows; texts of any length are searched whole; empty tables give no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -51,24 +55,39 @@ def _grams(doc: np.ndarray, hash_: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return words.mixed(total), doc[:at] == doc[n - 1 :]
 
 
+def _known_runs(doc: np.ndarray, hash_: np.ndarray, n: int, known: np.ndarray) -> Iterator[tuple]:
+    """Text, first word, end and grams of every longest run of grams of ``n`` words that the map has."""
+    gram, one = _grams(doc, hash_, n)
+    hit = one & known[(gram & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)]
+    # Grams over the end of a text are no hits; grams of one word have none of these, so runs are cut there as well.
+    new = np.concatenate(([False], doc[1 : len(gram)] != doc[: max(len(gram) - 1, 0)]))[: len(gram)]
+    before = np.concatenate(([False], hit[:-1]))[: len(gram)]
+    after = np.concatenate((hit[1:] & ~new[1:], [False]))[: len(gram)]
+    firsts, lasts = np.flatnonzero(hit & (~before | new)), np.flatnonzero(hit & ~after)
+    for a, b in zip(firsts, lasts + 1, strict=True):
+        yield doc[a], a, b + n - 1, gram[a:b]
+
+
 def item_words(items: DataFrame, id_: str = "item_id", text: str = "text", n: int = GRAM) -> DataFrame:
-    """``(item, item_id, words, grams)`` of every item with at least ``n`` words; ``item`` numbers the rows."""
+    """``(item, item_id, size, words, grams)`` of every item with words; ``item`` numbers the rows, ``size`` is that of
+    its grams: ``n`` words, or all of a shorter item."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc, start, end, hash_, data in words.documents(batch.text.tolist()):
-                gram, one = _grams(doc, hash_, n)
-                for d in np.unique(doc[: len(gram)][one]):
+                for d in np.unique(doc):
                     of = doc == d
                     texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(start[of], end[of], strict=True)]
-                    out.append((batch["item"].iloc[d], batch.item_id.iloc[d], texts, gram[one & (doc[: len(gram)] == d)].astype(np.int64)))
-            yield pd.DataFrame(out, columns=["item", "item_id", "words", "grams"]).astype({"item_id": "Int64"})
+                    size = min(n, len(texts))
+                    gram, _ = _grams(doc[of], hash_[of], size)
+                    out.append((batch["item"].iloc[d], batch.item_id.iloc[d], size, texts, gram.astype(np.int64)))
+            yield pd.DataFrame(out, columns=["item", "item_id", "size", "words", "grams"]).astype({"item_id": "Int64"})
 
     rows = items.select(
         F.monotonically_increasing_id().alias("item"), F.col(id_).cast("long").alias("item_id"), F.col(text).alias("text")
     )
-    return rows.mapInPandas(cut, "item long, item_id long, words array<string>, grams array<long>")
+    return rows.mapInPandas(cut, "item long, item_id long, size int, words array<string>, grams array<long>")
 
 
 def gram_map(grams: DataFrame) -> np.ndarray:
@@ -84,28 +103,24 @@ def gram_map(grams: DataFrame) -> np.ndarray:
     return packed
 
 
-def shared_runs(docs: DataFrame, packed: np.ndarray, n: int = GRAM) -> DataFrame:
-    """``(row, _id, _no_id, _hash, start, words, grams)`` of every longest run of words whose grams are all in the map."""
+def shared_runs(docs: DataFrame, packed: np.ndarray, sizes: list[int]) -> DataFrame:
+    """``(row, _id, _no_id, _hash, size, start, words, grams)`` of every longest run of words whose grams of ``size``
+    words are all in the map."""
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = np.unpackbits(packed.view(np.uint8), bitorder="little").astype(bool)
-        mask = np.uint64((1 << MAP_BITS) - 1)
         for batch in batches:
             out = []
             of_row = list(batch[["row", "_id", "_no_id", "_hash"]].itertuples(index=False, name=None))
             for doc, start, end, hash_, data in words.documents(batch.text.tolist()):
-                gram, one = _grams(doc, hash_, n)
-                hit = one & known[(gram & mask).astype(np.int64)]
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).view(np.int8)))
-                for a, b in zip(edge[::2], edge[1::2], strict=True):
-                    d, z = doc[a], b + n - 1
-                    texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(start[a:z], end[a:z], strict=True)]
-                    first = a - np.searchsorted(doc, d)
-                    out.append((*of_row[d], first, texts, gram[a:b].astype(np.int64)))
-            yield pd.DataFrame(out, columns=["row", "_id", "_no_id", "_hash", "start", "words", "grams"])
+                for size in sizes:
+                    for d, a, z, gram in _known_runs(doc, hash_, size, known):
+                        texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(start[a:z], end[a:z], strict=True)]
+                        out.append((*of_row[d], size, a - np.searchsorted(doc, d), texts, gram.astype(np.int64)))
+            yield pd.DataFrame(out, columns=["row", "_id", "_no_id", "_hash", "size", "start", "words", "grams"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), *row_keys(docs), "text")
-    schema = "row long, _id long, _no_id boolean, _hash long, start long, words array<string>, grams array<long>"
+    schema = "row long, _id long, _no_id boolean, _hash long, size int, start long, words array<string>, grams array<long>"
     return rows.mapInPandas(runs, schema)
 
 
@@ -190,24 +205,39 @@ def _joined(large: DataFrame, small: DataFrame, key: str, by: str, bound: int =
     return with_salt(large, F.col(by), SALTS).join(salted(small, SALTS), [key, "_salt"]).drop("_salt")
 
 
+def meeting(runs: DataFrame, grams: DataFrame, coverage: float) -> DataFrame:
+    """``(row, size, item)`` of the documents and items whose shared grams can add up to the coverage."""
+    seeds = runs.select("row", "size", F.explode("grams").alias("gram")).distinct()
+    most = F.sum("places") * F.col("size") / F.col("item_words")
+    pairs = _joined(seeds, grams, "gram", "row").groupBy("row", "size", "item", "item_words").agg(most.alias("most"))
+    return pairs.where(F.col("most") >= coverage).select("row", "size", "item")
+
+
+def item_grams(cut: DataFrame) -> DataFrame:
+    """``(item, item_words, gram, places)``: the grams of ``item_words``, each with its number of places there."""
+    grams = cut.select("item", F.size("words").alias("item_words"), F.explode("grams").alias("gram"))
+    return grams.groupBy("item", "item_words", "gram").agg(F.count("*").alias("places"))
+
+
 def covered(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, n: int = GRAM) -> DataFrame:
     """``(row, _id, _no_id, _hash, item_id, n_tiles, covered_words, item_words, coverage)`` of every document and item
     that it covers by at least ``coverage``; ``row`` numbers the documents' rows."""
     cut = checkpointed(item_words(items, n=n))
-    grams = checkpointed(cut.select("item", F.explode("grams").alias("gram")).distinct())
-    runs = checkpointed(shared_runs(docs, gram_map(grams), n))
-    seeds = runs.select("row", F.explode("grams").alias("gram")).distinct()
-    meet = _joined(seeds, grams, "gram", "row").select("row", "item").distinct()
-    text = runs.groupBy("row", "_id", "_no_id", "_hash").agg(
+    grams = checkpointed(item_grams(cut))
+    sizes = sorted(r["size"] for r in cut.select("size").distinct().collect())
+    runs = checkpointed(shared_runs(docs, gram_map(grams), sizes))
+    meet = meeting(runs, grams, coverage)
+    text = runs.groupBy("row", "size", "_id", "_no_id", "_hash").agg(
         F.sort_array(F.collect_list(F.struct("start", "words"))).alias("runs")
     )
     names = ["row", "_id", "_no_id", "_hash", "item_id"]
     text = text.withColumn("runs", F.col("runs.words"))
-    pairs = _joined(meet.join(text, "row"), cut.select("item", "item_id", "words"), "item", "row")
+    pairs = _joined(meet.join(text, ["row", "size"]), cut.select("item", "item_id", "words"), "item", "row")
 
     def tiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            tiles = [tile(list(w), [list(r) for r in runs], n) for w, runs in zip(batch.words, batch.runs, strict=True)]
+            of = zip(batch.words, batch.runs, batch["size"], strict=True)
+            tiles = [tile(list(w), [list(r) for r in runs], least) for w, runs, least in of]
             size = batch.words.map(len)
             under = pd.Series([sum(x[2] for x in t) for t in tiles], index=batch.index, dtype="int64")
             out = batch[names].assign(
@@ -219,7 +249,7 @@ def covered(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, n: in
         "row long, _id long, _no_id boolean, _hash long, item_id long, "
         "n_tiles int, covered_words int, item_words int, coverage double"
     )
-    found = pairs.select(*names, "words", "runs").mapInPandas(tiled, schema)
+    found = pairs.select(*names, "size", "words", "runs").mapInPandas(tiled, schema)
     return found.where(F.col("coverage") >= coverage)
 
 

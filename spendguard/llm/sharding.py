@@ -94,7 +94,7 @@ def measured(
         (F.octet_length(whole) + 1).cast("long").alias("size"),
         F.crc32(whole).alias("text_crc32"),
     )
-    groups = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("_n"))
+    groups = checkpointed(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("_n")))
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(copies).cast("long")))
     parts = groups.withColumn("_first", first)
     large = F.col("_n") > copies

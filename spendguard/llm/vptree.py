@@ -1,17 +1,20 @@
 """Nearest neighbours by vantage-point trees, one for each shard of the vectors.
 
-Vectors are dealt into shards by a hash of their id, so a shard's size does not depend on the data's clusters. Each
-shard becomes a tree, a row with a few arrays, written once. Queries are cut into blocks; every block meets every tree
-in a task of its own, so neither the trees nor the queries are gathered anywhere, and the nearest of each query are
-merged over the shards.
+Shards are regions of space: a top tree of at most ``TOP_LEAVES`` leaves, fitted on ``SAMPLE`` rows at most (picked by a
+hash), sends every row down to one leaf. A leaf of more than ``shard_rows`` rows is dealt into several shards. Each
+shard becomes a tree, a row with a few arrays, written once. A query first meets the trees of its own leaf; the k-th
+distance found there bounds the rest: a leaf is left out if ``factor`` times the gap to its side of a split, or to the
+ball around its centre that holds all its rows, exceeds that bound. Queries go in blocks to the leaves that remain, the
+blocks of a busy leaf to several copies of its trees. Neither trees nor queries are gathered anywhere.
 
 A node of a tree has a vantage point; the points below it are sorted by their distance from it and halved, and each
 half keeps the smallest and largest of these distances. By the triangle inequality a half cannot hold a point nearer
 than the gap between the query's distance and that range. A half is skipped if ``factor`` times the gap exceeds the
 distance of the k-th nearest so far. With factor 1 the search is exact; a larger one skips more.
 
-Equal vectors of one shard are one point of its tree, with their ``k + 1`` smallest ids: no query can use more of them
-(it may itself be one), so a vector that a third of all rows share does no harm and no answer changes.
+Equal vectors lie in one leaf and are one point of its tree, with their ``2 k`` smallest ids: no query can use more
+of them (some may be its own). Where a vector repeats more often, the others are left out of the index before rows are
+shuffled, so a vector that a third of all rows share does no harm and no answer changes.
 
 Defined cases: vectors that are null, zero, of no elements or with null or non-finite components take no part, neither
 do rows without an id; with fewer than k candidates all are returned; ties go to the smaller id. Vectors of another
@@ -35,6 +38,9 @@ SHARD_ROWS = 16_384
 BLOCK_ROWS = 1024
 LEAF = 64
 FACTOR = 1.0
+SAMPLE = 16_384
+TOP_LEAVES = 1024
+COPIES = 8
 
 
 def usable(vectors: DataFrame, id_: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -87,9 +93,76 @@ def build(points: np.ndarray, leaf: int = LEAF) -> dict[str, np.ndarray]:
     return {"order": order, **whole, "low": table[:, 4], "high": table[:, 5]}
 
 
-def search(tree: dict[str, np.ndarray], points: np.ndarray, queries: np.ndarray, k: int, factor: float = FACTOR):
+class Top:
+    """The top tree over vectors of one length. Node i splits at distance ``mu[i]`` from ``vantage[i]``; its sides are
+    ``near[i]`` and ``far[i]``, nodes or, as -1 - leaf, leaves. A leaf has a centre, of no meaning but for its ball."""
+
+    def __init__(self, points: np.ndarray, leaves: int):
+        self.vantage, self.mu, self.near, self.far, self.centre = [], [], [], [], []
+        self.root = self._grow(np.unique(points, axis=0), leaves)
+
+    def _grow(self, points: np.ndarray, leaves: int) -> int:
+        middle = points[np.argmin(distances(points, points.mean(axis=0)))]
+        if leaves > 1 and len(points) > 1:
+            vantage = points[np.argmax(distances(points, middle))]
+            d = np.sort(distances(points, vantage))
+            mu = d[max(0, len(d) * (leaves // 2) // leaves - 1)]
+            inner = distances(points, vantage) <= mu
+            if not inner.all():
+                i = len(self.mu)
+                self.vantage.append(vantage), self.mu.append(mu), self.near.append(0), self.far.append(0)
+                self.near[i] = self._grow(points[inner], leaves // 2)
+                self.far[i] = self._grow(points[~inner], leaves - leaves // 2)
+                return i
+        self.centre.append(middle)
+        return -len(self.centre)
+
+    def home(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The leaf of each point, and the distance from its centre."""
+        leaf, away = np.zeros(len(points), np.int64), np.zeros(len(points))
+        todo = [(self.root, np.arange(len(points)))]
+        while todo:
+            i, q = todo.pop()
+            if i < 0:
+                leaf[q], away[q] = -1 - i, distances(points[q], self.centre[-1 - i])
+                continue
+            inner = distances(points[q], self.vantage[i]) <= self.mu[i]
+            todo += [(c, x) for c, x in ((self.near[i], q[inner]), (self.far[i], q[~inner])) if len(x)]
+        return leaf, away
+
+    def within(self, points: np.ndarray, bound: np.ndarray, radius: dict[int, float], factor: float):
+        """Numbers of points and of leaves that may hold something within ``bound`` of them."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        todo = [(self.root, np.arange(len(points)))]
+        while todo:
+            i, q = todo.pop()
+            if i < 0:
+                d = distances(points[q], self.centre[-1 - i])
+                q = q[_open(d - radius.get(-1 - i, -np.inf), d, bound[q], factor)]
+                out.append((q, np.full(len(q), -1 - i)))
+                continue
+            d = distances(points[q], self.vantage[i])
+            sides = ((self.near[i], d - self.mu[i]), (self.far[i], self.mu[i] - d))
+            todo += [(c, x) for c, gap in sides if len(x := q[_open(gap, d, bound[q], factor)])]
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _open(gap: np.ndarray, d: np.ndarray, bound: np.ndarray, factor: float) -> np.ndarray:
+    """Whether a region at a gap is within the bound, with room for rounding."""
+    with np.errstate(invalid="ignore"):
+        return (gap < np.inf) & (np.maximum(gap, 0) * factor <= bound * (1 + 1e-9) + 1e-12 * d)
+
+
+def search(
+    tree: dict[str, np.ndarray],
+    points: np.ndarray,
+    queries: np.ndarray,
+    k: int,
+    factor: float = FACTOR,
+    bound: np.ndarray | None = None,
+):
     """Distances and numbers of the ``k`` nearest points of each query, nearest first, ties to the smaller number;
-    missing ones are inf and -1.
+    missing ones are inf and -1. Points beyond ``bound`` may be missing.
 
     A first descent to each query's own leaf gives a bound; a second one, of all queries at once, visits what the
     bound leaves over. Points at the bound itself are visited, as ties may go to them.
@@ -99,6 +172,7 @@ def search(tree: dict[str, np.ndarray], points: np.ndarray, queries: np.ndarray,
     which = np.full((n, k), -1)
     if not len(points):
         return best, which
+    bound = np.full(n, np.inf) if bound is None else bound
     order, first, last, left, right = (tree[x] for x in ("order", "first", "last", "left", "right"))
     low, high = tree["low"], tree["high"]
 
@@ -135,7 +209,7 @@ def search(tree: dict[str, np.ndarray], points: np.ndarray, queries: np.ndarray,
         d = distances(queries[q], points[at])
         for c in (left[i], right[i]):
             gap = np.maximum(np.maximum(low[c] - d, d - high[c]), 0)
-            on = q[gap * factor <= best[q, -1] * (1 + 1e-9)]
+            on = q[_open(gap, d, np.minimum(best[q, -1], bound[q]), factor)]
             if len(on):
                 todo.append((int(c), on))
     return best, which
@@ -152,31 +226,25 @@ def _packed(**arrays: np.ndarray) -> bytes:
 
 
 def _planted(k: int):
-    """A group of vectors becomes one tree for each length that occurs."""
-
-    def grow(group: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        group = group.sort_values("vec_id", kind="stable")
-        for _, part in group.groupby(group.v.map(len)):
-            points, ids = _matrix(part.v), part.vec_id.to_numpy(np.int64)
-            # Rows are in order of id: points are numbered by their smallest id, and ids of a point ascend.
-            _, at, point = np.unique(points, axis=0, return_index=True, return_inverse=True)
-            rank = np.argsort(np.argsort(at))
-            point, points = rank[point.reshape(-1)], points[np.sort(at)]
-            by = np.argsort(point, kind="stable")
-            place = np.arange(len(by)) - np.searchsorted(point[by], point[by])
-            kept = by[place <= k]
-            blob = _packed(points=points, ids=ids[kept], point=point[kept], **build(points))
-            out.append((int(group.shard.iloc[0]), points.shape[1], blob))
-        return pd.DataFrame(out, columns=["shard", "dim", "tree"])
+    """A group of vectors becomes one tree."""
+
+    def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["vec_id", "qrow"])
+        points, ids = _matrix(group.v), group.vec_id.to_numpy(np.int64)
+        # Rows are in order of id: points are numbered by their smallest id, and ids of a point ascend.
+        _, at, point = np.unique(points, axis=0, return_index=True, return_inverse=True)
+        rank = np.argsort(np.argsort(at))
+        point, points = rank[point.reshape(-1)], points[np.sort(at)]
+        by = np.argsort(point, kind="stable")
+        blob = _packed(points=points, ids=ids[by], point=point[by], **build(points))
+        return pd.DataFrame([(*key, blob)], columns=["dim", "leaf", "part", "tree"])
 
     return grow
 
 
-def _bundled(group: pd.DataFrame) -> pd.DataFrame:
-    parts = group.groupby(group.v.map(len))
-    blob = [(n, _packed(q=_matrix(p.v), qrow=p.qrow.to_numpy(), qid=p.vec_id.to_numpy())) for n, p in parts]
-    return pd.DataFrame([(int(group.block.iloc[0]), n, b) for n, b in blob], columns=["block", "dim", "queries"])
+def _bundled(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    q = _packed(q=_matrix(group.v), qrow=group.qrow, qid=group.vec_id, bound=group.bound)
+    return pd.DataFrame([(*key, q)], columns=["dim", "leaf", "block", "queries"])
 
 
 def _searcher(k: int, factor: float):
@@ -186,7 +254,7 @@ def _searcher(k: int, factor: float):
                 t, q = np.load(io.BytesIO(tree)), np.load(io.BytesIO(queries))
                 t = {n: t[n] for n in t.files}
                 # One more than k, as a query's own point may hold no other id.
-                d, p = search(t, t["points"], q["q"], k + 1, factor)
+                d, p = search(t, t["points"], q["q"], k + 1, factor, q["bound"])
                 yield _nearest(d, p, t["point"], t["ids"], q["qrow"], q["qid"], k)
 
     return run
@@ -204,6 +272,57 @@ def _nearest(d, p, point, ids, qrow, qid, k: int) -> pd.DataFrame:
     return out[out.groupby("qrow").cumcount() < k]
 
 
+def _first(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of each query, with their ranks."""
+    rank = F.row_number().over(Window.partitionBy("qrow").orderBy("score", "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def fitted(rows: DataFrame, shard_rows: int, sample: int = SAMPLE, top_leaves: int = TOP_LEAVES) -> dict[int, Top]:
+    """Top trees by length of the vectors, from a sample of ``sample`` rows at most."""
+    leaves = min(top_leaves, -(-rows.count() // shard_rows))
+    picked = rows.orderBy(F.xxhash64("qrow"), "qrow").limit(sample).select("v").toPandas().v if leaves > 1 else pd.Series([])
+    length = picked.map(len)
+    return {int(n): Top(_matrix(p), -(-leaves * len(p) // len(picked))) for n, p in picked.groupby(length)}
+
+
+def _placer(top: dict[int, Top]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for n, group in batch.groupby(batch.v.map(len)):
+                leaf, away = top[n].home(_matrix(group.v)) if n in top else (0, 0.0)
+                yield group.assign(dim=n, leaf=leaf, away=away)[["qrow", "vec_id", "v", "dim", "leaf", "away"]]
+
+    return run
+
+
+def _spreader(top: dict[int, Top], radius: dict[int, dict[int, float]], factor: float):
+    """Each query once for each leaf but its own that its bound leaves over."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for n, group in batch.groupby("dim"):
+                if n in top:
+                    q, leaf = top[n].within(_matrix(group.v), group.bound.to_numpy(), radius[n], factor)
+                    out = group.iloc[q]
+                    yield out.assign(leaf=leaf)[leaf != out.leaf.to_numpy()]
+
+    return run
+
+
+def _without_surplus(rows: DataFrame, k: int) -> DataFrame:
+    """The rows that some query can find, of a vector that repeats: ``k`` of an id and ``2 k`` in all. Rows are only
+    moved for that if a vector repeats so often."""
+    often = rows.groupBy(F.xxhash64("v")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if (often or 0) <= 2 * k:
+        return rows
+    one = Window.partitionBy("v", "vec_id").orderBy("qrow")
+    few = rows.withColumn("_place", F.row_number().over(one)).where(F.col("_place") <= k)
+    # k rows at most are the query's own, so 2 k are enough.
+    many = Window.partitionBy("v").orderBy("vec_id", "qrow")
+    return few.withColumn("_place", F.row_number().over(many)).where(F.col("_place") <= 2 * k).drop("_place")
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -216,22 +335,46 @@ def nearest(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest of each row for which ``queries`` (of vec_id) holds."""
     rows = checkpointed(usable(vectors, id_, vector).withColumn("qrow", F.monotonically_increasing_id()))
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(queries).alias("q")).first()
-    shards, blocks = max(1, -(-counts.n // shard_rows)), max(1, -(-counts.q // block_rows))
-    dealt = F.xxhash64("qrow")
-    trees = (
-        rows.withColumn("shard", F.pmod(dealt, F.lit(shards)).cast("int"))
-        .groupBy("shard")
-        .applyInPandas(_planted(k), "shard int, dim int, tree binary")
+    top = fitted(rows, shard_rows)
+    placed = checkpointed(rows.mapInPandas(_placer(top), "qrow long, vec_id long, v array<double>, dim int, leaf int, away double"))
+    size = placed.groupBy("dim", "leaf").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
+    radius: dict[int, dict[int, float]] = {}
+    for r in size.collect():  # a row a leaf
+        radius.setdefault(r.dim, {})[r.leaf] = r.radius
+
+    index = _without_surplus(placed, k)
+    parts = index.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")
+    trees = checkpointed(
+        index.join(parts, ["dim", "leaf"])
+        .withColumn("part", part)
+        .select("dim", "leaf", "part", "vec_id", "qrow", "v")
+        .groupBy("dim", "leaf", "part")
+        .applyInPandas(_planted(k), "dim int, leaf int, part int, tree binary")
     )
-    asked = (
-        rows.where(queries)
-        .withColumn("block", F.pmod(dealt, F.lit(blocks)).cast("int"))
-        .groupBy("block")
-        .applyInPandas(_bundled, "block int, dim int, queries binary")
-    )
-    everywhere = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    met = trees.join(everywhere, ["shard", "dim"]).select("tree", "queries")
-    found = met.mapInPandas(_searcher(k, factor), "qrow long, query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("qrow").orderBy("score", "vec_id"))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+    def met(asked: DataFrame) -> DataFrame:
+        """What each row of ``asked`` finds in the trees of its leaf."""
+        busy = asked.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+        block = F.pmod(F.xxhash64("qrow"), F.col("blocks")).cast("int")
+        blocks = (
+            asked.join(busy, ["dim", "leaf"])
+            .withColumn("block", block)
+            .select("dim", "leaf", "block", "vec_id", "qrow", "v", "bound")
+            .groupBy("dim", "leaf", "block")
+            .applyInPandas(_bundled, "dim int, leaf int, block int, queries binary")
+            .withColumn("copy", F.pmod("block", F.lit(COPIES)))
+        )
+        copies = F.explode(F.sequence(F.lit(0), F.least(F.col("blocks"), F.lit(COPIES)) - 1))
+        there = trees.join(busy, ["dim", "leaf"]).withColumn("copy", copies)
+        both = blocks.join(there, ["dim", "leaf", "copy"]).select("tree", "queries")
+        return both.mapInPandas(_searcher(k, factor), "qrow long, query_id long, vec_id long, score double")
+
+    asked = placed.where(queries)
+    near = checkpointed(_first(met(asked.withColumn("bound", F.lit(float("inf")))), k))
+    limit = near.groupBy("qrow").agg(F.when(F.count("*") >= k, F.max("score")).alias("bound"))
+    bounded = asked.join(limit, "qrow", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    schema = "qrow long, vec_id long, v array<double>, dim int, leaf int, bound double"
+    further = checkpointed(bounded.select("qrow", "vec_id", "v", "dim", "leaf", "bound").mapInPandas(_spreader(top, radius, factor), schema))
+    found = near.select("qrow", "query_id", "vec_id", "score").unionByName(met(further))
+    return _first(found, k).select("query_id", "rank", "vec_id", "score")

@@ -30,7 +30,7 @@ def test_exact_at_factor_one(spark):
     rows = rows_of(rng, 700, 3) + [(1000 + i, [1.0, 2.0, 0.0, 0.0, 0.0, 1.0]) for i in range(300)]
     rows += [(2000, None), (2005, [0.0] * 6), (2010, [1.0, float("nan")] * 3), (2015, [1.0, None]), (2020, [float("inf")] * 6), (None, [1.0] * 6), (2025, []), (2030, [1.0, 2.0]), (2031, [2.0, 2.0])]
     expected = plain(rows)
-    for size, block in ((10_000, 10_000), (150, 40)):
+    for size, block in ((10_000, 10_000), (150, 40), (40, 7)):
         got = {}
         found = vptree.nearest(table(spark, rows), F.col("vec_id") % 5 == 0, factor=1.0, shard_rows=size, block_rows=block)
         for r in sorted(found.collect(), key=lambda r: (r.query_id, r["rank"])):
@@ -60,3 +60,28 @@ def test_few_or_no_candidates(spark):
     assert vptree.nearest(one.limit(0), F.col("vec_id") % 5 == 0).count() == 0
     two = table(spark, [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (0, [1.0, 2.0])])
     assert {(r.query_id, r.vec_id, r.score) for r in vptree.nearest(two, F.col("vec_id") % 5 == 0).collect()} == {(0, 1, 0.0)}
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0, 2.0])] * 30 + [(1, [1.0, 2.0])] * 2 + [(5, [1.0, 2.5]), (7, [4.0, 4.0])]
+    got = {}
+    for r in vptree.nearest(table(spark, rows), F.col("vec_id") % 5 == 0, k=3, shard_rows=4).collect():
+        got.setdefault(r.query_id, set()).add((r["rank"], r.vec_id, r.score))
+    assert got == {0: {(1, 1, 0.0), (2, 1, 0.0), (3, 5, 0.5)}, 5: {(1, 0, 0.5), (2, 0, 0.5), (3, 0, 0.5)}}
+
+
+def test_far_leaves_are_left_out_and_near_ones_are_not():
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(4000, 5)) + 40 * rng.integers(0, 4, size=(4000, 1))
+    top = vptree.Top(points[:500], 16)
+    leaf, away = top.home(points)
+    assert len(top.centre) == 16 and set(leaf) == set(range(16))
+    radius = {i: away[leaf == i].max() for i in range(16)}
+    bound = np.array([np.sort(vptree.distances(points, p))[10] for p in points[:200]])
+    query, on = top.within(points[:200], bound, radius, 1.0)
+    left = {(int(a), int(b)) for a, b in zip(query, on, strict=True)}
+    for i, p in enumerate(points[:200]):
+        assert {(i, int(x)) for x in leaf[vptree.distances(points, p) <= bound[i]]} <= left
+    assert len(left) < 200 * 8
+    none, _ = top.within(points[:200], bound, {}, 1.0)
+    assert not len(none)

@@ -336,7 +336,8 @@ def nearest(
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest of each row for which ``queries`` (of vec_id) holds."""
     rows = checkpointed(usable(vectors, id_, vector).withColumn("qrow", F.monotonically_increasing_id()))
     top = fitted(rows, shard_rows)
-    placed = checkpointed(rows.mapInPandas(_placer(top), "qrow long, vec_id long, v array<double>, dim int, leaf int, away double"))
+    row = f"qrow long, vec_id long, v {rows.schema['v'].dataType.simpleString()}, dim int, leaf int"
+    placed = checkpointed(rows.mapInPandas(_placer(top), f"{row}, away double"))
     size = placed.groupBy("dim", "leaf").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
     radius: dict[int, dict[int, float]] = {}
     for r in size.collect():  # a row a leaf
@@ -374,7 +375,7 @@ def nearest(
     near = checkpointed(_first(met(asked.withColumn("bound", F.lit(float("inf")))), k))
     limit = near.groupBy("qrow").agg(F.when(F.count("*") >= k, F.max("score")).alias("bound"))
     bounded = asked.join(limit, "qrow", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    schema = "qrow long, vec_id long, v array<double>, dim int, leaf int, bound double"
-    further = checkpointed(bounded.select("qrow", "vec_id", "v", "dim", "leaf", "bound").mapInPandas(_spreader(top, radius, factor), schema))
+    bounded = bounded.select("qrow", "vec_id", "v", "dim", "leaf", "bound")
+    further = checkpointed(bounded.mapInPandas(_spreader(top, radius, factor), f"{row}, bound double"))
     found = near.select("qrow", "query_id", "vec_id", "score").unionByName(met(further))
     return _first(found, k).select("query_id", "rank", "vec_id", "score")

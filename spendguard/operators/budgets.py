@@ -360,14 +360,19 @@ def budget_check(
     total before the call plus the estimate is above the policy's level: its amount plus the total
     before its window. So all policies that are open between two bounds of windows come down to the
     lowest level of each action, and a call meets one row of its scope, however many policies
-    overlap. Only exceeded rows are grouped back to calls.
+    overlap. A bound may have most of the log after it, so calls meet that row by pieces of their
+    scope. Only exceeded rows are grouped back to calls.
     """
     dated, run = _swept(policies, calls, ["estimated_cost_usd"], max_group_rows)
     level = (money("budget_amount_usd") + F.col("_base")).cast(TOTAL).alias("_level")
     ordered = dated.select(*SCOPE, "period_start", "period_end", level, "action", "throttle_percentage")
     ordered = ordered.repartition(*SCOPE).sortWithinPartitions(*SCOPE, "period_start")
     opened = ordered.mapInPandas(_open, OPEN_DDL)
-    met = run.join(opened, [*SCOPE, "_bound"]).withColumn(
+    run = run.withColumn("_piece", F.floor((F.col("_n") - 1) / BLOCK))
+    pieces = run.select(*SCOPE, "_bound", "_piece").distinct()
+    # One row a piece and bound, all of them different: looked up by hash, so that calls are not sorted.
+    opened = opened.join(pieces, [*SCOPE, "_bound"]).hint("shuffle_hash")
+    met = run.join(opened, [*SCOPE, "_bound", "_piece"]).withColumn(
         "_offer", F.col("_total") - money("cost_usd") + money("estimated_cost_usd")
     )
     over = {a: F.coalesce(F.col("_offer") > F.col(f"_{a}"), F.lit(False)) for a in STRICTNESS}

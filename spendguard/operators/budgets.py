@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..runtime import checkpointed
 from ..schemas import TOTAL
 from .cost import money
-from .ordered import MAX_GROUP_ROWS, running
+from .ordered import MAX_GROUP_ROWS, large_groups, running
 
 ORDER = ["timestamp", "call_id"]
 STRICTNESS = ["alert", "throttle", "block"]
@@ -164,32 +164,42 @@ def _swept(policies: DataFrame, calls: DataFrame, columns: list[str], max_group_
     """One ordered pass over the calls of each scope and the starts and ends of its windows.
 
     Returns the active policies with ``_base``, the spend of their scope before their window, and
-    one row per call and scope that has policies (at most four a call, however many policies there
-    are) with ``_total``, the scope's spend up to the call, ``_n``, the number of its row, and
+    one row per call and scope that it has after a bound (at most four a call, however many policies
+    there are) with ``_total``, the scope's spend up to the call, ``_n``, the number of its row, and
     ``_bound``, the last start or end of a window before it. A policy's spend is ``_total`` less
-    ``_base``. Calls are read once, in narrow rows.
+    ``_base``. Calls are read once, in narrow rows, and shuffled once for each scope: small scopes
+    without policies are swept as well and leave no row.
     """
     active = _active(policies).where("period_start < period_end AND _name IS NOT NULL")
     active = active.withColumnsRenamed({"_org": SCOPE[0], "_scope": SCOPE[1], "_name": SCOPE[2]})
-    scopes = active.select(*SCOPE).distinct()
-    offered = _offered(calls, ["call_id", "timestamp", "cost_usd", *columns])
-    rows = offered.join(scopes, SCOPE, "left_semi").withColumn("_is_call", F.lit(True))
+    active = active.dropna(subset=SCOPE)
     bounds = active.select(*SCOPE, F.explode(F.array("period_start", "period_end")).alias("timestamp"))
     bounds = bounds.distinct().withColumn("_is_call", F.lit(False))
+    columns = ["call_id", "timestamp", "cost_usd", *columns]
+    # So few calls cannot make a large scope; counting them reads no column. Otherwise the calls
+    # are kept, as scopes are sized before they are swept.
+    fits = calls.count() <= max_group_rows
+    if not fits:
+        names = ["org_id", "feature", "environment", "customer_id"]
+        calls, bounds = checkpointed(calls.select(*names, *columns)), checkpointed(bounds)
+    rows = _offered(calls, columns).dropna(subset=SCOPE).withColumn("_is_call", F.lit(True))
     # A window has its first instant and not its last, so bounds come before calls of their time.
     both = rows.unionByName(bounds, allowMissingColumns=True)
-    # So few calls cannot make a large scope; counting them reads no column. Otherwise the rows are
-    # kept, as scopes are sized before they are swept.
-    fits = calls.count() <= max_group_rows
-    both = both if fits else checkpointed(both)
+    large = None
+    if not fits:
+        large = large_groups(both, SCOPE, "timestamp", max_group_rows)
+        # At most one row for each ``max_group_rows`` rows: large scopes without policies go first.
+        idle = checkpointed(large.select(*SCOPE).join(bounds, SCOPE, "left_anti"))
+        large = large.join(idle, SCOPE, "left_anti")
+        both = both.join(F.broadcast(idle), SCOPE, "left_anti")
     at_bound = F.when(~F.col("_is_call"), F.col("timestamp"))
     run = running(
         both, SCOPE, ["timestamp", "_is_call", "call_id"],
         {"_total": money("cost_usd"), "_n": F.lit(1)}, {"_bound": lambda _: at_bound},
-        max_group_rows, fits=fits,
+        max_group_rows, fits=fits, large=large,
     )
     total = F.coalesce("_total", F.lit(0)).cast(TOTAL)
-    run = checkpointed(run.withColumn("_total", total))
+    run = checkpointed(run.where("_bound IS NOT NULL").withColumn("_total", total))
     starts = run.where("NOT _is_call").select(
         *SCOPE, F.col("timestamp").alias("period_start"), F.col("_total").alias("_base")
     )
@@ -266,7 +276,7 @@ def first_crossing(
     ends = ends.withColumn("_in", F.col("_block"))
     places_of = lambda _: places
     located = next_of(ends, SCOPE, "_in", ["_block"]).where("_in IS NOT NULL")
-    located = located.select(*SCOPE, F.col("_in").alias("_block"), "_place", "_total", "timestamp")
+    located = checkpointed(located.select(*SCOPE, F.col("_in").alias("_block"), "_place", "_total", "timestamp"))
     opened = blocked.join(located.select(*SCOPE, "_block").distinct(), [*SCOPE, "_block"], "left_semi")
     call = F.struct("timestamp", "call_id", "_total").alias("_call")
     opened = opened.select(*SCOPE, "_block", "_total", "timestamp", "call_id", call)

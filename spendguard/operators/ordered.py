@@ -51,30 +51,36 @@ def group_sizes(df: DataFrame, keys: list[str], at: str) -> Sizes:
     return Sizes(row[0] or 0, row[1] or 0)
 
 
-def time_blocks(df, counted, keys, at, limit) -> DataFrame | None:
+def large_groups(df: DataFrame, keys: list[str], at: str, limit: int) -> DataFrame:
+    """The groups of more than ``limit`` rows, with their rows and time range."""
+    return checkpointed(_groups(df, keys, at).where(F.col("_rows") > limit))
+
+
+def time_blocks(df, counted, keys, at, limit, large=None) -> DataFrame | None:
     """``df`` with ``_block`` = the stretch of time, if no group has too much in one stretch.
 
     Every group above the limit has stretches of its own length, a quarter of the limit long on
-    average, so it has at most four blocks for each ``limit`` rows; other groups are one block.
-    There are at most total / limit such groups; their few rows are broadcast.
+    average, so it has at most four blocks for each ``limit`` rows; other groups are one block,
+    NULL. There are at most total / limit such groups (``large``); their few rows are broadcast.
     """
     width = F.floor(F.col("_range") * (limit / 4) / F.col("_rows")).cast("long")
-    large = _groups(counted, keys, at).where((F.col("_rows") > limit) & (F.col("_range") > 0))
+    large = _groups(counted, keys, at).where(F.col("_rows") > limit) if large is None else large
     names = {key: f"_hot_{i}" for i, key in enumerate(keys)}
     hot = checkpointed(
         large.select(*[F.col(k).alias(n) for k, n in names.items()],
                      F.greatest(width, F.lit(1)).alias("_width"))
     )
 
-    def cut(rows):
+    def cut(rows, how):
         same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
-        block = F.coalesce(F.floor(F.unix_micros(at) / F.col("_width")), F.lit(0)).alias("_block")
-        return rows.join(F.broadcast(hot), same, "left").select(*[F.col(c) for c in rows.columns], block)
+        stretch = F.coalesce(F.floor(F.unix_micros(at) / F.col("_width")), F.lit(0))
+        block = F.when(F.col("_width").isNotNull(), stretch).alias("_block")
+        return rows.join(F.broadcast(hot), same, how).select(*[F.col(c) for c in rows.columns], block)
 
-    stretches = cut(counted.select(*keys, at)).groupBy(*keys, "_block").count()
+    stretches = cut(counted.select(*keys, at), "inner").groupBy(*keys, "_block").count()
     if (stretches.agg(F.max("count")).first()[0] or 0) > limit:
         return None
-    return cut(df)
+    return cut(df, "left")
 
 
 def freeze(df: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
@@ -102,6 +108,7 @@ def running(
     max_group_rows: int = MAX_GROUP_ROWS,
     counted: DataFrame | None = None,
     fits: bool = False,
+    large: DataFrame | None = None,
 ) -> DataFrame:
     """Add running values per group, the current row included.
 
@@ -109,12 +116,16 @@ def running(
     expression whose running maximum is wanted; it is built from a lookup of the ``sums``
     columns already there. NULL terms count as nothing. ``counted`` may name a cheaper frame whose
     groups are at least as large, to size the groups without running ``df`` twice; ``fits`` says that
-    no group can be too large, so that nothing is sized.
+    no group can be too large and ``large`` has the ``large_groups`` that are there, so that nothing
+    is sized.
     """
     sums, maxima = sums or {}, maxima or {}
     counted = df if counted is None else counted
-    sizes = Sizes(0, 0) if fits else group_sizes(counted, keys, order[0])
-    if sizes.largest <= max_group_rows:
+    sizes = None
+    if not fits and large is None:
+        sizes = group_sizes(counted, keys, order[0])
+        fits = sizes.largest <= max_group_rows
+    if fits or (large is not None and large.isEmpty()):
         frame = _frame(keys, order)
         out = df.withColumns({name: F.sum(term).over(frame) for name, term in sums.items()})
         return out.withColumns(
@@ -123,22 +134,31 @@ def running(
 
     blocked = None
     if dict(counted.dtypes).get(order[0]) == "timestamp":
-        blocked = time_blocks(df, counted, keys, order[0], max_group_rows)
+        blocked = time_blocks(df, counted, keys, order[0], max_group_rows, large)
     if blocked is None:
+        sizes = sizes or group_sizes(counted, keys, order[0])
         blocked = freeze(df, keys, order, _parts(df, sizes, max_group_rows))
-    out = _over_blocks(blocked, keys, order, sums, F.sum) if sums else blocked
-    if maxima:
-        terms = {name: term(F.col) for name, term in maxima.items()}
-        out = _over_blocks(out, keys, order, terms, F.max)
+    # A maximum that looks no sum up is taken along with the sums.
+    asked = {name: [] for name in maxima}
+    terms = {n: term(lambda c, n=n: asked[n].append(c) or F.col(c)) for n, term in maxima.items()}
+    first = {n: (F.sum, term) for n, term in sums.items()}
+    first |= {n: (F.max, term) for n, term in terms.items() if not asked[n]}
+    then = {n: (F.max, term) for n, term in terms.items() if asked[n]}
+    out = _over_blocks(blocked, keys, order, first) if first else blocked
+    out = _over_blocks(out, keys, order, then) if then else out
     return out.drop("_block")
 
 
-def _over_blocks(blocked, keys, order, terms, total) -> DataFrame:
-    """Running totals inside each block, led by a row with the total of the group's earlier blocks.
+def _over_blocks(blocked, keys, order, terms) -> DataFrame:
+    """Running totals inside each block, led by a row with the total of the group's earlier blocks;
+    ``terms`` has the kind of total and the expression of each.
 
-    The leading rows make a join unnecessary: rows are shuffled once, by (keys, block).
+    The leading rows make a join unnecessary: rows are shuffled once, by (keys, block). A group of
+    one block, NULL, needs none.
     """
-    probe = blocked.agg(*[total(term).alias(name) for name, term in terms.items()])
+    totals = {name: total for name, (total, _) in terms.items()}
+    terms = {name: term for name, (_, term) in terms.items()}
+    probe = blocked.agg(*[totals[name](term).alias(name) for name, term in terms.items()])
     kinds = {field.name: field.dataType for field in probe.schema.fields}
     work = {name: f"_term_{name}" for name in terms}
     blocked = blocked.withColumns({work[n]: term.cast(kinds[n]) for n, term in terms.items()})
@@ -146,9 +166,10 @@ def _over_blocks(blocked, keys, order, terms, total) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     leading = (
-        blocked.groupBy(*keys, "_block")
-        .agg(*[total(column).alias(column) for column in work.values()])
-        .withColumns({c: total(c).over(earlier).cast(kinds[n]) for n, c in work.items()})
+        blocked.where("_block IS NOT NULL")
+        .groupBy(*keys, "_block")
+        .agg(*[totals[n](c).alias(c) for n, c in work.items()])
+        .withColumns({c: totals[n](c).over(earlier).cast(kinds[n]) for n, c in work.items()})
         .where(reduce(or_, [F.col(c).isNotNull() for c in work.values()]))
         .withColumn("_is_row", F.lit(False))
     )
@@ -156,7 +177,7 @@ def _over_blocks(blocked, keys, order, terms, total) -> DataFrame:
         leading, allowMissingColumns=True
     )
     frame = _frame([*keys, "_block"], ["_is_row", *order])
-    out = both.withColumns({n: total(c).over(frame).cast(kinds[n]) for n, c in work.items()})
+    out = both.withColumns({n: totals[n](c).over(frame).cast(kinds[n]) for n, c in work.items()})
     return out.where("_is_row").drop("_is_row", *work.values())
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendguard.operators import budgets as B
+from spendguard.operators import ordered as O
 from spendguard.plans import inputs as I
 
 
@@ -38,3 +39,23 @@ def test_calls_meet_levels_by_pieces_of_their_scope(spark, calls, monkeypatch):
     cut = sorted(map(str, B.budget_check(calls, I.policies(spark)).collect()))
     assert largest and max(largest) <= 16
     assert cut == plain and any("allowed=False" in row for row in plain)
+
+
+def test_large_scopes_are_swept_once_and_idle_ones_not_at_all(spark, calls, monkeypatch):
+    policies = I.policies(spark).where("id IN ('pol_002', 'pol_005')")
+    jobs = lambda n: [
+        sorted(map(str, B.first_crossing(policies, calls, max_group_rows=n).collect())),
+        sorted(map(str, B.budget_check(calls, policies, max_group_rows=n).collect())),
+    ]
+    plain = jobs(10**6)
+    blocked, real = [], O._over_blocks
+
+    def over(rows, *args):
+        blocked.append(rows.where("_is_call").select(*B.SCOPE).distinct().count())
+        return real(rows, *args)
+
+    monkeypatch.setattr(O, "_over_blocks", over)
+    cut = jobs(40)
+    # Once a job, with the two scopes that have policies.
+    assert blocked == [2, 2]
+    assert cut == plain and all(plain)

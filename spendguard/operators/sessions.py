@@ -125,6 +125,7 @@ PASSED, OVER_BUDGET, OVER_CALLS, UNDECIDED = range(4)
 REASONS = np.array([None, BUDGET, ITERATIONS, None], dtype=object)
 WIDE = 2**62
 NEW = 0, 0, 0, False  # spend, calls, input tokens, any refusal
+INPUTS = ["_cost", "_estimate", "_tokens", "_max_usd", "_max_part", "_max_calls", "_eligible"]
 
 
 class Walk:
@@ -135,13 +136,12 @@ class Walk:
     of the latter alone end at nine million dollars.
     """
 
-    def __init__(self, rows: pa.RecordBatch):
-        names = ("_cost", "_estimate", "_tokens", "_max_usd", "_max_part", "_max_calls")
-        self.cost, self.estimate, self.size, self.usd, self.part, self.most = (
-            rows.column(n).to_numpy(zero_copy_only=False) for n in names
-        )
-        self.eligible = rows.column("_eligible").to_numpy(zero_copy_only=False).astype(bool)
-        n = rows.num_rows
+    def __init__(self, rows: pa.RecordBatch | dict[str, np.ndarray]):
+        if isinstance(rows, pa.RecordBatch):
+            rows = {n: rows.column(n).to_numpy(zero_copy_only=False) for n in INPUTS}
+        self.cost, self.estimate, self.size, self.usd, self.part, self.most = (rows[n] for n in INPUTS[:-1])
+        self.eligible = rows[INPUTS[-1]].astype(bool)
+        n = len(self.cost)
         self.verdict = np.empty(n, np.int8)
         self.before = np.empty(n)
         self.calls_before = np.empty(n, np.int64)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from spendguard.operators import budgets as B
 from spendguard.operators import ordered as O
 from spendguard.plans import inputs as I
+from spendguard.runtime import shared_path
+from spendguard.streaming import jobs as J
 
 
 @pytest.fixture(scope="module")
@@ -59,3 +61,27 @@ def test_large_scopes_are_swept_once_and_idle_ones_not_at_all(spark, calls, monk
     # Once a job, with the two scopes that have policies.
     assert blocked == [2, 2]
     assert cut == plain and all(plain)
+
+
+def test_ledger_stream_keeps_ids_and_missing_places(spark):
+    """Few columns go through Python, and whole numbers stay whole beside missing ones."""
+    ddl = """session_id string, call_id long, timestamp timestamp, model string, input_tokens long,
+    output_tokens long, cache_creation_tokens long, cache_read_tokens long"""
+    at, big = datetime(2024, 1, 1), 2**60 + 1
+    rows = [("a", None, at, "gpt-4", 10, 0, None, None), ("a", big, at, "gpt-4", 20, 0, None, None),
+            ("a", 7, None, "gpt-4", 40, 0, None, None), (None, None, at, "gpt-4", 1, 0, None, None)]
+    source = shared_path(spark, "odd-calls")
+    spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(source)
+    limits = spark.createDataFrame([("a", None, 2)], "session_id string, max_spend_usd double, max_iterations long")
+    path = shared_path(spark, "odd")
+    stream = spark.readStream.schema(ddl).parquet(source)
+    J.stream_session_ledger(stream, I.pricing, lambda _: limits, path, shared_path(spark, "odd-checkpoint"), None).awaitTermination()
+    out = {(r.session_id, r.call_id, r.timestamp): (r.call_sequence, r.cumulative_input_tokens, r.allowed, r.status)
+           for r in spark.read.parquet(path).collect()}
+    assert out == {
+        ("a", big, at): (1, 20, True, "active"),
+        ("a", None, at): (2, 30, True, "active"),
+        ("a", 7, None): (2, 30, False, "terminated"),
+        (None, None, at): (None, None, True, None),
+    }
+    assert len(J._packed(spark.createDataFrame([], J.PRICED)).columns) == 3
